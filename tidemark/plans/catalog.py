@@ -77,3 +77,268 @@ def q_parse_wall(spark, sf_dir):
     """FUN2: first 19 characters → wall clock (as TIMESTAMP_NTZ)."""
     t = A.tweets(spark, sf_dir)
     return t.select("tweet_id", "tweet_created", parse_wall("tweet_created").cast("timestamp_ntz").alias("t"))
+
+
+# ============================================================================ shared derivations
+from ..functions.time import to_ntz  # noqa: E402
+from ..operators import alerts as AL  # noqa: E402
+from ..operators import quality as Q  # noqa: E402
+from ..operators import serving as S  # noqa: E402
+from ..schemas import METRIC_FIELDS, TWEET_FIELDS  # noqa: E402
+from ..session import scratch_database, scratch_path  # noqa: E402
+from ..sources import landing as L  # noqa: E402
+from ..sources import lake as LK  # noqa: E402
+from ..sources import wire as W  # noqa: E402
+from ..streaming import speed as SP  # noqa: E402
+
+# Processing time pinned for the registered queries, so that ``ingested_at``
+# is reproducible; live jobs leave it unset (current time).
+FIXED_NOW = "2024-02-01 00:00:00"
+EVENTS_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+
+
+def events_stream(spark, sf_dir):
+    """The events table replayed as a file stream (stand-in for the raw topic)."""
+    return LK.file_stream(spark, sf_dir, EVENTS_SCHEMA, glob="events.parquet")
+
+
+def lake_of(spark, sf_dir) -> str:
+    path = scratch_path(spark, "lake")
+    LK.write_raw(A.tweets(spark, sf_dir), path, now=FIXED_NOW)
+    return path
+
+
+def alerts_table(spark, sf_dir) -> str:
+    """Build the alert table by upserting negative events keyed by user: the
+    first half of the time range, then everything (a replay of the first
+    half plus the rest). The highest event id per key wins."""
+    db = scratch_database(spark, "alerts")
+    table = f"{db}.tweet_alerts"
+    ev = A.table(spark, sf_dir, "events")
+    u = AL.alert_filter(A.events_as_alert_updates(ev))
+    mid = ev.select(F.timestamp_micros(((F.min(F.unix_micros(F.col("ts").cast("timestamp")))
+                                         + F.max(F.unix_micros(F.col("ts").cast("timestamp")))) / 2)
+                                       .cast("bigint"))).scalar()
+    AL.upsert(spark, table, u.filter(F.col("created_at") < mid), order_cols=("event_id",), buckets=16)
+    AL.upsert(spark, table, u, order_cols=("event_id",), buckets=16)
+    return table
+
+
+def alert_rows(df):
+    return df.select(*TWEET_FIELDS, to_ntz(F.col("created_at")).alias("created_at"))
+
+
+def speed_table_from_stream(spark, sf_dir) -> str:
+    db = scratch_database(spark, "speed")
+    table = f"{db}.tweet_metrics"
+    raw = A.events_as_tweets(events_stream(spark, sf_dir))
+    q = SP.start_metrics(raw, table, scratch_path(spark, "speed-ckpt"), trigger={"availableNow": True},
+                         now=FIXED_NOW)
+    SP.run_available(q)
+    return table
+
+
+def speed_table_batch(spark, sf_dir) -> str:
+    """Speed table filled in one batch from the batch form of the speed layer."""
+    db = scratch_database(spark, "speed")
+    table = f"{db}.tweet_metrics"
+    S.create_speed_table(spark, table)
+    S.append_speed(M.speed_metrics(A.tweets(spark, sf_dir)), table, 0, now=FIXED_NOW)
+    return table
+
+
+def published_batch(spark, sf_dir) -> str:
+    db = scratch_database(spark, "serving")
+    name = f"{db}.batch_tweet_metrics"
+    batch = M.batch_metrics(A.tweets(spark, sf_dir))
+    S.publish_version(batch, name, version=1)
+    S.publish_version(batch, name, version=2)
+    return name
+
+
+# ============================================================================ scans, projections, filters
+@query("valid_time_filter")
+def valid_time_filter(spark, sf_dir):
+    """FLT2: rows whose wall-clock time parses."""
+    t = A.tweets(spark, sf_dir).withColumn("tweet_ts", parse_wall("tweet_created"))
+    return t.filter(F.col("tweet_ts").isNotNull()).select(*TWEET_FIELDS, to_ntz(F.col("tweet_ts")).alias("tweet_ts"))
+
+
+@query("alert_filter")
+def alert_filter(spark, sf_dir):
+    """FLT1: negative rows only."""
+    return AL.alert_filter(A.tweets(spark, sf_dir))
+
+
+@query("landing_normalise")
+def landing_normalise(spark, sf_dir):
+    """SRC1 + PRJ1: text rows → headered CSV → read by name → normalised."""
+    path = scratch_path(spark, "landing")
+    L.write_landing(A.events_as_landing(A.table(spark, sf_dir, "events")), path)
+    return L.normalise(L.read_landing(spark, path))
+
+
+@query("landing_ordered")
+def landing_ordered(spark, sf_dir):
+    """SRT1: landing rows in replay order (text sort on tweet_created, stable)."""
+    path = scratch_path(spark, "landing")
+    L.write_landing(A.events_as_landing(A.table(spark, sf_dir, "events")), path)
+    return L.ordered(L.normalise(L.read_landing(spark, path)), mode="text")
+
+
+@query("decode_skip_bad")
+def decode_skip_bad(spark, sf_dir):
+    """SRC4/SRC5: encoded message values → decoded rows, undecodable skipped."""
+    enc = W.encode_json(A.tweets(spark, sf_dir))
+    return W.skip_bad(W.observe_ingest(W.decode_json(enc)))
+
+
+@query("raw_lake_scan")
+def raw_lake_scan(spark, sf_dir):
+    """SRC6: lake written in batch, scanned with the fixed schema."""
+    return LK.read_raw(spark, lake_of(spark, sf_dir))
+
+
+@query("raw_lake_append")
+def raw_lake_append(spark, sf_dir):
+    """SNK4/SNK5: raw stream appended to the lake (exactly-once file sink), read back."""
+    path = scratch_path(spark, "lake")
+    raw = A.events_as_tweets(events_stream(spark, sf_dir))
+    SP.run_available(LK.append_raw(raw, path, scratch_path(spark, "lake-ckpt"), now=FIXED_NOW,
+                                   trigger={"availableNow": True}))
+    return LK.read_raw(spark, path)
+
+
+# ============================================================================ streaming
+@query("speed_stream")
+def speed_stream(spark, sf_dir):
+    """STR1-6 + SNK3: watermarked 1-minute windows, wire rows of closed windows."""
+    path = scratch_path(spark, "metrics-topic")
+    raw = A.events_as_tweets(events_stream(spark, sf_dir))
+    SP.run_available(SP.start_metrics_wire(raw, path, scratch_path(spark, "metrics-ckpt"),
+                                           trigger={"availableNow": True}))
+    return spark.read.parquet(path)
+
+
+@query("speed_table_append")
+def speed_table_append(spark, sf_dir):
+    """SNK6: streamed speed metrics appended per micro-batch into the speed table."""
+    return spark.table(speed_table_from_stream(spark, sf_dir)).select(*METRIC_FIELDS)
+
+
+# ============================================================================ serving
+@query("unified_metrics")
+def unified_metrics(spark, sf_dir):
+    """SRV1: batch (wall clock) ∪ speed tail after the last batch window."""
+    t = A.tweets(spark, sf_dir)
+    return S.unified(M.batch_metrics(t), M.speed_metrics(t))
+
+
+@query("unified_metrics_aligned")
+def unified_metrics_aligned(spark, sf_dir):
+    """SRV1 with both layers on the instant clock (no double counting)."""
+    t = A.tweets(spark, sf_dir)
+    return S.unified(M.batch_metrics(t, time_mode="instant"), M.speed_metrics(t))
+
+
+@query("prune_speed")
+def prune_speed(spark, sf_dir):
+    """SRV3: speed table after pruning every row that ends by the last batch window."""
+    table = speed_table_batch(spark, sf_dir)
+    cutoff = S.max_window_end(M.batch_metrics(A.tweets(spark, sf_dir)))
+    S.prune_speed(spark, table, cutoff)
+    return spark.table(table).select(*METRIC_FIELDS)
+
+
+@query("publish_batch")
+def publish_batch(spark, sf_dir):
+    """SRV2/SNK7-8: batch metrics published twice (version flip), read through the view."""
+    return spark.table(published_batch(spark, sf_dir)).select(*METRIC_FIELDS)
+
+
+@query("batch_range_scan")
+def batch_range_scan(spark, sf_dir):
+    """FLT4/SRV4: time-range scan of the month-partitioned published table."""
+    t = spark.table(published_batch(spark, sf_dir))
+    return S.time_range(t, "2024-01-10 00:00:00", "2024-01-20 23:59:59").select(*METRIC_FIELDS)
+
+
+@query("metrics_for_airline")
+def metrics_for_airline(spark, sf_dir):
+    """FLT5: one airline's batch metrics."""
+    return S.metrics_for_airline(M.batch_metrics(A.tweets(spark, sf_dir)), "airline_3")
+
+
+@query("batch_archive")
+def batch_archive(spark, sf_dir):
+    """SNK10: archive partitioned by airline, read back."""
+    path = scratch_path(spark, "archive")
+    S.archive(M.batch_metrics(A.tweets(spark, sf_dir)), path)
+    return S.read_archive(spark, path)
+
+
+# ============================================================================ alerts
+@query("alerts_upsert")
+def alerts_upsert(spark, sf_dir):
+    """STR10/JON1/SNK9: keyed upsert, last arrival (highest event id) wins."""
+    return alert_rows(spark.table(alerts_table(spark, sf_dir)))
+
+
+@query("alerts_by_airline")
+def alerts_by_airline(spark, sf_dir):
+    """FLT6/SRT2: one airline's alerts, newest first."""
+    return alert_rows(AL.alerts_by_airline(spark.table(alerts_table(spark, sf_dir)), "airline_0"))
+
+
+@query("alerts_airline_sentiment")
+def alerts_airline_sentiment(spark, sf_dir):
+    """FLT6: alerts of one airline and sentiment."""
+    return alert_rows(AL.alerts_airline_sentiment(spark.table(alerts_table(spark, sf_dir)), "airline_1",
+                                                  "negative"))
+
+
+@query("alerts_recent_24h")
+def alerts_recent_24h(spark, sf_dir):
+    """FLT6: one airline's alerts of the 24 hours before the newest alert."""
+    a = spark.table(alerts_table(spark, sf_dir))
+    return alert_rows(AL.alerts_recent(a, "airline_2", now=a.select(F.max("created_at")).scalar()))
+
+
+@query("alerts_latest")
+def alerts_latest(spark, sf_dir):
+    """SRT3: the 100 newest alerts."""
+    return alert_rows(AL.alerts_latest(spark.table(alerts_table(spark, sf_dir)), 100))
+
+
+# ============================================================================ quality
+@query("dq_raw_lake")
+def dq_raw_lake(spark, sf_dir):
+    """DQ1-5: lake checks."""
+    return Q.check_lake(spark, lake_of(spark, sf_dir))
+
+
+@query("dq_metrics_speed")
+def dq_metrics_speed(spark, sf_dir):
+    """DQ6-10 on the speed layer."""
+    return Q.check_metrics(M.speed_metrics(A.tweets(spark, sf_dir)), "speed")
+
+
+@query("dq_metrics_batch")
+def dq_metrics_batch(spark, sf_dir):
+    """DQ6-10 on the batch layer."""
+    return Q.check_metrics(M.batch_metrics(A.tweets(spark, sf_dir)), "batch")
+
+
+@query("dq_alerts")
+def dq_alerts(spark, sf_dir):
+    """DQ11-13 on the alert table."""
+    return Q.check_alerts(spark.table(alerts_table(spark, sf_dir)))
+
+
+@query("dq_summary")
+def dq_summary(spark, sf_dir):
+    """DQ15: all layers, summarised."""
+    t = A.tweets(spark, sf_dir)
+    report = Q.run_checks(spark, lake_of(spark, sf_dir), speed=M.speed_metrics(t), batch=M.batch_metrics(t),
+                          alerts=spark.table(alerts_table(spark, sf_dir)))
+    return Q.summary(report)

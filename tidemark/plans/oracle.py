@@ -108,3 +108,127 @@ ORACLE: dict[str, str] = {
     "parse_instant": f"WITH {TW} SELECT tweet_id, tweet_created, {INSTANT} AS t FROM tw",
     "parse_wall": f"WITH {TW} SELECT tweet_id, tweet_created, {WALL} AS t FROM tw",
 }
+
+
+# ============================================================================ more relations
+TWEET_COLS = "tweet_id, airline, airline_sentiment, text, retweet_count, tweet_created"
+INGESTED = "'2024-02-01T00:00:00.000000+00:00'"
+LAKE_ROWS = (f"WITH {TW} SELECT tweet_id, airline, airline_sentiment, text, CAST(retweet_count AS BIGINT) "
+             f"AS retweet_count, tweet_created, {INGESTED} AS ingested_at FROM tw")
+
+ALERTS = f"""WITH {TW},
+u AS (SELECT CAST(user_id AS VARCHAR) AS tweet_id, airline, airline_sentiment, text, retweet_count,
+             tweet_created, ts AS created_at, event_id
+      FROM tw WHERE airline_sentiment = 'negative')
+SELECT {TWEET_COLS}, created_at FROM u
+QUALIFY row_number() OVER (PARTITION BY tweet_id ORDER BY event_id DESC) = 1"""
+
+
+def _dq_union(layer: str, a: str, items: list[tuple[str, str, str, str]]) -> str:
+    """items: (check, passed expr, detail expr, guard) over relation ``a``."""
+    parts = []
+    for check, passed, detail, guard in items:
+        where = f" WHERE {guard}" if guard else ""
+        parts.append(f"SELECT '{layer}' AS layer, '{check}' AS \"check\", {passed} AS passed, "
+                     f"{detail} AS detail FROM {a}{where}")
+    return "\nUNION ALL\n".join(parts)
+
+
+def dq_metrics_sql(rel: str, layer: str) -> str:
+    a = f"""(SELECT count(*) AS n,
+    count(*) FILTER (WHERE airline IS NULL) AS null_airline,
+    count(*) FILTER (WHERE tweet_count IS NULL) AS null_tweet_count,
+    count(*) FILTER (WHERE positive_ratio < 0 OR positive_ratio > 1) AS range_positive_ratio,
+    count(*) FILTER (WHERE negative_ratio < 0 OR negative_ratio > 1) AS range_negative_ratio,
+    count(*) FILTER (WHERE tweet_count < 0) AS neg_tweet_count,
+    count(*) FILTER (WHERE positive_count < 0) AS neg_positive_count,
+    count(*) FILTER (WHERE negative_count < 0) AS neg_negative_count,
+    count(*) FILTER (WHERE positive_count + negative_count + neutral_count > tweet_count) AS inconsistent
+  FROM ({rel}) m) a"""
+    items = [("row count > 0", "n > 0", "CAST(n AS VARCHAR) || ' rows'", "")]
+    for c in ["airline", "tweet_count"]:
+        items.append((f"null check: {c}", f"null_{c} = 0", f"CAST(null_{c} AS VARCHAR) || ' nulls'", "n > 0"))
+    for c in ["positive_ratio", "negative_ratio"]:
+        items.append((f"ratio range 0-1: {c}", f"range_{c} = 0", f"CAST(range_{c} AS VARCHAR) || ' out of range'",
+                      "n > 0"))
+    for c in ["tweet_count", "positive_count", "negative_count"]:
+        items.append((f"non-negative: {c}", f"neg_{c} = 0", f"CAST(neg_{c} AS VARCHAR) || ' negative'", "n > 0"))
+    items.append(("class counts <= tweet_count", "inconsistent = 0",
+                  "CAST(inconsistent AS VARCHAR) || ' inconsistent'", "n > 0"))
+    return _dq_union(layer, a, items)
+
+
+def dq_lake_sql() -> str:
+    a = f"""(SELECT count(*) AS n,
+    count(*) FILTER (WHERE tweet_id IS NULL) AS null_tweet_id,
+    count(*) FILTER (WHERE airline IS NULL) AS null_airline,
+    count(*) FILTER (WHERE airline_sentiment IS NULL) AS null_airline_sentiment,
+    count(*) FILTER (WHERE airline_sentiment IS NOT NULL
+                     AND airline_sentiment NOT IN ('positive', 'negative', 'neutral')) AS bad_sent,
+    string_agg(DISTINCT airline_sentiment, ', ' ORDER BY airline_sentiment)
+      FILTER (WHERE airline_sentiment IN ('positive', 'negative', 'neutral')) AS sent_values
+  FROM ({LAKE_ROWS}) l) a"""
+    items = [("files exist", "true", "'files found'", ""),
+             ("row count > 0", "n > 0", "CAST(n AS VARCHAR) || ' rows'", ""),
+             ("schema (7 columns)", "true",
+              "'columns: airline, airline_sentiment, ingested_at, retweet_count, text, tweet_created, tweet_id'", "")]
+    for c in ["tweet_id", "airline", "airline_sentiment"]:
+        items.append((f"null check: {c}", f"null_{c} = 0", f"CAST(null_{c} AS VARCHAR) || ' nulls'", ""))
+    items.append(("sentiment values valid", "bad_sent = 0", "'values: ' || sent_values", ""))
+    return _dq_union("lake", a, items)
+
+
+def dq_alerts_sql() -> str:
+    a = f"""(SELECT count(*) AS n,
+    count(*) FILTER (WHERE tweet_id IS NULL OR tweet_id = '') AS null_tweet_id,
+    count(*) FILTER (WHERE airline IS NULL OR airline = '') AS null_airline,
+    count(*) FILTER (WHERE airline_sentiment IS DISTINCT FROM 'negative') AS not_negative
+  FROM ({ALERTS}) x) a"""
+    items = [("row count > 0", "n > 0", "CAST(n AS VARCHAR) || ' rows'", "")]
+    for c in ["tweet_id", "airline"]:
+        items.append((f"null check: {c}", f"null_{c} = 0", f"CAST(null_{c} AS VARCHAR) || ' nulls'", "n > 0"))
+    items.append(("all negative", "not_negative = 0", "CAST(not_negative AS VARCHAR) || ' not negative'", "n > 0"))
+    return _dq_union("alerts", a, items)
+
+
+DQ_SPEED = dq_metrics_sql(SPEED_MINUTE, "speed")
+DQ_BATCH = dq_metrics_sql(BATCH_HOURLY, "batch")
+DQ_SUMMARY = f"""SELECT count(*) AS total, count(*) FILTER (WHERE passed) AS passed,
+  count(*) FILTER (WHERE NOT passed) AS failed
+FROM ({dq_lake_sql()}
+UNION ALL {DQ_SPEED}
+UNION ALL {DQ_BATCH}
+UNION ALL {dq_alerts_sql()}) r"""
+
+ORACLE.update({
+    "valid_time_filter": f"WITH {TW} SELECT {TWEET_COLS}, {WALL} AS tweet_ts FROM tw WHERE {WALL} IS NOT NULL",
+    "alert_filter": f"WITH {TW} SELECT {TWEET_COLS} FROM tw WHERE airline_sentiment = 'negative'",
+    "landing_normalise": f"WITH {TW} SELECT {TWEET_COLS}, false AS is_bad FROM tw",
+    "landing_ordered": f"WITH {TW} SELECT {TWEET_COLS}, false AS is_bad FROM tw",
+    "decode_skip_bad": f"WITH {TW} SELECT {TWEET_COLS} FROM tw",
+    "raw_lake_scan": LAKE_ROWS,
+    "raw_lake_append": LAKE_ROWS,
+    "speed_stream": wire_of(SPEED_CLOSED),
+    "speed_table_append": f"SELECT {METRIC_COLS} FROM ({SPEED_CLOSED}) s",
+    "unified_metrics": unified_sql(BATCH_HOURLY, SPEED_MINUTE),
+    "unified_metrics_aligned": unified_sql(BATCH_HOURLY_INSTANT, SPEED_MINUTE),
+    "prune_speed": prune_sql(BATCH_HOURLY, SPEED_MINUTE),
+    "publish_batch": f"SELECT {METRIC_COLS} FROM ({BATCH_HOURLY}) b",
+    "batch_range_scan": f"""SELECT {METRIC_COLS} FROM ({BATCH_HOURLY}) b
+WHERE window_start BETWEEN TIMESTAMP '2024-01-10 00:00:00' AND TIMESTAMP '2024-01-20 23:59:59'""",
+    "metrics_for_airline": f"SELECT * FROM ({BATCH_HOURLY}) b WHERE airline = 'airline_3'",
+    "batch_archive": f"SELECT {METRIC_COLS} FROM ({BATCH_HOURLY}) b",
+    "alerts_upsert": ALERTS,
+    "alerts_by_airline": f"SELECT * FROM ({ALERTS}) a WHERE airline = 'airline_0'",
+    "alerts_airline_sentiment": f"""SELECT * FROM ({ALERTS}) a
+WHERE airline = 'airline_1' AND airline_sentiment = 'negative'""",
+    "alerts_recent_24h": f"""WITH a AS ({ALERTS})
+SELECT * FROM a WHERE airline = 'airline_2'
+  AND created_at >= (SELECT max(created_at) FROM a) - INTERVAL 24 HOUR""",
+    "alerts_latest": f"SELECT * FROM ({ALERTS}) a ORDER BY created_at DESC, tweet_id LIMIT 100",
+    "dq_raw_lake": dq_lake_sql(),
+    "dq_metrics_speed": DQ_SPEED,
+    "dq_metrics_batch": DQ_BATCH,
+    "dq_alerts": dq_alerts_sql(),
+    "dq_summary": DQ_SUMMARY,
+})

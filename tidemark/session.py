@@ -72,3 +72,17 @@ def local_dir(path: str) -> str:
 
 __all__ = ["build_session", "apply_conf", "ensure_checkpoint_dir", "scratch_path", "REQUIRED_CONF",
            "local_dir", "os"]
+
+
+def scratch_database(spark: SparkSession, name: str) -> str:
+    """Create a database whose managed tables live in a fresh folder below the
+    shared checkpoint folder; returns its name. Managed tables make
+    ``DROP TABLE`` / ``DROP PARTITION`` remove data, which publishing,
+    pruning and upserts rely on."""
+    loc = scratch_path(spark, name)
+    db = f"{name}_{uuid.uuid4().hex[:10]}"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{loc}'")
+    return db
+
+
+__all__ += ["scratch_database"]
