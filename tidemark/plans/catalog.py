@@ -108,11 +108,11 @@ def lake_of(spark, sf_dir) -> str:
     return path
 
 
-def alerts_table(spark, sf_dir) -> str:
+def alerts_table(spark, sf_dir, db: str | None = None) -> str:
     """Build the alert table by upserting negative events keyed by user: the
     first half of the time range, then everything (a replay of the first
     half plus the rest). The highest event id per key wins."""
-    db = scratch_database(spark, "alerts")
+    db = db or scratch_database(spark, "alerts")
     table = f"{db}.tweet_alerts"
     ev = A.table(spark, sf_dir, "events")
     u = AL.alert_filter(A.events_as_alert_updates(ev))
@@ -128,8 +128,8 @@ def alert_rows(df):
     return df.select(*TWEET_FIELDS, to_ntz(F.col("created_at")).alias("created_at"))
 
 
-def speed_table_from_stream(spark, sf_dir) -> str:
-    db = scratch_database(spark, "speed")
+def speed_table_from_stream(spark, sf_dir, db: str | None = None) -> str:
+    db = db or scratch_database(spark, "speed")
     table = f"{db}.tweet_metrics"
     raw = A.events_as_tweets(events_stream(spark, sf_dir))
     q = SP.start_metrics(raw, table, scratch_path(spark, "speed-ckpt"), trigger={"availableNow": True},
@@ -342,3 +342,16 @@ def dq_summary(spark, sf_dir):
     report = Q.run_checks(spark, lake_of(spark, sf_dir), speed=M.speed_metrics(t), batch=M.batch_metrics(t),
                           alerts=spark.table(alerts_table(spark, sf_dir)))
     return Q.summary(report)
+
+
+# ============================================================================ the whole cycle
+@query("batch_cycle")
+def batch_cycle(spark, sf_dir):
+    """SRV5: lake → publish → archive → prune → quality, on a lake, a streamed
+    speed table and an alert table all derived from the events."""
+    from .batch_cycle import CycleConfig, run_batch_cycle
+    db = scratch_database(spark, "cycle")
+    speed_table_from_stream(spark, sf_dir, db)
+    alerts_table(spark, sf_dir, db)
+    cfg = CycleConfig(lake_path=lake_of(spark, sf_dir), database=db, archive_path=scratch_path(spark, "archive"))
+    return run_batch_cycle(spark, cfg)

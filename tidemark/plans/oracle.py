@@ -232,3 +232,11 @@ SELECT * FROM a WHERE airline = 'airline_2'
     "dq_alerts": dq_alerts_sql(),
     "dq_summary": DQ_SUMMARY,
 })
+
+SPEED_AFTER_PRUNE = f"""SELECT * FROM ({SPEED_CLOSED}) s
+WHERE NOT coalesce(window_end <= (SELECT max(window_end) FROM ({BATCH_HOURLY}) b), false)"""
+
+ORACLE["batch_cycle"] = f"""{dq_lake_sql()}
+UNION ALL {dq_metrics_sql(SPEED_AFTER_PRUNE, "speed")}
+UNION ALL {DQ_BATCH}
+UNION ALL {dq_alerts_sql()}"""
