@@ -1,0 +1,77 @@
+import datetime as dt
+import os
+
+import pyarrow as pa
+import pyarrow.parquet as pq
+
+from tidemark.operators import quality as Q
+from tidemark.schemas import ALERT, METRICS_TABLE
+
+
+def by_check(report):
+    return {r.check: (r.passed, r.detail) for r in report.collect()}
+
+
+def lake_file(folder, name, rows, drop=()):
+    os.makedirs(folder, exist_ok=True)
+    cols = ["tweet_id", "airline", "airline_sentiment", "text", "retweet_count", "tweet_created", "ingested_at"]
+    data = {c: [r[i] for r in rows] for i, c in enumerate(cols) if c not in drop}
+    pq.write_table(pa.table(data), os.path.join(folder, name))
+
+
+def test_lake_clean_and_broken(spark, tmp):
+    good = [("1", "a", "positive", "t", 1, "x", "i"), ("2", "b", "negative", "t", 0, "x", "i")]
+    lake_file(os.path.join(tmp, "ok"), "f1.parquet", good)
+    r = by_check(Q.check_lake(spark, os.path.join(tmp, "ok")))
+    assert len(r) == 7 and all(p for p, _ in r.values())
+    assert r["sentiment values valid"][1] == "values: negative, positive"
+    bad = [("1", None, "Mixed", "t", 1, "x", "i"), (None, "a", None, "t", 1, "x", "i")]
+    lake_file(os.path.join(tmp, "bad"), "f1.parquet", bad, drop=("ingested_at",))
+    r = by_check(Q.check_lake(spark, os.path.join(tmp, "bad")))
+    assert r["schema (7 columns)"] == (False, "missing columns: ingested_at")
+    assert not r["null check: tweet_id"][0] and not r["null check: airline"][0]
+    assert not r["null check: airline_sentiment"][0]
+    assert r["sentiment values valid"] == (False, "1 rows with invalid values: Mixed")
+    r = by_check(Q.check_lake(spark, os.path.join(tmp, "missing")))
+    assert r == {"files exist": (False, "no parquet files found")}
+
+
+def m(**kw):
+    base = dict(airline="a", tweet_count=2, positive_count=1, negative_count=1, neutral_count=0,
+                positive_ratio=0.5, negative_ratio=0.5, avg_retweet=1.0, max_retweet=1, tweet_rate=2 / 60,
+                window_start=dt.datetime(2024, 1, 1), window_end=dt.datetime(2024, 1, 1, 1))
+    base.update(kw)
+    return tuple(base[f.name] for f in METRICS_TABLE.fields)
+
+
+def test_metrics_checks(spark):
+    ok = by_check(Q.check_metrics(spark.createDataFrame([m()], METRICS_TABLE), "batch"))
+    assert len(ok) == 9 and all(p for p, _ in ok.values())
+    broken = spark.createDataFrame([m(airline=None), m(tweet_count=None), m(positive_ratio=float("nan")),
+                                    m(negative_ratio=-0.1), m(positive_ratio=1.1), m(positive_count=-1),
+                                    m(negative_count=-1), m(neutral_count=5)], METRICS_TABLE)
+    r = by_check(Q.check_metrics(broken, "speed"))
+    assert r["null check: airline"] == (False, "1 nulls") and r["null check: tweet_count"] == (False, "1 nulls")
+    assert r["ratio range 0-1: positive_ratio"] == (False, "2 out of range")      # NaN counts
+    assert r["ratio range 0-1: negative_ratio"] == (False, "1 out of range")
+    assert r["non-negative: positive_count"][0] is False and r["non-negative: tweet_count"][0] is True
+    assert r["class counts <= tweet_count"] == (False, "1 inconsistent")
+    empty = by_check(Q.check_metrics(spark.createDataFrame([], METRICS_TABLE), "speed"))
+    assert empty == {"row count > 0": (False, "0 rows")}
+
+
+def test_alert_checks_and_summary(spark):
+    t = dt.datetime(2024, 1, 1)
+    ok = spark.createDataFrame([("1", "a", "negative", "t", 1, "x", t)], ALERT)
+    assert all(r.passed for r in Q.check_alerts(ok).collect())
+    bad = spark.createDataFrame([("", "a", "negative", "t", 1, "x", t), ("2", None, None, "t", 1, "x", t)], ALERT)
+    r = by_check(Q.check_alerts(bad))
+    assert r["null check: tweet_id"] == (False, "1 nulls") and r["all negative"] == (False, "1 not negative")
+    missing = by_check(Q.check_alerts(ok.drop("airline")))
+    assert missing["null check: airline"] == (False, "1 nulls")
+    report = Q.check_alerts(ok).unionByName(Q.check_alerts(bad))
+    s = Q.summary(report).first()
+    assert (s.total, s.passed, s.failed) == (8, 5, 3)
+    import pytest
+    with pytest.raises(Q.QualityError):
+        Q.summary(report, raise_on_fail=True)
