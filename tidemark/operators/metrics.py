@@ -107,9 +107,12 @@ def windowed_metrics(df: DataFrame, ts: Column | str, width: str = "1 hour", lay
         aggs += [F.avg(m).alias("_avg"), F.max(m).alias("_max")]
     else:
         aggs += [F.sum(F.coalesce(m, F.lit(0))).alias("_sum"), F.max(m).alias("_max")]
-    agg = (df.filter(t.isNotNull())
-             .groupBy(F.window(t, width).alias("window"), F.col(spec.key))
-             .agg(*aggs))
+    # bind the (possibly parsed) time once: filter and window then read a column
+    timed = df if isinstance(ts, str) else df.withColumn("_t", t)
+    tcol = F.col(ts) if isinstance(ts, str) else F.col("_t")
+    agg = (timed.filter(tcol.isNotNull())
+                .groupBy(F.window(tcol, width).alias("window"), F.col(spec.key))
+                .agg(*aggs))
     max_type = "bigint" if spec.measure == TWEET_SPEC.measure else None
     mx = F.col("_max")
     if layer == "speed":
