@@ -56,14 +56,15 @@ def upsert(spark: SparkSession, table: str, updates: DataFrame, key: str = "twee
     u = latest_per_key(u, key, order_cols)
     u = u.select(*[F.col(c) for c in columns], bucket_of(F.col(key), buckets).alias("bucket"))
     if not table_exists(spark, table):
-        u.write.format("parquet").partitionBy("bucket").saveAsTable(table)
+        u.repartition("bucket").write.format("parquet").partitionBy("bucket").saveAsTable(table)
         return spark.table(table).count()
     u = u.checkpoint()
     target = spark.table(table)
     touched = u.select("bucket").distinct()
     kept = (target.join(touched, "bucket", "left_semi")
                   .join(u.select(key), key, "left_anti"))
-    merged = kept.unionByName(u).checkpoint()
+    # one task (one file) per rewritten bucket; the checkpoint keeps that layout
+    merged = kept.unionByName(u).repartition("bucket").checkpoint()
     overwrite_partitions(merged, table)
     return u.count()
 

@@ -116,7 +116,7 @@ def windowed_metrics(df: DataFrame, ts: Column | str, width: str = "1 hour", lay
     max_type = "bigint" if spec.measure == TWEET_SPEC.measure else None
     mx = F.col("_max")
     if layer == "speed":
-        mx = F.greatest(F.lit(0).cast(agg.schema["_max"].dataType), mx)
+        mx = F.greatest(F.lit(0), mx)        # coerced to the measure's type
         avg = F.col("_sum") / F.col(spec.count_name)
     else:
         avg = F.col("_avg")

@@ -117,7 +117,9 @@ def append_speed(metrics: DataFrame, table: str, batch_id: int, now=None) -> boo
     rows = with_window_date(metrics.select(*METRIC_FIELDS)).select(
         *METRIC_FIELDS, t.alias("created_at"), F.lit(batch_id).cast("bigint").alias("batch_id"), "window_date")
     cols = spark.table(table).columns
-    rows.select(*cols).write.mode("append").insertInto(table)
+    # one writer per date: a micro-batch holds few dates, so this avoids
+    # (tasks × dates) small files at the cost of a shuffle of the batch output
+    rows.repartition("window_date").select(*cols).write.mode("append").insertInto(table)
     return True
 
 
