@@ -7,7 +7,9 @@ import pyarrow.parquet as pq
 
 from tidemark.schemas import TWEET
 from tidemark.sources.lake import file_stream
-from tidemark.streaming.speed import run_available, start_alerts, start_metrics, start_metrics_wire
+from tidemark.sources.wire import decode_json, encode_json, observe_ingest, skip_bad
+from tidemark.streaming.speed import (progress_counters, run_available, start_alerts, start_metrics,
+                                      start_metrics_wire, state_rows)
 
 # (key, minute:second after 11:00) per file, in arrival order
 ARRIVALS = [[("a", "00:01"), ("a", "00:59")],
@@ -53,6 +55,8 @@ def test_watermark_closing_and_late_rows(spark, tmp):
     dropped = sum(p["stateOperators"][0].get("numRowsDroppedByWatermark", 0) for p in q.recentProgress
                   if p.get("stateOperators"))
     assert dropped == 1
+    # closed windows were evicted: only key b's open window is left in state
+    assert state_rows(q) == 1
 
 
 def test_restart_from_checkpoint_gives_same_result(spark, tmp):
@@ -82,3 +86,15 @@ def test_speed_table_sink_and_alert_branch(spark, tmp):
     run_available(start_alerts(raw, f"{db}.alerts", os.path.join(tmp, "ck2"), trigger={"availableNow": True},
                                buckets=4))
     assert spark.table(f"{db}.alerts").count() == sum(len(b) for b in ARRIVALS)
+
+
+def test_ingest_counters_on_a_stream(spark, tmp):
+    src = os.path.join(tmp, "in")
+    write_files(src, ARRIVALS[:3])
+    raw = file_stream(spark, src, TWEET)
+    msgs = encode_json(raw).selectExpr("CASE WHEN value LIKE '%00:59%' THEN 'junk' ELSE value END AS value")
+    decoded = skip_bad(observe_ingest(decode_json(msgs), "ingest"))
+    q = run_available(decoded.writeStream.format("memory").queryName("ingest_t")
+                      .option("checkpointLocation", os.path.join(tmp, "ck")).trigger(availableNow=True).start())
+    assert spark.table("ingest_t").count() == 3
+    assert progress_counters(q, "ingest") == {"saved": 3, "skipped": 1}

@@ -106,3 +106,31 @@ def run_available(query: StreamingQuery, timeout_s: int = 600) -> StreamingQuery
     if query.exception():
         raise query.exception()
     return query
+
+
+def start_console(stream: DataFrame, checkpoint: str, trigger: dict | None = None,
+                  num_rows: int = 20) -> StreamingQuery:
+    """Print each micro-batch (debugging aid; the first ``num_rows`` rows)."""
+    return (_writer(stream, checkpoint, trigger, None).format("console")
+            .option("numRows", str(num_rows)).option("truncate", "false").start())
+
+
+def progress_counters(query: StreamingQuery, name: str = "ingest") -> dict:
+    """Counters attached with ``observe(name, ...)`` (e.g. ``observe_ingest``),
+    summed over the query's recent micro-batches."""
+    out: dict = {}
+    for p in query.recentProgress:
+        m = (p.observedMetrics or {}).get(name)
+        if m is None:
+            continue
+        for k, v in (m.asDict() if hasattr(m, "asDict") else dict(m)).items():
+            out[k] = out.get(k, 0) + (v or 0)
+    return out
+
+
+def state_rows(query: StreamingQuery) -> int | None:
+    """Rows held in the state store after the last micro-batch."""
+    p = query.lastProgress
+    if not p or not p.get("stateOperators"):
+        return None
+    return sum(op.get("numRowsTotal", 0) for op in p["stateOperators"])
