@@ -176,3 +176,45 @@ def to_wire(metrics: DataFrame) -> DataFrame:
 def with_month(metrics: DataFrame) -> DataFrame:
     """Add the monthly routing column used to partition the batch table."""
     return metrics.withColumn("window_month", F.date_format("window_start", "yyyy-MM"))
+
+
+# --------------------------------------------------------------------------- mergeable partials
+PARTIAL_KEYS = ("window_start", "window_end", "window_month")
+
+
+def partial_metrics(df: DataFrame, ts: Column | str, width: str = "1 hour", spec: MetricSpec = TWEET_SPEC) -> DataFrame:
+    """Mergeable per-(window, key) state: counts, Σmeasure, non-NULL count and
+    max of the measure. Folding new partials into old ones (``combine_partials``)
+    and then ``finish_partials`` gives exactly the batch-layer metrics of all
+    rows seen, so a growing lake only needs its new files aggregated."""
+    t = F.col(ts) if isinstance(ts, str) else ts
+    timed = df.withColumn("_t", t).filter(F.col("_t").isNotNull())
+    m = F.col(spec.measure)
+    aggs = [F.count(F.lit(1)).alias(spec.count_name)]
+    aggs += [F.count_if(F.col(spec.category) == F.lit(c)).alias(spec.class_col(c)) for c in spec.classes]
+    aggs += [F.sum(m).alias("_sum"), F.count(m).alias("_n"), F.max(m).alias("_max")]
+    out = timed.groupBy(F.window("_t", width).alias("window"), F.col(spec.key)).agg(*aggs)
+    out = out.select(F.col(spec.key), *[F.col(c) for c in out.columns if c not in ("window", spec.key)],
+                     to_ntz(F.col("window.start")).alias("window_start"),
+                     to_ntz(F.col("window.end")).alias("window_end"))
+    return with_month(out)
+
+
+def combine_partials(partials: DataFrame, spec: MetricSpec = TWEET_SPEC) -> DataFrame:
+    """Merge partial rows of the same (window, key): sums add, max of max."""
+    sums = [spec.count_name] + [spec.class_col(c) for c in spec.classes] + ["_sum", "_n"]
+    aggs = [F.sum(c).alias(c) for c in sums] + [F.max("_max").alias("_max")]
+    return partials.groupBy(spec.key, *PARTIAL_KEYS).agg(*aggs)
+
+
+def finish_partials(partials: DataFrame, spec: MetricSpec = TWEET_SPEC) -> DataFrame:
+    """Partials → batch-layer metrics (avg over non-NULL measures, plain max)."""
+    n = F.col(spec.count_name)
+    avg = F.when(F.col("_n") > 0, F.col("_sum") / F.col("_n")).cast("double")
+    mx = F.col("_max").cast("bigint") if spec.measure == TWEET_SPEC.measure else F.col("_max")
+    cols = [F.col(spec.key).alias(spec.key_out), n]
+    cols += [F.col(spec.class_col(c)) for c in spec.classes]
+    cols += [_ratio(F.col(spec.class_col(c)), n).alias(spec.ratio_col(c)) for c in spec.ratio_classes]
+    cols += [avg.alias(spec.avg_name), mx.alias(spec.max_name), (n / F.lit(spec.rate_divisor)).alias(spec.rate_name),
+             F.col("window_start"), F.col("window_end")]
+    return partials.select(*cols)

@@ -240,3 +240,5 @@ ORACLE["batch_cycle"] = f"""{dq_lake_sql()}
 UNION ALL {dq_metrics_sql(SPEED_AFTER_PRUNE, "speed")}
 UNION ALL {DQ_BATCH}
 UNION ALL {dq_alerts_sql()}"""
+
+ORACLE["batch_hourly_incremental"] = BATCH_HOURLY
