@@ -39,8 +39,8 @@ def upsert(spark: SparkSession, table: str, updates: DataFrame, key: str = "twee
     * updates are reduced to the last arrival per key;
     * ``created_at`` is stamped (``stamp`` or the current time) unless the
       updates carry it;
-    * only the buckets the updates touch are read (semi join → partition
-      pruning), merged (old rows whose key reappears are replaced, whole row,
+    * only the buckets the updates touch are read (their ids, at most
+      ``buckets`` of them, become a partition filter), merged (old rows whose key reappears are replaced, whole row,
       so a newer NULL overwrites an older value) and rewritten with a dynamic
       partition overwrite. The merged rows are checkpointed first, so the
       table is never read and overwritten in one plan.
@@ -59,10 +59,11 @@ def upsert(spark: SparkSession, table: str, updates: DataFrame, key: str = "twee
         u.repartition("bucket").write.format("parquet").partitionBy("bucket").saveAsTable(table)
         return spark.table(table).count()
     u = u.checkpoint()
-    target = spark.table(table)
-    touched = u.select("bucket").distinct()
-    kept = (target.join(touched, "bucket", "left_semi")
-                  .join(u.select(key), key, "left_anti"))
+    # at most `buckets` small integers: bounded by configuration, not by data;
+    # as a literal list they become a static PartitionFilter on the scan
+    touched = [r[0] for r in u.select("bucket").distinct().collect()]
+    target = spark.table(table).filter(F.col("bucket").isin(touched))
+    kept = target.join(u.select(key), key, "left_anti")
     # one task (one file) per rewritten bucket; the checkpoint keeps that layout
     merged = kept.unionByName(u).repartition("bucket").checkpoint()
     overwrite_partitions(merged, table)

@@ -123,6 +123,11 @@ def append_speed(metrics: DataFrame, table: str, batch_id: int, now=None) -> boo
     return True
 
 
+def _date_text(t) -> str:
+    """``yyyy-MM-dd`` of a datetime or of ``yyyy-MM-dd[ HH:mm:ss]`` text."""
+    return t.strftime("%Y-%m-%d") if hasattr(t, "strftime") else str(t)[:10]
+
+
 def prune_speed(spark: SparkSession, table: str, cutoff) -> int:
     """Remove speed rows with ``window_end <= cutoff``; rows with a NULL
     window_end stay; no cutoff → no-op. Returns the number of rows removed.
@@ -136,7 +141,7 @@ def prune_speed(spark: SparkSession, table: str, cutoff) -> int:
     if cutoff is None:
         return 0
     cut = F.lit(cutoff).cast("timestamp_ntz")
-    cut_date = spark.range(1).select(F.date_format(cut, "yyyy-MM-dd")).first()[0]
+    cut_date = _date_text(cutoff)
     t = spark.table(table)
     removed = (t.filter(F.col("window_date") <= F.lit(cut_date))
                 .filter(F.col("window_end") <= cut).count())

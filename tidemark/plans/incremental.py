@@ -40,8 +40,10 @@ def merge_partials(spark: SparkSession, table: str, new: DataFrame, batch_id: in
     if not spark.table(table).filter(F.col("last_batch") >= F.lit(batch_id)).isEmpty():
         return False
     new = new.checkpoint()
-    months = new.select("window_month").distinct()
-    old = spark.table(table).join(months, "window_month", "left_semi")
+    # calendar months present in the new files: bounded by the time span, not
+    # by the rows; as literals they prune the partials scan to those months
+    months = [r[0] for r in new.select("window_month").distinct().collect()]
+    old = spark.table(table).filter(F.col("window_month").isin(months))
     merged = (combine_partials(old.drop("last_batch").unionByName(new.drop("last_batch")), spec)
               .withColumn("last_batch", F.lit(batch_id).cast("bigint"))
               .repartition("window_month").checkpoint())
