@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import ALERT_SENTIMENT, TWEET_FIELDS
-from .tables import overwrite_partitions, table_exists
+from .tables import DYNAMIC_OVERWRITE, overwrite_partitions, table_exists
 
 ALERT_COLUMNS = TWEET_FIELDS + ["created_at"]
 
@@ -56,7 +56,8 @@ def upsert(spark: SparkSession, table: str, updates: DataFrame, key: str = "twee
     u = latest_per_key(u, key, order_cols)
     u = u.select(*[F.col(c) for c in columns], bucket_of(F.col(key), buckets).alias("bucket"))
     if not table_exists(spark, table):
-        u.repartition("bucket").write.format("parquet").partitionBy("bucket").saveAsTable(table)
+        u.repartition("bucket").write.format("parquet").options(**DYNAMIC_OVERWRITE).partitionBy("bucket") \
+            .saveAsTable(table)
         return spark.table(table).count()
     u = u.checkpoint()
     # at most `buckets` small integers: bounded by configuration, not by data;

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..schemas import METRIC_FIELDS, METRICS_TABLE, SOURCE_BATCH, SOURCE_SPEED
 from .metrics import with_month
-from .tables import drop_partitions, overwrite_partitions, partition_values, table_exists
+from .tables import DYNAMIC_OVERWRITE, drop_partitions, overwrite_partitions, partition_values, table_exists
 
 log = logging.getLogger(__name__)
 EPOCH = "1970-01-01 00:00:00"
@@ -99,8 +99,9 @@ def create_speed_table(spark: SparkSession, table: str) -> None:
     if table_exists(spark, table):
         return
     cols = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in METRICS_TABLE.fields)
+    opts = ", ".join(f"{k} '{v}'" for k, v in DYNAMIC_OVERWRITE.items())
     spark.sql(f"""CREATE TABLE {table} ({cols}, created_at timestamp, batch_id bigint, window_date string)
-                  USING parquet PARTITIONED BY (window_date)""")
+                  USING parquet OPTIONS ({opts}) PARTITIONED BY (window_date)""")
 
 
 def append_speed(metrics: DataFrame, table: str, batch_id: int, now=None) -> bool:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from contextlib import contextmanager
-
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -11,27 +9,20 @@ def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 
 
-@contextmanager
-def dynamic_overwrite(spark: SparkSession):
-    """Overwrite only the partitions present in the written data."""
-    key = "spark.sql.sources.partitionOverwriteMode"
-    old = spark.conf.get(key)
-    spark.conf.set(key, "dynamic")
-    try:
-        yield
-    finally:
-        spark.conf.set(key, old)
+# Stored with every partitioned table of the library: an overwrite then only
+# replaces the partitions present in the written rows. Being a table option,
+# it needs no session setting (safe with concurrent jobs in one session).
+DYNAMIC_OVERWRITE = {"partitionOverwriteMode": "dynamic"}
 
 
 def overwrite_partitions(df: DataFrame, table: str) -> None:
     """Replace the partitions of ``table`` that ``df`` holds rows for.
 
+    ``table`` must carry ``DYNAMIC_OVERWRITE`` (all tables created here do);
     ``df`` must not read ``table`` itself (cut its lineage first, e.g. with
     ``checkpoint()``); columns are matched to the table by name."""
-    spark = df.sparkSession
-    cols = spark.table(table).columns
-    with dynamic_overwrite(spark):
-        df.select(*cols).write.mode("overwrite").insertInto(table)
+    cols = df.sparkSession.table(table).columns
+    df.select(*cols).write.mode("overwrite").insertInto(table)
 
 
 def partition_values(spark: SparkSession, table: str) -> list[dict]:

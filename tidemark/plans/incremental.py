@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ..functions.time import parse_time
 from ..operators.metrics import TWEET_SPEC, MetricSpec, combine_partials, finish_partials, partial_metrics
-from ..operators.tables import overwrite_partitions, table_exists
+from ..operators.tables import DYNAMIC_OVERWRITE, overwrite_partitions, table_exists
 from ..schemas import RAW_LAKE
 from ..sources.lake import LAKE_READ_OPTIONS
 from ..streaming.speed import run_available
@@ -35,7 +35,8 @@ def merge_partials(spark: SparkSession, table: str, new: DataFrame, batch_id: in
     """Fold ``new`` partials into ``table``; returns False for a replayed batch."""
     new = new.withColumn("last_batch", F.lit(batch_id).cast("bigint"))
     if not table_exists(spark, table):
-        new.repartition("window_month").write.format("parquet").partitionBy("window_month").saveAsTable(table)
+        new.repartition("window_month").write.format("parquet").options(**DYNAMIC_OVERWRITE) \
+            .partitionBy("window_month").saveAsTable(table)
         return True
     if not spark.table(table).filter(F.col("last_batch") >= F.lit(batch_id)).isEmpty():
         return False
