@@ -52,3 +52,8 @@ def test_missing_column_is_error(spark, tmp):
         f.write("tweet_id,airline\n1,a\n")
     with pytest.raises(ValueError):
         read_landing(spark, p)
+
+
+def test_landing_records_drop_bad_and_order(spark, tmp):
+    from tidemark.sources.landing import landing_records
+    assert [x.tweet_id for x in landing_records(spark, write(tmp, CSV)).collect()] == ["4", "2", "1"]

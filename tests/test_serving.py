@@ -85,3 +85,16 @@ def test_archive_keeps_text_airline(spark, tmp):
     S.archive(df, os.path.join(tmp, "arch"))
     r = S.read_archive(spark, os.path.join(tmp, "arch")).first()
     assert r.airline == "007"
+
+
+def test_sql_view_equals_unified(spark, db):
+    batch = spark.createDataFrame([metric("a", T(10), T(11)), metric("b", T(9), T(10))], METRICS_TABLE)
+    speed = spark.createDataFrame([metric("a", T(10, 59), T(11)), metric("a", T(11), T(11, 1)),
+                                   metric("c", T(12), T(12, 1))], METRICS_TABLE)
+    batch.write.saveAsTable(f"{db}.b")
+    speed.write.saveAsTable(f"{db}.s")
+    S.create_unified_view(spark, f"{db}.u", f"{db}.b", f"{db}.s")
+    key = lambda r: (r.source, r.airline, r.window_start)
+    assert sorted(spark.table(f"{db}.u").collect(), key=key) == sorted(S.unified(batch, speed).collect(), key=key)
+    spark.sql(f"INSERT INTO {db}.b SELECT * FROM {db}.s WHERE airline = 'c'")   # view follows the tables
+    assert spark.table(f"{db}.u").filter("source = 'REAL-TIME'").count() == 0

@@ -54,3 +54,17 @@ def s3a_conf(endpoint: str, path_style: bool = True, ssl: bool = True) -> dict:
 
 TOPICS = {"raw": ("tweets.raw", TWEET_AVRO), "alert": ("tweets.alert", TWEET_AVRO),
           "metrics": ("tweets.metrics", METRICS_AVRO)}
+
+
+def kafka_write(df: DataFrame, servers: str, topic: str) -> None:
+    """Batch publish of a ``value`` column (e.g. from ``wire_value``) to a topic."""
+    (df.select("value").write.format("kafka").option("kafka.bootstrap.servers", servers)
+       .option("topic", topic).save())
+
+
+def publish_landing(spark: SparkSession, path: str, servers: str, schema_id: int, topic: str = "tweets.raw") -> None:
+    """Landing CSV → normalised, replay-ordered records → raw topic. Rows whose
+    retweet count is no integer are left out (they are counted by the caller
+    through ``landing_records(...).filter('is_bad')``)."""
+    from .landing import landing_records
+    kafka_write(wire_value(landing_records(spark, path), TWEET_AVRO, schema_id), servers, topic)

@@ -63,3 +63,10 @@ def ordered(df: DataFrame, mode: str = "text", seq_col: str | None = None) -> Da
     else:
         raise ValueError("mode must be 'text' or 'instant'")
     return d if seq_col else d.drop(seq)
+
+
+def landing_records(spark: SparkSession, path: str, mode: str = "text") -> DataFrame:
+    """read → normalise → drop bad rows → replay order: the records a
+    producer publishes, in publishing order."""
+    n = normalise(read_landing(spark, path))
+    return ordered(n.filter(~F.col("is_bad")).drop("is_bad"), mode)
