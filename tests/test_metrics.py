@@ -76,3 +76,13 @@ def test_rollup_and_split_properties(spark, data, parts):
     assert rows(direct) == rows(rolled)
     one = spark.createDataFrame(recs, TWEET).coalesce(1)
     assert rows(speed_metrics(df)) == rows(speed_metrics(one))
+
+
+def test_every_valid_row_in_exactly_one_group(spark):
+    from tidemark.functions import parse_wall
+    from tidemark.sources.adapters import tweets
+    t = tweets(spark, "/root/testdata/sf0.001")
+    valid = t.filter(parse_wall("tweet_created").isNotNull()).count()
+    for m in (batch_metrics(t), speed_metrics(t)):
+        assert m.agg(F.sum("tweet_count")).first()[0] == valid
+        assert m.groupBy("airline", "window_start").count().filter("count > 1").count() == 0

@@ -75,3 +75,15 @@ def test_alert_checks_and_summary(spark):
     import pytest
     with pytest.raises(Q.QualityError):
         Q.summary(report, raise_on_fail=True)
+
+
+def test_failing_layer_does_not_stop_the_others(spark, tmp):
+    t = dt.datetime(2024, 1, 1)
+    report = Q.run_checks(spark, os.path.join(tmp, "no-such-lake"),
+                          batch=spark.createDataFrame([m()], METRICS_TABLE),
+                          alerts=spark.createDataFrame([("1", "a", "negative", "t", 1, "x", t)], ALERT))
+    got = {(r.layer, r.check): r.passed for r in report.collect()}
+    assert got[("lake", "files exist")] is False
+    assert sum(1 for (layer, _) in got if layer == "batch") == 9
+    assert sum(1 for (layer, _) in got if layer == "alerts") == 4
+    assert Q.check_table(spark, "no_db.no_table", "speed", Q.check_metrics).first().passed is False

@@ -67,6 +67,10 @@ def test_publish_flip_and_failure_keeps_old(spark, db):
     S.publish_version(v3, name, version=4)
     assert spark.table(name).count() == 2
     assert S.versions(spark, name) == [3, 4]             # keep one older version
+    assert S.current_version(spark, name) == 4
+    with pytest.raises(ValueError):                       # an existing version is never replaced
+        S.publish_version(v1, name, version=4)
+    assert spark.table(name).count() == 2
     assert "window_month" in spark.table(name).columns
 
 
@@ -98,3 +102,14 @@ def test_sql_view_equals_unified(spark, db):
     assert sorted(spark.table(f"{db}.u").collect(), key=key) == sorted(S.unified(batch, speed).collect(), key=key)
     spark.sql(f"INSERT INTO {db}.b SELECT * FROM {db}.s WHERE airline = 'c'")   # view follows the tables
     assert spark.table(f"{db}.u").filter("source = 'REAL-TIME'").count() == 0
+
+
+def test_aligned_unified_counts_each_event_at_most_once(spark):
+    from tidemark.operators.metrics import batch_metrics, speed_metrics
+    from tidemark.sources.adapters import tweets
+    t = tweets(spark, "/root/testdata/sf0.001")
+    n = t.count()
+    aligned = S.unified(batch_metrics(t, time_mode="instant"), speed_metrics(t))
+    assert aligned.agg(F.sum("tweet_count")).first()[0] <= n
+    faithful = S.unified(batch_metrics(t), speed_metrics(t))
+    assert faithful.agg(F.sum("tweet_count")).first()[0] >= n   # the wall/instant gap counts some twice

@@ -57,6 +57,8 @@ def publish_version(df: DataFrame, name: str, version: int | None = None, keep:
     version = version if version is not None else int(time.time() * 1000)
     target = f"{name}_v{version}"
     data = with_month(df) if partition_by == "window_month" and "window_month" not in df.columns else df
+    if table_exists(spark, target):
+        raise ValueError(f"version {version} of {name} exists already")
     try:
         data.write.format("parquet").partitionBy(partition_by).saveAsTable(target)
     except Exception:
