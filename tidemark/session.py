@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -69,13 +68,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/tidemark/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_dir(path: str) -> str:
-    """Strip a ``file:`` scheme for local existence checks in tests."""
-    return path[5:] if path.startswith("file:") else path
-
-
-__all__ = ["build_session", "apply_conf", "ensure_checkpoint_dir", "scratch_path", "REQUIRED_CONF",
-           "local_dir", "os"]
+__all__ = ["build_session", "apply_conf", "ensure_checkpoint_dir", "scratch_path", "REQUIRED_CONF"]
 
 
 def scratch_database(spark: SparkSession, name: str) -> str:
