@@ -8,10 +8,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.time import parse_instant, parse_wall
+from ..functions.time import parse_instant, parse_wall, to_ntz
+from ..operators import alerts as AL
 from ..operators import metrics as M
-from ..session import apply_conf
+from ..operators import quality as Q
+from ..operators import serving as S
+from ..schemas import METRIC_FIELDS, TWEET_FIELDS
+from ..session import apply_conf, scratch_database, scratch_path
 from ..sources import adapters as A
+from ..sources import landing as L
+from ..sources import lake as LK
+from ..sources import wire as W
+from ..streaming import speed as SP
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -80,16 +88,6 @@ def q_parse_wall(spark, sf_dir):
 
 
 # ============================================================================ shared derivations
-from ..functions.time import to_ntz  # noqa: E402
-from ..operators import alerts as AL  # noqa: E402
-from ..operators import quality as Q  # noqa: E402
-from ..operators import serving as S  # noqa: E402
-from ..schemas import METRIC_FIELDS, TWEET_FIELDS  # noqa: E402
-from ..session import scratch_database, scratch_path  # noqa: E402
-from ..sources import landing as L  # noqa: E402
-from ..sources import lake as LK  # noqa: E402
-from ..sources import wire as W  # noqa: E402
-from ..streaming import speed as SP  # noqa: E402
 
 # Processing time pinned for the registered queries, so that ``ingested_at``
 # is reproducible; live jobs leave it unset (current time).
@@ -102,6 +100,13 @@ def events_stream(spark, sf_dir):
     return LK.file_stream(spark, sf_dir, EVENTS_SCHEMA, glob="events.parquet")
 
 
+def time_midpoint(events):
+    """Scalar-subquery Column: the middle of the events' time range (splits
+    the input into two arrival waves that together cover every row)."""
+    us = F.unix_micros(F.col("ts").cast("timestamp"))
+    return events.select(F.timestamp_micros(((F.min(us) + F.max(us)) / 2).cast("bigint"))).scalar()
+
+
 def lake_of(spark, sf_dir) -> str:
     path = scratch_path(spark, "lake")
     LK.write_raw(A.tweets(spark, sf_dir), path, now=FIXED_NOW)
@@ -116,9 +121,7 @@ def alerts_table(spark, sf_dir, db: str | None = None) -> str:
     table = f"{db}.tweet_alerts"
     ev = A.table(spark, sf_dir, "events")
     u = AL.alert_filter(A.events_as_alert_updates(ev))
-    mid = ev.select(F.timestamp_micros(((F.min(F.unix_micros(F.col("ts").cast("timestamp")))
-                                         + F.max(F.unix_micros(F.col("ts").cast("timestamp")))) / 2)
-                                       .cast("bigint"))).scalar()
+    mid = time_midpoint(ev)
     AL.upsert(spark, table, u.filter(F.col("created_at") < mid), order_cols=("event_id",), buckets=16)
     AL.upsert(spark, table, u, order_cols=("event_id",), buckets=16)
     return table
@@ -365,9 +368,7 @@ def batch_hourly_incremental(spark, sf_dir):
     from .incremental import batch_metrics_from_partials, update_batch_partials
     t = A.tweets(spark, sf_dir, keep=("ts",))
     ev = A.table(spark, sf_dir, "events")
-    mid = ev.select(F.timestamp_micros(((F.min(F.unix_micros(F.col("ts").cast("timestamp")))
-                                         + F.max(F.unix_micros(F.col("ts").cast("timestamp")))) / 2)
-                                       .cast("bigint"))).scalar()
+    mid = time_midpoint(ev)
     lake = scratch_path(spark, "lake")
     table = f"{scratch_database(spark, 'partials')}.batch_partials"
     ckpt = scratch_path(spark, "partials-ckpt")
