@@ -27,7 +27,12 @@ def unified(batch: DataFrame, speed: DataFrame) -> DataFrame:
     cut = F.coalesce(batch.select(F.max("window_end")).scalar(),
                      F.lit(EPOCH).cast("timestamp_ntz"))
     b = batch.select(*METRIC_FIELDS, F.lit(SOURCE_BATCH).alias("source"))
-    s = speed.filter(F.col("window_start") >= cut).select(*METRIC_FIELDS, F.lit(SOURCE_SPEED).alias("source"))
+    tail = speed.filter(F.col("window_start") >= cut)
+    if "window_date" in speed.columns:
+        # implied by the line above (window_end >= window_start >= cut); it
+        # lets a date-partitioned speed table skip older partitions at run time
+        tail = tail.filter(F.col("window_date") >= F.date_format(cut, "yyyy-MM-dd"))
+    s = tail.select(*METRIC_FIELDS, F.lit(SOURCE_SPEED).alias("source"))
     return b.unionByName(s)
 
 
@@ -35,12 +40,16 @@ def create_unified_view(spark: SparkSession, name: str, batch_table: str, speed_
     """Catalog view of ``unified`` over two tables (SQL text, so readers of the
     view always see the tables' current state)."""
     cols = ", ".join(METRIC_FIELDS)
+    date_cut = ""
+    if "window_date" in spark.table(speed_table).columns:
+        date_cut = (f"\n          AND window_date >= date_format(coalesce((SELECT max(window_end) FROM {batch_table}),"
+                    f" CAST('{EPOCH}' AS TIMESTAMP_NTZ)), 'yyyy-MM-dd')")
     spark.sql(f"""CREATE OR REPLACE VIEW {name} AS
         SELECT {cols}, '{SOURCE_BATCH}' AS source FROM {batch_table}
         UNION ALL
         SELECT {cols}, '{SOURCE_SPEED}' AS source FROM {speed_table}
         WHERE window_start >= coalesce((SELECT max(window_end) FROM {batch_table}),
-                                       CAST('{EPOCH}' AS TIMESTAMP_NTZ))""")
+                                       CAST('{EPOCH}' AS TIMESTAMP_NTZ)){date_cut}""")
 
 
 # --------------------------------------------------------------------------- publish

@@ -20,6 +20,26 @@ REQUIRED_CONF = {
 }
 
 
+# Suggested settings for a large cluster (merge into the cluster's own
+# configuration; nothing here is applied automatically):
+# * many initial shuffle partitions, AQE coalesces them to ~256 MB each and
+#   splits skewed ones;
+# * 256 MB scan splits;
+# * RocksDB state for the streaming aggregation (state off-heap, checkpointed
+#   incrementally), and a fixed shuffle partition count for the life of a
+#   stream checkpoint.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "4000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
 def build_session(master: str = "local[8]", app: str = "tidemark",
                   shuffle_partitions: int = 8, extra: dict | None = None) -> SparkSession:
     """Local/test session. On a cluster, pass the cluster's own builder settings
@@ -68,7 +88,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/tidemark/{name}-{uuid.uuid4().hex[:12]}"
 
 
-__all__ = ["build_session", "apply_conf", "ensure_checkpoint_dir", "scratch_path", "REQUIRED_CONF"]
+__all__ = ["build_session", "apply_conf", "ensure_checkpoint_dir", "scratch_path", "REQUIRED_CONF", "CLUSTER_CONF"]
 
 
 def scratch_database(spark: SparkSession, name: str) -> str:
