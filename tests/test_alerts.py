@@ -41,3 +41,28 @@ def test_filter_and_finders(spark):
     assert [r.tweet_id for r in AL.alerts_recent(al, "a", now="2024-01-02 01:30:00").collect()] == ["5"]
     assert [r.tweet_id for r in AL.alerts_latest(al, 2).collect()] == ["4", "5"]
     assert AL.alerts_airline_sentiment(df, "a", "Negative").count() == 1
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+upd = st.tuples(st.sampled_from(["k1", "k2", "k3", "k4", "k5"]), st.one_of(st.none(), st.sampled_from(["x", "y"])),
+                st.integers(0, 9))
+
+
+@settings(max_examples=4, deadline=None)
+@given(st.lists(st.lists(upd, min_size=1, max_size=8), min_size=1, max_size=3))
+def test_upsert_matches_brute_force(spark, tmp_path_factory, batches):
+    d = str(tmp_path_factory.mktemp("up"))
+    db = "up_" + os.path.basename(d).replace("-", "_")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{d}/db'")
+    seq, expected = 0, {}
+    for b in batches:
+        recs = []
+        for key, text, rt in b:
+            seq += 1
+            recs.append((key, "a", "negative", text, rt, "x", D(1), seq))
+            expected[key] = (text, rt)
+        AL.upsert(spark, f"{db}.t", spark.createDataFrame(recs, COLS), order_cols=("seq",), buckets=3)
+    got = {r.tweet_id: (r.text, r.retweet_count) for r in spark.table(f"{db}.t").collect()}
+    assert got == expected
