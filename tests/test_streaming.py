@@ -98,3 +98,20 @@ def test_ingest_counters_on_a_stream(spark, tmp):
                       .option("checkpointLocation", os.path.join(tmp, "ck")).trigger(availableNow=True).start())
     assert spark.table("ingest_t").count() == 3
     assert progress_counters(q, "ingest") == {"saved": 3, "skipped": 1}
+
+
+def test_lake_append_exactly_once_across_restarts(spark, tmp):
+    from tidemark.sources.lake import append_raw, read_raw
+    src, lake, ck = os.path.join(tmp, "in"), os.path.join(tmp, "lake"), os.path.join(tmp, "ck")
+    write_files(src, ARRIVALS[:3])
+    for _ in range(2):       # the second run finds nothing new: no duplicates
+        run_available(append_raw(file_stream(spark, src, TWEET), lake, ck, now="2024-01-01 00:00:00",
+                                 trigger={"availableNow": True}))
+    assert read_raw(spark, lake).count() == 4
+    write_files(src, ARRIVALS[3:], start=3)
+    run_available(append_raw(file_stream(spark, src, TWEET), lake, ck, now="2024-01-01 00:00:00",
+                             trigger={"availableNow": True}))
+    lake_rows = read_raw(spark, lake)
+    assert lake_rows.count() == sum(len(b) for b in ARRIVALS)
+    assert lake_rows.select("tweet_id").distinct().count() == lake_rows.count()
+    assert lake_rows.first().ingested_at == "2024-01-01T00:00:00.000000+00:00"

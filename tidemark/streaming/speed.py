@@ -75,13 +75,15 @@ def start_metrics_wire(raw: DataFrame, path: str, checkpoint: str, trigger: dict
 
 
 def start_alerts(raw: DataFrame, table: str, checkpoint: str, trigger: dict | None = None,
-                 key: str = "tweet_id", order_cols=("event_id",), buckets: int = 64,
+                 key: str = "tweet_id", order_cols=("partition", "offset"), buckets: int = 64,
                  name: str | None = None) -> StreamingQuery:
     """Alert query: negative rows upserted by ``key`` (last arrival wins).
 
-    Within a micro-batch the arrival order is ``order_cols`` (e.g. Kafka
-    partition and offset); a later micro-batch always wins over an earlier
-    one because it is applied later. No watermark: an alert is never late."""
+    Within a micro-batch the arrival order is ``order_cols`` (the topic
+    position; total only on a single-partition topic), or the row order of
+    the batch when the stream has no such columns; a later micro-batch always
+    wins over an earlier one because it is applied later. No watermark: an
+    alert is never late."""
     spark: SparkSession = raw.sparkSession
     alerts = alert_filter(raw)
 
