@@ -60,3 +60,13 @@ def test_cycle_incremental_matches_full(spark, tmp):
         checks = {r.check for r in report.collect() if r.layer == "batch"}
         assert "row count > 0" in checks
     assert out[False] == out[True]
+
+
+def test_partials_refuse_a_foreign_checkpoint(spark, tmp):
+    import pytest
+    lake = os.path.join(tmp, "lake")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS inc3 LOCATION '{os.path.join(tmp, 'db')}'")
+    write_raw(tweets(spark, 0, 10), lake, now="2024-01-01 00:00:00")
+    update_batch_partials(spark, lake, "inc3.p", os.path.join(tmp, "ck1"))
+    with pytest.raises(ValueError):
+        update_batch_partials(spark, lake, "inc3.p", os.path.join(tmp, "ck2"))

@@ -44,12 +44,15 @@ def upsert(spark: SparkSession, table: str, updates: DataFrame, key: str = "twee
     * ``created_at`` is stamped (``stamp`` or the current time) unless the
       updates carry it;
     * only the buckets the updates touch are read (their ids, at most
-      ``buckets`` of them, become a partition filter), merged (old rows whose key reappears are replaced, whole row,
-      so a newer NULL overwrites an older value) and rewritten with a dynamic
-      partition overwrite. The merged rows are checkpointed first, so the
-      table is never read and overwritten in one plan.
-
-    Idempotent: applying the same updates twice leaves the same table.
+      ``buckets`` of them, become a partition filter), merged (old rows whose
+      key reappears are replaced, whole row, so a newer NULL overwrites an
+      older value) and rewritten with a dynamic partition overwrite. The
+      merged rows are checkpointed first, so the table is never read and
+      overwritten in one plan.
+
+    Idempotent: applying the same updates twice leaves the same table. One
+    writer per table (a streaming ``foreachBatch`` applies its batches in
+    order); readers always see whole buckets.
     Returns the number of distinct keys written.
     """
     u = updates
@@ -60,8 +63,8 @@ def upsert(spark: SparkSession, table: str, updates: DataFrame, key: str = "twee
     u = latest_per_key(u, key, order_cols)
     u = u.select(*[F.col(c) for c in columns], bucket_of(F.col(key), buckets).alias("bucket"))
     if not table_exists(spark, table):
-        u.repartition("bucket").sortWithinPartitions(*ALERT_FILE_ORDER).write.format("parquet").options(**DYNAMIC_OVERWRITE).partitionBy("bucket") \
-            .saveAsTable(table)
+        (u.repartition("bucket").sortWithinPartitions(*ALERT_FILE_ORDER)
+          .write.format("parquet").options(**DYNAMIC_OVERWRITE).partitionBy("bucket").saveAsTable(table))
         return spark.table(table).count()
     u = u.checkpoint()
     # at most `buckets` small integers: bounded by configuration, not by data;

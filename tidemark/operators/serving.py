@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import re
 import time
 
 from pyspark.sql import DataFrame, SparkSession
@@ -94,9 +95,8 @@ def current_version(spark: SparkSession, name: str) -> int | None:
     if not table_exists(spark, name):
         return None
     text = spark.sql(f"SHOW CREATE TABLE {name}").collect()[0][0]
-    base = name.rpartition(".")[2]
-    tail = text.rsplit(f"{base}_v", 1)
-    return int("".join(ch for ch in tail[1] if ch.isdigit())) if len(tail) == 2 else None
+    found = re.findall(rf"{re.escape(name.rpartition('.')[2])}_v(\d+)", text)
+    return int(found[-1]) if found else None
 
 
 # --------------------------------------------------------------------------- speed table

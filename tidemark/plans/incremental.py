@@ -52,6 +52,23 @@ def merge_partials(spark: SparkSession, table: str, new: DataFrame, batch_id: in
     return True
 
 
+CHECKPOINT_PROPERTY = "tidemark.partials.checkpoint"
+
+
+def _bind_checkpoint(spark: SparkSession, table: str, checkpoint: str) -> None:
+    """The partials and the stream checkpoint that recorded their files belong
+    together: with another checkpoint, batch ids restart and every batch would
+    look like a replay. Refuse that instead of silently skipping data."""
+    if not table_exists(spark, table):
+        return
+    props = {r[0]: r[1] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+    bound = props.get(CHECKPOINT_PROPERTY)
+    if bound is None:
+        spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{CHECKPOINT_PROPERTY}' = '{checkpoint}')")
+    elif bound != checkpoint:
+        raise ValueError(f"{table} was built with checkpoint {bound}; drop it to rebuild from {checkpoint}")
+
+
 def update_batch_partials(spark: SparkSession, lake_path: str, table: str, checkpoint: str,
                           time_mode: str = "wall", width: str = "1 hour", spec: MetricSpec = TWEET_SPEC,
                           max_files_per_trigger: int | None = None, timeout_s: int = 3600):
@@ -65,7 +82,9 @@ def update_batch_partials(spark: SparkSession, lake_path: str, table: str, check
     def fold(batch: DataFrame, batch_id: int) -> None:
         merge_partials(spark, table, partial_metrics(batch, parse_time("tweet_created", time_mode), width, spec),
                        batch_id, spec)
+        _bind_checkpoint(spark, table, checkpoint)
 
+    _bind_checkpoint(spark, table, checkpoint)
     q = (raw.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     return run_available(q, timeout_s)
