@@ -54,12 +54,15 @@ def test_cycle_incremental_matches_full(spark, tmp):
         db = f"cyc_{int(inc)}"
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{os.path.join(tmp, db)}'")
         cfg = CycleConfig(lake_path=lake, database=db, archive_path=os.path.join(tmp, f"arch{int(inc)}"),
-                          incremental=inc, partials_checkpoint=os.path.join(tmp, f"pck{int(inc)}"))
+                          incremental=inc, partials_checkpoint=os.path.join(tmp, f"pck{int(inc)}"),
+                          lake_stats_checkpoint=os.path.join(tmp, f"lck{int(inc)}"))
         report = run_batch_cycle(spark, cfg)
         out[inc] = rows(spark.table(f"{db}.batch_tweet_metrics").drop("window_month"))
+        out[("report", inc)] = sorted(tuple(r) for r in report.collect())
         checks = {r.check for r in report.collect() if r.layer == "batch"}
         assert "row count > 0" in checks
     assert out[False] == out[True]
+    assert out[("report", False)] == out[("report", True)]
 
 
 def test_partials_refuse_a_foreign_checkpoint(spark, tmp):
@@ -70,3 +73,23 @@ def test_partials_refuse_a_foreign_checkpoint(spark, tmp):
     update_batch_partials(spark, lake, "inc3.p", os.path.join(tmp, "ck1"))
     with pytest.raises(ValueError):
         update_batch_partials(spark, lake, "inc3.p", os.path.join(tmp, "ck2"))
+
+
+def test_incremental_lake_check_equals_full_scan(spark, tmp):
+    from tidemark.operators.quality import check_lake
+    from tidemark.plans.incremental import check_lake_from_stats, update_lake_stats
+
+    from .test_quality import lake_file
+    lake, ck = os.path.join(tmp, "lake"), os.path.join(tmp, "ck")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS inc4 LOCATION '{os.path.join(tmp, 'db')}'")
+    waves = [("f1.parquet", [("1", "a", "positive", "t", 1, "x", "i")], ()),
+             ("f2.parquet", [("2", None, "Mixed", "t", 1, "x", "i"), (None, "b", None, "t", 0, "x", "i")],
+              ("ingested_at",)),
+             ("f3.parquet", [("3", "c", "zzz", "t", 1, "x", "i"), ("4", "c", "negative", "t", 1, "x", "i")], ())]
+    for name, recs, drop in waves:
+        lake_file(lake, name, recs, drop=drop)
+        update_lake_stats(spark, lake, "inc4.stats", ck, max_files_per_trigger=1)
+        full = sorted(tuple(r) for r in check_lake(spark, lake).collect())
+        inc = sorted(tuple(r) for r in check_lake_from_stats(spark, "inc4.stats").collect())
+        assert inc == full
+    assert spark.table("inc4.stats").count() == 3

@@ -46,7 +46,6 @@ def check_lake(spark: SparkSession, path: str, layer: str = "lake") -> DataFrame
     """Lake checks: files exist (else stop), rows > 0, expected columns
     present (extra allowed), no NULL ids / airlines / sentiments, sentiment
     values valid (NULLs ignored)."""
-    rows: list[tuple] = []
     try:
         df = (spark.read.option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true")
               .option("mergeSchema", "true").parquet(path))
@@ -67,27 +66,36 @@ def check_lake(spark: SparkSession, path: str, layer: str = "lake") -> DataFrame
         return _report(spark, [_row(layer, "lake read", False, msg)])
     if r["files"] == 0:
         return _report(spark, [_row(layer, "files exist", False, "no parquet files found")])
-    rows.append(_row(layer, "files exist", True, "files found"))
-    rows.append(_row(layer, "row count > 0", r["n"] > 0, f"{r['n']} rows"))
+    nulls = {c: r[f"null_{c}"] for c in LAKE_NULL_COLUMNS if c in cols}
+    bad = r["bad_sent"] if has_sent else None
+    sample = []
+    if bad:
+        sample = [x[0] for x in (df.filter(F.col("airline_sentiment").isNotNull()
+                                           & ~F.col("airline_sentiment").isin(*SENTIMENTS))
+                                   .select("airline_sentiment").distinct()
+                                   .orderBy("airline_sentiment").limit(BAD_VALUE_SAMPLE).collect())]
+    return _report(spark, lake_report_rows(layer, r["n"], cols, nulls, bad, sample,
+                                           r["sent_values"] if has_sent else []))
+
+
+def lake_report_rows(layer: str, n: int, cols, nulls: dict, bad: int | None, sample: list,
+                     values: list) -> list[tuple]:
+    """Report rows of the lake checks from their additive ingredients (shared
+    by the full scan and the incremental statistics). ``bad`` is None when
+    the sentiment column is absent."""
+    rows = [_row(layer, "files exist", True, "files found"),
+            _row(layer, "row count > 0", n > 0, f"{n} rows")]
     missing = sorted(set(RAW_LAKE_FIELDS) - set(cols))
     rows.append(_row(layer, "schema (7 columns)", not missing,
                      f"missing columns: {', '.join(missing)}" if missing else f"columns: {', '.join(sorted(cols))}"))
     for c in LAKE_NULL_COLUMNS:
         if c in cols:
-            n = r[f"null_{c}"]
-            rows.append(_row(layer, f"null check: {c}", n == 0, f"{n} nulls"))
-    if has_sent:
-        bad = r["bad_sent"]
-        if bad:
-            sample = [x[0] for x in (df.filter(F.col("airline_sentiment").isNotNull()
-                                               & ~F.col("airline_sentiment").isin(*SENTIMENTS))
-                                       .select("airline_sentiment").distinct()
-                                       .orderBy("airline_sentiment").limit(BAD_VALUE_SAMPLE).collect())]
-            detail = f"{bad} rows with invalid values: {', '.join(sample)}"
-        else:
-            detail = f"values: {', '.join(r['sent_values'])}"
+            rows.append(_row(layer, f"null check: {c}", nulls[c] == 0, f"{nulls[c]} nulls"))
+    if bad is not None:
+        detail = (f"{bad} rows with invalid values: {', '.join(sample[:BAD_VALUE_SAMPLE])}" if bad
+                  else f"values: {', '.join(sorted(values))}")
         rows.append(_row(layer, "sentiment values valid", bad == 0, detail))
-    return _report(spark, rows)
+    return rows
 
 
 def check_metrics(df: DataFrame, layer: str) -> DataFrame:
@@ -159,9 +167,12 @@ def check_table(spark: SparkSession, table: str, layer: str, checker) -> DataFra
 
 
 def run_checks(spark: SparkSession, lake_path: str | None = None, speed: DataFrame | None = None,
-               batch: DataFrame | None = None, alerts: DataFrame | None = None) -> DataFrame:
+               batch: DataFrame | None = None, alerts: DataFrame | None = None,
+               lake_report: DataFrame | None = None) -> DataFrame:
     parts = []
-    if lake_path is not None:
+    if lake_report is not None:
+        parts.append(lake_report)
+    elif lake_path is not None:
         parts.append(check_lake(spark, lake_path))
     if speed is not None:
         parts.append(check_metrics(speed, "speed"))

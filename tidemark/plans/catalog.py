@@ -377,3 +377,20 @@ def batch_hourly_incremental(spark, sf_dir):
     LK.write_raw(t.filter(F.col("ts").cast("timestamp") >= mid), lake, now=FIXED_NOW)
     update_batch_partials(spark, lake, table, ckpt)
     return batch_metrics_from_partials(spark, table)
+
+
+@query("dq_raw_lake_incremental")
+def dq_raw_lake_incremental(spark, sf_dir):
+    """DQ1-5 kept incrementally: the lake grows in two appends and each cycle
+    only reads the new files; the report equals the full-scan one."""
+    from .incremental import check_lake_from_stats, update_lake_stats
+    t = A.tweets(spark, sf_dir, keep=("ts",))
+    mid = time_midpoint(A.table(spark, sf_dir, "events"))
+    lake = scratch_path(spark, "lake")
+    table = f"{scratch_database(spark, 'lakestats')}.lake_stats"
+    ckpt = scratch_path(spark, "lakestats-ckpt")
+    LK.write_raw(t.filter(F.col("ts").cast("timestamp") < mid).drop("ts"), lake, now=FIXED_NOW)
+    update_lake_stats(spark, lake, table, ckpt)
+    LK.write_raw(t.filter(F.col("ts").cast("timestamp") >= mid).drop("ts"), lake, now=FIXED_NOW)
+    update_lake_stats(spark, lake, table, ckpt)
+    return check_lake_from_stats(spark, table)

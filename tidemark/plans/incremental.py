@@ -92,3 +92,79 @@ def update_batch_partials(spark: SparkSession, lake_path: str, table: str, check
 
 def batch_metrics_from_partials(spark: SparkSession, table: str, spec: MetricSpec = TWEET_SPEC) -> DataFrame:
     return finish_partials(spark.table(table), spec)
+
+
+# --------------------------------------------------------------------------- lake quality, incrementally
+LAKE_STATS_SCHEMA = ("batch_id bigint, files bigint, n bigint, null_tweet_id bigint, null_airline bigint, "
+                     "null_airline_sentiment bigint, bad_sent bigint, sent_values array<string>, "
+                     "bad_values array<string>, columns array<string>")
+DEFAULT_MAX_FILES = 5000
+
+
+def _lake_stats_row(spark: SparkSession, batch: DataFrame, batch_id: int):
+    """Additive lake-check ingredients of one micro-batch of files. The file
+    list is bounded by ``maxFilesPerTrigger``; only those files' footers are
+    read to learn which columns they carry."""
+    from ..operators.quality import BAD_VALUE_SAMPLE, LAKE_NULL_COLUMNS
+    from ..schemas import SENTIMENTS
+    files = [r[0] for r in batch.select("_file").distinct().collect()]
+    if not files:
+        return None
+    cols = [c for c in spark.read.option("mergeSchema", "true").parquet(*files).columns]
+    s = F.col("airline_sentiment")
+    invalid = s.isNotNull() & ~s.isin(*SENTIMENTS)
+    r = batch.agg(F.count(F.lit(1)).alias("n"),
+                  *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in LAKE_NULL_COLUMNS],
+                  F.count_if(invalid).alias("bad_sent"),
+                  F.array_sort(F.collect_set(F.when(s.isin(*SENTIMENTS), s))).alias("sent_values")).first()
+    bad_values = []
+    if r["bad_sent"]:
+        bad_values = [x[0] for x in batch.filter(invalid).select("airline_sentiment").distinct()
+                      .orderBy("airline_sentiment").limit(BAD_VALUE_SAMPLE).collect()]
+    return (batch_id, len(files), r["n"], r["null_tweet_id"], r["null_airline"], r["null_airline_sentiment"],
+            r["bad_sent"], list(r["sent_values"]), bad_values, cols)
+
+
+def update_lake_stats(spark: SparkSession, lake_path: str, table: str, checkpoint: str,
+                      max_files_per_trigger: int = DEFAULT_MAX_FILES, timeout_s: int = 3600):
+    """Add one statistics row per micro-batch of lake files not seen before.
+    Idempotent per batch id; bound to its checkpoint like the partials."""
+    raw = (spark.readStream.schema(RAW_LAKE).option("pathGlobFilter", LAKE_READ_OPTIONS["pathGlobFilter"])
+           .option("maxFilesPerTrigger", str(max_files_per_trigger)).parquet(lake_path)
+           .select("*", F.col("_metadata.file_path").alias("_file")))
+
+    def fold(batch: DataFrame, batch_id: int) -> None:
+        if table_exists(spark, table) and not spark.table(table).filter(F.col("batch_id") == batch_id).isEmpty():
+            return
+        row = _lake_stats_row(spark, batch, batch_id)
+        if row is None:
+            return
+        spark.createDataFrame([row], LAKE_STATS_SCHEMA).write.mode("append").format("parquet").saveAsTable(table)
+        _bind_checkpoint(spark, table, checkpoint)
+
+    _bind_checkpoint(spark, table, checkpoint)
+    q = (raw.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
+    return run_available(q, timeout_s)
+
+
+def check_lake_from_stats(spark: SparkSession, table: str, layer: str = "lake") -> DataFrame:
+    """The lake checks of ``quality.check_lake``, from the statistics table
+    (one small row per processed batch) instead of a scan of the lake."""
+    from ..operators.quality import LAKE_NULL_COLUMNS, _report, _row, lake_report_rows
+    if not table_exists(spark, table):
+        return _report(spark, [_row(layer, "files exist", False, "no parquet files found")])
+    r = spark.table(table).agg(
+        F.sum("files").alias("files"), F.sum("n").alias("n"),
+        *[F.sum(f"null_{c}").alias(f"null_{c}") for c in LAKE_NULL_COLUMNS],
+        F.sum("bad_sent").alias("bad_sent"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("sent_values")))).alias("sent_values"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("bad_values")))).alias("bad_values"),
+        F.array_distinct(F.flatten(F.collect_list("columns"))).alias("columns")).first()
+    if not r["files"]:
+        return _report(spark, [_row(layer, "files exist", False, "no parquet files found")])
+    cols = list(r["columns"])
+    nulls = {c: r[f"null_{c}"] for c in LAKE_NULL_COLUMNS}
+    bad = r["bad_sent"] if "airline_sentiment" in cols else None
+    return _report(spark, lake_report_rows(layer, r["n"], cols, nulls, bad, list(r["bad_values"]),
+                                           list(r["sent_values"])))

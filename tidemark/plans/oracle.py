@@ -242,3 +242,4 @@ UNION ALL {DQ_BATCH}
 UNION ALL {dq_alerts_sql()}"""
 
 ORACLE["batch_hourly_incremental"] = BATCH_HOURLY
+ORACLE["dq_raw_lake_incremental"] = dq_lake_sql()
