@@ -71,8 +71,10 @@ def _bind_checkpoint(spark: SparkSession, table: str, checkpoint: str) -> None:
 
 def update_batch_partials(spark: SparkSession, lake_path: str, table: str, checkpoint: str,
                           time_mode: str = "wall", width: str = "1 hour", spec: MetricSpec = TWEET_SPEC,
-                          max_files_per_trigger: int | None = None, timeout_s: int = 3600):
-    """Fold every lake file not seen before into the partials table."""
+                          max_files_per_trigger: int | None = 5000, timeout_s: int = 3600):
+    """Fold every lake file not seen before into the partials table, at most
+    ``max_files_per_trigger`` files per micro-batch (bounds a bootstrap over
+    a large existing lake as well as the source's per-batch bookkeeping)."""
     r = (spark.readStream.schema(RAW_LAKE).option("pathGlobFilter", LAKE_READ_OPTIONS["pathGlobFilter"])
          .option("ignoreMissingFiles", "true").option("ignoreCorruptFiles", "true"))
     if max_files_per_trigger:
