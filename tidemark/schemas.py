@@ -78,7 +78,9 @@ DQ_REPORT = StructType([
 ])
 
 # ---- fixed values: Avro record schemas of the wire format -------------------
-TWEET_AVRO = """{"type":"record","name":"Tweet","namespace":"com.twitter.hpa","fields":[
+# Field names, order and types must match the producers'; the record
+# namespace is ours (decoding uses this schema as the writer's schema).
+TWEET_AVRO = """{"type":"record","name":"Tweet","namespace":"tidemark","fields":[
 {"name":"tweet_id","type":"string"},
 {"name":"airline","type":"string"},
 {"name":"airline_sentiment","type":"string"},
@@ -86,7 +88,7 @@ TWEET_AVRO = """{"type":"record","name":"Tweet","namespace":"com.twitter.hpa","f
 {"name":"retweet_count","type":"int"},
 {"name":"tweet_created","type":"string"}]}"""
 
-METRICS_AVRO = """{"type":"record","name":"TweetMetrics","namespace":"com.twitter.hpa","fields":[
+METRICS_AVRO = """{"type":"record","name":"TweetMetrics","namespace":"tidemark","fields":[
 {"name":"airline","type":"string"},
 {"name":"tweet_count","type":"long"},
 {"name":"positive_count","type":"long"},

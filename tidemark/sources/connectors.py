@@ -6,8 +6,6 @@ cluster's classpath; nothing here can run without them."""
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,10 +35,9 @@ def kafka_write_stream(df: DataFrame, servers: str, topic: str, checkpoint: str)
             .option("topic", topic).option("checkpointLocation", checkpoint))
 
 
-def jdbc_options(url: str, table: str, user: str | None = None, password: str | None = None,
-                 driver: str = "org.postgresql.Driver") -> dict:
-    return {"url": url, "dbtable": table, "user": user or os.environ.get("POSTGRES_USER", ""),
-            "password": password or os.environ.get("POSTGRES_PASSWORD", ""), "driver": driver}
+def jdbc_options(url: str, table: str, user: str, password: str, driver: str) -> dict:
+    """Reader/writer options for a JDBC table (the driver jar must be on the classpath)."""
+    return {"url": url, "dbtable": table, "user": user, "password": password, "driver": driver}
 
 
 def s3a_conf(endpoint: str, path_style: bool = True, ssl: bool = True) -> dict:
