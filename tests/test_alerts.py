@@ -66,3 +66,21 @@ def test_upsert_matches_brute_force(spark, tmp_path_factory, batches):
         AL.upsert(spark, f"{db}.t", spark.createDataFrame(recs, COLS), order_cols=("seq",), buckets=3)
     got = {r.tweet_id: (r.text, r.retweet_count) for r in spark.table(f"{db}.t").collect()}
     assert got == expected
+
+
+def test_new_keys_append_and_compaction(spark, tmp):
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS al2 LOCATION '{os.path.join(tmp, 'db')}'")
+    t = "al2.alerts"
+    AL.upsert(spark, t, spark.createDataFrame([("n0", "a", "negative", "t", 0, "x", D(1), 0)], COLS),
+              order_cols=("seq",), buckets=1)
+    AL.upsert(spark, t, spark.createDataFrame([("n0", "a", "negative", "new", 9, "x", D(2), 9)], COLS),
+              order_cols=("seq",), buckets=1)              # a replacement: the bucket is rewritten
+    for i in range(1, 4):                                    # new keys: appended, one file each
+        AL.upsert(spark, t, spark.createDataFrame([(f"n{i}", "a", "negative", "t", i, "x", D(1), i)], COLS),
+                  order_cols=("seq",), buckets=1)
+    assert spark.table(t).select("_metadata.file_path").distinct().count() == 4
+    before = sorted(tuple(r) for r in spark.table(t).collect())
+    assert len(before) == 4 and dict((r[0], r[3]) for r in before)["n0"] == "new"
+    assert AL.compact_buckets(spark, t, max_files=1) == 1
+    assert spark.table(t).select("_metadata.file_path").distinct().count() == 1
+    assert sorted(tuple(r) for r in spark.table(t).collect()) == before

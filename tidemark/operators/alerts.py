@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import ALERT_SENTIMENT, TWEET_FIELDS
-from .tables import DYNAMIC_OVERWRITE, overwrite_partitions, table_exists
+from .tables import DYNAMIC_OVERWRITE, append_rows, overwrite_partitions, table_exists
 
 ALERT_COLUMNS = TWEET_FIELDS + ["created_at"]
 # Row order inside each bucket file: the finders filter on airline (and time),
@@ -43,12 +43,15 @@ def upsert(spark: SparkSession, table: str, updates: DataFrame, key: str = "twee
     * updates are reduced to the last arrival per key;
     * ``created_at`` is stamped (``stamp`` or the current time) unless the
       updates carry it;
-    * only the buckets the updates touch are read (their ids, at most
-      ``buckets`` of them, become a partition filter), merged (old rows whose
-      key reappears are replaced, whole row, so a newer NULL overwrites an
-      older value) and rewritten with a dynamic partition overwrite. The
-      merged rows are checkpointed first, so the table is never read and
-      overwritten in one plan.
+    * only the buckets the updates touch are looked at (their ids, at most
+      ``buckets`` of them, become a partition filter), and only their key
+      column is read to split the updates into replacements and new keys;
+    * buckets holding a replaced key are rewritten (old rows minus the
+      replaced keys, plus the replacements — whole rows, so a newer NULL
+      overwrites an older value) with a dynamic partition overwrite from a
+      checkpoint, so the table is never read and overwritten in one plan;
+    * new keys — the common case — are appended without rewriting anything;
+      ``compact_buckets`` later folds the extra files.
 
     Idempotent: applying the same updates twice leaves the same table. One
     writer per table (a streaming ``foreachBatch`` applies its batches in
@@ -71,13 +74,38 @@ def upsert(spark: SparkSession, table: str, updates: DataFrame, key: str = "twee
     # as a literal list they become a static PartitionFilter on the scan
     touched = [r[0] for r in u.select("bucket").distinct().collect()]
     target = spark.table(table).filter(F.col("bucket").isin(touched))
-    kept = target.join(u.select(key), key, "left_anti")
-    # one task (one file) per rewritten bucket; the checkpoint keeps that layout
-    merged = kept.unionByName(u).repartition("bucket").sortWithinPartitions(*ALERT_FILE_ORDER).checkpoint()
-    overwrite_partitions(merged, table)
+    # which update keys exist already: a scan of the key column only
+    existing = target.select(key, "bucket")
+    matched = u.join(existing.select(key), key, "left_semi")
+    fresh = u.join(existing.select(key), key, "left_anti")
+    rewrite = [r[0] for r in matched.select("bucket").distinct().collect()]
+    if rewrite:
+        # only buckets holding a replaced key are rewritten: old rows minus the
+        # replaced keys, plus the replacements; one task (file) per bucket
+        old = spark.table(table).filter(F.col("bucket").isin(rewrite))
+        merged = (old.join(matched.select(key), key, "left_anti").unionByName(matched)
+                     .repartition("bucket").sortWithinPartitions(*ALERT_FILE_ORDER).checkpoint())
+        overwrite_partitions(merged, table)
+    # new keys are appended after the rewrite (a retry then sees them as
+    # existing and rewrites them to the same values: idempotent)
+    append_rows(fresh.repartition("bucket").sortWithinPartitions(*ALERT_FILE_ORDER), table)
     return u.count()
 
 
+def compact_buckets(spark: SparkSession, table: str, max_files: int = 8) -> int:
+    """Rewrite every bucket that has collected more than ``max_files`` files
+    (appends of new keys add files) into one sorted file. The per-bucket file
+    counts are one aggregate row per bucket. Returns the buckets rewritten."""
+    counts = (spark.table(table).select("bucket", F.col("_metadata.file_path").alias("_f"))
+              .groupBy("bucket").agg(F.count_distinct("_f").alias("files")))
+    busy = [r[0] for r in counts.filter(F.col("files") > max_files).select("bucket").collect()]
+    if busy:
+        rows = (spark.table(table).filter(F.col("bucket").isin(busy)).repartition("bucket")
+                .sortWithinPartitions(*ALERT_FILE_ORDER).checkpoint())
+        overwrite_partitions(rows, table)
+    return len(busy)
+
+
 def alerts_by_airline(alerts: DataFrame, airline: str) -> DataFrame:
     """Alerts of one airline, newest first."""
     return alerts.filter(F.col("airline") == F.lit(airline)).orderBy(F.desc("created_at"), F.col("tweet_id"))

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from ..schemas import METRIC_FIELDS, METRICS_TABLE, SOURCE_BATCH, SOURCE_SPEED
 from .metrics import with_month
-from .tables import DYNAMIC_OVERWRITE, drop_partitions, overwrite_partitions, partition_values, table_exists
+from .tables import (DYNAMIC_OVERWRITE, append_rows, drop_partitions, overwrite_partitions, partition_values,
+                     table_exists)
 
 log = logging.getLogger(__name__)
 EPOCH = "1970-01-01 00:00:00"
@@ -128,10 +129,9 @@ def append_speed(metrics: DataFrame, table: str, batch_id: int, now=None) -> boo
     t = F.current_timestamp() if now is None else F.lit(now).cast("timestamp")
     rows = with_window_date(metrics.select(*METRIC_FIELDS)).select(
         *METRIC_FIELDS, t.alias("created_at"), F.lit(batch_id).cast("bigint").alias("batch_id"), "window_date")
-    cols = spark.table(table).columns
     # one writer per date: a micro-batch holds few dates, so this avoids
     # (tasks × dates) small files at the cost of a shuffle of the batch output
-    rows.repartition("window_date").select(*cols).write.mode("append").insertInto(table)
+    append_rows(rows.repartition("window_date"), table)
     return True
 
 

@@ -21,8 +21,20 @@ def overwrite_partitions(df: DataFrame, table: str) -> None:
     ``table`` must carry ``DYNAMIC_OVERWRITE`` (all tables created here do);
     ``df`` must not read ``table`` itself (cut its lineage first, e.g. with
     ``checkpoint()``); columns are matched to the table by name."""
-    cols = df.sparkSession.table(table).columns
+    spark = df.sparkSession
+    cols = spark.table(table).columns
     df.select(*cols).write.mode("overwrite").insertInto(table)
+    spark.catalog.refreshTable(table)
+
+
+def append_rows(df: DataFrame, table: str) -> None:
+    """Append ``df`` to ``table`` (columns matched by name), then drop the
+    session's cached file listing of the table so the next read sees the
+    new files."""
+    spark = df.sparkSession
+    cols = spark.table(table).columns
+    df.select(*cols).write.mode("append").insertInto(table)
+    spark.catalog.refreshTable(table)
 
 
 def partition_values(spark: SparkSession, table: str) -> list[dict]:
@@ -43,3 +55,4 @@ def drop_partitions(spark: SparkSession, table: str, specs: list[dict]) -> None:
         return
     parts = ", ".join("PARTITION (" + ", ".join(f"{k} = '{v}'" for k, v in s.items()) + ")" for s in specs)
     spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {parts}")
+    spark.catalog.refreshTable(table)

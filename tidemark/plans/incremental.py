@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ..functions.time import parse_time
 from ..operators.metrics import TWEET_SPEC, MetricSpec, combine_partials, finish_partials, partial_metrics
-from ..operators.tables import DYNAMIC_OVERWRITE, overwrite_partitions, table_exists
+from ..operators.tables import DYNAMIC_OVERWRITE, append_rows, overwrite_partitions, table_exists
 from ..schemas import RAW_LAKE
 from ..sources.lake import LAKE_READ_OPTIONS
 from ..streaming.speed import run_available
@@ -141,7 +141,11 @@ def update_lake_stats(spark: SparkSession, lake_path: str, table: str, checkpoin
         row = _lake_stats_row(spark, batch, batch_id)
         if row is None:
             return
-        spark.createDataFrame([row], LAKE_STATS_SCHEMA).write.mode("append").format("parquet").saveAsTable(table)
+        stats = spark.createDataFrame([row], LAKE_STATS_SCHEMA)
+        if table_exists(spark, table):
+            append_rows(stats, table)
+        else:
+            stats.write.format("parquet").saveAsTable(table)
         _bind_checkpoint(spark, table, checkpoint)
 
     _bind_checkpoint(spark, table, checkpoint)

@@ -17,6 +17,12 @@ REQUIRED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Catalog tables here receive appends into existing partitions (new alert
+    # keys, speed micro-batches, lake statistics); the shared per-partition
+    # file-listing cache can keep serving the listing from before the append,
+    # so it is off. The tables have few partitions (buckets, days, months),
+    # so listing them per query is cheap.
+    "spark.sql.hive.filesourcePartitionFileCacheSize": "0",
 }
 
 
