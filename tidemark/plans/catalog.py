@@ -394,3 +394,15 @@ def dq_raw_lake_incremental(spark, sf_dir):
     LK.write_raw(t.filter(F.col("ts").cast("timestamp") >= mid).drop("ts"), lake, now=FIXED_NOW)
     update_lake_stats(spark, lake, table, ckpt)
     return check_lake_from_stats(spark, table)
+
+
+@query("unified_serving_view")
+def unified_serving_view(spark, sf_dir):
+    """SRV1 as deployed: after a batch cycle, the catalog view over the
+    published batch table and the (pruned) streamed speed table."""
+    from .batch_cycle import CycleConfig, run_batch_cycle
+    db = scratch_database(spark, "serve")
+    speed_table_from_stream(spark, sf_dir, db)
+    cfg = CycleConfig(lake_path=lake_of(spark, sf_dir), database=db, archive_path=scratch_path(spark, "archive"))
+    run_batch_cycle(spark, cfg)
+    return spark.table(cfg.name(cfg.unified_view))

@@ -243,3 +243,4 @@ UNION ALL {dq_alerts_sql()}"""
 
 ORACLE["batch_hourly_incremental"] = BATCH_HOURLY
 ORACLE["dq_raw_lake_incremental"] = dq_lake_sql()
+ORACLE["unified_serving_view"] = unified_sql(BATCH_HOURLY, SPEED_AFTER_PRUNE)
