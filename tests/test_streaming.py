@@ -115,3 +115,17 @@ def test_lake_append_exactly_once_across_restarts(spark, tmp):
     assert lake_rows.count() == sum(len(b) for b in ARRIVALS)
     assert lake_rows.select("tweet_id").distinct().count() == lake_rows.count()
     assert lake_rows.first().ingested_at == "2024-01-01T00:00:00.000000+00:00"
+
+
+def test_speed_layer_two_branches(spark, tmp):
+    from tidemark.streaming.speed import start_speed_layer
+    src = os.path.join(tmp, "in")
+    write_files(src, ARRIVALS)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS sl LOCATION '{os.path.join(tmp, 'db')}'")
+    raw = file_stream(spark, src, TWEET, max_files_per_trigger=1)
+    m, a = start_speed_layer(raw, "sl.speed", "sl.alerts", os.path.join(tmp, "ck"), trigger={"availableNow": True},
+                             buckets=4)
+    run_available(m)
+    run_available(a)
+    assert sorted(r.tweet_count for r in spark.table("sl.speed").collect()) == [3, 4]
+    assert spark.table("sl.alerts").count() == sum(len(b) for b in ARRIVALS)

@@ -18,6 +18,7 @@ from .session import apply_conf, build_session
 from .sources.landing import landing_records, normalise, ordered, read_landing
 from .sources.lake import append_raw, file_stream, read_raw, write_raw
 from .sources.wire import decode_json, decode_wire, observe_ingest, skip_bad
-from .streaming.speed import speed_stream, start_alerts, start_metrics, start_metrics_wire, with_event_time
+from .streaming.speed import (speed_stream, start_alerts, start_metrics, start_metrics_wire, start_speed_layer,
+                              with_event_time)
 
 __all__ = [n for n in dir() if not n.startswith("_")]

@@ -136,3 +136,15 @@ def state_rows(query: StreamingQuery) -> int | None:
     if not p or not p.get("stateOperators"):
         return None
     return sum(op.get("numRowsTotal", 0) for op in p["stateOperators"])
+
+
+def start_speed_layer(raw: DataFrame, speed_table: str, alerts_table: str, checkpoint_root: str,
+                      trigger: dict | None = None, buckets: int = 64) -> tuple[StreamingQuery, StreamingQuery]:
+    """Both speed-layer branches from one raw stream: the watermarked metrics
+    into the speed table and the alert upsert (no watermark). Each is its own
+    query with its own checkpoint below ``checkpoint_root``, so either can be
+    restarted alone."""
+    root = checkpoint_root.rstrip("/")
+    metrics = start_metrics(raw, speed_table, f"{root}/metrics", trigger)
+    alerts = start_alerts(raw, alerts_table, f"{root}/alerts", trigger, buckets=buckets)
+    return metrics, alerts
