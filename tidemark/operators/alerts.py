@@ -72,7 +72,8 @@ def upsert(spark: SparkSession, table: str, updates: DataFrame, key: str = "twee
     u = u.checkpoint()
     # at most `buckets` small integers: bounded by configuration, not by data;
     # as a literal list they become a static PartitionFilter on the scan
-    touched = [r[0] for r in u.select("bucket").distinct().collect()]
+    per_bucket = u.groupBy("bucket").count().collect()      # at most `buckets` rows
+    touched = [r[0] for r in per_bucket]
     target = spark.table(table).filter(F.col("bucket").isin(touched))
     # which update keys exist already: a scan of the key column only
     existing = target.select(key, "bucket")
@@ -89,7 +90,7 @@ def upsert(spark: SparkSession, table: str, updates: DataFrame, key: str = "twee
     # new keys are appended after the rewrite (a retry then sees them as
     # existing and rewrites them to the same values: idempotent)
     append_rows(fresh.repartition("bucket").sortWithinPartitions(*ALERT_FILE_ORDER), table)
-    return u.count()
+    return sum(r[1] for r in per_bucket)
 
 
 def compact_buckets(spark: SparkSession, table: str, max_files: int = 8) -> int:
