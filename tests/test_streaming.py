@@ -129,3 +129,17 @@ def test_speed_layer_two_branches(spark, tmp):
     run_available(a)
     assert sorted(r.tweet_count for r in spark.table("sl.speed").collect()) == [3, 4]
     assert spark.table("sl.alerts").count() == sum(len(b) for b in ARRIVALS)
+
+
+def test_state_partitions_fixed_at_start(spark, tmp):
+    src = os.path.join(tmp, "in")
+    write_files(src, ARRIVALS)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    q = run_available(start_metrics_wire(file_stream(spark, src, TWEET, max_files_per_trigger=4),
+                                         os.path.join(tmp, "out"), os.path.join(tmp, "ck"),
+                                         trigger={"availableNow": True}, state_partitions=2))
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    parts = [op.get("numStateStoreInstances") or op.get("numShufflePartitions")
+             for p in q.recentProgress for op in (p.get("stateOperators") or [])]
+    assert parts and set(parts) == {2}
+    assert counts(spark, os.path.join(tmp, "out"))[0][2] >= 1

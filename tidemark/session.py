@@ -32,8 +32,9 @@ REQUIRED_CONF = {
 #   splits skewed ones;
 # * 256 MB scan splits;
 # * RocksDB state for the streaming aggregation (state off-heap, checkpointed
-#   incrementally), and a fixed shuffle partition count for the life of a
-#   stream checkpoint.
+#   incrementally). A stream's state partition count is fixed for the life of
+#   its checkpoint: start the speed queries with ``state_partitions`` sized to
+#   the source (e.g. a small multiple of the topic partitions), not 4000.
 CLUSTER_CONF = {
     "spark.sql.shuffle.partitions": "4000",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",

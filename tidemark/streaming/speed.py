@@ -45,6 +45,22 @@ def speed_stream(raw: DataFrame, width: str = DEFAULT_WIDTH, delay: str = DEFAUL
     return windowed_metrics(with_event_time(raw, delay=delay), "event_time", width, "speed", spec)
 
 
+def _start(writer, spark: SparkSession, state_partitions: int | None, path: str | None = None) -> StreamingQuery:
+    """Start a query; with ``state_partitions`` the stateful operator gets that
+    many partitions (fixed for the life of the checkpoint). The setting is
+    only changed around ``start()``: the query copies the session settings
+    when it starts."""
+    if not state_partitions:
+        return writer.start(path) if path else writer.start()
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(state_partitions))
+    try:
+        return writer.start(path) if path else writer.start()
+    finally:
+        spark.conf.set(key, old)
+
+
 def _writer(df: DataFrame, checkpoint: str, trigger: dict | None, name: str | None):
     w = df.writeStream.option("checkpointLocation", checkpoint).trigger(**(trigger or DEFAULT_TRIGGER))
     return w.queryName(name) if name else w
@@ -52,8 +68,10 @@ def _writer(df: DataFrame, checkpoint: str, trigger: dict | None, name: str | No
 
 def start_metrics(raw: DataFrame, table: str, checkpoint: str, trigger: dict | None = None,
                   width: str = DEFAULT_WIDTH, delay: str = DEFAULT_DELAY, now=None,
-                  name: str | None = None) -> StreamingQuery:
-    """Metrics query writing each micro-batch into the speed table."""
+                  name: str | None = None, state_partitions: int | None = None) -> StreamingQuery:
+    """Metrics query writing each micro-batch into the speed table.
+    ``state_partitions``: size it to the source's parallelism (the state is
+    one small row per open (window, key)), not to a batch job's shuffle."""
     spark = raw.sparkSession
     create_speed_table(spark, table)
     metrics = speed_stream(raw, width, delay)
@@ -61,17 +79,18 @@ def start_metrics(raw: DataFrame, table: str, checkpoint: str, trigger: dict | N
     def sink(batch: DataFrame, batch_id: int) -> None:
         append_speed(batch, table, batch_id, now)
 
-    return _writer(metrics, checkpoint, trigger, name).outputMode("append") \
-        .foreachBatch(sink).start()
+    return _start(_writer(metrics, checkpoint, trigger, name).outputMode("append").foreachBatch(sink),
+                  spark, state_partitions)
 
 
 def start_metrics_wire(raw: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
                        width: str = DEFAULT_WIDTH, delay: str = DEFAULT_DELAY,
-                       name: str | None = None) -> StreamingQuery:
+                       name: str | None = None, state_partitions: int | None = None) -> StreamingQuery:
     """Metrics query publishing wire-shaped rows to a Parquet folder (the
     file stand-in for the metrics topic; exactly-once via the sink log)."""
     wire = to_wire(speed_stream(raw, width, delay))
-    return _writer(wire, checkpoint, trigger, name).outputMode("append").format("parquet").start(path)
+    return _start(_writer(wire, checkpoint, trigger, name).outputMode("append").format("parquet"),
+                  raw.sparkSession, state_partitions, path)
 
 
 def start_alerts(raw: DataFrame, table: str, checkpoint: str, trigger: dict | None = None,
