@@ -121,11 +121,13 @@ def test_sql_view_over_partitioned_speed_table(spark, db):
     S.create_speed_table(spark, f"{db}.s2")
     speed = [metric("a", T(10, 59), T(11)), metric("a", T(11), T(11, 1)),
              metric("b", dt.datetime(2024, 1, 1, 5), dt.datetime(2024, 1, 1, 6)),
-             metric("c", dt.datetime(2024, 1, 3, 0), dt.datetime(2024, 1, 3, 0, 1))]
+             metric("c", dt.datetime(2024, 1, 3, 0), dt.datetime(2024, 1, 3, 0, 1)),
+             metric("d", T(12), None)]                     # open end: NULL date partition, still served
     S.append_speed(spark.createDataFrame(speed, METRICS_TABLE), f"{db}.s2", 0)
     S.create_unified_view(spark, f"{db}.u2", f"{db}.b2", f"{db}.s2")
     key = lambda r: (r.source, r.airline, r.window_start)
     via_sql = sorted(spark.table(f"{db}.u2").collect(), key=key)
     via_df = sorted(S.unified(spark.table(f"{db}.b2"), spark.table(f"{db}.s2")).collect(), key=key)
     assert via_sql == via_df
-    assert [(r.source, r.airline) for r in via_sql] == [("BATCH", "a"), ("REAL-TIME", "a"), ("REAL-TIME", "c")]
+    assert [(r.source, r.airline) for r in via_sql] == [("BATCH", "a"), ("REAL-TIME", "a"), ("REAL-TIME", "c"),
+                                                       ("REAL-TIME", "d")]

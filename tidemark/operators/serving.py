@@ -33,7 +33,9 @@ def unified(batch: DataFrame, speed: DataFrame) -> DataFrame:
     if "window_date" in speed.columns:
         # implied by the line above (window_end >= window_start >= cut); it
         # lets a date-partitioned speed table skip older partitions at run time
-        tail = tail.filter(F.col("window_date") >= F.date_format(cut, "yyyy-MM-dd"))
+        # (a NULL window_end lands in the NULL date partition: keep that one)
+        tail = tail.filter((F.col("window_date") >= F.date_format(cut, "yyyy-MM-dd"))
+                           | F.col("window_date").isNull())
     s = tail.select(*METRIC_FIELDS, F.lit(SOURCE_SPEED).alias("source"))
     return b.unionByName(s)
 
@@ -44,8 +46,8 @@ def create_unified_view(spark: SparkSession, name: str, batch_table: str, speed_
     cols = ", ".join(METRIC_FIELDS)
     date_cut = ""
     if "window_date" in spark.table(speed_table).columns:
-        date_cut = (f"\n          AND window_date >= date_format(coalesce((SELECT max(window_end) FROM {batch_table}),"
-                    f" CAST('{EPOCH}' AS TIMESTAMP_NTZ)), 'yyyy-MM-dd')")
+        date_cut = (f"\n          AND (window_date IS NULL OR window_date >= date_format(coalesce("
+                    f"(SELECT max(window_end) FROM {batch_table}), CAST('{EPOCH}' AS TIMESTAMP_NTZ)), 'yyyy-MM-dd'))")
     spark.sql(f"""CREATE OR REPLACE VIEW {name} AS
         SELECT {cols}, '{SOURCE_BATCH}' AS source FROM {batch_table}
         UNION ALL
