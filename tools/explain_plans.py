@@ -73,6 +73,15 @@ def main(argv) -> None:
                      "column is read (ReadSchema: tweet_id); new keys are then appended, and only buckets "
                      "holding a replaced key are rewritten.",
                      plan_text(matched)))
+    from tidemark.plans.incremental import update_batch_partials
+    from tidemark.session import scratch_database, scratch_path
+    parts = f"{scratch_database(spark, 'plans')}.batch_partials"
+    update_batch_partials(spark, C.lake_of(spark, sf), parts, scratch_path(spark, "plans-ckpt"))
+    month = spark.table(parts).select("window_month").first()[0]
+    sections.append(("Incremental partials: the months a batch touches (AGG1/AGG7)",
+                     "Only the month partitions present in the new files are read and rewritten "
+                     "(PartitionFilters: window_month IN (...)).",
+                     plan_text(spark.table(parts).filter(F.col("window_month").isin([month])))))
     raw = A.events_as_tweets(C.events_stream(spark, sf))
     sections.append(("Speed stream (STR1-5)",
                      "Streaming aggregation: partial aggregate, Exchange, StateStoreRestore/Save with the "
