@@ -62,8 +62,8 @@ def _role(c: Column) -> Column:
 
 
 def _listed(name: str, role: str, text: str, rename: bool = False) -> Callable[[Callable], Column]:
-    return lambda col: F.transform(F.coalesce(col(name), F.array().cast(f"array<struct<{role}:string,{text}:string>>")),
-                                   lambda m: _turn(_role(m[role]) if rename else m[role], m[text]))
+    return lambda col: F.coalesce(
+        F.transform(col(name), lambda m: _turn(_role(m[role]) if rename else m[role], m[text])), F.array().cast(TURN_TYPE))
 
 
 def _pair(user: str, assistant: str, more: str | None = None, system: str | None = None) -> Callable[[Callable], Column]:
@@ -119,7 +119,11 @@ def canonical(df: DataFrame, id_col: str = "conv_id") -> DataFrame:
     return df.select(id_col, F.lit(name).alias("layout"), LAYOUTS[name][1](F.col).cast(TURN_TYPE).alias("turns"))
 
 
-def _json_fields(shape: T.DataType | None = None) -> T.StructType:
+def _has(name: str) -> Callable[[Column], Column]:
+    return lambda entry: entry[name].isNotNull()
+
+
+def _json_fields() -> T.StructType:
     """One schema with every known field, for reading records of any layout."""
     out: dict[str, T.DataType] = {}
     for p in sorted(KNOWN - {"turn", "role", "text"}):
@@ -140,8 +144,7 @@ def canonical_json(df: DataFrame, id_col: str, json_col: str) -> DataFrame:
     for f in schema:
         c = F.col("r")[f.name]
         if isinstance(f.dataType, T.ArrayType):
-            there += [F.when(F.exists(c, lambda m, k=leaf.name: m[k].isNotNull()), F.lit(f"{f.name}[].{leaf.name}"))
-                      for leaf in f.dataType.elementType]
+            there += [F.when(F.exists(c, _has(leaf.name)), F.lit(f"{f.name}[].{leaf.name}")) for leaf in f.dataType.elementType]
         else:
             there.append(F.when(c.isNotNull(), F.lit(f.name)))
     d = d.withColumn("fp", F.sha2(F.array_join(F.array_sort(F.filter(F.array(*there), lambda p: p.isNotNull())), "\n"), 256))

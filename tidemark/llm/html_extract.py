@@ -114,9 +114,13 @@ class _Builder(HTMLParser):
         self.at.children.append(data)
 
 
+#: A tag that the page's end cuts off.
+_CUT_OFF = re.compile(r"<[a-zA-Z/!][^<>]*\Z")
+
+
 def tree(html: str | None) -> Node:
     b = _Builder()
-    b.feed(html or "")
+    b.feed(_CUT_OFF.sub("", html or "") if (html or "").rfind("<") > (html or "").rfind(">") else html or "")
     b.close()
     return b.root
 
@@ -319,7 +323,7 @@ def align(a: tuple, b: tuple) -> dict[int, int]:
             for c in x[1]:
                 s.append(s[-1] + count_nodes(c))
             starts.append(s)
-        i, j = m, n
+        i, j, pairs = m, n, {}
         while i and j:
             if best[i][j] == best[i - 1][j]:
                 i -= 1
@@ -327,7 +331,14 @@ def align(a: tuple, b: tuple) -> dict[int, int]:
                 j -= 1
             else:
                 i, j = i - 1, j - 1
-                todo.append((a[1][i], b[1][j], starts[0][i], starts[1][j]))
+                pairs[j] = i
+        near = 0
+        for j in range(n):  # one node may stand for a run: what is left over joins the nearest of its label
+            if j not in pairs and (like := [i for i in range(m) if a[1][i][0] == b[1][j][0]]):
+                pairs[j] = min(like, key=lambda i: (abs(i - near), i))
+            near = pairs.get(j, near)
+            if j in pairs:
+                todo.append((a[1][pairs[j]], b[1][j], starts[0][pairs[j]], starts[1][j]))
     return out
 
 

@@ -22,7 +22,7 @@ text are read.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -186,6 +186,11 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds
         F.array_sort(F.concat("rules", F.coalesce("found", F.array().cast(SPAN)))).alias("spans"))
 
 
+def of_kind(kind: int) -> Callable[[Column], Column]:
+    """A test of a span, for ``filter``."""
+    return lambda span: span["kind"] == kind
+
+
 def written(spans: Column) -> Column:
     """kind:start:end, comma-joined."""
     names = F.array(*[F.lit(k) for k in KINDS])

@@ -88,7 +88,7 @@ def op6_packing(spark, sf_dir):
 @query
 def op7_pii(spark, sf_dir):
     found = pii.find(table(spark, sf_dir, "documents"))
-    counts = [F.size(F.filter("rules", lambda x, k=k: x["kind"] == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(pii.KINDS)]
+    counts = [F.size(F.filter("rules", pii.of_kind(k))).cast("long").alias(f"n_{name}") for k, name in enumerate(pii.KINDS)]
     return found.select("doc_id", *counts, F.sha2(pii.written(F.col("rules")), 256).alias("base_sha256"),
                         pii.written(F.col("spans")).alias("spans"))
 
