@@ -84,3 +84,23 @@ def test_new_keys_append_and_compaction(spark, tmp):
     assert AL.compact_buckets(spark, t, max_files=1) == 1
     assert spark.table(t).select("_metadata.file_path").distinct().count() == 1
     assert sorted(tuple(r) for r in spark.table(t).collect()) == before
+
+
+def test_a_null_key_is_a_key(spark, tmp):
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS al3 LOCATION '{os.path.join(tmp, 'db')}'")
+    for n in range(3):
+        AL.upsert(spark, "al3.t", spark.createDataFrame([(None, "a", "negative", f"t{n}", 1, "x", D(1), n)], COLS),
+                  order_cols=("seq",), buckets=4)
+    assert [(r.tweet_id, r.text) for r in spark.table("al3.t").collect()] == [(None, "t2")]
+
+
+def test_upsert_leaves_no_scratch_folders(spark, tmp):
+    from tidemark.session import ensure_checkpoint_dir
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS al4 LOCATION '{os.path.join(tmp, 'db')}'")
+    root = os.path.join(ensure_checkpoint_dir(spark).removeprefix("file:"), "tidemark")
+    names = lambda: {f for f in (os.listdir(root) if os.path.isdir(root) else []) if f.startswith(("upsert", "overwrite"))}
+    before = names()
+    for n in range(2):
+        AL.upsert(spark, "al4.t", spark.createDataFrame([("1", "a", "negative", f"t{n}", 1, "x", D(1), n)], COLS),
+                  order_cols=("seq",), buckets=4)
+    assert names() == before

@@ -93,3 +93,44 @@ def test_incremental_lake_check_equals_full_scan(spark, tmp):
         inc = sorted(tuple(r) for r in check_lake_from_stats(spark, "inc4.stats").collect())
         assert inc == full
     assert spark.table("inc4.stats").count() == 3
+
+
+def test_a_fold_that_dies_after_one_month_is_completed(spark, tmp, monkeypatch):
+    import pytest
+
+    from tidemark.operators import tables as TB
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS inc5 LOCATION '{os.path.join(tmp, 'db')}'")
+    table = "inc5.partials"
+    recs = [(str(i), "a", "positive", "t", 1, f"2015-{1 + i % 3:02d}-10 10:00:00 -0800") for i in range(9)]
+    p = partial_metrics(spark.createDataFrame(recs, TWEET), parse_wall("tweet_created"))
+    merge_partials(spark, table, p, 0)
+    whole = TB.overwrite_partitions
+
+    def dies(df, t):
+        whole(df.filter("window_month = '2015-01'"), t)
+        raise RuntimeError("host gone")
+
+    monkeypatch.setattr(TB, "overwrite_partitions", dies)
+    with pytest.raises(RuntimeError):
+        merge_partials(spark, table, p, 1)
+    monkeypatch.setattr(TB, "overwrite_partitions", whole)
+    assert merge_partials(spark, table, p, 1) is False       # completed, then seen to be folded
+    assert sorted(r.tweet_count for r in spark.table(table).collect()) == [6, 6, 6]
+
+
+def test_an_unreadable_file_fails_and_counts_once_repaired(spark, tmp):
+    import pytest
+    lake, ck = os.path.join(tmp, "lake"), os.path.join(tmp, "ck")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS inc6 LOCATION '{os.path.join(tmp, 'db')}'")
+    write_raw(tweets(spark, 0, 10), os.path.join(lake, "deep", "er"), now="2024-01-01 00:00:00")
+    with open(os.path.join(lake, "half.parquet"), "wb") as f:
+        f.write(b"PAR1 not whole")
+    with pytest.raises(Exception):
+        update_batch_partials(spark, lake, "inc6.p", ck)
+    os.remove(os.path.join(lake, "half.parquet"))
+    write_raw(tweets(spark, 20, 5), os.path.join(tmp, "fixed"), now="2024-01-01 00:00:00")
+    fixed = [f for f in os.listdir(os.path.join(tmp, "fixed")) if f.endswith(".parquet")]
+    for n, f in enumerate(fixed):
+        os.rename(os.path.join(tmp, "fixed", f), os.path.join(lake, "half.parquet" if not n else f))
+    update_batch_partials(spark, lake, "inc6.p", ck)
+    assert rows(batch_metrics_from_partials(spark, "inc6.p")) == rows(batch_metrics(read_raw(spark, lake)))

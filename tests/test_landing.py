@@ -55,5 +55,28 @@ def test_missing_column_is_error(spark, tmp):
 
 
 def test_landing_records_drop_bad_and_order(spark, tmp):
+    from tidemark.sources.landing import landing_counts, landing_records
+    path = write(tmp, CSV)
+    assert [x.tweet_id for x in landing_records(spark, path).collect()] == ["4", "2", "1"]
+    assert tuple(landing_counts(normalise(read_landing(spark, path))).first()) == (3, 1)
+
+
+def test_empty_fields_stay_empty_text(spark, tmp):
+    p = os.path.join(tmp, "e.csv")
+    with open(p, "w") as f:
+        f.write("tweet_id,airline,airline_sentiment,text,retweet_count,tweet_created\n1,,\"\",,,t\n")
+    r = normalise(read_landing(spark, p)).first()
+    assert (r.airline, r.airline_sentiment, r.text, r.retweet_count, r.is_bad) == ("", "", "", 0, False)
+
+
+def test_ties_keep_file_and_row_order(spark, tmp):
     from tidemark.sources.landing import landing_records
-    assert [x.tweet_id for x in landing_records(spark, write(tmp, CSV)).collect()] == ["4", "2", "1"]
+    folder = os.path.join(tmp, "many")
+    os.makedirs(folder)
+    for k in range(6):   # later files are larger: file packing would read them first
+        with open(os.path.join(folder, f"f{k}.csv"), "w") as f:
+            f.write("tweet_id,airline,airline_sentiment,text,retweet_count,tweet_created\n")
+            f.writelines(f"{k}-{i:03d},a,positive,{'x' * 50 * k},1,same\n" for i in range(5 + 20 * k))
+    for multi in (True, False):
+        got = [x.tweet_id for x in landing_records(spark, folder, multi_line=multi).collect()]
+        assert got == sorted(got) and len(got) == sum(5 + 20 * k for k in range(6))

@@ -31,7 +31,9 @@ def test_lake_clean_and_broken(spark, tmp):
     assert r["schema (7 columns)"] == (False, "missing columns: ingested_at")
     assert not r["null check: tweet_id"][0] and not r["null check: airline"][0]
     assert not r["null check: airline_sentiment"][0]
-    assert r["sentiment values valid"] == (False, "1 rows with invalid values: Mixed")
+    assert r["sentiment values valid"][0] is False
+    assert r["sentiment values valid"][1] == "1 rows with invalid values"
+    assert r["invalid sentiment value"] == (False, "Mixed: 1 rows")
     r = by_check(Q.check_lake(spark, os.path.join(tmp, "missing")))
     assert r == {"files exist": (False, "no parquet files found")}
 
@@ -87,3 +89,18 @@ def test_failing_layer_does_not_stop_the_others(spark, tmp):
     assert sum(1 for (layer, _) in got if layer == "batch") == 9
     assert sum(1 for (layer, _) in got if layer == "alerts") == 4
     assert Q.check_table(spark, "no_db.no_table", "speed", Q.check_metrics).first().passed is False
+
+
+def test_empty_file_is_a_file_without_rows(spark, tmp):
+    lake_file(os.path.join(tmp, "lake"), "f1.parquet", [("1", "a", "positive", "t", 1, "x", "i")])
+    spark.read.parquet(os.path.join(tmp, "lake")).limit(0).write.parquet(os.path.join(tmp, "empty"))
+    r = by_check(Q.check_lake(spark, os.path.join(tmp, "empty")))
+    assert r["files exist"][0] is True and r["row count > 0"] == (False, "0 rows") and len(r) == 7
+
+
+def test_every_invalid_value_is_reported(spark, tmp):
+    lake_file(os.path.join(tmp, "lake"), "f1.parquet", [(str(i), "a", f"odd{i % 25}", "t", 1, "x", "i") for i in range(60)])
+    rows = Q.check_lake(spark, os.path.join(tmp, "lake")).filter("check = 'invalid sentiment value'").collect()
+    assert len(rows) == 25 and all(r.detail.startswith("odd") for r in rows)
+    s = Q.summary(Q.check_lake(spark, os.path.join(tmp, "lake"))).first()
+    assert (s.total, s.failed) == (7, 1)

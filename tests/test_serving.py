@@ -131,3 +131,96 @@ def test_sql_view_over_partitioned_speed_table(spark, db):
     assert via_sql == via_df
     assert [(r.source, r.airline) for r in via_sql] == [("BATCH", "a"), ("REAL-TIME", "a"), ("REAL-TIME", "c"),
                                                        ("REAL-TIME", "d")]
+
+
+def test_publish_refuses_older_versions_and_keeps_its_own(spark, db):
+    name = f"{db}.batch"
+    rows = spark.createDataFrame([metric("a", T(10), T(11))], METRICS_TABLE)
+    for v in (1000, 2000):
+        S.publish_version(rows, name, version=v)
+    with pytest.raises(ValueError):
+        S.publish_version(rows, name, version=5)
+    assert spark.table(name).count() == 1 and S.current_version(spark, name) == 2000
+    assert S.publish_version(rows, name, keep=0) > 2000 and spark.table(name).count() == 1
+    assert S.published_end(spark, name) == "2024-01-02 11:00:00"
+    assert len(S.versions(spark, name)) == 1
+
+
+def test_pinned_view_needs_no_scan_for_the_cut(spark, db):
+    batch = spark.createDataFrame([metric("a", T(10), T(11))], METRICS_TABLE)
+    S.publish_version(batch, f"{db}.batch")
+    S.create_speed_table(spark, f"{db}.s")
+    S.append_speed(spark.createDataFrame([metric("a", T(10, 59), T(11)), metric("b", T(11), T(11, 1))], METRICS_TABLE), f"{db}.s", 0)
+    S.create_unified_view(spark, f"{db}.u", f"{db}.batch", f"{db}.s", pin=True)
+    u = spark.table(f"{db}.u")
+    assert sorted((r.source, r.airline) for r in u.collect()) == [("BATCH", "a"), ("REAL-TIME", "b")]
+    assert "Subquery" not in u._jdf.queryExecution().executedPlan().toString()
+
+
+def test_publish_writes_few_files(spark, db):
+    rows = [metric(f"k{i % 7}", dt.datetime(2024, 1 + i % 3, 2, i % 24), dt.datetime(2024, 1 + i % 3, 2, i % 24, 30)) for i in range(600)]
+    S.publish_version(spark.createDataFrame(rows, METRICS_TABLE).repartition(30), f"{db}.batch", version=1)
+    files = spark.table(f"{db}.batch_v1").select("window_month", "_metadata.file_path").distinct().groupBy("window_month").count().collect()
+    assert len(files) == 3 and all(r["count"] <= 2 for r in files)
+
+
+def test_two_writers_share_batch_ids(spark, db):
+    S.create_speed_table(spark, f"{db}.speed")
+    rows = spark.createDataFrame([metric("a", T(10), T(11))], METRICS_TABLE)
+    assert S.append_speed(rows, f"{db}.speed", 0, writer="one") and S.append_speed(rows, f"{db}.speed", 0, writer="two")
+    assert not S.append_speed(rows, f"{db}.speed", 0, writer="one")
+    assert spark.table(f"{db}.speed").count() == 2
+
+
+def test_a_cut_off_overwrite_is_finished(spark, db, monkeypatch):
+    """A crash after the first of two partitions loses nothing: the next call completes it."""
+    from tidemark.operators import tables as TB
+    table = f"{db}.speed"
+    S.create_speed_table(spark, table)
+    day = lambda d: metric("a", dt.datetime(2024, 1, d, 9), dt.datetime(2024, 1, d, 10))
+    S.append_speed(spark.createDataFrame([day(1), day(2)], METRICS_TABLE), table, 0)
+    new = spark.table(table).withColumn("tweet_count", F.lit(5).cast("bigint"))
+    whole = TB.overwrite_partitions
+
+    def dies(df, t):
+        whole(df.filter("window_date = '2024-01-01'"), t)
+        TB.drop_partitions(spark, t, [{"window_date": "2024-01-02"}])   # deleted, not yet replaced
+        raise RuntimeError("executor host gone")
+
+    monkeypatch.setattr(TB, "overwrite_partitions", dies)
+    with pytest.raises(RuntimeError):
+        TB.overwrite_safely(new, table)
+    monkeypatch.setattr(TB, "overwrite_partitions", whole)
+    assert spark.table(table).count() == 1
+    assert TB.finish_overwrite(spark, table) and not TB.finish_overwrite(spark, table)
+    assert [r.tweet_count for r in spark.table(table).collect()] == [5, 5]
+
+
+ZONE_PROBE = """
+import datetime as dt, sys
+sys.path.insert(0, {root!r})
+from tidemark.session import build_session, scratch_database
+from tidemark.operators import serving as S
+from tidemark.schemas import METRICS_TABLE
+spark = build_session(master="local[2]", shuffle_partitions=2, extra={{"spark.sql.warehouse.dir": {wh!r}}})
+m = lambda h: ("a", 1, 1, 0, 0, 1.0, 0.0, 1.0, 1, 0.1, "2024-01-02 %02d:00:00" % h, "2024-01-02 %02d:30:00" % h)
+cols = ", ".join(f.name + " " + ("string" if f.name.startswith("window") else f.dataType.simpleString()) for f in METRICS_TABLE.fields)
+rows = spark.createDataFrame([m(h) for h in range(24)], cols)
+rows = rows.select(*[rows[f.name].cast(f.dataType) for f in METRICS_TABLE.fields])
+t = scratch_database(spark, "zone") + ".speed"
+S.create_speed_table(spark, t)
+S.append_speed(rows, t, 0, now=dt.datetime(2024, 1, 3))
+n = S.prune_speed(spark, t, S.max_window_end(rows.where("window_end <= timestamp_ntz'2024-01-02 09:30:00'")))
+r = S.time_range(rows, dt.datetime(2024, 1, 2, 5), dt.datetime(2024, 1, 2, 7), month_col="none").count()
+print("RESULT", n, spark.table(t).count(), r, spark.table(t).selectExpr("min(cast(created_at as string))").first()[0])
+"""
+
+
+@pytest.mark.parametrize("zone", ["America/Los_Angeles", "Asia/Tokyo"])
+def test_times_do_not_pass_through_the_process_zone(tmp, zone):
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = ZONE_PROBE.format(root=root, wh=os.path.join(tmp, "wh"))
+    out = subprocess.run([sys.executable, "-c", code], env={**os.environ, "TZ": zone}, capture_output=True, text=True, timeout=300)
+    assert "RESULT 10 14 3 2024-01-03 00:00:00" in out.stdout, out.stdout[-500:] + out.stderr[-2000:]

@@ -1,6 +1,7 @@
 """Micro-streams with fixed batch boundaries: one file per micro-batch."""
 
 import os
+import time
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -8,7 +9,7 @@ import pyarrow.parquet as pq
 from tidemark.schemas import TWEET
 from tidemark.sources.lake import file_stream
 from tidemark.sources.wire import decode_json, encode_json, observe_ingest, skip_bad
-from tidemark.streaming.speed import (progress_counters, run_available, start_alerts, start_metrics,
+from tidemark.streaming.speed import (IngestTotals, run_available, speed_session, start_alerts, start_metrics,
                                       start_metrics_wire, state_rows)
 
 # (key, minute:second after 11:00) per file, in arrival order
@@ -94,10 +95,62 @@ def test_ingest_counters_on_a_stream(spark, tmp):
     raw = file_stream(spark, src, TWEET)
     msgs = encode_json(raw).selectExpr("CASE WHEN value LIKE '%00:59%' THEN 'junk' ELSE value END AS value")
     decoded = skip_bad(observe_ingest(decode_json(msgs), "ingest"))
+    totals = IngestTotals()
+    spark.streams.addListener(totals)
     q = run_available(decoded.writeStream.format("memory").queryName("ingest_t")
                       .option("checkpointLocation", os.path.join(tmp, "ck")).trigger(availableNow=True).start())
     assert spark.table("ingest_t").count() == 3
-    assert progress_counters(q, "ingest") == {"saved": 3, "skipped": 1}
+    for _ in range(100):
+        if totals.of(q):
+            break
+        time.sleep(0.1)
+    spark.streams.removeListener(totals)
+    assert totals.of(q) == {"saved": 3, "skipped": 1}
+
+
+def test_ingest_totals_hold_every_batch():
+    """A query itself remembers its last 100 micro-batches; the totals all of them."""
+    class Row:
+        def asDict(self):
+            return {"saved": 2, "skipped": 1}
+
+    class Event:
+        class progress:
+            id = "q"
+            observedMetrics = {"ingest": Row()}
+
+    class Query:
+        id = "q"
+
+    totals = IngestTotals()
+    for _ in range(250):
+        totals.onQueryProgress(Event)
+    assert totals.of(Query) == {"saved": 500, "skipped": 250} and totals.of(Query, "other") == {}
+
+
+def test_a_new_checkpoint_is_a_new_writer(spark, tmp):
+    """Batch ids start at 0 again under a new checkpoint; its rows are no replay."""
+    src = os.path.join(tmp, "in")
+    write_files(src, ARRIVALS)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS wr LOCATION '{os.path.join(tmp, 'db')}'")
+    for k in range(2):
+        raw = file_stream(spark, src, TWEET, max_files_per_trigger=1)
+        run_available(start_metrics(raw, "wr.speed", os.path.join(tmp, f"ck{k}"), trigger={"availableNow": True}))
+    assert sorted(r.tweet_count for r in spark.table("wr.speed").collect()) == [3, 3, 4, 4]
+
+
+def test_topic_position_reaches_the_upsert(spark, tmp):
+    """Last arrival by partition and offset, through decoding."""
+    import json
+
+    from tidemark.operators.alerts import upsert
+    base = {"airline": "a", "airline_sentiment": "negative", "retweet_count": 1, "tweet_created": "x"}
+    rows = [(json.dumps({**base, "tweet_id": "1", "text": f"offset {o}"}), 0, o) for o in (7, 9, 8)]
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS tp LOCATION '{os.path.join(tmp, 'db')}'")
+    d = skip_bad(decode_json(spark.createDataFrame(rows, "value string, partition int, offset long")))
+    assert {"partition", "offset"} <= set(d.columns)
+    upsert(spark, "tp.alerts", d, order_cols=("partition", "offset"), buckets=2)
+    assert [r.text for r in spark.table("tp.alerts").collect()] == ["offset 9"]
 
 
 def test_lake_append_exactly_once_across_restarts(spark, tmp):
@@ -135,9 +188,10 @@ def test_state_partitions_fixed_at_start(spark, tmp):
     src = os.path.join(tmp, "in")
     write_files(src, ARRIVALS)
     before = spark.conf.get("spark.sql.shuffle.partitions")
-    q = run_available(start_metrics_wire(file_stream(spark, src, TWEET, max_files_per_trigger=4),
+    own = speed_session(spark, 2)
+    q = run_available(start_metrics_wire(file_stream(own, src, TWEET, max_files_per_trigger=4),
                                          os.path.join(tmp, "out"), os.path.join(tmp, "ck"),
-                                         trigger={"availableNow": True}, state_partitions=2))
+                                         trigger={"availableNow": True}))
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
     parts = [op.get("numStateStoreInstances") or op.get("numShufflePartitions")
              for p in q.recentProgress for op in (p.get("stateOperators") or [])]

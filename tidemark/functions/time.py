@@ -57,6 +57,25 @@ def from_iso_instant(c) -> Column:
     return F.try_to_timestamp(_c(c), F.lit(ISO_INSTANT_PATTERN)).cast("timestamp_ntz")
 
 
+def time_text(t) -> str:
+    """``yyyy-MM-dd HH:mm:ss[.ffffff]`` of a naive datetime (or of such text).
+
+    A datetime handed to ``lit`` passes through the Python process's time zone;
+    its text does not."""
+    return t.isoformat(sep=" ") if hasattr(t, "isoformat") else str(t)
+
+
+def ntz_lit(t) -> Column:
+    """A wall-clock datetime or text as a TIMESTAMP_NTZ literal."""
+    return F.lit(time_text(t)).cast("timestamp_ntz")
+
+
+def ltz_lit(t) -> Column:
+    """A datetime or text as a TIMESTAMP literal: read in the session's zone, or,
+    for a datetime with a zone, that instant."""
+    return F.lit(time_text(t)).cast("timestamp")
+
+
 def to_ntz(c) -> Column:
     """TIMESTAMP → TIMESTAMP_NTZ holding the UTC wall clock (table edge type)."""
     return _c(c).cast("timestamp_ntz")

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import ALERT_SENTIMENT, TWEET_FIELDS
-from .tables import DYNAMIC_OVERWRITE, append_rows, overwrite_partitions, table_exists
+from ..session import discard, stored
+from .tables import DYNAMIC_OVERWRITE, append_rows, finish_overwrite, overwrite_safely, table_exists
 
 ALERT_COLUMNS = TWEET_FIELDS + ["created_at"]
 # Row order inside each bucket file: the finders filter on airline (and time),
@@ -40,22 +41,24 @@ def upsert(spark: SparkSession, table: str, updates: DataFrame, key: str = "twee
            columns=ALERT_COLUMNS) -> int:
     """Keyed upsert into a managed table partitioned by hash bucket of ``key``.
 
-    * updates are reduced to the last arrival per key;
+    * updates are reduced to the last arrival per key (a NULL key is a key);
     * ``created_at`` is stamped (``stamp`` or the current time) unless the
       updates carry it;
     * only the buckets the updates touch are looked at (their ids, at most
-      ``buckets`` of them, become a partition filter), and only their key
-      column is read to split the updates into replacements and new keys;
+      ``buckets`` of them, become a partition filter), and one NULL-safe join
+      with their key column marks the updates whose key exists;
     * buckets holding a replaced key are rewritten (old rows minus the
       replaced keys, plus the replacements — whole rows, so a newer NULL
-      overwrites an older value) with a dynamic partition overwrite from a
-      checkpoint, so the table is never read and overwritten in one plan;
+      overwrites an older value): the merged rows are written to a folder of
+      their own first, then replace the bucket, and the folder goes when the
+      table has them. A crash in between leaves that folder, named in the
+      table's properties; the next upsert finishes it first, so no row is lost;
     * new keys — the common case — are appended without rewriting anything;
       ``compact_buckets`` later folds the extra files.
 
     Idempotent: applying the same updates twice leaves the same table. One
     writer per table (a streaming ``foreachBatch`` applies its batches in
-    order); readers always see whole buckets.
+    order). A large bucket is split over several tasks.
     Returns the number of distinct keys written.
     """
     u = updates
@@ -66,44 +69,45 @@ def upsert(spark: SparkSession, table: str, updates: DataFrame, key: str = "twee
     u = latest_per_key(u, key, order_cols)
     u = u.select(*[F.col(c) for c in columns], bucket_of(F.col(key), buckets).alias("bucket"))
     if not table_exists(spark, table):
-        (u.repartition("bucket").sortWithinPartitions(*ALERT_FILE_ORDER)
-          .write.format("parquet").options(**DYNAMIC_OVERWRITE).partitionBy("bucket").saveAsTable(table))
+        (_dealt(u).write.format("parquet").options(**DYNAMIC_OVERWRITE).partitionBy("bucket").saveAsTable(table))
         return spark.table(table).count()
-    u = u.checkpoint()
+    finish_overwrite(spark, table)
+    u, folder = stored(u, "upsert")
     # at most `buckets` small integers: bounded by configuration, not by data;
     # as a literal list they become a static PartitionFilter on the scan
     per_bucket = u.groupBy("bucket").count().collect()      # at most `buckets` rows
-    touched = [r[0] for r in per_bucket]
-    target = spark.table(table).filter(F.col("bucket").isin(touched))
-    # which update keys exist already: a scan of the key column only
-    existing = target.select(key, "bucket")
-    matched = u.join(existing.select(key), key, "left_semi")
-    fresh = u.join(existing.select(key), key, "left_anti")
-    rewrite = [r[0] for r in matched.select("bucket").distinct().collect()]
+    existing = (spark.table(table).filter(F.col("bucket").isin([r[0] for r in per_bucket]))
+                .select(F.col(key).alias("_there"), F.lit(True).alias("_old")).distinct())
+    marked, marks = stored(u.join(existing, F.col(key).eqNullSafe(F.col("_there")), "left").drop("_there"), "upsert")
+    replaced = marked.filter("_old").drop("_old")
+    rewrite = [r[0] for r in replaced.select("bucket").distinct().collect()]
     if rewrite:
-        # only buckets holding a replaced key are rewritten: old rows minus the
-        # replaced keys, plus the replacements; one task (file) per bucket
+        keys = replaced.select(F.col(key).alias("_there"))
         old = spark.table(table).filter(F.col("bucket").isin(rewrite))
-        merged = (old.join(matched.select(key), key, "left_anti").unionByName(matched)
-                     .repartition("bucket").sortWithinPartitions(*ALERT_FILE_ORDER).checkpoint())
-        overwrite_partitions(merged, table)
+        merged = old.join(keys, F.col(key).eqNullSafe(F.col("_there")), "left_anti").unionByName(replaced)
+        overwrite_safely(_dealt(merged), table)
     # new keys are appended after the rewrite (a retry then sees them as
     # existing and rewrites them to the same values: idempotent)
-    append_rows(fresh.repartition("bucket").sortWithinPartitions(*ALERT_FILE_ORDER), table)
+    append_rows(_dealt(marked.filter("_old IS NULL").drop("_old")), table)
+    discard(spark, folder, marks)
     return sum(r[1] for r in per_bucket)
 
 
+def _dealt(rows: DataFrame) -> DataFrame:
+    """Rows of a bucket together, in file order; a large bucket over several tasks."""
+    return rows.hint("rebalance", "bucket").sortWithinPartitions(*ALERT_FILE_ORDER)
+
+
 def compact_buckets(spark: SparkSession, table: str, max_files: int = 8) -> int:
     """Rewrite every bucket that has collected more than ``max_files`` files
-    (appends of new keys add files) into one sorted file. The per-bucket file
+    (appends of new keys add files) into few sorted files. The per-bucket file
     counts are one aggregate row per bucket. Returns the buckets rewritten."""
+    finish_overwrite(spark, table)
     counts = (spark.table(table).select("bucket", F.col("_metadata.file_path").alias("_f"))
               .groupBy("bucket").agg(F.count_distinct("_f").alias("files")))
     busy = [r[0] for r in counts.filter(F.col("files") > max_files).select("bucket").collect()]
     if busy:
-        rows = (spark.table(table).filter(F.col("bucket").isin(busy)).repartition("bucket")
-                .sortWithinPartitions(*ALERT_FILE_ORDER).checkpoint())
-        overwrite_partitions(rows, table)
+        overwrite_safely(_dealt(spark.table(table).filter(F.col("bucket").isin(busy))), table)
     return len(busy)
 
 

@@ -2,9 +2,10 @@
 
 Each check yields a ``DQ_REPORT`` row (layer, check, passed, detail). Checks
 are computed with ``count_if`` aggregates in a single job per table; only
-that one result row (and, for a failing value check, a bounded sample of
-offending values) reaches the driver. A read or query failure becomes a
-FAIL row and the other layers still report.
+that one result row reaches the driver. A failing value check adds one report
+row per invalid value, which stay a distributed DataFrame however many there
+are. A read or query failure, or an absent table, becomes a FAIL row and the
+other layers still report.
 """
 
 from __future__ import annotations
@@ -26,7 +27,9 @@ METRIC_RATIO_COLUMNS = ["positive_ratio", "negative_ratio"]
 METRIC_NONNEG_COLUMNS = ["tweet_count", "positive_count", "negative_count"]
 ALERT_REQUIRED_COLUMNS = ["tweet_id", "airline"]
 # ----------------------------------------------------------------------------
-BAD_VALUE_SAMPLE = 10
+VALUE_CHECK = "sentiment values valid"
+#: The rows that name each invalid value: details of the check above, not checks.
+VALUE_DETAIL = "invalid sentiment value"
 LAYERS = {"lake": "lake", "speed": "speed", "batch": "batch", "alerts": "alerts"}
 
 
@@ -42,48 +45,66 @@ def _row(layer, check, passed, detail):
     return (layer, check, bool(passed), detail)
 
 
-def check_lake(spark: SparkSession, path: str, layer: str = "lake") -> DataFrame:
+def _message(e: Exception) -> str:
+    return str(e).split("\n")[0]
+
+
+def invalid_sentiment():
+    s = F.col("airline_sentiment")
+    return s.isNotNull() & ~s.isin(*SENTIMENTS)
+
+
+def invalid_values(df: DataFrame) -> DataFrame:
+    """(value, rows) of every sentiment that is none of the known ones."""
+    return df.filter(invalid_sentiment()).groupBy(F.col("airline_sentiment").alias("value")).agg(F.count("*").alias("rows"))
+
+
+def value_rows(layer: str, values: DataFrame) -> DataFrame:
+    """A failed report row for each invalid (value, rows)."""
+    detail = F.concat(F.col("value"), F.lit(": "), F.col("rows").cast("string"), F.lit(" rows"))
+    return values.select(F.lit(layer).alias("layer"), F.lit(VALUE_DETAIL).alias("check"), F.lit(False).alias("passed"),
+                         detail.alias("detail"))
+
+
+def check_lake(spark: SparkSession, path: str, layer: str = "lake", merge_schema: bool = False) -> DataFrame:
     """Lake checks: files exist (else stop), rows > 0, expected columns
     present (extra allowed), no NULL ids / airlines / sentiments, sentiment
-    values valid (NULLs ignored)."""
+    values valid (NULLs ignored; every invalid value is reported).
+
+    Files are counted from the listing, rows and values in one aggregate over
+    three columns. Columns are those of one file's footer; ``merge_schema``
+    opens every footer instead, for a lake whose files differ in columns."""
     try:
         df = (spark.read.option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true")
-              .option("mergeSchema", "true").parquet(path))
-        df = df.select("*", F.col("_metadata.file_path").alias("_file"))
-        cols = [c for c in df.columns if c != "_file"]
-        aggs = [F.count_distinct("_file").alias("files"), F.count(F.lit(1)).alias("n")]
+              .option("mergeSchema", str(merge_schema).lower()).parquet(path))
+        files = len(df._jdf.inputFiles())
+        cols = df.columns
+        aggs = [F.count(F.lit(1)).alias("n")]
         aggs += [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in LAKE_NULL_COLUMNS if c in cols]
         has_sent = "airline_sentiment" in cols
         if has_sent:
             s = F.col("airline_sentiment")
-            aggs.append(F.count_if(s.isNotNull() & ~s.isin(*SENTIMENTS)).alias("bad_sent"))
+            aggs.append(F.count_if(invalid_sentiment()).alias("bad_sent"))
             aggs.append(F.array_sort(F.collect_set(F.when(s.isin(*SENTIMENTS), s))).alias("sent_values"))
         r = df.agg(*aggs).first()
     except Exception as e:  # noqa: BLE001 - reported, not raised
-        msg = str(e).split("\n")[0][:300]
+        msg = _message(e)
         if "PATH_NOT_FOUND" in msg or "UNABLE_TO_INFER_SCHEMA" in msg:
-            return _report(spark, [_row(layer, "files exist", False, "no parquet files found")])
+            return no_files(spark, layer)
         return _report(spark, [_row(layer, "lake read", False, msg)])
-    if r["files"] == 0:
-        return _report(spark, [_row(layer, "files exist", False, "no parquet files found")])
+    if files == 0:
+        return no_files(spark, layer)
     nulls = {c: r[f"null_{c}"] for c in LAKE_NULL_COLUMNS if c in cols}
     bad = r["bad_sent"] if has_sent else None
-    sample = []
-    if bad:
-        sample = [x[0] for x in (df.filter(F.col("airline_sentiment").isNotNull()
-                                           & ~F.col("airline_sentiment").isin(*SENTIMENTS))
-                                   .select("airline_sentiment").distinct()
-                                   .orderBy("airline_sentiment").limit(BAD_VALUE_SAMPLE).collect())]
-    return _report(spark, lake_report_rows(layer, r["n"], cols, nulls, bad, sample,
-                                           r["sent_values"] if has_sent else []))
-
-
-def lake_report_rows(layer: str, n: int, cols, nulls: dict, bad: int | None, sample: list,
-                     values: list) -> list[tuple]:
+    report = _report(spark, lake_report_rows(layer, files, r["n"], cols, nulls, bad, r["sent_values"] if has_sent else []))
+    return report.unionByName(value_rows(layer, invalid_values(df))) if bad else report
+
+
+def lake_report_rows(layer: str, files: int, n: int, cols, nulls: dict, bad: int | None, values: list) -> list[tuple]:
     """Report rows of the lake checks from their additive ingredients (shared
     by the full scan and the incremental statistics). ``bad`` is None when
     the sentiment column is absent."""
-    rows = [_row(layer, "files exist", True, "files found"),
+    rows = [_row(layer, "files exist", True, f"{files} files found"),
             _row(layer, "row count > 0", n > 0, f"{n} rows")]
     missing = sorted(set(RAW_LAKE_FIELDS) - set(cols))
     rows.append(_row(layer, "schema (7 columns)", not missing,
@@ -92,12 +113,19 @@ def lake_report_rows(layer: str, n: int, cols, nulls: dict, bad: int | None, sam
         if c in cols:
             rows.append(_row(layer, f"null check: {c}", nulls[c] == 0, f"{nulls[c]} nulls"))
     if bad is not None:
-        detail = (f"{bad} rows with invalid values: {', '.join(sample[:BAD_VALUE_SAMPLE])}" if bad
-                  else f"values: {', '.join(sorted(values))}")
-        rows.append(_row(layer, "sentiment values valid", bad == 0, detail))
+        detail = f"{bad} rows with invalid values" if bad else f"values: {', '.join(sorted(values))}"
+        rows.append(_row(layer, VALUE_CHECK, bad == 0, detail))
     return rows
 
 
+def lake_report(spark: SparkSession, *ingredients) -> DataFrame:
+    return _report(spark, lake_report_rows(*ingredients))
+
+
+def no_files(spark: SparkSession, layer: str) -> DataFrame:
+    return _report(spark, [_row(layer, "files exist", False, "no parquet files found")])
+
+
 def check_metrics(df: DataFrame, layer: str) -> DataFrame:
     """Metric-table checks: rows > 0 (else stop), no NULL airline or count,
     ratios within [0, 1] (NaN counts as out of range, NULL does not), counts
@@ -112,7 +140,7 @@ def check_metrics(df: DataFrame, layer: str) -> DataFrame:
                                > F.col("tweet_count")).alias("inconsistent"))
         r = df.agg(*aggs).first()
     except Exception as e:  # noqa: BLE001
-        return _report(spark, [_row(layer, "query execution", False, str(e).split("\n")[0][:300])])
+        return _report(spark, [_row(layer, "query execution", False, _message(e))])
     rows = [_row(layer, "row count > 0", r["n"] > 0, f"{r['n']} rows")]
     if r["n"] == 0:
         return _report(spark, rows)
@@ -145,7 +173,7 @@ def check_alerts(df: DataFrame, layer: str = "alerts") -> DataFrame:
         aggs.append(F.count_if(~s.eqNullSafe(F.lit(ALERT_SENTIMENT))).alias("not_negative"))
         r = df.agg(*aggs).first()
     except Exception as e:  # noqa: BLE001
-        return _report(spark, [_row(layer, "query execution", False, str(e).split("\n")[0][:300])])
+        return _report(spark, [_row(layer, "query execution", False, _message(e))])
     rows = [_row(layer, "row count > 0", r["n"] > 0, f"{r['n']} rows")]
     if r["n"] == 0:
         return _report(spark, rows)
@@ -158,17 +186,24 @@ def check_alerts(df: DataFrame, layer: str = "alerts") -> DataFrame:
 
 
 def check_table(spark: SparkSession, table: str, layer: str, checker) -> DataFrame:
-    """Run a checker on a catalog table; a missing table is a FAIL row."""
+    """Run a checker on a catalog table; a missing table has no rows: a FAIL row."""
     try:
+        if not spark.catalog.tableExists(table):
+            return _report(spark, [_row(layer, "row count > 0", False, "no table")])
         df = spark.table(table)
     except Exception as e:  # noqa: BLE001
-        return _report(spark, [_row(layer, "connection", False, str(e).split("\n")[0][:300])])
+        return _report(spark, [_row(layer, "connection", False, _message(e))])
     return checker(df, layer)
 
 
+def failed_layer(spark: SparkSession, layer: str, e: Exception) -> DataFrame:
+    """The report of a layer whose check could not be made."""
+    return _report(spark, [_row(layer, "query execution", False, _message(e))])
+
+
 def run_checks(spark: SparkSession, lake_path: str | None = None, speed: DataFrame | None = None,
                batch: DataFrame | None = None, alerts: DataFrame | None = None,
-               lake_report: DataFrame | None = None) -> DataFrame:
+               lake_report: DataFrame | None = None, alerts_report: DataFrame | None = None) -> DataFrame:
     parts = []
     if lake_report is not None:
         parts.append(lake_report)
@@ -178,7 +213,9 @@ def run_checks(spark: SparkSession, lake_path: str | None = None, speed: DataFra
         parts.append(check_metrics(speed, "speed"))
     if batch is not None:
         parts.append(check_metrics(batch, "batch"))
-    if alerts is not None:
+    if alerts_report is not None:
+        parts.append(alerts_report)
+    elif alerts is not None:
         parts.append(check_alerts(alerts))
     out = parts[0]
     for p in parts[1:]:
@@ -187,9 +224,10 @@ def run_checks(spark: SparkSession, lake_path: str | None = None, speed: DataFra
 
 
 def summary(report: DataFrame, started: float | None = None, raise_on_fail: bool = False) -> DataFrame:
-    """One row: total, passed, failed. Logs the duration when ``started`` is
-    given; raises ``QualityError`` on any failure when asked to."""
-    s = report.agg(F.count(F.lit(1)).alias("total"), F.count_if("passed").alias("passed"),
+    """One row: total, passed, failed checks (rows that name a single invalid value
+    are details of a check). Logs the duration when ``started`` is given; raises
+    ``QualityError`` on any failure when asked to."""
+    s = report.filter(F.col("check") != VALUE_DETAIL).agg(F.count(F.lit(1)).alias("total"), F.count_if("passed").alias("passed"),
                    F.count_if(~F.col("passed")).alias("failed"))
     if started is not None or raise_on_fail:
         r = s.first()

@@ -9,13 +9,16 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.time import ltz_lit, ntz_lit, time_text
 from ..schemas import METRIC_FIELDS, METRICS_TABLE, SOURCE_BATCH, SOURCE_SPEED
 from .metrics import with_month
-from .tables import (DYNAMIC_OVERWRITE, append_rows, drop_partitions, overwrite_partitions, partition_values,
-                     table_exists)
+from .tables import (DYNAMIC_OVERWRITE, append_rows, drop_partitions, finish_overwrite, overwrite_safely,
+                     partition_values, table_exists)
 
 log = logging.getLogger(__name__)
 EPOCH = "1970-01-01 00:00:00"
+#: Table property: the latest window end of a published version.
+LAST_END = "tidemark.window_end.max"
 
 
 # --------------------------------------------------------------------------- unified view
@@ -40,20 +43,30 @@ def unified(batch: DataFrame, speed: DataFrame) -> DataFrame:
     return b.unionByName(s)
 
 
-def create_unified_view(spark: SparkSession, name: str, batch_table: str, speed_table: str) -> None:
+def create_unified_view(spark: SparkSession, name: str, batch_table: str, speed_table: str,
+                        pin: bool = False) -> None:
     """Catalog view of ``unified`` over two tables (SQL text, so readers of the
-    view always see the tables' current state)."""
+    view always see the tables' current state).
+
+    ``pin``: the view names the published version of ``batch_table`` and its
+    known end, so reading it never scans the batch table for the cut-off, and
+    batch rows and cut-off belong together. Create it again after each publish,
+    as the batch cycle does (the version before stays until the publish after)."""
     cols = ", ".join(METRIC_FIELDS)
+    version = current_version(spark, batch_table) if pin else None
+    if version is not None:
+        cut = f"CAST('{published_end(spark, batch_table) or EPOCH}' AS TIMESTAMP_NTZ)"
+        batch_table = f"{batch_table}_v{version}"
+    else:
+        cut = f"coalesce((SELECT max(window_end) FROM {batch_table}), CAST('{EPOCH}' AS TIMESTAMP_NTZ))"
     date_cut = ""
     if "window_date" in spark.table(speed_table).columns:
-        date_cut = (f"\n          AND (window_date IS NULL OR window_date >= date_format(coalesce("
-                    f"(SELECT max(window_end) FROM {batch_table}), CAST('{EPOCH}' AS TIMESTAMP_NTZ)), 'yyyy-MM-dd'))")
+        date_cut = f"\n          AND (window_date IS NULL OR window_date >= date_format({cut}, 'yyyy-MM-dd'))"
     spark.sql(f"""CREATE OR REPLACE VIEW {name} AS
         SELECT {cols}, '{SOURCE_BATCH}' AS source FROM {batch_table}
         UNION ALL
         SELECT {cols}, '{SOURCE_SPEED}' AS source FROM {speed_table}
-        WHERE window_start >= coalesce((SELECT max(window_end) FROM {batch_table}),
-                                       CAST('{EPOCH}' AS TIMESTAMP_NTZ)){date_cut}""")
+        WHERE window_start >= {cut}{date_cut}""")
 
 
 # --------------------------------------------------------------------------- publish
@@ -63,26 +76,48 @@ def publish_version(df: DataFrame, name: str, version: int | None = None, keep:
     point view ``<name>`` at it in one catalog statement.
 
     Until the flip, readers see the previous version; if writing fails the
-    view is untouched and the half-written table is dropped. After the flip
-    only the newest ``keep`` older versions are kept (running readers may
-    still be scanning them). Returns the version."""
+    view is untouched and the half-written table is dropped. A version number
+    must be above every one before it. After the flip the newest ``keep`` older
+    versions are kept (running readers may still be scanning them); the one the
+    view names is never dropped.
+
+    Rows are dealt out by month with ``REBALANCE``: one writer per small month,
+    several for a large one. The latest window end is kept as a property of the
+    table, so the unified view and pruning need not scan for it. Returns the
+    version."""
     spark = df.sparkSession
-    version = version if version is not None else int(time.time() * 1000)
+    there = versions(spark, name)
+    version = version if version is not None else max(int(time.time() * 1000), there[-1] + 1 if there else 0)
+    if there and version <= there[-1]:
+        raise ValueError(f"version {version} of {name} is not above version {there[-1]}")
     target = f"{name}_v{version}"
     data = with_month(df) if partition_by == "window_month" and "window_month" not in df.columns else df
-    if table_exists(spark, target):
-        raise ValueError(f"version {version} of {name} exists already")
     try:
-        data.write.format("parquet").partitionBy(partition_by).saveAsTable(target)
+        (data.hint("rebalance", partition_by).write.format("parquet").partitionBy(partition_by)
+             .saveAsTable(target))
+        if "window_end" in data.columns:
+            last = spark.table(target).agg(F.max("window_end").cast("string")).first()[0]
+            spark.sql(f"ALTER TABLE {target} SET TBLPROPERTIES ('{LAST_END}' = '{last or EPOCH}')")
     except Exception:
         spark.sql(f"DROP TABLE IF EXISTS {target}")
         raise
     spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {target}")
     for old in versions(spark, name)[:-(keep + 1)]:
-        spark.sql(f"DROP TABLE IF EXISTS {name}_v{old}")
+        if old != version:
+            spark.sql(f"DROP TABLE IF EXISTS {name}_v{old}")
     return version
 
 
+def published_end(spark: SparkSession, name: str) -> str | None:
+    """The latest window end of the published version, as text, without a scan;
+    None if nothing is published or it holds no window."""
+    version = current_version(spark, name)
+    if version is None:
+        return None
+    props = {r[0]: r[1] for r in spark.sql(f"SHOW TBLPROPERTIES {name}_v{version}").collect()}
+    return None if props.get(LAST_END, EPOCH) == EPOCH else props[LAST_END]
+
+
 def versions(spark: SparkSession, name: str) -> list[int]:
     db, _, base = name.rpartition(".")
     rows = spark.sql(f"SHOW TABLES IN {db}" if db else "SHOW TABLES").collect()
@@ -108,40 +143,38 @@ def with_window_date(metrics: DataFrame) -> DataFrame:
 
 
 def create_speed_table(spark: SparkSession, table: str) -> None:
-    """Speed-layer metrics table: the 12 metric columns + created_at and the
-    micro-batch id, partitioned by the date of window_end."""
+    """Speed-layer metrics table: the 12 metric columns + created_at, the writer
+    and its micro-batch id, partitioned by the date of window_end."""
     if table_exists(spark, table):
         return
     cols = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in METRICS_TABLE.fields)
     opts = ", ".join(f"{k} '{v}'" for k, v in DYNAMIC_OVERWRITE.items())
-    spark.sql(f"""CREATE TABLE {table} ({cols}, created_at timestamp, batch_id bigint, window_date string)
+    spark.sql(f"""CREATE TABLE {table} ({cols}, created_at timestamp, writer string, batch_id bigint, window_date string)
                   USING parquet OPTIONS ({opts}) PARTITIONED BY (window_date)""")
 
 
-def append_speed(metrics: DataFrame, table: str, batch_id: int, now=None) -> bool:
+def append_speed(metrics: DataFrame, table: str, batch_id: int, now=None, writer: str = "") -> bool:
     """Append one micro-batch of speed metrics, stamped with ``created_at``.
 
-    Idempotent per ``batch_id``: a batch that is already in the table (a
-    retry after the write committed) is skipped, so replays never double
-    rows. The check reads only the ``batch_id`` column of a table that
-    pruning keeps small. Returns whether rows were written."""
+    Idempotent per (``writer``, ``batch_id``): a batch that is already in the
+    table (a retry after the write committed) is skipped, so replays never
+    double rows. ``writer`` is the streaming query's id, which a new checkpoint
+    changes: its batches start at 0 again and are another writer's, not
+    replays. The check reads only those two columns of a table that pruning
+    keeps small. Returns whether rows were written."""
     spark = metrics.sparkSession
-    if not spark.table(table).filter(F.col("batch_id") == F.lit(batch_id)).isEmpty():
+    same = F.col("writer").eqNullSafe(F.lit(writer)) & (F.col("batch_id") == F.lit(batch_id))
+    if not spark.table(table).filter(same).isEmpty():
         return False
-    t = F.current_timestamp() if now is None else F.lit(now).cast("timestamp")
+    t = F.current_timestamp() if now is None else ltz_lit(now)
     rows = with_window_date(metrics.select(*METRIC_FIELDS)).select(
-        *METRIC_FIELDS, t.alias("created_at"), F.lit(batch_id).cast("bigint").alias("batch_id"), "window_date")
-    # one writer per date: a micro-batch holds few dates, so this avoids
-    # (tasks × dates) small files at the cost of a shuffle of the batch output
-    append_rows(rows.repartition("window_date"), table)
+        *METRIC_FIELDS, t.alias("created_at"), F.lit(writer).alias("writer"),
+        F.lit(batch_id).cast("bigint").alias("batch_id"), "window_date")
+    # few files per date, but a large date (a replay) is split over several tasks
+    append_rows(rows.hint("rebalance", "window_date"), table)
     return True
 
 
-def _date_text(t) -> str:
-    """``yyyy-MM-dd`` of a datetime or of ``yyyy-MM-dd[ HH:mm:ss]`` text."""
-    return t.strftime("%Y-%m-%d") if hasattr(t, "strftime") else str(t)[:10]
-
-
 def prune_speed(spark: SparkSession, table: str, cutoff) -> int:
     """Remove speed rows with ``window_end <= cutoff``; rows with a NULL
     window_end stay; no cutoff → no-op. Returns the number of rows removed.
@@ -149,24 +182,25 @@ def prune_speed(spark: SparkSession, table: str, cutoff) -> int:
     Date partitions before the cutoff's date hold only prunable rows and are
     dropped as a whole (catalog operation, no data read); only the cutoff's
     own date is rewritten. Every step leaves the table consistent: the edge
-    is replaced first (from a checkpoint, never read and written in one
-    plan), the old partitions are dropped after, so a failure in between
-    only leaves rows a re-run removes."""
+    is replaced first (``overwrite_safely``: a cut-off replacement is finished
+    by the next call), the old partitions are dropped after, so a failure in
+    between only leaves rows a re-run removes."""
     if cutoff is None:
         return 0
-    cut = F.lit(cutoff).cast("timestamp_ntz")
-    cut_date = _date_text(cutoff)
+    finish_overwrite(spark, table)
+    cut = ntz_lit(cutoff)
+    cut_date = time_text(cutoff)[:10]
     t = spark.table(table)
     removed = (t.filter(F.col("window_date") <= F.lit(cut_date))
                 .filter(F.col("window_end") <= cut).count())
     if removed == 0:
         return 0
     edge = t.filter(F.col("window_date") == F.lit(cut_date))
-    kept_edge = edge.filter(~F.coalesce(F.col("window_end") <= cut, F.lit(False))).checkpoint()
+    kept_edge = edge.filter(~F.coalesce(F.col("window_end") <= cut, F.lit(False)))
     if kept_edge.isEmpty():
         drop_partitions(spark, table, [{"window_date": cut_date}])
     else:
-        overwrite_partitions(kept_edge, table)
+        overwrite_safely(kept_edge, table)
     before = [s["window_date"] for s in partition_values(spark, table)
               if s["window_date"] != "__HIVE_DEFAULT_PARTITION__" and s["window_date"] < cut_date]
     drop_partitions(spark, table, [{"window_date": d} for d in before])
@@ -178,8 +212,7 @@ def prune_speed(spark: SparkSession, table: str, cutoff) -> int:
 def time_range(df: DataFrame, start, end, month_col: str = "window_month") -> DataFrame:
     """``window_start BETWEEN start AND end`` plus the derived month predicate,
     so that a month-partitioned table only lists the months in range."""
-    s = F.lit(start).cast("timestamp_ntz")
-    e = F.lit(end).cast("timestamp_ntz")
+    s, e = ntz_lit(start), ntz_lit(end)
     out = df.filter(F.col("window_start").between(s, e))
     if month_col in df.columns:
         out = out.filter(F.col(month_col).between(F.date_format(s, "yyyy-MM"), F.date_format(e, "yyyy-MM")))
@@ -193,8 +226,9 @@ def metrics_for_airline(df: DataFrame, airline: str) -> DataFrame:
 def archive(df: DataFrame, path: str) -> None:
     """Overwrite the archive, one folder per airline. Read it back with
     partition type inference off (the session default here), or an airline
-    such as ``007`` turns into the number 7."""
-    df.write.mode("overwrite").partitionBy("airline").parquet(path)
+    such as ``007`` turns into the number 7. Few files per airline: a small one
+    has one writer, a large one several."""
+    df.hint("rebalance", "airline").write.mode("overwrite").partitionBy("airline").parquet(path)
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import discard, stored
+
 
 def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
@@ -27,6 +29,36 @@ def overwrite_partitions(df: DataFrame, table: str) -> None:
     spark.catalog.refreshTable(table)
 
 
+#: Table property: the folder of rows that an unfinished overwrite still has to bring in.
+PENDING = "tidemark.overwrite.pending"
+
+
+def overwrite_safely(df: DataFrame, table: str) -> None:
+    """``overwrite_partitions`` that survives a crash at any point, from rows that
+    may be read from ``table`` itself.
+
+    The rows are stored in a folder first and the table's properties name it;
+    only then the partitions are replaced, and the note is taken back. If the
+    job dies in between, ``finish_overwrite`` replaces the partitions again from
+    that folder: partitions that were already replaced get the same rows."""
+    spark = df.sparkSession
+    _, folder = stored(df, "overwrite")
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{PENDING}' = '{folder}')")
+    finish_overwrite(spark, table)
+
+
+def finish_overwrite(spark: SparkSession, table: str) -> bool:
+    """Complete an overwrite that was cut off; returns whether there was one."""
+    props = {r[0]: r[1] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+    folder = props.get(PENDING)
+    if not folder:
+        return False
+    overwrite_partitions(spark.read.parquet(folder), table)
+    spark.sql(f"ALTER TABLE {table} UNSET TBLPROPERTIES IF EXISTS ('{PENDING}')")
+    discard(spark, folder)
+    return True
+
+
 def append_rows(df: DataFrame, table: str) -> None:
     """Append ``df`` to ``table`` (columns matched by name), then drop the
     session's cached file listing of the table so the next read sees the

@@ -22,7 +22,6 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators import quality as Q
 from ..operators import serving as S
 from ..operators.metrics import batch_metrics
-from ..operators.tables import table_exists
 from ..schemas import METRIC_FIELDS
 from ..sources.lake import read_raw
 
@@ -70,8 +69,8 @@ def run_batch_cycle(spark: SparkSession, cfg: CycleConfig) -> DataFrame:
     S.archive(published, cfg.archive_path)
     speed = cfg.name(cfg.speed_table)
     S.create_speed_table(spark, speed)
-    S.create_unified_view(spark, cfg.name(cfg.unified_view), batch_name, speed)
-    cutoff = S.max_window_end(published)
+    S.create_unified_view(spark, cfg.name(cfg.unified_view), batch_name, speed, pin=True)
+    cutoff = S.published_end(spark, batch_name)
     removed = S.safe_prune(spark, speed, cutoff)
     log.info("pruned %s speed rows up to %s", removed, cutoff)
     alerts = cfg.name(cfg.alerts_table)
@@ -80,10 +79,13 @@ def run_batch_cycle(spark: SparkSession, cfg: CycleConfig) -> DataFrame:
         from .incremental import check_lake_from_stats, update_lake_stats
         if not cfg.lake_stats_checkpoint:
             raise ValueError("incremental cycles need lake_stats_checkpoint")
-        update_lake_stats(spark, cfg.lake_path, cfg.name(cfg.lake_stats_table), cfg.lake_stats_checkpoint)
-        lake_report = check_lake_from_stats(spark, cfg.name(cfg.lake_stats_table))
-    report = Q.run_checks(spark, cfg.lake_path, speed=spark.table(speed), batch=published,
-                          alerts=spark.table(alerts) if table_exists(spark, alerts) else None,
-                          lake_report=lake_report)
+        try:
+            update_lake_stats(spark, cfg.lake_path, cfg.name(cfg.lake_stats_table), cfg.lake_stats_checkpoint)
+            lake_report = check_lake_from_stats(spark, cfg.name(cfg.lake_stats_table))
+        except Exception as e:  # noqa: BLE001 - a FAIL row; the other layers still report
+            log.error("lake statistics failed: %s", e)
+            lake_report = Q.failed_layer(spark, "lake", e)
+    report = Q.run_checks(spark, cfg.lake_path, speed=spark.table(speed), batch=published, lake_report=lake_report,
+                          alerts_report=Q.check_table(spark, alerts, "alerts", Q.check_alerts))
     Q.summary(report, started=started, raise_on_fail=cfg.raise_on_fail)
     return report

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.time import parse_instant, parse_wall, to_ntz
@@ -109,10 +109,23 @@ def time_midpoint(events):
 
 def lake_of(spark, sf_dir) -> str:
     path = scratch_path(spark, "lake")
-    LK.write_raw(A.tweets(spark, sf_dir), path, now=FIXED_NOW)
+    LK.write_raw(A.tweets(spark, sf_dir).repartition(LAKE_FILES), path, now=FIXED_NOW)
     return path
 
 
+#: Files of each lake that the registered queries write: the reports count them.
+LAKE_FILES = 4
+
+
+def dirty(spark, sf_dir, keep=()):
+    return A.dirty_tweets(A.table(spark, sf_dir, "events"), keep)
+
+
+def before_or_null(ts, mid):
+    """The first arrival wave; the second is its complement, so no row is in neither."""
+    return F.coalesce(ts.cast("timestamp") < mid, F.lit(True))
+
+
 def alerts_table(spark, sf_dir, db: str | None = None) -> str:
     """Build the alert table by upserting negative events keyed by user: the
     first half of the time range, then everything (a replay of the first
@@ -372,9 +385,9 @@ def batch_hourly_incremental(spark, sf_dir):
     lake = scratch_path(spark, "lake")
     table = f"{scratch_database(spark, 'partials')}.batch_partials"
     ckpt = scratch_path(spark, "partials-ckpt")
-    LK.write_raw(t.filter(F.col("ts").cast("timestamp") < mid), lake, now=FIXED_NOW)
+    LK.write_raw(t.filter(before_or_null(F.col("ts"), mid)), lake, now=FIXED_NOW)
     update_batch_partials(spark, lake, table, ckpt)
-    LK.write_raw(t.filter(F.col("ts").cast("timestamp") >= mid), lake, now=FIXED_NOW)
+    LK.write_raw(t.filter(~before_or_null(F.col("ts"), mid)), lake, now=FIXED_NOW)
     update_batch_partials(spark, lake, table, ckpt)
     return batch_metrics_from_partials(spark, table)
 
@@ -389,9 +402,9 @@ def dq_raw_lake_incremental(spark, sf_dir):
     lake = scratch_path(spark, "lake")
     table = f"{scratch_database(spark, 'lakestats')}.lake_stats"
     ckpt = scratch_path(spark, "lakestats-ckpt")
-    LK.write_raw(t.filter(F.col("ts").cast("timestamp") < mid).drop("ts"), lake, now=FIXED_NOW)
+    LK.write_raw(t.filter(before_or_null(F.col("ts"), mid)).drop("ts").repartition(LAKE_FILES), lake, now=FIXED_NOW)
     update_lake_stats(spark, lake, table, ckpt)
-    LK.write_raw(t.filter(F.col("ts").cast("timestamp") >= mid).drop("ts"), lake, now=FIXED_NOW)
+    LK.write_raw(t.filter(~before_or_null(F.col("ts"), mid)).drop("ts").repartition(LAKE_FILES), lake, now=FIXED_NOW)
     update_lake_stats(spark, lake, table, ckpt)
     return check_lake_from_stats(spark, table)
 
@@ -406,3 +419,162 @@ def unified_serving_view(spark, sf_dir):
     cfg = CycleConfig(lake_path=lake_of(spark, sf_dir), database=db, archive_path=scratch_path(spark, "archive"))
     run_batch_cycle(spark, cfg)
     return spark.table(cfg.name(cfg.unified_view))
+
+
+# ============================================================================ the rules, on dirty rows
+@query("batch_hourly_dirty")
+def batch_hourly_dirty(spark, sf_dir):
+    """AGG1 where keys, classes, measures and times are NULL, unknown or bad."""
+    return M.batch_metrics(dirty(spark, sf_dir))
+
+
+@query("speed_minute_dirty")
+def speed_minute_dirty(spark, sf_dir):
+    """AGG2 on the same rows, with the speed layer's null rules."""
+    return M.speed_metrics(dirty(spark, sf_dir))
+
+
+@query("valid_time_dirty")
+def valid_time_dirty(spark, sf_dir):
+    """FLT2: rows whose time is garbage or NULL go."""
+    t = dirty(spark, sf_dir).withColumn("tweet_ts", parse_instant("tweet_created"))
+    return t.filter(F.col("tweet_ts").isNotNull()).select("event_id", *TWEET_FIELDS, to_ntz(F.col("tweet_ts")).alias("tweet_ts"))
+
+
+def dirty_messages(spark, sf_dir):
+    """JSON messages of the dirty rows, with NULL, junk and short ones among them."""
+    k = F.col("event_id") % 29
+    enc = dirty(spark, sf_dir).select("event_id", F.to_json(F.struct(*TWEET_FIELDS)).alias("value"))
+    return enc.select("event_id", F.when(k == 1, "not json").when(k == 2, '{"tweet_id":"1"}').when(k != 0, F.col("value")).alias("value"))
+
+
+@query("decode_skip_dirty")
+def decode_skip_dirty(spark, sf_dir):
+    """SRC5: undecodable messages go; what came beside a value (here its id) stays."""
+    return W.skip_bad(W.decode_json(dirty_messages(spark, sf_dir)))
+
+
+def dirty_landing(spark, sf_dir) -> str:
+    """Landing files in event order with unquoted empty fields and junk counts."""
+    path = scratch_path(spark, "landing")
+    m = F.col("event_id") % A.DIRTY_MODULUS
+    rt = F.when(m == 12, "12x").when(m == 13, " 7 ").otherwise(F.col("retweet_count").cast("string"))
+    (dirty(spark, sf_dir).withColumn("retweet_count", rt).orderBy("event_id").select(*TWEET_FIELDS)
+     .write.option("header", "true").option("escape", '"').option("emptyValue", "")
+     .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(path))
+    return path
+
+
+@query("landing_dirty")
+def landing_dirty(spark, sf_dir):
+    """SRC1/PRJ1: empty fields are empty text, junk counts are flagged."""
+    return L.normalise(L.read_landing(spark, dirty_landing(spark, sf_dir)))
+
+
+@query("landing_counts")
+def landing_counts(spark, sf_dir):
+    """PRJ1: records and rejected rows."""
+    return L.landing_counts(L.normalise(L.read_landing(spark, dirty_landing(spark, sf_dir))))
+
+
+@query("landing_replay_index")
+def landing_replay_index(spark, sf_dir):
+    """SRT1 with the order in the result: each airline's rows numbered in replay
+    order (time text, then input position), in one pass per airline."""
+    rows = L.normalise(L.read_landing(spark, dirty_landing(spark, sf_dir), position=True))
+    w = Window.partitionBy("airline").orderBy("tweet_created", L.POSITION)
+    return rows.select("airline", "tweet_id", "tweet_created", F.row_number().over(w).cast("bigint").alias("replay_index"))
+
+
+@query("alerts_upsert_dirty")
+def alerts_upsert_dirty(spark, sf_dir):
+    """STR10/JON1 with a NULL key and repeated keys, replayed: once is as thrice."""
+    table = f"{scratch_database(spark, 'alerts')}.tweet_alerts"
+    ev = A.table(spark, sf_dir, "events")
+    u = AL.alert_filter(A.events_as_alert_updates(ev))
+    u = u.withColumn("tweet_id", F.when(F.col("tweet_id").cast("bigint") % 7 != 0, F.col("tweet_id")))
+    for part in (u.filter(before_or_null(F.col("created_at"), time_midpoint(ev))), u, u):
+        AL.upsert(spark, table, part, order_cols=("event_id",), buckets=16)
+    return alert_rows(spark.table(table))
+
+
+@query("alert_publish")
+def alert_publish(spark, sf_dir):
+    """SNK2: negative rows of the stream published as messages, decoded again."""
+    path = scratch_path(spark, "alert-topic")
+    SP.run_available(SP.start_alert_publish(A.events_as_tweets(events_stream(spark, sf_dir)), path,
+                                            scratch_path(spark, "alert-ckpt"), trigger={"availableNow": True}))
+    return W.skip_bad(W.decode_json(spark.read.schema("value string").parquet(path)))
+
+
+@query("wire_frame_check")
+def wire_frame_check(spark, sf_dir):
+    """SRC4: magic byte, length and schema id of framed values, by ``event_id % 7``."""
+    k = F.col("event_id") % 7
+    body = F.encode(F.coalesce("props", F.lit("")), "utf-8")
+    head = lambda h: F.concat(F.unhex(F.lit(h)), body)
+    value = (F.when(k == 1, head("0100000003")).when(k == 2, F.unhex(F.lit("000000"))).when(k == 3, head("0000000009"))
+             .when(k == 4, F.unhex(F.lit(""))).when(k != 0, head("0000000003")))
+    framed = A.table(spark, sf_dir, "events").select("event_id", value.alias("value"))
+    schema_id, content, bad = W.frame(F.col("value"), [3, 4])
+    return framed.select("event_id", schema_id.alias("schema_id"), F.decode(content, "utf-8").alias("body"), bad.alias("is_bad"))
+
+
+@query("raw_lake_mixed")
+def raw_lake_mixed(spark, sf_dir):
+    """SNK4/SNK5 and a batch append at one path: every row of both is read."""
+    path = scratch_path(spark, "lake")
+    raw = A.events_as_tweets(events_stream(spark, sf_dir))
+    SP.run_available(LK.append_raw(raw, path, scratch_path(spark, "lake-ckpt"), now=FIXED_NOW, trigger={"availableNow": True}))
+    LK.write_raw(dirty(spark, sf_dir), path, now=FIXED_NOW)
+    return LK.read_raw(spark, path)
+
+
+@query("raw_lake_nested_incremental")
+def raw_lake_nested_incremental(spark, sf_dir):
+    """AGG1 kept incrementally over a lake with folders in folders."""
+    from .incremental import batch_metrics_from_partials, update_batch_partials
+    t = A.tweets(spark, sf_dir, keep=("ts",))
+    first = before_or_null(F.col("ts"), time_midpoint(A.table(spark, sf_dir, "events")))
+    lake, ckpt = scratch_path(spark, "lake"), scratch_path(spark, "partials-ckpt")
+    table = f"{scratch_database(spark, 'partials')}.batch_partials"
+    for rows, folder in ((t.filter(first), "2024/01/first"), (t.filter(~first), "late")):
+        LK.write_raw(rows, f"{lake}/{folder}", now=FIXED_NOW)
+        update_batch_partials(spark, lake, table, ckpt)
+    return batch_metrics_from_partials(spark, table)
+
+
+@query("dq_raw_lake_broken")
+def dq_raw_lake_broken(spark, sf_dir):
+    """DQ1-5 on a lake that fails: every one of its invalid values is reported."""
+    path = scratch_path(spark, "lake")
+    LK.write_raw(dirty(spark, sf_dir).repartition(LAKE_FILES), path, now=FIXED_NOW)
+    return Q.check_lake(spark, path)
+
+
+@query("dq_metrics_dirty")
+def dq_metrics_dirty(spark, sf_dir):
+    """DQ6-10 on metrics that break each rule, by airline."""
+    a = F.col("airline")
+    m = M.batch_metrics(dirty(spark, sf_dir))
+    m = (m.withColumn("positive_ratio", F.when(a == "airline_1", F.col("positive_ratio") + 1).otherwise(F.col("positive_ratio")))
+          .withColumn("negative_count", F.when(a == "airline_2", -1).otherwise(F.col("negative_count")))
+          .withColumn("neutral_count", F.when(a == "airline_3", F.col("tweet_count") + 1).otherwise(F.col("neutral_count")))
+          .withColumn("tweet_count", F.when(a == "airline_4", F.lit(None)).otherwise(F.col("tweet_count"))))
+    return Q.check_metrics(m, "batch")
+
+
+@query("dq_alerts_dirty")
+def dq_alerts_dirty(spark, sf_dir):
+    """DQ11-13 on rows that are no proper alerts."""
+    return Q.check_alerts(dirty(spark, sf_dir))
+
+
+@query("dq_missing_alerts")
+def dq_missing_alerts(spark, sf_dir):
+    """SRV5 without an alert table: its layer fails, the others report."""
+    from .batch_cycle import CycleConfig, run_batch_cycle
+    db = scratch_database(spark, "cycle")
+    speed_table_from_stream(spark, sf_dir, db)
+    cfg = CycleConfig(lake_path=lake_of(spark, sf_dir), database=db, archive_path=scratch_path(spark, "archive"))
+    return run_batch_cycle(spark, cfg)

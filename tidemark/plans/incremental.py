@@ -24,32 +24,49 @@ from pyspark.sql import functions as F
 
 from ..functions.time import parse_time
 from ..operators.metrics import TWEET_SPEC, MetricSpec, combine_partials, finish_partials, partial_metrics
-from ..operators.tables import DYNAMIC_OVERWRITE, append_rows, overwrite_partitions, table_exists
-from ..schemas import RAW_LAKE
+from ..operators import quality as Q
+from ..operators.tables import DYNAMIC_OVERWRITE, append_rows, finish_overwrite, overwrite_safely, table_exists
+from ..schemas import RAW_LAKE, SENTIMENTS
+from ..session import discard, stored
 from ..sources.lake import LAKE_READ_OPTIONS
 from ..streaming.speed import run_available
 
 
 def merge_partials(spark: SparkSession, table: str, new: DataFrame, batch_id: int,
                    spec: MetricSpec = TWEET_SPEC) -> bool:
-    """Fold ``new`` partials into ``table``; returns False for a replayed batch."""
+    """Fold ``new`` partials into ``table``; returns False for a replayed batch.
+
+    The touched months are replaced together by ``overwrite_safely``: a fold
+    that was cut off between two months is finished before anything else, and a
+    month that has the batch already is left alone."""
     new = new.withColumn("last_batch", F.lit(batch_id).cast("bigint"))
     if not table_exists(spark, table):
-        new.repartition("window_month").write.format("parquet").options(**DYNAMIC_OVERWRITE) \
+        new.hint("rebalance", "window_month").write.format("parquet").options(**DYNAMIC_OVERWRITE) \
             .partitionBy("window_month").saveAsTable(table)
         return True
-    if not spark.table(table).filter(F.col("last_batch") >= F.lit(batch_id)).isEmpty():
-        return False
-    new = new.checkpoint()
+    finish_overwrite(spark, table)
+    new, folder = stored(new, "partials")
     # calendar months present in the new files: bounded by the time span, not
     # by the rows; as literals they prune the partials scan to those months
     months = [r[0] for r in new.select("window_month").distinct().collect()]
     old = spark.table(table).filter(F.col("window_month").isin(months))
-    merged = (combine_partials(old.drop("last_batch").unionByName(new.drop("last_batch")), spec)
-              .withColumn("last_batch", F.lit(batch_id).cast("bigint"))
-              .repartition("window_month").checkpoint())
-    overwrite_partitions(merged, table)
-    return True
+    have = {r[0] for r in old.groupBy("window_month").agg(F.max("last_batch").alias("b")).filter(F.col("b") >= batch_id).collect()}
+    todo = [m for m in months if m not in have]
+    if todo:
+        both = old.drop("last_batch").unionByName(new.drop("last_batch")).filter(F.col("window_month").isin(todo))
+        merged = combine_partials(both, spec).withColumn("last_batch", F.lit(batch_id).cast("bigint"))
+        overwrite_safely(merged.hint("rebalance", "window_month"), table)
+    discard(spark, folder)
+    return bool(todo)
+
+
+DEFAULT_MAX_FILES = 5000
+
+
+def _new_files(spark: SparkSession, lake_path: str, max_files_per_trigger: int) -> DataFrame:
+    return (spark.readStream.schema(RAW_LAKE).option("pathGlobFilter", LAKE_READ_OPTIONS["pathGlobFilter"])
+            .option("recursiveFileLookup", "true").option("maxFilesPerTrigger", str(max_files_per_trigger))
+            .parquet(lake_path).select("*", F.col("_metadata.file_path").alias("_file")))
 
 
 CHECKPOINT_PROPERTY = "tidemark.partials.checkpoint"
@@ -71,15 +88,16 @@ def _bind_checkpoint(spark: SparkSession, table: str, checkpoint: str) -> None:
 
 def update_batch_partials(spark: SparkSession, lake_path: str, table: str, checkpoint: str,
                           time_mode: str = "wall", width: str = "1 hour", spec: MetricSpec = TWEET_SPEC,
-                          max_files_per_trigger: int | None = 5000, timeout_s: int = 3600):
-    """Fold every lake file not seen before into the partials table, at most
-    ``max_files_per_trigger`` files per micro-batch (bounds a bootstrap over
-    a large existing lake as well as the source's per-batch bookkeeping)."""
-    r = (spark.readStream.schema(RAW_LAKE).option("pathGlobFilter", LAKE_READ_OPTIONS["pathGlobFilter"])
-         .option("ignoreMissingFiles", "true").option("ignoreCorruptFiles", "true"))
-    if max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    raw = r.parquet(lake_path)
+                          max_files_per_trigger: int = DEFAULT_MAX_FILES, timeout_s: float | None = None):
+    """Fold every lake file not seen before, at any depth of the lake, into the
+    partials table, at most ``max_files_per_trigger`` files per micro-batch
+    (bounds a bootstrap over a large existing lake as well as the source's
+    per-batch bookkeeping).
+
+    A file that can't be read fails the update and stays unseen: it counts once
+    it is repaired or moved out of the lake. (Skipping it would record it as
+    processed for good.)"""
+    raw = _new_files(spark, lake_path, max_files_per_trigger)
 
     def fold(batch: DataFrame, batch_id: int) -> None:
         merge_partials(spark, table, partial_metrics(batch, parse_time("tweet_created", time_mode), width, spec),
@@ -99,53 +117,51 @@ def batch_metrics_from_partials(spark: SparkSession, table: str, spec: MetricSpe
 # --------------------------------------------------------------------------- lake quality, incrementally
 LAKE_STATS_SCHEMA = ("batch_id bigint, files bigint, n bigint, null_tweet_id bigint, null_airline bigint, "
                      "null_airline_sentiment bigint, bad_sent bigint, sent_values array<string>, "
-                     "bad_values array<string>, columns array<string>")
-DEFAULT_MAX_FILES = 5000
+                     "columns array<string>")
+
+
+def _invalid_table(table: str) -> str:
+    return f"{table}_invalid"
 
 
 def _lake_stats_row(spark: SparkSession, batch: DataFrame, batch_id: int):
     """Additive lake-check ingredients of one micro-batch of files. The file
     list is bounded by ``maxFilesPerTrigger``; only those files' footers are
     read to learn which columns they carry."""
-    from ..operators.quality import BAD_VALUE_SAMPLE, LAKE_NULL_COLUMNS
-    from ..schemas import SENTIMENTS
     files = [r[0] for r in batch.select("_file").distinct().collect()]
     if not files:
         return None
-    cols = [c for c in spark.read.option("mergeSchema", "true").parquet(*files).columns]
+    cols = spark.read.option("mergeSchema", "true").parquet(*files).columns
     s = F.col("airline_sentiment")
-    invalid = s.isNotNull() & ~s.isin(*SENTIMENTS)
     r = batch.agg(F.count(F.lit(1)).alias("n"),
-                  *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in LAKE_NULL_COLUMNS],
-                  F.count_if(invalid).alias("bad_sent"),
+                  *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in Q.LAKE_NULL_COLUMNS],
+                  F.count_if(Q.invalid_sentiment()).alias("bad_sent"),
                   F.array_sort(F.collect_set(F.when(s.isin(*SENTIMENTS), s))).alias("sent_values")).first()
-    bad_values = []
-    if r["bad_sent"]:
-        bad_values = [x[0] for x in batch.filter(invalid).select("airline_sentiment").distinct()
-                      .orderBy("airline_sentiment").limit(BAD_VALUE_SAMPLE).collect()]
     return (batch_id, len(files), r["n"], r["null_tweet_id"], r["null_airline"], r["null_airline_sentiment"],
-            r["bad_sent"], list(r["sent_values"]), bad_values, cols)
+            r["bad_sent"], list(r["sent_values"]), cols)
 
 
 def update_lake_stats(spark: SparkSession, lake_path: str, table: str, checkpoint: str,
-                      max_files_per_trigger: int = DEFAULT_MAX_FILES, timeout_s: int = 3600):
-    """Add one statistics row per micro-batch of lake files not seen before.
-    Idempotent per batch id; bound to its checkpoint like the partials."""
-    raw = (spark.readStream.schema(RAW_LAKE).option("pathGlobFilter", LAKE_READ_OPTIONS["pathGlobFilter"])
-           .option("maxFilesPerTrigger", str(max_files_per_trigger)).parquet(lake_path)
-           .select("*", F.col("_metadata.file_path").alias("_file")))
+                      max_files_per_trigger: int = DEFAULT_MAX_FILES, timeout_s: float | None = None):
+    """Add one statistics row per micro-batch of lake files not seen before, at
+    any depth, and that batch's invalid values with their counts to a table
+    beside it. Idempotent per batch id; bound to its checkpoint like the
+    partials. A file that can't be read fails the update and stays unseen."""
+    raw = _new_files(spark, lake_path, max_files_per_trigger)
+    invalid = _invalid_table(table)
 
     def fold(batch: DataFrame, batch_id: int) -> None:
-        if table_exists(spark, table) and not spark.table(table).filter(F.col("batch_id") == batch_id).isEmpty():
+        def has(t: str) -> bool:
+            return table_exists(spark, t) and not spark.table(t).filter(F.col("batch_id") == batch_id).isEmpty()
+
+        if has(table):
             return
         row = _lake_stats_row(spark, batch, batch_id)
         if row is None:
             return
-        stats = spark.createDataFrame([row], LAKE_STATS_SCHEMA)
-        if table_exists(spark, table):
-            append_rows(stats, table)
-        else:
-            stats.write.format("parquet").saveAsTable(table)
+        if row[6] and not has(invalid):   # before the statistics row, which marks the batch as done
+            _add(Q.invalid_values(batch).select(F.lit(batch_id).cast("bigint").alias("batch_id"), "value", "rows"), invalid)
+        _add(spark.createDataFrame([row], LAKE_STATS_SCHEMA), table)
         _bind_checkpoint(spark, table, checkpoint)
 
     _bind_checkpoint(spark, table, checkpoint)
@@ -154,23 +170,34 @@ def update_lake_stats(spark: SparkSession, lake_path: str, table: str, checkpoin
     return run_available(q, timeout_s)
 
 
+def _add(rows: DataFrame, table: str) -> None:
+    if table_exists(rows.sparkSession, table):
+        append_rows(rows, table)
+    else:
+        rows.write.format("parquet").saveAsTable(table)
+
+
 def check_lake_from_stats(spark: SparkSession, table: str, layer: str = "lake") -> DataFrame:
-    """The lake checks of ``quality.check_lake``, from the statistics table
-    (one small row per processed batch) instead of a scan of the lake."""
-    from ..operators.quality import LAKE_NULL_COLUMNS, _report, _row, lake_report_rows
+    """The lake checks of ``quality.check_lake``, from the statistics tables
+    (one small row per processed batch, one per batch and invalid value)
+    instead of a scan of the lake."""
+    none = Q.no_files(spark, layer)
     if not table_exists(spark, table):
-        return _report(spark, [_row(layer, "files exist", False, "no parquet files found")])
-    r = spark.table(table).agg(
-        F.sum("files").alias("files"), F.sum("n").alias("n"),
-        *[F.sum(f"null_{c}").alias(f"null_{c}") for c in LAKE_NULL_COLUMNS],
-        F.sum("bad_sent").alias("bad_sent"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("sent_values")))).alias("sent_values"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("bad_values")))).alias("bad_values"),
-        F.array_distinct(F.flatten(F.collect_list("columns"))).alias("columns")).first()
+        return none
+    t = spark.table(table)
+    r = t.agg(F.sum("files").alias("files"), F.sum("n").alias("n"),
+              *[F.sum(f"null_{c}").alias(f"null_{c}") for c in Q.LAKE_NULL_COLUMNS], F.sum("bad_sent").alias("bad_sent")).first()
     if not r["files"]:
-        return _report(spark, [_row(layer, "files exist", False, "no parquet files found")])
-    cols = list(r["columns"])
-    nulls = {c: r[f"null_{c}"] for c in LAKE_NULL_COLUMNS}
+        return none
+
+    def distinct(c: str) -> list[str]:   # column names, or the known sentiments: few
+        return sorted(x[0] for x in t.select(F.explode(c)).distinct().collect())
+
+    cols = distinct("columns")
+    nulls = {c: r[f"null_{c}"] for c in Q.LAKE_NULL_COLUMNS}
     bad = r["bad_sent"] if "airline_sentiment" in cols else None
-    return _report(spark, lake_report_rows(layer, r["n"], cols, nulls, bad, list(r["bad_values"]),
-                                           list(r["sent_values"])))
+    report = Q.lake_report(spark, layer, r["files"], r["n"], cols, nulls, bad, distinct("sent_values"))
+    if not bad:
+        return report
+    values = spark.table(_invalid_table(table)).groupBy("value").agg(F.sum("rows").alias("rows"))
+    return report.unionByName(Q.value_rows(layer, values))

@@ -6,7 +6,41 @@ code path with it, only the conventions (adapter, column names, null rules).
 
 from __future__ import annotations
 
-from ..operators.metrics import ORDERS_SPEC, TWEET_SPEC, MetricSpec
+from dataclasses import dataclass
+
+
+
+@dataclass
+class MetricSpec:
+    """What a metrics query computes, written out here: nothing is shared with the library."""
+    key: str
+    key_out: str
+    category: str
+    classes: tuple
+    class_names: tuple
+    ratio_classes: tuple
+    ratio_names: tuple
+    measure: str
+    count_name: str
+    avg_name: str
+    max_name: str
+    rate_name: str
+    rate_divisor: float
+
+    def class_col(self, c: str) -> str:
+        return self.class_names[self.classes.index(c)]
+
+    def ratio_col(self, c: str) -> str:
+        return self.ratio_names[self.ratio_classes.index(c)]
+
+
+TWEET_SPEC = MetricSpec("airline", "airline", "airline_sentiment", ("positive", "negative", "neutral"),
+                        ("positive_count", "negative_count", "neutral_count"), ("positive", "negative"),
+                        ("positive_ratio", "negative_ratio"), "retweet_count", "tweet_count", "avg_retweet",
+                        "max_retweet", "tweet_rate", 60.0)
+ORDERS_SPEC = MetricSpec("o_orderpriority", "o_orderpriority", "o_orderstatus", ("F", "O", "P"), ("F_count", "O_count", "P_count"),
+                         ("F", "O"), ("F_ratio", "O_ratio"), "o_totalprice", "order_count", "avg_totalprice",
+                         "max_totalprice", "order_rate", 60.0)
 
 TW = """tw AS (
   SELECT CAST(event_id AS VARCHAR) AS tweet_id,
@@ -158,7 +192,7 @@ def dq_metrics_sql(rel: str, layer: str) -> str:
     return _dq_union(layer, a, items)
 
 
-def dq_lake_sql() -> str:
+def dq_lake_sql(files: int = 4, rel: str | None = None) -> str:
     a = f"""(SELECT count(*) AS n,
     count(*) FILTER (WHERE tweet_id IS NULL) AS null_tweet_id,
     count(*) FILTER (WHERE airline IS NULL) AS null_airline,
@@ -167,23 +201,26 @@ def dq_lake_sql() -> str:
                      AND airline_sentiment NOT IN ('positive', 'negative', 'neutral')) AS bad_sent,
     string_agg(DISTINCT airline_sentiment, ', ' ORDER BY airline_sentiment)
       FILTER (WHERE airline_sentiment IN ('positive', 'negative', 'neutral')) AS sent_values
-  FROM ({LAKE_ROWS}) l) a"""
-    items = [("files exist", "true", "'files found'", ""),
+  FROM ({rel or LAKE_ROWS}) l) a"""
+    items = [("files exist", "true", f"'{files} files found'", ""),
              ("row count > 0", "n > 0", "CAST(n AS VARCHAR) || ' rows'", ""),
              ("schema (7 columns)", "true",
               "'columns: airline, airline_sentiment, ingested_at, retweet_count, text, tweet_created, tweet_id'", "")]
     for c in ["tweet_id", "airline", "airline_sentiment"]:
         items.append((f"null check: {c}", f"null_{c} = 0", f"CAST(null_{c} AS VARCHAR) || ' nulls'", ""))
-    items.append(("sentiment values valid", "bad_sent = 0", "'values: ' || sent_values", ""))
-    return _dq_union("lake", a, items)
+    items.append(("sentiment values valid", "bad_sent = 0",
+                  "CASE WHEN bad_sent = 0 THEN 'values: ' || sent_values ELSE CAST(bad_sent AS VARCHAR) || ' rows with invalid values' END", ""))
+    return _dq_union("lake", a, items) + f"""
+UNION ALL SELECT 'lake', 'invalid sentiment value', false, airline_sentiment || ': ' || CAST(count(*) AS VARCHAR) || ' rows'
+FROM ({rel or LAKE_ROWS}) v WHERE airline_sentiment NOT IN ('positive', 'negative', 'neutral') GROUP BY airline_sentiment"""
 
 
-def dq_alerts_sql() -> str:
+def dq_alerts_sql(rel: str | None = None) -> str:
     a = f"""(SELECT count(*) AS n,
     count(*) FILTER (WHERE tweet_id IS NULL OR tweet_id = '') AS null_tweet_id,
     count(*) FILTER (WHERE airline IS NULL OR airline = '') AS null_airline,
     count(*) FILTER (WHERE airline_sentiment IS DISTINCT FROM 'negative') AS not_negative
-  FROM ({ALERTS}) x) a"""
+  FROM ({rel or ALERTS}) x) a"""
     items = [("row count > 0", "n > 0", "CAST(n AS VARCHAR) || ' rows'", "")]
     for c in ["tweet_id", "airline"]:
         items.append((f"null check: {c}", f"null_{c} = 0", f"CAST(null_{c} AS VARCHAR) || ' nulls'", "n > 0"))
@@ -195,10 +232,10 @@ DQ_SPEED = dq_metrics_sql(SPEED_MINUTE, "speed")
 DQ_BATCH = dq_metrics_sql(BATCH_HOURLY, "batch")
 DQ_SUMMARY = f"""SELECT count(*) AS total, count(*) FILTER (WHERE passed) AS passed,
   count(*) FILTER (WHERE NOT passed) AS failed
-FROM ({dq_lake_sql()}
+FROM (SELECT * FROM ({dq_lake_sql()}
 UNION ALL {DQ_SPEED}
 UNION ALL {DQ_BATCH}
-UNION ALL {dq_alerts_sql()}) r"""
+UNION ALL {dq_alerts_sql()}) c WHERE "check" <> 'invalid sentiment value') r"""
 
 ORACLE.update({
     "valid_time_filter": f"WITH {TW} SELECT {TWEET_COLS}, {WALL} AS tweet_ts FROM tw WHERE {WALL} IS NOT NULL",
@@ -242,5 +279,64 @@ UNION ALL {DQ_BATCH}
 UNION ALL {dq_alerts_sql()}"""
 
 ORACLE["batch_hourly_incremental"] = BATCH_HOURLY
-ORACLE["dq_raw_lake_incremental"] = dq_lake_sql()
+ORACLE["dq_raw_lake_incremental"] = dq_lake_sql(8)
 ORACLE["unified_serving_view"] = unified_sql(BATCH_HOURLY, SPEED_AFTER_PRUNE)
+
+# ============================================================================ dirty rows
+DTW = TW + """,
+dtw AS (
+  SELECT CASE WHEN m <> 11 THEN tweet_id END AS tweet_id,
+         CASE WHEN m = 10 THEN '' WHEN m <> 0 THEN airline END AS airline,
+         CASE WHEN m = 1 THEN NULL WHEN m = 3 THEN 'Positive'
+              WHEN m = 4 THEN 'odd_' || CAST((event_id // 23) % 25 AS VARCHAR) ELSE airline_sentiment END AS airline_sentiment,
+         CASE WHEN m = 8 THEN '' ELSE text END AS text,
+         CASE WHEN m = 7 THEN -5 WHEN m <> 2 THEN retweet_count END AS retweet_count,
+         CASE WHEN m = 5 THEN 'garbage' WHEN m = 6 THEN replace(tweet_created, ' -0800', ' +0530')
+              WHEN m <> 9 THEN tweet_created END AS tweet_created, event_id, m
+  FROM (SELECT *, event_id % 23 AS m FROM tw) x)"""
+BATCH_DIRTY = f"WITH {DTW}\n{metrics_sql('dtw', WALL, 'hour', 'batch')}"
+DIRTY_LAKE = (f"WITH {DTW} SELECT tweet_id, airline, airline_sentiment, text, CAST(retweet_count AS BIGINT) "
+              f"AS retweet_count, tweet_created, {INGESTED} AS ingested_at FROM dtw")
+LANDED = f"""WITH {DTW},
+l AS (SELECT coalesce(tweet_id, '') AS tweet_id, coalesce(airline, '') AS airline,
+             coalesce(airline_sentiment, '') AS airline_sentiment, coalesce(text, '') AS text,
+             CASE WHEN m = 12 THEN NULL WHEN m = 13 THEN 7 ELSE coalesce(retweet_count, 0) END AS retweet_count,
+             coalesce(tweet_created, '') AS tweet_created, m = 12 AS is_bad, event_id FROM dtw)"""
+METRICS_BROKEN = f"""SELECT * REPLACE (
+    CASE WHEN airline = 'airline_1' THEN positive_ratio + 1 ELSE positive_ratio END AS positive_ratio,
+    CASE WHEN airline = 'airline_2' THEN -1 ELSE negative_count END AS negative_count,
+    CASE WHEN airline = 'airline_3' THEN tweet_count + 1 ELSE neutral_count END AS neutral_count,
+    CASE WHEN airline IS DISTINCT FROM 'airline_4' THEN tweet_count END AS tweet_count)
+  FROM ({BATCH_DIRTY}) b"""
+ALERTS_DIRTY = f"""WITH {TW},
+u AS (SELECT CASE WHEN user_id % 7 <> 0 THEN CAST(user_id AS VARCHAR) END AS tweet_id, airline, airline_sentiment, text,
+             retweet_count, tweet_created, ts AS created_at, event_id
+      FROM tw WHERE airline_sentiment = 'negative')
+SELECT {TWEET_COLS}, created_at FROM u
+QUALIFY row_number() OVER (PARTITION BY tweet_id ORDER BY event_id DESC) = 1"""
+
+ORACLE.update({
+    "batch_hourly_dirty": BATCH_DIRTY,
+    "speed_minute_dirty": f"WITH {DTW}\n{metrics_sql('dtw', INSTANT, 'minute', 'speed')}",
+    "valid_time_dirty": f"WITH {DTW} SELECT event_id, {TWEET_COLS}, {INSTANT} AS tweet_ts FROM dtw WHERE {INSTANT} IS NOT NULL",
+    "decode_skip_dirty": f"""WITH {DTW} SELECT {TWEET_COLS}, event_id FROM dtw
+WHERE event_id % 29 NOT IN (0, 1, 2) AND tweet_id IS NOT NULL AND airline IS NOT NULL AND airline_sentiment IS NOT NULL
+  AND text IS NOT NULL AND retweet_count IS NOT NULL AND tweet_created IS NOT NULL""",
+    "landing_dirty": f"{LANDED} SELECT {TWEET_COLS}, is_bad FROM l",
+    "landing_counts": f"{LANDED} SELECT count(*) FILTER (WHERE NOT is_bad) AS records, count(*) FILTER (WHERE is_bad) AS rejected FROM l",
+    "landing_replay_index": f"""{LANDED} SELECT airline, tweet_id, tweet_created,
+  row_number() OVER (PARTITION BY airline ORDER BY tweet_created, event_id) AS replay_index FROM l""",
+    "alerts_upsert_dirty": ALERTS_DIRTY,
+    "alert_publish": ORACLE["alert_filter"],
+    "wire_frame_check": """SELECT event_id, CASE WHEN event_id % 7 IN (5, 6) THEN 3 END AS schema_id,
+  CASE WHEN event_id % 7 IN (5, 6) THEN coalesce(props, '') END AS body, event_id % 7 NOT IN (5, 6) AS is_bad FROM events""",
+    "raw_lake_mixed": f"SELECT * FROM ({LAKE_ROWS}) a UNION ALL SELECT * FROM ({DIRTY_LAKE}) b",
+    "raw_lake_nested_incremental": BATCH_HOURLY,
+    "dq_raw_lake_broken": dq_lake_sql(4, DIRTY_LAKE),
+    "dq_metrics_dirty": dq_metrics_sql(METRICS_BROKEN, "batch"),
+    "dq_alerts_dirty": dq_alerts_sql(f"WITH {DTW} SELECT * FROM dtw"),
+    "dq_missing_alerts": f"""{dq_lake_sql()}
+UNION ALL {dq_metrics_sql(SPEED_AFTER_PRUNE, "speed")}
+UNION ALL {DQ_BATCH}
+UNION ALL SELECT 'alerts', 'row count > 0', false, 'no table'""",
+})

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job of the library expects. Time zone is pinned so that the
 # "wall" clock of the batch layer and the "instant" clock of the speed layer
@@ -33,8 +33,8 @@ REQUIRED_CONF = {
 # * 256 MB scan splits;
 # * RocksDB state for the streaming aggregation (state off-heap, checkpointed
 #   incrementally). A stream's state partition count is fixed for the life of
-#   its checkpoint: start the speed queries with ``state_partitions`` sized to
-#   the source (e.g. a small multiple of the topic partitions), not 4000.
+#   its checkpoint: read the speed queries' stream in a ``speed_session`` sized
+#   to the source (e.g. twice the topic partitions), not 4000.
 CLUSTER_CONF = {
     "spark.sql.shuffle.partitions": "4000",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
@@ -82,6 +82,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="tidemark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     sc.setCheckpointDir(d)
@@ -95,7 +97,42 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/tidemark/{name}-{uuid.uuid4().hex[:12]}"
 
 
-__all__ = ["build_session", "apply_conf", "ensure_checkpoint_dir", "scratch_path", "REQUIRED_CONF", "CLUSTER_CONF"]
+def stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``df`` written below the shared checkpoint folder and read back, with its
+    folder; ``discard`` removes that when the rows have reached their table."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def _file_system(spark: SparkSession, folder: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def folder_exists(spark: SparkSession, folder: str) -> bool:
+    fs, path = _file_system(spark, folder)
+    return fs.exists(path)
+
+
+def move_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder (atomic where the file system's rename is)."""
+    fs, path = _file_system(spark, source)
+    goal = spark._jvm.org.apache.hadoop.fs.Path(target)
+    fs.mkdirs(goal.getParent())
+    if not fs.rename(path, goal):
+        raise OSError(f"could not move {source} to {target}")
+
+
+def discard(spark: SparkSession, *folders: str) -> None:
+    """Remove folders that ``stored`` made."""
+    for folder in folders:
+        fs, path = _file_system(spark, folder)
+        fs.delete(path, True)
+
+
+__all__ = ["build_session", "apply_conf", "ensure_checkpoint_dir", "scratch_path", "stored", "discard", "REQUIRED_CONF",
+           "CLUSTER_CONF"]
 
 
 def scratch_database(spark: SparkSession, name: str) -> str:

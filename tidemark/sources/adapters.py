@@ -69,3 +69,29 @@ def events_as_alert_updates(events: DataFrame) -> DataFrame:
         F.col("ts").cast("timestamp").alias("created_at"),
         "event_id",
     )
+
+
+# ---- fixed values: which event ids carry which fault --------------------------
+DIRTY_MODULUS = 23
+ODD_VALUES = 25
+# ----------------------------------------------------------------------------
+
+
+def dirty_tweets(events: DataFrame, keep=()) -> DataFrame:
+    """events → TWEET columns in which every rule meets rows it must handle, by
+    ``event_id % 23``: 0 NULL airline, 1 NULL sentiment, 2 NULL measure, 3 wrong
+    case, 4 one of 25 unknown classes, 5 garbage time, 6 another offset, 7 negative
+    measure, 8 empty text, 9 NULL time, 10 empty airline, 11 NULL id."""
+    m = F.col("event_id") % DIRTY_MODULUS
+    odd = F.concat(F.lit("odd_"), (F.floor(F.col("event_id") / DIRTY_MODULUS) % ODD_VALUES).cast("string"))
+    t = events_as_tweets(events, keep=("event_id", *keep))
+    null = F.lit(None)
+    return t.select(
+        F.when(m != 11, F.col("tweet_id")).alias("tweet_id"),
+        F.when(m == 10, "").when(m != 0, F.col("airline")).alias("airline"),
+        F.when(m == 1, null).when(m == 3, "Positive").when(m == 4, odd).otherwise(F.col("airline_sentiment")).alias("airline_sentiment"),
+        F.when(m == 8, "").otherwise(F.col("text")).alias("text"),
+        F.when(m == 7, -5).when(m != 2, F.col("retweet_count")).cast("int").alias("retweet_count"),
+        F.when(m == 5, "garbage").when(m == 6, F.regexp_replace("tweet_created", " -0800$", " +0530"))
+         .when(m != 9, F.col("tweet_created")).alias("tweet_created"),
+        "event_id", *keep)

@@ -59,9 +59,11 @@ def kafka_write(df: DataFrame, servers: str, topic: str) -> None:
        .option("topic", topic).save())
 
 
-def publish_landing(spark: SparkSession, path: str, servers: str, schema_id: int, topic: str = "tweets.raw") -> None:
+def publish_landing(spark: SparkSession, path: str, servers: str, schema_id: int, topic: str = "tweets.raw") -> dict:
     """Landing CSV → normalised, replay-ordered records → raw topic. Rows whose
-    retweet count is no integer are left out (they are counted by the caller
-    through ``landing_records(...).filter('is_bad')``)."""
-    from .landing import landing_records
+    retweet count is no integer are left out; returns how many ``records`` were
+    published and how many rows ``rejected``."""
+    from .landing import landing_counts, landing_records, normalise, read_landing
+    counts = landing_counts(normalise(read_landing(spark, path))).first().asDict()
     kafka_write(wire_value(landing_records(spark, path), TWEET_AVRO, schema_id), servers, topic)
+    return counts

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..schemas import RAW_LAKE, TWEET_FIELDS
+from ..session import folder_exists, move_folder
 
 # ISO-8601 with microseconds and a numeric UTC offset, e.g.
 # 2024-01-01T00:00:00.000000+00:00 (the text form of ``ingested_at``).
@@ -40,23 +41,41 @@ def write_raw(df: DataFrame, path: str, now: str | Column | None = None) -> None
 
 def append_raw(stream: DataFrame, path: str, checkpoint: str, now: str | Column | None = None,
                trigger: dict | None = None, query_name: str | None = None) -> StreamingQuery:
-    """Streaming append to the lake. The file sink's commit log makes each
-    micro-batch land exactly once, even when a task or the driver is
-    restarted from the checkpoint. Default trigger: every 60 s (the lake's
-    freshness bound); pass ``{"availableNow": True}`` to drain and stop."""
-    w = (to_lake_rows(stream, now).writeStream.format("parquet").option("compression", "snappy")
-         .option("checkpointLocation", checkpoint).outputMode("append"))
+    """Streaming append to the lake: each micro-batch lands exactly once, even
+    when a task or the driver is restarted from the checkpoint.
+
+    A micro-batch is written to a hidden folder and renamed to
+    ``stream-<query id>/batch-<id>`` when it is whole; a retry finds that folder
+    and leaves it. So the lake stays a plain tree of Parquet files, to which
+    ``write_raw`` may add and which any reader lists whole (the file sink's own
+    log would hide every file it did not write). On a store without an atomic
+    rename, a crash during the rename can leave part of a batch.
+
+    Default trigger: every 60 s (the lake's freshness bound); pass
+    ``{"availableNow": True}`` to drain and stop."""
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        final = f"{path.rstrip('/')}/stream-{query}/batch-{batch_id:010d}"
+        if folder_exists(spark, final):
+            return
+        part = f"{path.rstrip('/')}/_writing-{query}-{batch_id:010d}"
+        to_lake_rows(batch, now).write.mode("overwrite").option("compression", "snappy").parquet(part)
+        move_folder(spark, part, final)
+
+    w = stream.writeStream.option("checkpointLocation", checkpoint).outputMode("append").foreachBatch(sink)
     if query_name:
         w = w.queryName(query_name)
-    w = w.trigger(**(trigger or {"processingTime": "60 seconds"}))
-    return w.start(path)
+    return w.trigger(**(trigger or {"processingTime": "60 seconds"})).start()
 
 
 def file_stream(spark: SparkSession, folder: str, schema, glob: str = "*.parquet",
-                max_files_per_trigger: int | None = None, fmt: str = "parquet") -> DataFrame:
+                max_files_per_trigger: int | None = None, fmt: str = "parquet", recursive: bool = False) -> DataFrame:
     """File-folder stream: the stand-in for a message topic in tests and a
-    real source for landing folders."""
+    real source for landing folders; ``recursive`` takes files of all depths."""
     r = spark.readStream.schema(schema).format(fmt).option("pathGlobFilter", glob)
+    if recursive:
+        r = r.option("recursiveFileLookup", "true")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return r.load(folder)

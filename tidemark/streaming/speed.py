@@ -17,12 +17,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from ..functions.time import parse_instant
 from ..operators.alerts import alert_filter, upsert
 from ..operators.metrics import TWEET_SPEC, MetricSpec, to_wire, windowed_metrics
 from ..operators.serving import append_speed, create_speed_table
+from ..schemas import TWEET_FIELDS
+from ..session import REQUIRED_CONF
+from ..sources.wire import encode_json
 
 DEFAULT_DELAY = "5 seconds"
 DEFAULT_WIDTH = "1 minute"
@@ -45,20 +48,19 @@ def speed_stream(raw: DataFrame, width: str = DEFAULT_WIDTH, delay: str = DEFAUL
     return windowed_metrics(with_event_time(raw, delay=delay), "event_time", width, "speed", spec)
 
 
-def _start(writer, spark: SparkSession, state_partitions: int | None, path: str | None = None) -> StreamingQuery:
-    """Start a query; with ``state_partitions`` the stateful operator gets that
-    many partitions (fixed for the life of the checkpoint). The setting is
-    only changed around ``start()``: the query copies the session settings
-    when it starts."""
-    if not state_partitions:
-        return writer.start(path) if path else writer.start()
-    key = "spark.sql.shuffle.partitions"
-    old = spark.conf.get(key)
-    spark.conf.set(key, str(state_partitions))
-    try:
-        return writer.start(path) if path else writer.start()
-    finally:
-        spark.conf.set(key, old)
+def speed_session(spark: SparkSession, state_partitions: int) -> SparkSession:
+    """A session of its own for a stateful query: read the raw stream in it.
+
+    A query's state partitions are fixed for the life of its checkpoint, at the
+    shuffle partitions of the session it is read in. Size them to the source's
+    parallelism (the state is one small row per open (window, key)), not to a
+    batch job's shuffle. Catalog and tables are shared with ``spark``."""
+    own = spark.newSession()
+    for key in (*REQUIRED_CONF, "spark.checkpoint.dir"):
+        if (value := spark.conf.get(key, None)) is not None and own.conf.get(key, None) != value:
+            own.conf.set(key, value)
+    own.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    return own
 
 
 def _writer(df: DataFrame, checkpoint: str, trigger: dict | None, name: str | None):
@@ -68,29 +70,26 @@ def _writer(df: DataFrame, checkpoint: str, trigger: dict | None, name: str | No
 
 def start_metrics(raw: DataFrame, table: str, checkpoint: str, trigger: dict | None = None,
                   width: str = DEFAULT_WIDTH, delay: str = DEFAULT_DELAY, now=None,
-                  name: str | None = None, state_partitions: int | None = None) -> StreamingQuery:
-    """Metrics query writing each micro-batch into the speed table.
-    ``state_partitions``: size it to the source's parallelism (the state is
-    one small row per open (window, key)), not to a batch job's shuffle."""
-    spark = raw.sparkSession
-    create_speed_table(spark, table)
+                  name: str | None = None) -> StreamingQuery:
+    """Metrics query writing each micro-batch into the speed table, under the
+    query's id, so that a new checkpoint's batches are not taken for replays."""
+    create_speed_table(raw.sparkSession, table)
     metrics = speed_stream(raw, width, delay)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        append_speed(batch, table, batch_id, now)
+        writer = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        append_speed(batch, table, batch_id, now, writer=writer)
 
-    return _start(_writer(metrics, checkpoint, trigger, name).outputMode("append").foreachBatch(sink),
-                  spark, state_partitions)
+    return _writer(metrics, checkpoint, trigger, name).outputMode("append").foreachBatch(sink).start()
 
 
 def start_metrics_wire(raw: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
                        width: str = DEFAULT_WIDTH, delay: str = DEFAULT_DELAY,
-                       name: str | None = None, state_partitions: int | None = None) -> StreamingQuery:
+                       name: str | None = None) -> StreamingQuery:
     """Metrics query publishing wire-shaped rows to a Parquet folder (the
     file stand-in for the metrics topic; exactly-once via the sink log)."""
     wire = to_wire(speed_stream(raw, width, delay))
-    return _start(_writer(wire, checkpoint, trigger, name).outputMode("append").format("parquet"),
-                  raw.sparkSession, state_partitions, path)
+    return _writer(wire, checkpoint, trigger, name).outputMode("append").format("parquet").start(path)
 
 
 def start_alerts(raw: DataFrame, table: str, checkpoint: str, trigger: dict | None = None,
@@ -118,12 +117,26 @@ def start_alerts(raw: DataFrame, table: str, checkpoint: str, trigger: dict | No
     return _writer(alerts, checkpoint, trigger, name).outputMode("append").foreachBatch(sink).start()
 
 
-def run_available(query: StreamingQuery, timeout_s: int = 600) -> StreamingQuery:
-    """Wait until an ``availableNow`` query has drained its input."""
-    query.awaitTermination(timeout_s)
-    if query.isActive:
-        query.stop()
-        raise TimeoutError(f"streaming query {query.name} did not finish in {timeout_s}s")
+def start_alert_publish(raw: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
+                        encode=encode_json, name: str | None = None) -> StreamingQuery:
+    """Alert rows published as messages, without a watermark: filter, encode,
+    write. ``encode`` makes the ``value`` column (``connectors.wire_value`` for
+    framed Avro); the folder stands in for the alert topic, for which
+    ``connectors.kafka_write_stream(encode(alert_filter(raw)), ...)`` is the same."""
+    messages = encode(alert_filter(raw).select(*TWEET_FIELDS))
+    return _writer(messages, checkpoint, trigger, name).outputMode("append").format("parquet").start(path)
+
+
+def run_available(query: StreamingQuery, timeout_s: float | None = None) -> StreamingQuery:
+    """Wait until an ``availableNow`` query has drained its input, however long
+    that takes; with ``timeout_s``, stop the query and raise after that time."""
+    if timeout_s is None:
+        query.awaitTermination()
+    else:
+        query.awaitTermination(timeout_s)
+        if query.isActive:
+            query.stop()
+            raise TimeoutError(f"streaming query {query.name} did not finish in {timeout_s}s")
     if query.exception():
         raise query.exception()
     return query
@@ -136,17 +149,33 @@ def start_console(stream: DataFrame, checkpoint: str, trigger: dict | None = Non
             .option("numRows", str(num_rows)).option("truncate", "false").start())
 
 
-def progress_counters(query: StreamingQuery, name: str = "ingest") -> dict:
+class IngestTotals(StreamingQueryListener):
     """Counters attached with ``observe(name, ...)`` (e.g. ``observe_ingest``),
-    summed over the query's recent micro-batches."""
-    out: dict = {}
-    for p in query.recentProgress:
-        m = (p.observedMetrics or {}).get(name)
-        if m is None:
-            continue
-        for k, v in (m.asDict() if hasattr(m, "asDict") else dict(m)).items():
-            out[k] = out.get(k, 0) + (v or 0)
-    return out
+    summed over every micro-batch of every query while this is registered with
+    ``spark.streams.addListener``. (A query itself remembers only its last
+    micro-batches.)"""
+
+    def __init__(self):
+        self._totals: dict = {}
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        for name, row in event.progress.observedMetrics.items():
+            out = self._totals.setdefault((str(event.progress.id), name), {})
+            for k, v in row.asDict().items():
+                out[k] = out.get(k, 0) + (v or 0)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    def of(self, query: StreamingQuery, name: str = "ingest") -> dict:
+        """The totals of one query so far (its events arrive shortly after each batch)."""
+        return dict(self._totals.get((str(query.id), name), {}))
 
 
 def state_rows(query: StreamingQuery) -> int | None:
@@ -162,7 +191,8 @@ def start_speed_layer(raw: DataFrame, speed_table: str, alerts_table: str, check
     """Both speed-layer branches from one raw stream: the watermarked metrics
     into the speed table and the alert upsert (no watermark). Each is its own
     query with its own checkpoint below ``checkpoint_root``, so either can be
-    restarted alone."""
+    restarted alone. Where the session's shuffle partitions are sized for batch
+    jobs, read ``raw`` in a ``speed_session``."""
     root = checkpoint_root.rstrip("/")
     metrics = start_metrics(raw, speed_table, f"{root}/metrics", trigger)
     alerts = start_alerts(raw, alerts_table, f"{root}/alerts", trigger, buckets=buckets)
