@@ -58,6 +58,8 @@ NOISE_WORD = frozenset("""ad ads advert adverts advertisement advertising banner
     comment comments consent cookie cookies discussion disqus footer gdpr header login masthead menu modal nav navbar
     navigation newsletter notice notices pager pagination popup promo promos promotion recommended related replies
     respond sharing share sidebar signup skip-link social sponsor sponsored subscribe subscription toolbar widget""".split())
+#: Words that say so anywhere in a class or id.
+NOISE_ANYWHERE = frozenset("advert advertisement breadcrumb breadcrumbs comment comments cookie cookies disqus newsletter sponsored".split())
 MAIN = frozenset(("article", "main"))
 HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: An opening tag ends these open elements.
@@ -152,7 +154,7 @@ def _noise(node: Node, inside: bool) -> bool:
         return not _has_main(node)
     for word in _classes(node):
         parts = _SPLIT.split(word)
-        if word in NOISE_WORD or parts[0] in NOISE_WORD or parts[-1] in NOISE_WORD:
+        if word in NOISE_WORD or parts[0] in NOISE_WORD or parts[-1] in NOISE_WORD or not NOISE_ANYWHERE.isdisjoint(parts):
             return not (inside and tag in HEADING) and not _has_main(node)
     return False
 
