@@ -46,8 +46,12 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
     Alternating large-star and small-star rounds. Only aggregates and equi-joins
     with the per-node minimum are used, so a hub's links spread over tasks (the
     partial minimum runs before the shuffle, and the adaptive skew join splits a
-    hub's side). Nodes without a link are not in the result.
+    hub's side; it can do so as the minima are a table by then, not an aggregate
+    below the join). Nodes without a link are not in the result.
     """
+    def minima(of: DataFrame) -> DataFrame:
+        return of if n <= SMALL_LINKS else staged(of, "minima")
+
     links = staged(edges.select(F.least(a, b).alias("u"), F.greatest(a, b).alias("v"))
                    .where("u < v").distinct(), "links")
     before = None
@@ -57,10 +61,12 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
             break
         before = (n, mark)
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        low = minima(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
         large = both.join(low, "u").where("v > u").select(F.col("m").alias("u"), "v").where("u < v").distinct()
+        if n > SMALL_LINKS:
+            large = staged(large, "links")
         # small star: every node's smaller neighbours and itself point at the smallest of them
-        low = large.groupBy("v").agg(F.min("u").alias("m"))
+        low = minima(large.groupBy("v").agg(F.min("u").alias("m")))
         small = large.join(low, "v")
         links = small.select(F.col("m").alias("u"), F.col("u").alias("v")).where("u < v") \
             .unionByName(low.select(F.col("m").alias("u"), "v")).distinct()

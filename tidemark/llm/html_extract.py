@@ -387,7 +387,7 @@ def template(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", ht
     slots = staged(shapes.join(pivots, "host").select("host", "shape", "pivot")
                    .mapInArrow(_aligned, "host string, shape string, node int, slot int"), "slots")
     different = seen.groupBy("host", "page_hash").agg(F.min("shape").alias("shape"))
-    many = different.groupBy("host").agg(F.count("*").alias("pages")).where(F.col("pages") >= least)
+    many = staged(different.groupBy("host").agg(F.count("*").alias("pages")).where(F.col("pages") >= least), "hosts")
     texts = seen.select("host", "shape", "page_hash", F.explode("blocks").alias("b")) \
         .select("host", "shape", "page_hash", "b.node", "b.th").distinct()
     stands = texts.join(slots, ["host", "shape", "node"]).select("host", "slot", "th", "page_hash").distinct() \

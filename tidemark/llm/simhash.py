@@ -209,9 +209,9 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     fps = staged(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
     distinct = staged(fps.groupBy("fp").agg(F.min("id").alias("first")), "distinct_fingerprints")
     roots = connected_components(tile_links(distinct.select("fp"), radius), "a", "b")
-    rooted = distinct.join(roots, distinct["fp"] == roots["node"], "left") \
-        .select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    low = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    rooted = staged(distinct.join(roots, distinct["fp"] == roots["node"], "left")
+                    .select("fp", "first", F.coalesce("root", "fp").alias("root")), "rooted")
+    low = staged(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "component_ids")
     named = staged(rooted.join(low, "root").select("fp", "component_id"), "components")
     return fps.join(named, "fp").select(F.col("id").alias(id_col), "text_key",
                                         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

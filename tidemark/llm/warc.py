@@ -10,8 +10,9 @@ capture.
 Writing stays in DataFrame functions: a record ends in two line ends, which is
 the line separator given to Spark's text writer, so the archives go wherever
 Spark can write. Files hold whole captures and at most about ``FILE_BYTES``.
-The first page of each payload comes from a partial minimum per digest; pages
-meet it in a join that the adaptive skew join splits if one payload is hot.
+The first page of each payload comes from a partial minimum per digest, kept as a
+table; pages meet it in a join that the adaptive skew join can then split if one
+payload is hot.
 
 Defined cases: null html counts as empty (a response with no payload bytes).
 Null urls are read back as null; control characters and blanks in a url are
@@ -70,7 +71,7 @@ def write(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "
     """Write the pages as gzip WARC archives below ``path``."""
     html = F.coalesce(F.col(html_col), F.lit(""))
     d = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), html.alias("html"))
-    first = d.groupBy(base32_sha1(F.col("html")).alias("digest")).agg(F.min("page_id").alias("first"))
+    first = staged(d.groupBy(base32_sha1(F.col("html")).alias("digest")).agg(F.min("page_id").alias("first")), "payloads")
     d = d.withColumn("digest", base32_sha1(F.col("html"))).join(first, "digest")
     again = ~F.col("page_id").eqNullSafe(F.col("first")) & (F.octet_length("html") >= min_revisit_bytes)
     d = d.withColumn("again", again).withColumn("capture", F.monotonically_increasing_id())
@@ -191,6 +192,7 @@ def round_trip(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
                                                        "response", "request", "metadata")
     held = c.where("response.kind = 'response'").groupBy(F.col("response.payload_digest").alias("payload_digest")) \
         .agg(F.min(id_col).alias("__first"), F.max("response.payload_bytes").alias("payload_bytes"))
+    held = staged(held, "payloads")
     c = c.withColumn("payload_digest", F.col("response.payload_digest")).join(held, "payload_digest", "left")
     return c.select(id_col, url_col, "payload_bytes", "payload_digest", F.col("response.kind").alias("record_type"),
                     F.when(F.col("response.kind") == "revisit", F.col("__first")).alias("refers_to"), "response", "request", "metadata")
