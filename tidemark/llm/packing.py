@@ -25,6 +25,7 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,8 +40,8 @@ CAPACITY = 1024
 END = 2
 ROUNDS = 4
 EXCHANGE = 100_000
-#: Distinct words whose ids a worker remembers.
-MEMORY = 400_000
+#: Distinct words of each of two generations whose ids a worker remembers.
+MEMORY = 500_000
 VOCABULARY = "byte_bpe_50k.json"
 
 _GAPS = re.compile(r"\s\s")
@@ -52,7 +53,9 @@ class WordTokenizer:
 
     Such a vocabulary parts a text before every single space that has other
     characters on both sides, so a text without adjoining white space is the sum
-    of its space-parted words; other texts go to the tokenizer whole."""
+    of its space-parted words; other texts go to the tokenizer whole. A full stop
+    or comma behind letters is a part of its own, so such a word is that of the
+    letters and the sign. Of two generations of ``memory`` words the older goes."""
 
     def __init__(self, path: str, memory: int = MEMORY):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -60,30 +63,46 @@ class WordTokenizer:
         self.inner = Tokenizer.from_file(path)
         self.inner.encode_special_tokens = True
         self.memory = memory
-        self.first: dict[str, list[int]] = {}
-        self.later: dict[str, list[int]] = {}
-
-    def _ids(self, text: str) -> list[int]:
-        return self.inner.encode(text, add_special_tokens=False).ids
-
-    def encode(self, text: str) -> list[int]:
+        self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.signs = {c: self._whole(c) for c in ".,"}
+        byte_names = [self.inner.pre_tokenizer.pre_tokenize_str(c)[0][0] for c in map(chr, range(128))]
+        self.names = {i: c for i, c in enumerate(byte_names) if len(c) == 1}
+
+    def _whole(self, text: str) -> bytes:
+        return array("I", self.inner.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _word(self, word: str) -> bytes:
+        """The ids of a word with the space before it."""
+        if (ids := self.older.get(word)) is not None:
+            return ids
+        if word.isascii() and word.isalpha():  # one part, whose characters stand for themselves
+            return array("I", [t.id for t in self.inner.model.tokenize(self.names[32] + word)]).tobytes()
+        if word[-1:] in self.signs and (stem := word[:-1]).isascii() and stem.isalpha():
+            if (ids := self.words.get(stem)) is None:
+                ids = self.words[stem] = self._word(stem)
+            return ids + self.signs[word[-1]]
+        return self._whole(" " + word)
+
+    def encode_bytes(self, text: str) -> bytes:
+        """The ids as native unsigned 32-bit numbers."""
         if not text or _GAPS.search(text):
-            return self._ids(text) if text else []
+            return self._whole(text)
         head, *words = text.split(" ")
-        out = list(self._ids(head)) if head else []
-        known = self.later
+        if len(self.words) > self.memory:
+            self.words, self.older = {}, self.words
+        known = self.words
         got = list(map(known.get, words))
         if None in got:
-            new = list({w for w, ids in zip(words, got) if ids is None})
-            if len(known) + len(new) > self.memory:
-                known = self.later = {}
-            enc = self.inner.encode_batch_fast([" " + w for w in new], add_special_tokens=False)
-            fresh = {w: e.ids for w, e in zip(new, enc)}
-            known.update(fresh)
-            got = [fresh[w] if ids is None else ids for w, ids in zip(words, got)]
-        for ids in got:
-            out += ids
-        return out
+            for i, ids in enumerate(got):
+                if ids is None:
+                    if (ids := known.get(words[i])) is None:
+                        ids = known[words[i]] = self._word(words[i])
+                    got[i] = ids
+        return self._whole(head) + b"".join(got)
+
+    def encode(self, text: str) -> list[int]:
+        return array("I", self.encode_bytes(text)).tolist()
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -115,10 +134,11 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capa
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = _tokenizer(vocabulary_path(vocabulary))
+        last = array("I", [end]).tobytes()
         for b in batches:
             rows, out = [], []
             for r, text in enumerate(b.column("text").to_pylist()):
-                raw = np.array(tok.encode(text or "") + [end], "<u4").tobytes()
+                raw = tok.encode_bytes(text or "") + last
                 for k, (s, n) in enumerate(cut(len(raw) // 4, capacity)):
                     part = raw[4 * s:4 * (s + n)]
                     rows.append(r)

@@ -160,8 +160,8 @@ def update_lake_stats(spark: SparkSession, lake_path: str, table: str, checkpoin
         if row is None:
             return
         if row[6] and not has(invalid):   # before the statistics row, which marks the batch as done
-            _add(Q.invalid_values(batch).select(F.lit(batch_id).cast("bigint").alias("batch_id"), "value", "rows"), invalid)
-        _add(spark.createDataFrame([row], LAKE_STATS_SCHEMA), table)
+            _add(spark, Q.invalid_values(batch).select(F.lit(batch_id).cast("bigint").alias("batch_id"), "value", "rows"), invalid)
+        _add(spark, spark.createDataFrame([row], LAKE_STATS_SCHEMA), table)
         _bind_checkpoint(spark, table, checkpoint)
 
     _bind_checkpoint(spark, table, checkpoint)
@@ -170,9 +170,10 @@ def update_lake_stats(spark: SparkSession, lake_path: str, table: str, checkpoin
     return run_available(q, timeout_s)
 
 
-def _add(rows: DataFrame, table: str) -> None:
-    if table_exists(rows.sparkSession, table):
+def _add(spark: SparkSession, rows: DataFrame, table: str) -> None:
+    if table_exists(spark, table):
         append_rows(rows, table)
+        spark.catalog.refreshTable(table)   # a micro-batch's rows are written in the stream's session
     else:
         rows.write.format("parquet").saveAsTable(table)
 
