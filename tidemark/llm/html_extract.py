@@ -292,7 +292,7 @@ def count_nodes(s: tuple) -> int:
     return n
 
 
-@lru_cache(maxsize=100_000)
+@lru_cache(maxsize=10_000)
 def simple_tree_match(a: tuple, b: tuple) -> int:
     """The number of pairs of the largest order-keeping top-down matching."""
     if a[0] != b[0]:
@@ -345,65 +345,68 @@ def align(a: tuple, b: tuple) -> dict[int, int]:
 
 
 def _parsed(pages: DataFrame, id_col: str, url_col: str, html_col: str, with_text: bool) -> DataFrame:
-    """(page_id, url, host, shape, page_hash, blocks of (node, th[, text]))"""
+    """(page_id, url, host, tree, shape, page_hash, blocks of (node, th[, text])); ``tree``
+    is a hash of the page's shape, which is itself only written without texts."""
     d = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
     block = [("node", pa.int32()), ("th", pa.int64())] + [("text", pa.string())] * with_text
-    schema = (f"page_id {pages.schema[id_col].dataType.simpleString()}, url string, host string, shape string, page_hash long, "
+    schema = (f"page_id {pages.schema[id_col].dataType.simpleString()}, url string, host string, tree long, shape string, page_hash long, "
               "blocks array<struct<node:int,th:long" + ",text:string" * with_text + ">>")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            hosts, shapes, hashes, found = [], [], [], []
+            hosts, trees, shapes, hashes, found = [], [], [], [], []
             for url, html in zip(b.column("url").to_pylist(), b.column("html").to_pylist()):
                 root = tree(html)
                 hosts.append(host_of(url))
-                shapes.append(_write_shape(shape(root)))
+                written = _write_shape(shape(root))
+                trees.append(text_hash(written))
+                shapes.append(None if with_text else written)
                 own = main_blocks(root)
                 hashes.append(text_hash("\n".join(t for _, t in own)))
                 found.append([{"node": n, "th": text_hash(t)} | ({"text": t} if with_text else {}) for n, t in own])
             yield pa.RecordBatch.from_arrays(
-                [b.column("page_id"), b.column("url"), pa.array(hosts, pa.string()), pa.array(shapes, pa.string()),
+                [b.column("page_id"), b.column("url"), pa.array(hosts, pa.string()), pa.array(trees, pa.int64()), pa.array(shapes, pa.string()),
                  pa.array(hashes, pa.int64()), pa.array(found, pa.list_(pa.struct(block)))],
-                names=["page_id", "url", "host", "shape", "page_hash", "blocks"])
+                names=["page_id", "url", "host", "tree", "shape", "page_hash", "blocks"])
 
     return d.mapInArrow(run, schema)
 
 
 def _aligned(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in rows:
-        for host, own, pivot in zip(*(b.column(c).to_pylist() for c in ("host", "shape", "pivot"))):
-            pairs = align(read_shape(pivot), read_shape(own))
+        for host, own, shape_, pivot in zip(*(b.column(c).to_pylist() for c in ("host", "tree", "shape", "pivot"))):
+            pairs = align(read_shape(pivot), read_shape(shape_))
             n = len(pairs)
-            yield pa.RecordBatch.from_arrays([pa.array([host] * n), pa.array([own] * n), pa.array(list(pairs), pa.int32()),
-                                              pa.array(list(pairs.values()), pa.int32())], names=["host", "shape", "node", "slot"])
+            yield pa.RecordBatch.from_arrays([pa.array([host] * n), pa.array([own] * n, pa.int64()), pa.array(list(pairs), pa.int32()),
+                                              pa.array(list(pairs.values()), pa.int32())], names=["host", "tree", "node", "slot"])
 
 
 def template(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
              share: float = SHARE, least: int = LEAST) -> DataFrame:
-    """(host, shape, drop): for each tree of a host its constant blocks, as (node, th)."""
-    seen = staged(_parsed(pages, id_col, url_col, html_col, False).select("host", "shape", "page_hash", "blocks"), "page_trees")
-    shapes = seen.groupBy("host", "shape").agg(F.count("*").alias("n"))
-    pivots = shapes.groupBy("host").agg(F.max_by("shape", F.struct("n", "shape")).alias("pivot"))
-    slots = staged(shapes.join(pivots, "host").select("host", "shape", "pivot")
-                   .mapInArrow(_aligned, "host string, shape string, node int, slot int"), "slots")
-    different = seen.groupBy("host", "page_hash").agg(F.min("shape").alias("shape"))
+    """(host, tree, drop): for each tree of a host its constant blocks, as (node, th)."""
+    seen = staged(_parsed(pages, id_col, url_col, html_col, False).select("host", "tree", "shape", "page_hash", "blocks"), "page_trees")
+    shapes = staged(seen.groupBy("host", "tree").agg(F.count("*").alias("n"), F.min("shape").alias("shape")), "shapes")
+    pivots = shapes.groupBy("host").agg(F.max_by("shape", F.struct("n", "tree")).alias("pivot"))
+    slots = staged(shapes.join(pivots, "host").select("host", "tree", "shape", "pivot")
+                   .mapInArrow(_aligned, "host string, tree long, node int, slot int"), "slots")
+    different = seen.select("host", "page_hash").distinct()
     many = staged(different.groupBy("host").agg(F.count("*").alias("pages")).where(F.col("pages") >= least), "hosts")
-    texts = seen.select("host", "shape", "page_hash", F.explode("blocks").alias("b")) \
-        .select("host", "shape", "page_hash", "b.node", "b.th").distinct()
-    stands = texts.join(slots, ["host", "shape", "node"]).select("host", "slot", "th", "page_hash").distinct() \
+    texts = seen.select("host", "tree", "page_hash", F.explode("blocks").alias("b")) \
+        .select("host", "tree", "page_hash", "b.node", "b.th").distinct()
+    stands = texts.join(slots, ["host", "tree", "node"]).select("host", "slot", "th", "page_hash").distinct() \
         .groupBy("host", "slot", "th").agg(F.count("*").alias("n"))
     fixed = stands.join(many, "host").where(F.col("n") >= share * F.col("pages")).select("host", "slot", "th")
-    return slots.join(fixed, ["host", "slot"]).groupBy("host", "shape").agg(F.collect_set(F.struct("node", "th")).alias("drop"))
+    return slots.join(fixed, ["host", "slot"]).groupBy("host", "tree").agg(F.collect_set(F.struct("node", "th")).alias("drop"))
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
             share: float = SHARE, least: int = LEAST) -> DataFrame:
     """(id, url, text, n_chars): each page's main text, blocks joined by line ends."""
     fixed = staged(template(pages, id_col, url_col, html_col, share, least), "template")
-    size = fixed.agg(F.sum(F.octet_length("host") + F.octet_length("shape") + 16 * F.size("drop"))).first()[0]
+    size = fixed.agg(F.sum(F.octet_length("host") + 32 + 16 * F.size("drop"))).first()[0]
     if (size or 0) <= BROADCAST_BYTES:
         fixed = F.broadcast(fixed)
-    d = _parsed(pages, id_col, url_col, html_col, True).join(fixed, ["host", "shape"], "left")
+    d = _parsed(pages, id_col, url_col, html_col, True).join(fixed, ["host", "tree"], "left")
     drop = F.coalesce("drop", F.array().cast("array<struct<node:int,th:bigint>>"))
     kept = F.filter("blocks", lambda b: ~F.array_contains(drop, F.struct(b["node"].alias("node"), b["th"].alias("th"))))
     text = F.array_join(F.transform(kept, lambda b: b["text"]), "\n")
