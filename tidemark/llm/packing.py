@@ -41,7 +41,7 @@ END = 2
 ROUNDS = 4
 EXCHANGE = 100_000
 #: Distinct words of each of two generations whose ids a worker remembers.
-MEMORY = 500_000
+MEMORY = 250_000
 VOCABULARY = "byte_bpe_50k.json"
 
 _GAPS = re.compile(r"\s\s")
@@ -147,6 +147,7 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capa
                 yield pa.RecordBatch.from_arrays(
                     [b.column("id").take(pa.array(rows))] + [pa.array(c, t) for c, t in zip(zip(*out), (
                         pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()))], names=schema.names)
+        tok.older = {}  # a worker that goes on to other work holds one generation
 
     return d.mapInArrow(run, schema)
 
