@@ -206,7 +206,7 @@ def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _shared(dictionary: DataFrame, docs: DataFrame, text_col: str, shard: int) -> DataFrame:
     """(core, phrase, lo, hi): positions of dictionary phrases whose string another phrase has too."""
-    sets = dictionary.groupBy("core").agg(F.count("*").alias("size")).where("size > 1")
+    sets = staged(dictionary.groupBy("core").agg(F.count("*").alias("size")).where("size > 1"), "phrase_sets")
     wanted = dictionary.join(sets, "core").select("core", "phrase", (F.col("size") > shard).alias("many"), "one.*")
     wanted = staged(wanted.groupBy("t1", "t2").agg(F.collect_list(F.struct("core", "phrase", "many", "start", "n")).alias("wanted")), "wanted_phrases")
     texts = bits.among(_bytes(docs, text_col), "t1", bits.build(wanted, "t1")).dropDuplicates(["t1", "t2"])
@@ -245,8 +245,10 @@ SPANS = "array<struct<s:long,e:long>>"
 def repeats(docs: DataFrame, text_col: str = "text", shard: int = SHARD) -> DataFrame:
     """(t1, t2, size, spans, n_removed, n_spans) of each distinct text that loses
     bytes: maximal runs [s, e) of repeated bytes."""
-    parse = _bytes(docs, text_col).where(F.length("data") >= LENGTH).mapInArrow(_parse, PARSE)
-    twice = parse.groupBy("core").agg(F.count("*").alias("k")).where("k > 1").select("core")
+    # tables, so that texts are parsed once, and neither side of the joins is an aggregate:
+    # the skew join can then split a hot trigger
+    parse = staged(_bytes(docs, text_col).where(F.length("data") >= LENGTH).mapInArrow(_parse, PARSE), "phrases")
+    twice = staged(parse.groupBy("core").agg(F.count("*").alias("k")).where("k > 1").select("core"), "repeated_triggers")
     parse = staged(parse.join(twice, "core", "left_semi"), "parse")
     place = F.struct("t1", "t2", "start", "n")
     dictionary = staged(parse.groupBy("core", "phrase").agg(F.count("*").alias("k"), F.min(place).alias("one")), "dictionary")
