@@ -1,3 +1,5 @@
+from itertools import combinations
+
 import numpy as np
 
 from tidemark.llm import decontaminate as D
@@ -46,6 +48,26 @@ def test_substitutions_punctuation_and_edges(spark):
     assert found(spark, [(1, "see: exactly six words ARE in here.")], items) == [(1, 14)]
 
 
+def test_masks_hit_every_admitted_swap_of_every_length():
+    for n in range(D.MIN_TOKENS, D.WINDOW + 1):
+        k = D.swaps(n)
+        assert n - k >= D.IDENTITY * n > n - k - 1
+        for places in combinations(range(n), k):
+            assert any(all(at + p not in places for p in m) for m in D.masks_for(n) for at in range(n - m[-1])), (n, places)
+
+
+def test_swaps_at_any_place_are_found(spark):
+    items, docs = [], []
+    for n in range(D.MIN_TOKENS, 16):
+        words = [f"w{n}x{i}" for i in range(n)]
+        items.append((n, " ".join(words)))
+        for places in combinations(range(n), min(D.swaps(n), 2)):
+            docs.append((n, "some words " + " ".join("other" if i in places else w for i, w in enumerate(words)) + " at the end " + "_".join(map(str, places))))
+    rows = D.overlaps(docs_of(spark, docs), bench(spark, items)).collect()
+    assert all(r.id == r.item_id for r in rows)
+    assert sorted(r.id for r in rows) == sorted(i for i, t in docs if plain([(i, t)], [x for x in items if x[0] == i]))
+
+
 def test_decontaminate_drops_only_the_rows_that_overlap(spark):
     d = docs_of(spark, [(1, ITEM), (1, "clean text"), (2, None), (None, ITEM)])
     got = D.decontaminate(d, bench(spark, [(1, ITEM)]))

@@ -5,7 +5,9 @@ positions marked 1, so a substituted token at a 0 does not matter. Hashes of
 every benchmark window and of every training window are joined; each hit gives
 an alignment (document, item, distance), and the tokens along it are compared:
 an overlap counts when some run of ``min(item tokens, WINDOW)`` aligned tokens
-agrees in ``IDENTITY`` of its places.
+agrees in ``IDENTITY`` of its places. The masks are lossless for that rule: for
+whole windows and for each length of shorter items, every choice of places that
+may differ leaves some mask untouched somewhere, so no overlap is missed.
 
 Plan: the benchmark's hashes go into a bit array of bounded size (see ``bits``),
 whatever the benchmark's size, which is broadcast; training windows that miss it
@@ -15,15 +17,17 @@ bit array only saves rows, the join decides). Verification reads those
 documents, one row per (document, item).
 
 Defined cases: null texts count as empty and match nothing. Items of fewer than
-``MIN_TOKENS`` tokens are no evidence and match nothing; items shorter than the
-shortest mask are looked up by all their tokens. Repeated documents or items
-match alike, each on its own. Null ids are carried through. Empty tables give an
-empty result. Only id and text columns are read.
+``MIN_TOKENS`` tokens are no evidence and match nothing; items shorter than
+``WINDOW`` have masks of their length. Repeated documents or items match alike,
+each on its own. Null ids are carried through. Empty tables give an empty result.
+Only id and text columns are read.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import combinations
 from zlib import crc32
 
 import numpy as np
@@ -36,11 +40,13 @@ from . import bits
 from .bits import maybe
 from .common import staged
 
-#: Fixed seeds, 1: the token takes part.
-MASKS = ("11111111", "111101111", "11011011011", "111010011011")
+#: Fixed seeds, 1: the token takes part. Together they hit each of the 78 ways to swap 2 of 13 tokens.
+MASKS = ("111011111", "11110100111", "110100111011", "101111101001", "1010011100111")
 WINDOW = 13
 IDENTITY = 0.8
 MIN_TOKENS = 5
+#: Tokens of a mask for items of so many tokens.
+WEIGHTS = {5: 4, 6: 4, 7: 5, 8: 6, 9: 6, 10: 6, 11: 6, 12: 7}
 
 _KEEP = bytes(range(0x30, 0x3A)) + bytes(range(0x61, 0x7B)) + bytes(range(0x80, 0x100))
 _TABLE = bytes(c if c in _KEEP else 32 for c in range(256))
@@ -53,12 +59,33 @@ def tokens(text: str | None) -> np.ndarray:
     return np.fromiter(map(crc32, words), np.uint32, len(words))
 
 
-def masks_for(short: tuple[int, ...] = ()) -> list[list[int]]:
-    """The places of each mask; ``short`` adds whole masks for short items."""
-    return [[i for i, c in enumerate(m) if c == "1"] for m in MASKS] + [list(range(n)) for n in short]
+def swaps(n: int) -> int:
+    """How many of a window's ``n`` tokens may differ."""
+    return max(k for k in range(n + 1) if n - k >= IDENTITY * n)
 
 
-def seeds(toks: np.ndarray, places: list[int], salt: int) -> np.ndarray:
+def untouched(mask: tuple[int, ...], n: int) -> set[tuple[int, ...]]:
+    """The ways to swap ``swaps(n)`` of n tokens that leave the mask alone at some place."""
+    return {w for at in range(n - mask[-1]) for w in combinations([p for p in range(n) if p - at not in mask], swaps(n))}
+
+
+@lru_cache
+def masks_for(n: int) -> tuple[tuple[int, ...], ...]:
+    """The places of each mask for items of ``n`` tokens, ``WINDOW`` standing for longer
+    ones. Short items take the mask that hits most of the ways not yet hit, until none is left."""
+    if n >= WINDOW:
+        return tuple(tuple(i for i, c in enumerate(m) if c == "1") for m in MASKS)
+    weight = WEIGHTS[n]
+    masks = [(0, *inner, last) for last in range(weight - 1, n) for inner in combinations(range(1, last), weight - 2)]
+    hit = {m: untouched(m, n) for m in masks}
+    left, out = set(combinations(range(n), swaps(n))), []
+    while left:
+        out.append(max(masks, key=lambda m: len(hit[m] & left)))
+        left -= hit[out[-1]]
+    return tuple(out)
+
+
+def seeds(toks: np.ndarray, places: tuple[int, ...], salt: int) -> np.ndarray:
     """The mask's hash at every position where it fits."""
     n = len(toks) - places[-1]
     if n <= 0:
@@ -84,15 +111,14 @@ def _item_rows(bench: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return d.mapInArrow(run, schema).where(F.col("n") >= MIN_TOKENS).withColumn("item", F.monotonically_increasing_id())
 
 
-def _item_seeds(items: DataFrame, masks: list[list[int]]) -> DataFrame:
-    own = len(MASKS)
+def _item_seeds(items: DataFrame, masks: list[tuple[int, tuple[int, ...]]]) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for item, raw in zip(b.column("item").to_pylist(), b.column("toks").to_pylist()):
                 toks = np.frombuffer(raw, np.uint32)
-                for m, places in enumerate(masks):
-                    if m < own or len(toks) == len(places):
+                for m, (length, places) in enumerate(masks):
+                    if length == min(len(toks), WINDOW):
                         h = seeds(toks, places, m)
                         yield pa.RecordBatch.from_arrays(
                             [pa.array(h.view(np.int64)), pa.array([item] * len(h), pa.int64()),
@@ -101,7 +127,7 @@ def _item_seeds(items: DataFrame, masks: list[list[int]]) -> DataFrame:
     return items.select("item", "toks").mapInArrow(run, "h long, item long, at int")
 
 
-def _possible(docs: DataFrame, id_col: str, text_col: str, masks: list[list[int]], array: np.ndarray) -> DataFrame:
+def _possible(docs: DataFrame, id_col: str, text_col: str, masks: list[tuple[int, tuple[int, ...]]], array: np.ndarray) -> DataFrame:
     """Documents with a window in the bit array: their tokens and those windows."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(array)
@@ -114,7 +140,7 @@ def _possible(docs: DataFrame, id_col: str, text_col: str, masks: list[list[int]
             which, toks_out, hits_out = [], [], []
             for row, text in enumerate(b.column("text").to_pylist()):
                 toks, hits = tokens(text), []
-                for m, places in enumerate(masks):
+                for m, (_, places) in enumerate(masks):
                     h = seeds(toks, places, m)
                     at = maybe(shared.value, h)
                     hits += [{"h": x, "at": y} for x, y in zip(h[at].view(np.int64).tolist(), at.tolist())]
@@ -165,9 +191,8 @@ def overlaps(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col
     """(id, text_key, item_id, token_start, window_matches, item_matches, item_tokens):
     one row per document row and item that overlap."""
     items = staged(_item_rows(bench, item_col, item_text), "bench_items")
-    shortest = min(map(len, masks_for()))
-    short = tuple(r["n"] for r in items.where(F.col("n") < shortest).select("n").distinct().orderBy("n").collect())
-    masks = masks_for(short)
+    lengths = [r["n"] for r in items.select(F.least("n", F.lit(WINDOW)).alias("n")).distinct().orderBy("n").collect()]
+    masks = [(n, places) for n in lengths for places in masks_for(n)]
     hashes = staged(_item_seeds(items, masks), "bench_seeds")
     possible = staged(_possible(docs, id_col, text_col, masks, bits.build(hashes, "h", 256)), "possible_leaks")
     hits = possible.select("doc", F.explode("hits").alias("x")).select("doc", F.col("x.h").alias("h"), F.col("x.at").alias("doc_at"))
