@@ -57,6 +57,15 @@ def test_deep_and_long_pages():
     assert len(H.main_blocks(H.tree("<p>x " * 50_000))) == 50_000
 
 
+def test_deep_pages_are_extracted(spark):
+    deep = "<div>" * 3000 + "{0}" + "</div>" * 10
+    rows = [(1, "http://lone.example/", deep.format("core"))]
+    rows += [(2 + i, "http://many.example/", deep.format(f"<p>story {i}</p>" + "<table><tr><td>more</table>" * (i % 2))) for i in range(4)]
+    rows.append((9, "http://twins.example/", "<section>" + 2 * ("<div>" * 3000 + "twin" + "</div>" * 3000)))
+    got = {r.page_id: r.text for r in H.extract(pages(spark, rows)).collect()}
+    assert got[1] == "core" and got[2] == "story 0" and got[3] == "story 1\nmore" and got[9] == "twin\ntwin"
+
+
 def test_pages_keep_every_paragraph_of_the_article(spark, sf):
     """Against a plain reading of the generated pages, whose article holds only text blocks."""
     import html

@@ -27,7 +27,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 from hashlib import blake2b
 from html.parser import HTMLParser
 
@@ -167,6 +166,8 @@ def shape(root: Node) -> tuple:
     """The page's tree as (label, children), runs of like siblings as one; numbers
     the nodes in preorder, repeated siblings alike."""
     made: dict[int, tuple] = {}
+    same: dict[int, int] = {}  # equal shapes have one number: deep tuples are not compared
+    numbers: dict[tuple, int] = {}
     order: list[Node] = []
     todo = [root]
     while todo:  # iterative: pages may nest deeply
@@ -178,12 +179,14 @@ def shape(root: Node) -> tuple:
         runs: list[list[Node]] = []
         for c in n.children:
             if isinstance(c, Node) and (c.tag in BLOCK or c.children):
-                if runs and made[id(runs[-1][0])] == made[id(c)]:
+                if runs and same[id(runs[-1][0])] == same[id(c)]:
                     runs[-1].append(c)
                 else:
                     runs.append([c])
         merged[id(n)] = runs
         made[id(n)] = (_label(n), tuple(made[id(r[0])] for r in runs))
+        key = (made[id(n)][0], *(same[id(r[0])] for r in runs))
+        same[id(n)] = numbers.setdefault(key, len(numbers))
     next_number = 0
     stack = [[root]]
     while stack:
@@ -283,65 +286,120 @@ def read_shape(s: str) -> tuple:
     return stack[0][1][0]
 
 
-def count_nodes(s: tuple) -> int:
-    n, todo = 0, [s]
-    while todo:
-        x = todo.pop()
-        n += 1
-        todo += x[1]
-    return n
+class Matcher:
+    """Simple tree matching over trees whose equal subtrees share a number; no
+    recursion, as pages may nest deeply."""
+
+    #: Subtrees and matched pairs that are remembered.
+    MEMORY = 200_000
+
+    def __init__(self):
+        self.ids: dict[tuple, int] = {}
+        self.label: list[str] = []
+        self.kids: list[tuple[int, ...]] = []
+        self.size: list[int] = []
+        self.found: dict[tuple[int, int], int] = {}
+
+    def add(self, s: tuple) -> int:
+        """The number of a tree of (label, children)."""
+        done: list[int] = []
+        todo: list[tuple] = [(s, False)]
+        while todo:
+            x, below = todo.pop()
+            if not below:
+                todo.append((x, True))
+                todo += [(c, False) for c in reversed(x[1])]
+                continue
+            cut = len(done) - len(x[1])
+            key = (x[0], tuple(done[cut:]))
+            del done[cut:]
+            if key not in self.ids:
+                self.ids[key] = len(self.label)
+                self.label.append(x[0])
+                self.kids.append(key[1])
+                self.size.append(1 + sum(self.size[c] for c in key[1]))
+            done.append(self.ids[key])
+        return done[0]
+
+    def known(self, a: int, b: int) -> int | None:
+        if a == b:
+            return self.size[a]
+        return 0 if self.label[a] != self.label[b] else self.found.get((a, b))
+
+    def match(self, a: int, b: int) -> int:
+        """The number of pairs of the largest order-keeping top-down matching."""
+        todo = [(a, b)]
+        while todo:
+            x, y = todo[-1]
+            if self.known(x, y) is None:
+                missing = {(c, d) for c in self.kids[x] for d in self.kids[y] if self.known(c, d) is None}
+                if missing:
+                    todo += missing
+                    continue
+                row = [0] * (len(self.kids[y]) + 1)
+                for c in self.kids[x]:
+                    before, row = row, [0] * len(row)
+                    for j, d in enumerate(self.kids[y]):
+                        row[j + 1] = max(row[j], before[j + 1], before[j] + self.known(c, d))
+                self.found[x, y] = row[-1] + 1
+            todo.pop()
+        return self.known(a, b)
+
+    def align(self, a: int, b: int) -> dict[int, int]:
+        """Preorder numbers of b's nodes to those of the nodes of a that they match."""
+        out: dict[int, int] = {}
+        self.match(a, b)
+        todo = [(a, b, 0, 0)]
+        while todo:
+            a, b, na, nb = todo.pop()
+            if self.label[a] != self.label[b]:
+                continue
+            if a == b:
+                out.update(zip(range(nb, nb + self.size[b]), range(na, na + self.size[a])))
+                continue
+            out[nb] = na
+            above, below = self.kids[a], self.kids[b]
+            m, n = len(above), len(below)
+            best = [[0] * (n + 1) for _ in range(m + 1)]
+            for i in range(m):
+                for j in range(n):
+                    best[i + 1][j + 1] = max(best[i][j + 1], best[i + 1][j], best[i][j] + self.match(above[i], below[j]))
+            starts = []
+            for at, x in ((na, above), (nb, below)):
+                s = [at + 1]
+                for c in x:
+                    s.append(s[-1] + self.size[c])
+                starts.append(s)
+            i, j, pairs = m, n, {}
+            while i and j:
+                if best[i][j] == best[i - 1][j]:
+                    i -= 1
+                elif best[i][j] == best[i][j - 1]:
+                    j -= 1
+                else:
+                    i, j = i - 1, j - 1
+                    pairs[j] = i
+            near = 0
+            for j in range(n):  # one node may stand for a run: what is left over joins the nearest of its label
+                if j not in pairs and (like := [i for i in range(m) if self.label[above[i]] == self.label[below[j]]]):
+                    pairs[j] = min(like, key=lambda i: (abs(i - near), i))
+                near = pairs.get(j, near)
+                if j in pairs:
+                    todo.append((above[pairs[j]], below[j], starts[0][pairs[j]], starts[1][j]))
+        return out
+
+    def full(self) -> bool:
+        return max(len(self.label), len(self.found)) > self.MEMORY
 
 
-@lru_cache(maxsize=10_000)
 def simple_tree_match(a: tuple, b: tuple) -> int:
-    """The number of pairs of the largest order-keeping top-down matching."""
-    if a[0] != b[0]:
-        return 0
-    row = [0] * (len(b[1]) + 1)
-    for x in a[1]:
-        before, row = row, [0] * (len(b[1]) + 1)
-        for j, y in enumerate(b[1]):
-            row[j + 1] = max(row[j], before[j + 1], before[j] + simple_tree_match(x, y))
-    return row[-1] + 1
+    m = Matcher()
+    return m.match(m.add(a), m.add(b))
 
 
 def align(a: tuple, b: tuple) -> dict[int, int]:
-    """Preorder numbers of b's nodes to those of the nodes of a that they match."""
-    out: dict[int, int] = {}
-    todo = [(a, b, 0, 0)]
-    while todo:
-        a, b, na, nb = todo.pop()
-        if a[0] != b[0]:
-            continue
-        out[nb] = na
-        m, n = len(a[1]), len(b[1])
-        best = [[0] * (n + 1) for _ in range(m + 1)]
-        for i in range(m):
-            for j in range(n):
-                best[i + 1][j + 1] = max(best[i][j + 1], best[i + 1][j], best[i][j] + simple_tree_match(a[1][i], b[1][j]))
-        starts = []
-        for at, x in ((na, a), (nb, b)):
-            s = [at + 1]
-            for c in x[1]:
-                s.append(s[-1] + count_nodes(c))
-            starts.append(s)
-        i, j, pairs = m, n, {}
-        while i and j:
-            if best[i][j] == best[i - 1][j]:
-                i -= 1
-            elif best[i][j] == best[i][j - 1]:
-                j -= 1
-            else:
-                i, j = i - 1, j - 1
-                pairs[j] = i
-        near = 0
-        for j in range(n):  # one node may stand for a run: what is left over joins the nearest of its label
-            if j not in pairs and (like := [i for i in range(m) if a[1][i][0] == b[1][j][0]]):
-                pairs[j] = min(like, key=lambda i: (abs(i - near), i))
-            near = pairs.get(j, near)
-            if j in pairs:
-                todo.append((a[1][pairs[j]], b[1][j], starts[0][pairs[j]], starts[1][j]))
-    return out
+    m = Matcher()
+    return m.align(m.add(a), m.add(b))
 
 
 def _parsed(pages: DataFrame, id_col: str, url_col: str, html_col: str, with_text: bool) -> DataFrame:
@@ -373,9 +431,12 @@ def _parsed(pages: DataFrame, id_col: str, url_col: str, html_col: str, with_tex
 
 
 def _aligned(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    m = Matcher()
     for b in rows:
         for host, own, shape_, pivot in zip(*(b.column(c).to_pylist() for c in ("host", "tree", "shape", "pivot"))):
-            pairs = align(read_shape(pivot), read_shape(shape_))
+            if m.full():
+                m = Matcher()
+            pairs = m.align(m.add(read_shape(pivot)), m.add(read_shape(shape_)))
             n = len(pairs)
             yield pa.RecordBatch.from_arrays([pa.array([host] * n), pa.array([own] * n, pa.int64()), pa.array(list(pairs), pa.int32()),
                                               pa.array(list(pairs.values()), pa.int32())], names=["host", "tree", "node", "slot"])
