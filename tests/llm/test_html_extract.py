@@ -41,6 +41,31 @@ def test_menus_without_an_article_go():
     assert [t for _, t in H.main_blocks(H.tree(html))] == ["Text with a link in it."]
 
 
+def texts(html):
+    return [t for _, t in H.main_blocks(H.tree(html))]
+
+
+def test_wrapped_bodies_stay():
+    search = "<form>find<input></form>"
+    story = "<p>A long story about many things.</p>"
+    assert texts(f"<form><nav>x</nav><article>{story}{search}</article></form>") == ["A long story about many things."]
+    assert texts(f"<div>{search}</div><fieldset><main>{story}</main></fieldset>") == ["A long story about many things."]
+    assert texts(f"<body><form><div>{story}<p>And more.</p></div><fieldset>name</fieldset></form>{search}</body>") \
+        == ["A long story about many things.", "And more."]
+    assert texts(f"<div>{story}</div><form hidden><article>{story}</article></form>{search}") == ["A long story about many things."]
+
+
+def test_articles_win_only_with_most_of_the_content(spark):
+    body = "<div><p>The main text stands {0} in plain blocks, and it is long.</p></div>"
+    card = "<article><p>Teaser {0}</p></article>"
+    assert texts(card.format(1) + body.format("here")) == ["Teaser 1", "The main text stands here in plain blocks, and it is long."]
+    banner = "<div><p>The same long words of welcome stand on each page of this host.</p></div>"  # template, so the article has most of the rest
+    rows = [(i, "http://h.example/", f"<body>{banner}<article><p>Short story {i}.</p></article><div><p>by {i}</p></div></body>") for i in range(6)]
+    rows += [(9, "http://o.example/", card.format(1) + body.format("here"))]
+    got = {r.page_id: r.text for r in H.extract(pages(spark, rows)).collect()}
+    assert got[3] == "Short story 3." and got[9].endswith("it is long.")
+
+
 def test_simple_tree_matching_and_alignment():
     a = ("r", (("h", ()), ("p", ()), ("d", (("x", ()), ("y", ())))))
     b = ("r", (("n", ()), ("p", ()), ("d", (("y", ()),))))

@@ -7,7 +7,8 @@ host's commonest tree. Over all pages of the host, an aligned node whose text is
 the same nearly everywhere is template; nodes whose text varies are content
 slots. A page's main text is the blocks in its content slots, without the
 elements whose tag, role or class says menu, advert, form, comment and so on, and
-inside the article or main element if the page has one.
+inside its article or main elements if these hold most of that text. A form or
+fieldset that has an article or main element, or most of the page's text, is no noise.
 
 Plan: pages are parsed twice rather than kept (parsing is cheap, the html is
 large). Template statistics are counts per (host, node, text) with partial
@@ -51,6 +52,10 @@ BLOCK = frozenset("""address article aside blockquote body center dd details dia
     tfoot th thead tr ul""".split())
 NOISE = frozenset("""applet audio aside button canvas dialog embed fieldset footer form head iframe input label legend
     map menu meter nav noscript object option output progress script select style svg template textarea title video""".split())
+#: Noise that may wrap a page's body.
+WRAPPER = frozenset("fieldset form label object".split())
+#: Those that stay if they hold most of the page's text.
+MOSTLY = frozenset(("fieldset", "form"))
 NOISE_ROLE = frozenset("""alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search
     status toolbar""".split())
 NOISE_WORD = frozenset("""ad ads advert adverts advertisement advertising banner banners breadcrumb breadcrumbs byline-share
@@ -140,11 +145,14 @@ def _has_main(node: Node) -> bool:
     return False
 
 
-def _noise(node: Node, inside: bool) -> bool:
-    """Whether the element and all below it is not main text."""
+def _noise(node: Node, inside: bool, held: frozenset[int] = frozenset()) -> bool:
+    """Whether the element and all below it is not main text; ``held`` are wrappers
+    that stay, by id()."""
     tag, attrs = node.tag, node.attrs
-    if tag in NOISE or "hidden" in attrs or attrs.get("aria-hidden") == "true":
+    if "hidden" in attrs or attrs.get("aria-hidden") == "true":
         return tag != "label" or not _has_main(node)
+    if tag in NOISE and id(node) not in held:
+        return tag not in WRAPPER or not _has_main(node)
     if tag in MAIN or tag in ("html", "body", "#root"):
         return any(w in ("comment", "comments", "reply") for w in _classes(node)) and tag == "article"
     if tag == "header" and not inside:
@@ -199,35 +207,35 @@ def shape(root: Node) -> tuple:
     return made[id(root)]
 
 
-def blocks(root: Node) -> list[tuple[int, str, bool, float]]:
-    """(node, text, inside an article, part of it in links) of the blocks that are not noise."""
-    out: list[tuple[int, str, bool, float]] = []
+def _blocks(root: Node, held: frozenset[int]) -> list[tuple[int, str, bool, float, tuple[int, ...]]]:
+    """The blocks that are not noise, with the ``held`` wrappers around them."""
+    out: list[tuple[int, str, bool, float, tuple[int, ...]]] = []
     text: list[str] = []
     linked = [0]
-    state = {"node": 0, "inside": False}
+    state: dict = {"node": 0, "inside": False, "around": ()}
 
     def flush():
         s = " ".join("".join(text).split())
         if s:
-            out.append((state["node"], s, state["inside"], linked[0] / len(s)))
+            out.append((state["node"], s, state["inside"], linked[0] / len(s), state["around"]))
         text.clear()
         linked[0] = 0
 
-    stack: list = [(root, False, False, False, 0)]
+    stack: list = [(root, False, False, False, 0, ())]
     while stack:
         item = stack.pop()
         if item is None:
             flush()
             continue
-        n, inside, in_link, only_headings, number = item
+        n, inside, in_link, only_headings, number, around = item
         if isinstance(n, str):
             if not only_headings:
                 if not "".join(text).strip():
-                    state["node"], state["inside"] = number, inside
+                    state["node"], state["inside"], state["around"] = number, inside, around
                 text.append(n)
                 linked[0] += len(n.strip()) * in_link
             continue
-        if n.tag != "#root" and _noise(n, inside):
+        if n.tag != "#root" and _noise(n, inside, held):
             continue
         if n.tag == "br":
             text.append(" ")
@@ -237,7 +245,9 @@ def blocks(root: Node) -> list[tuple[int, str, bool, float]]:
         if n.tag in HEADING:
             only_headings = False
         number = n.number if n.number >= 0 else number
-        below = [(c, inside or n.tag in MAIN, in_link or n.tag == "a", only_headings, number) for c in reversed(n.children)]
+        if id(n) in held:
+            around = (*around, id(n))
+        below = [(c, inside or n.tag in MAIN, in_link or n.tag == "a", only_headings, number, around) for c in reversed(n.children)]
         if n.tag in BLOCK:
             flush()
             stack.append(None)
@@ -246,11 +256,44 @@ def blocks(root: Node) -> list[tuple[int, str, bool, float]]:
     return out
 
 
+def _holders(root: Node) -> frozenset[int]:
+    """The forms and fieldsets that hold most of the page's text."""
+    todo, held = [root], set()
+    while todo:
+        n = todo.pop()
+        if n.tag in MOSTLY:
+            held.add(id(n))
+        todo += [c for c in n.children if isinstance(c, Node)]
+    if not held:
+        return frozenset()
+    total, chars = 0, dict.fromkeys(held, 0)
+    for _, text, inside, links, around in _blocks(root, frozenset(held)):
+        if inside or links < LINKS:
+            total += len(text)
+            for x in around:
+                chars[x] += len(text)
+    return frozenset(x for x, c in chars.items() if 2 * c > total)
+
+
+def blocks(root: Node) -> list[tuple[int, str, bool, float]]:
+    """(node, text, inside an article, part of it in links) of the blocks that are not noise."""
+    return [b[:4] for b in _blocks(root, _holders(root))]
+
+
+def text_blocks(root: Node) -> list[tuple[int, str, bool]]:
+    """(node, text, inside an article) of the blocks that are no menus."""
+    return [b[:3] for b in blocks(root) if b[2] or b[3] < LINKS]
+
+
+def main_of(found: list[tuple[int, str, bool]]) -> list[tuple[int, str]]:
+    """Those inside articles if they hold most of the text."""
+    inside = sum(len(t) for _, t, within in found if within)
+    most = 2 * inside > sum(len(t) for _, t, _ in found)
+    return [(n, t) for n, t, within in found if within or not most]
+
+
 def main_blocks(root: Node) -> list[tuple[int, str]]:
-    found = blocks(root)
-    if any(b[2] for b in found):
-        return [(b[0], b[1]) for b in found if b[2]]
-    return [(b[0], b[1]) for b in found if b[3] < LINKS]
+    return main_of(text_blocks(root))
 
 
 def host_of(url: str | None) -> str:
@@ -403,12 +446,13 @@ def align(a: tuple, b: tuple) -> dict[int, int]:
 
 
 def _parsed(pages: DataFrame, id_col: str, url_col: str, html_col: str, with_text: bool) -> DataFrame:
-    """(page_id, url, host, tree, shape, page_hash, blocks of (node, th[, text])); ``tree``
-    is a hash of the page's shape, which is itself only written without texts."""
+    """(page_id, url, host, tree, shape, page_hash, blocks of (node, th[, inside, text])); ``tree``
+    is a hash of the page's shape, which is itself only written without texts.
+    Whether articles win is only known without the template: all blocks are kept here."""
     d = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
-    block = [("node", pa.int32()), ("th", pa.int64())] + [("text", pa.string())] * with_text
+    block = [("node", pa.int32()), ("th", pa.int64())] + [("inside", pa.bool_()), ("text", pa.string())] * with_text
     schema = (f"page_id {pages.schema[id_col].dataType.simpleString()}, url string, host string, tree long, shape string, page_hash long, "
-              "blocks array<struct<node:int,th:long" + ",text:string" * with_text + ">>")
+              "blocks array<struct<node:int,th:long" + ",inside:boolean,text:string" * with_text + ">>")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -419,9 +463,9 @@ def _parsed(pages: DataFrame, id_col: str, url_col: str, html_col: str, with_tex
                 written = _write_shape(shape(root))
                 trees.append(text_hash(written))
                 shapes.append(None if with_text else written)
-                own = main_blocks(root)
-                hashes.append(text_hash("\n".join(t for _, t in own)))
-                found.append([{"node": n, "th": text_hash(t)} | ({"text": t} if with_text else {}) for n, t in own])
+                own = text_blocks(root)
+                hashes.append(text_hash("\n".join(t for _, t in main_of(own))))
+                found.append([{"node": n, "th": text_hash(t)} | ({"inside": i, "text": t} if with_text else {}) for n, t, i in own])
             yield pa.RecordBatch.from_arrays(
                 [b.column("page_id"), b.column("url"), pa.array(hosts, pa.string()), pa.array(trees, pa.int64()), pa.array(shapes, pa.string()),
                  pa.array(hashes, pa.int64()), pa.array(found, pa.list_(pa.struct(block)))],
@@ -470,6 +514,9 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     d = _parsed(pages, id_col, url_col, html_col, True).join(fixed, ["host", "tree"], "left")
     drop = F.coalesce("drop", F.array().cast("array<struct<node:int,th:bigint>>"))
     kept = F.filter("blocks", lambda b: ~F.array_contains(drop, F.struct(b["node"].alias("node"), b["th"].alias("th"))))
-    text = F.array_join(F.transform(kept, lambda b: b["text"]), "\n")
+    chars = lambda bs: F.aggregate(bs, F.lit(0).cast("long"), lambda n, b: n + F.char_length(b["text"]))
+    d = d.select("page_id", "url", kept.alias("kept")).withColumn("within", F.filter("kept", lambda b: b["inside"]))
+    own = F.when(2 * chars(F.col("within")) > chars(F.col("kept")), F.col("within")).otherwise(F.col("kept"))
+    text = F.array_join(F.transform(own, lambda b: b["text"]), "\n")
     return d.select(F.col("page_id").alias(id_col), F.col("url").alias(url_col), text.alias("text")) \
         .withColumn("n_chars", F.char_length("text").cast("long"))
