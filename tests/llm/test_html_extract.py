@@ -36,6 +36,27 @@ def test_constant_nodes_of_a_host_are_template(spark):
     assert got[900].startswith("Read our other site too\nTitle 0")
 
 
+def test_each_layout_of_a_host_has_its_template(spark):
+    one = "<body><div><h1>Title {0}</h1><p>Story {0}.</p><dl><dt>Always here</dt><dd>and here</dd></dl></div></body>"
+    two = "<body><section><ul><li>Same hint</li></ul><table><tr><td>Fixed cell</td><td><p>Body {0}</p></td></tr></table><pre>Fixed end</pre></section></body>"
+    odd = "<body><div><h1>Title {0}</h1><p>Story {0}.</p><dl><dt>Always here</dt><dd>and here</dd></dl><blockquote>Seldom, but the same</blockquote></div></body>"
+    rows = [(i, "http://mixed.example/", one.format(i)) for i in range(12)]
+    rows += [(20 + i, "http://mixed.example/", two.format(i)) for i in range(8)]
+    rows += [(40 + i, "http://mixed.example/", odd.format(i)) for i in range(5)]  # a node that the pivot lacks
+    rows += [(60, "http://mixed.example/", "<h2>Alone</h2>"), (61, "http://mixed.example/", two.format(99).replace("<ul>", "<ol><li>x</ol><ul>"))]
+    got = {r.page_id: r.text for r in H.extract(pages(spark, rows)).collect()}
+    assert got[3] == "Title 3\nStory 3." and got[23] == "Body 3" and got[43] == "Title 3\nStory 3."
+    assert got[60] == "Alone" and got[61] == "x\nBody 99"
+
+
+def test_many_layouts_take_several_rounds(spark):
+    tags = "section table dl ul ol pre blockquote address figure details".split()
+    page = "<body>{0}<p>Same words</p><h1>About {2}</h1>{1}</body>"
+    rows = [(100 * k + i, "http://h.example/", page.format("".join(f"<{t}>" for t in [t] * 6), "".join(f"</{t}>" for t in [t] * 6), i))
+            for k, t in enumerate(tags) for i in range(6)]
+    assert {r.text.split()[0] for r in H.extract(pages(spark, rows)).collect()} == {"About"}
+
+
 def test_menus_without_an_article_go():
     html = "<div><ul><li><a href=1>One</a></li><li><a href=2>Two</a></li></ul><p>Text with <a href=3>a link</a> in it.</p></div>"
     assert [t for _, t in H.main_blocks(H.tree(html))] == ["Text with a link in it."]

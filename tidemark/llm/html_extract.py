@@ -1,11 +1,12 @@
 """Main text of web pages by wrapper induction.
 
 Each page becomes a small tree of its elements, in which runs of like siblings
-(paragraphs, list items) count as one repeated node. Pages of a host are aligned
-by simple tree matching: every distinct tree of a host is matched with the
-host's commonest tree. Over all pages of the host, an aligned node whose text is
-the same nearly everywhere is template; nodes whose text varies are content
-slots. A page's main text is the blocks in its content slots, without the
+(paragraphs, list items) count as one repeated node. A host's pages are clustered
+by simple tree matching, one cluster for each layout, and every distinct tree is
+aligned with its cluster's commonest tree; a node without a partner there is known
+by its way from the nearest node that has one. Over the cluster's pages that have
+text at such a slot, text that is the same nearly everywhere is template; nodes
+whose text varies are content slots. A page's main text is the blocks in its content slots, without the
 elements whose tag, role or class says menu, advert, form, comment and so on, and
 inside its article or main elements if these hold most of that text. A form or
 fieldset that has an article or main element, or most of the page's text, is no noise.
@@ -14,7 +15,12 @@ Plan: pages are parsed twice rather than kept (parsing is cheap, the html is
 large). Template statistics are counts per (host, node, text) with partial
 aggregation, so a hot host spreads; trees are matched once per (host, distinct
 tree). Copies of a page count once in a host's statistics: a text is template
-only if it stands in ``SHARE`` of at least ``LEAST`` different pages. The
+only if it stands in ``SHARE`` of at least ``LEAST`` different pages that have its
+slot. Clustering takes rounds: in each, a host's commonest trees that no cluster
+holds found new ones, twice as many as in the round before, until the rest are
+too few pages for a template. Trees outside clusters of ``LEAST`` different pages
+take the likest cluster's template but do not count in it; a host without such a
+cluster is one. The
 template list meets the pages in a broadcast if its checked size allows, else in
 a join that the adaptive skew join splits.
 
@@ -32,15 +38,19 @@ from hashlib import blake2b
 from html.parser import HTMLParser
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import staged
 
 #: A text is template if it stands at its node in this share of the host's different pages.
 SHARE = 0.9
-#: Hosts with fewer different pages have no template.
+#: Slots that fewer different pages have are no template.
 LEAST = 5
+#: Trees are of one layout if this share of their nodes match.
+ALIKE = 0.7
+#: New clusters of a host in the first round, and the largest clusters that other trees are compared with.
+PIVOTS, LARGEST = 4, 16
 #: Bytes of the template list that are broadcast at most.
 BROADCAST_BYTES = 8 << 20
 #: A block with this part of its characters in links is a menu, outside articles.
@@ -388,6 +398,22 @@ class Matcher:
             todo.pop()
         return self.known(a, b)
 
+    def likeness(self, a: int, b: int) -> float:
+        """The share of both trees' nodes that match."""
+        return 2 * self.match(a, b) / (self.size[a] + self.size[b])
+
+    def slots(self, a: int, b: int) -> dict[int, int]:
+        """Like ``align``; a node without a partner has the slot, below 0, of its label below its parent's slot."""
+        out, todo, pairs = {}, [(b, 0, 0)], self.align(a, b)
+        while todo:
+            x, number, above = todo.pop()
+            out[number] = own = pairs[number] if number in pairs else -1 - abs(text_hash(f"{above} {self.label[x]}") >> 1)
+            number += 1
+            for c in self.kids[x]:
+                todo.append((c, number, own))
+                number += self.size[c]
+        return out
+
     def align(self, a: int, b: int) -> dict[int, int]:
         """Preorder numbers of b's nodes to those of the nodes of a that they match."""
         out: dict[int, int] = {}
@@ -474,16 +500,80 @@ def _parsed(pages: DataFrame, id_col: str, url_col: str, html_col: str, with_tex
     return d.mapInArrow(run, schema)
 
 
+def _assigned(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first of the pivots, in their order, that each tree is like."""
+    m = Matcher()
+    for b in rows:
+        out = []
+        for shape_, pivots in zip(b.column("shape").to_pylist(), b.column("pivots").to_pylist()):
+            if m.full():
+                m = Matcher()
+            own = m.add(read_shape(shape_))
+            out.append(next((p["tree"] for p in pivots if m.likeness(m.add(read_shape(p["shape"])), own) >= ALIKE), None))
+        yield pa.RecordBatch.from_arrays([b.column("host"), b.column("tree"), pa.array(out, pa.int64())], names=["host", "tree", "cluster"])
+
+
 def _aligned(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The slots of each tree's nodes in the likest of its pivots' clusters."""
     m = Matcher()
     for b in rows:
-        for host, own, shape_, pivot in zip(*(b.column(c).to_pylist() for c in ("host", "tree", "shape", "pivot"))):
+        for host, own, shape_, votes, pivots in zip(*(b.column(c).to_pylist() for c in ("host", "tree", "shape", "votes", "pivots"))):
             if m.full():
                 m = Matcher()
-            pairs = m.align(m.add(read_shape(pivot)), m.add(read_shape(shape_)))
+            x = m.add(read_shape(shape_))
+            trees = [(p["tree"], m.add(read_shape(p["shape"]))) for p in pivots]
+            cluster, pivot = trees[0] if len(trees) == 1 else max(trees, key=lambda t: m.likeness(t[1], x))
+            pairs = m.slots(pivot, x)
             n = len(pairs)
-            yield pa.RecordBatch.from_arrays([pa.array([host] * n), pa.array([own] * n, pa.int64()), pa.array(list(pairs), pa.int32()),
-                                              pa.array(list(pairs.values()), pa.int32())], names=["host", "tree", "node", "slot"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([host] * n), pa.array([own] * n, pa.int64()), pa.array([cluster] * n, pa.int64()), pa.array([votes] * n, pa.bool_()),
+                 pa.array(list(pairs), pa.int32()), pa.array(list(pairs.values()), pa.int64())],
+                names=["host", "tree", "cluster", "votes", "node", "slot"])
+
+
+def _commonest(trees: DataFrame, k: int) -> DataFrame:
+    """(host, pivots): each host's k commonest trees as (tree, shape), the commonest first."""
+    place = F.row_number().over(Window.partitionBy("host").orderBy(F.desc("n"), "tree"))
+    return trees.select("host", F.struct(place.alias("place"), "tree", "shape").alias("p")).where(F.col("p.place") <= k) \
+        .groupBy("host").agg(F.array_sort(F.collect_list("p")).alias("pivots"))
+
+
+def _clusters(shapes: DataFrame, least: int) -> DataFrame:
+    """(host, tree, cluster), the cluster as its pivot's tree; trees of too few pages for a cluster are not in it."""
+    out, rest, k = None, shapes, PIVOTS
+    while True:
+        enough = rest.groupBy("host").agg(F.sum("n").alias("pages")).where(F.col("pages") >= least).select("host")
+        rest = staged(rest.join(staged(enough, "open_hosts"), "host", "left_semi"), "open_trees")
+        if rest.isEmpty():
+            return out if out is not None else shapes.select("host", "tree", F.col("tree").alias("cluster")).limit(0)
+        pivots = staged(_commonest(rest, k), "pivots")
+        got = staged(rest.join(pivots, "host").select("host", "tree", "shape", "pivots")
+                     .mapInArrow(_assigned, "host string, tree long, cluster long"), "clusters")
+        found = got.where("cluster IS NOT NULL")
+        out = found if out is None else out.unionByName(found)
+        rest, k = rest.join(got.where("cluster IS NULL").select("host", "tree"), ["host", "tree"], "left_semi"), 2 * k
+
+
+def _slots(seen: DataFrame, shapes: DataFrame, least: int) -> DataFrame:
+    """(host, tree, cluster, votes, node, slot) of all trees; votes: the tree counts in its cluster."""
+    found = _clusters(shapes, least)
+    pages = seen.select("host", "tree", "page_hash").distinct().join(found, ["host", "tree"]) \
+        .select("host", "cluster", "page_hash").distinct().groupBy("host", "cluster").agg(F.count("*").alias("n"))
+    layouts = staged(pages.where(F.col("n") >= least), "layouts")
+    large = layouts.join(shapes.select("host", F.col("tree").alias("cluster"), "shape"), ["host", "cluster"]) \
+        .select("host", F.col("cluster").alias("tree"), "n", "shape")
+    large = staged(large, "layout_pivots")
+    of_none = shapes.join(large.select("host").distinct(), "host", "left_anti")
+    likest = staged(_commonest(large, LARGEST).withColumn("votes", F.lit(False))
+                    .unionByName(_commonest(of_none, 1).withColumn("votes", F.lit(True))), "likest")
+    member = found.join(large.select("host", F.col("tree").alias("cluster"), F.col("shape").alias("pivot")), ["host", "cluster"])
+    member = staged(member.select("host", "tree", "cluster", "pivot"), "members")
+    own = F.array(F.struct(F.lit(1).alias("place"), F.col("cluster").alias("tree"), F.col("pivot").alias("shape")))
+    inner = shapes.join(member, ["host", "tree"]).select("host", "tree", "shape", F.lit(True).alias("votes"), own.alias("pivots"))
+    outer = shapes.join(member.select("host", "tree"), ["host", "tree"], "left_anti").join(likest, "host") \
+        .select("host", "tree", "shape", "votes", "pivots")
+    return staged(inner.unionByName(outer).mapInArrow(
+        _aligned, "host string, tree long, cluster long, votes boolean, node int, slot long"), "slots")
 
 
 def template(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
@@ -491,17 +581,15 @@ def template(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", ht
     """(host, tree, drop): for each tree of a host its constant blocks, as (node, th)."""
     seen = staged(_parsed(pages, id_col, url_col, html_col, False).select("host", "tree", "shape", "page_hash", "blocks"), "page_trees")
     shapes = staged(seen.groupBy("host", "tree").agg(F.count("*").alias("n"), F.min("shape").alias("shape")), "shapes")
-    pivots = shapes.groupBy("host").agg(F.max_by("shape", F.struct("n", "tree")).alias("pivot"))
-    slots = staged(shapes.join(pivots, "host").select("host", "tree", "shape", "pivot")
-                   .mapInArrow(_aligned, "host string, tree long, node int, slot int"), "slots")
-    different = seen.select("host", "page_hash").distinct()
-    many = staged(different.groupBy("host").agg(F.count("*").alias("pages")).where(F.col("pages") >= least), "hosts")
+    slots = _slots(seen, shapes, least)
     texts = seen.select("host", "tree", "page_hash", F.explode("blocks").alias("b")) \
         .select("host", "tree", "page_hash", "b.node", "b.th").distinct()
-    stands = texts.join(slots, ["host", "tree", "node"]).select("host", "slot", "th", "page_hash").distinct() \
-        .groupBy("host", "slot", "th").agg(F.count("*").alias("n"))
-    fixed = stands.join(many, "host").where(F.col("n") >= share * F.col("pages")).select("host", "slot", "th")
-    return slots.join(fixed, ["host", "slot"]).groupBy("host", "tree").agg(F.collect_set(F.struct("node", "th")).alias("drop"))
+    stands = staged(texts.join(slots.where("votes"), ["host", "tree", "node"]).select("host", "cluster", "slot", "th", "page_hash").distinct(), "stands")
+    many = stands.select("host", "cluster", "slot", "page_hash").distinct().groupBy("host", "cluster", "slot") \
+        .agg(F.count("*").alias("pages")).where(F.col("pages") >= least)
+    often = stands.groupBy("host", "cluster", "slot", "th").agg(F.count("*").alias("n")).where(F.col("n") >= share * least)
+    fixed = often.join(many, ["host", "cluster", "slot"]).where(F.col("n") >= share * F.col("pages")).select("host", "cluster", "slot", "th")
+    return slots.join(staged(fixed, "fixed"), ["host", "cluster", "slot"]).groupBy("host", "tree").agg(F.collect_set(F.struct("node", "th")).alias("drop"))
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
