@@ -52,6 +52,27 @@ def test_contexts_find_what_no_rule_takes(spark):
     assert all(got[i][0] == got[i][1] != "" for i in range(12))
 
 
+def test_candidates_are_runs_and_words():
+    def got(text):
+        return {(g["pattern"], text[g["s"]:g["e"]]) for g in P._line(text)[1] if g["kind"] < 0}
+    for t in ("(555) 867 5309", "555 867 5309", "(555) 867-5309", "4111 1111 1111 1112", "10:0:0:1", "10-1-2-3", "5550199123", "(555)867-5309"):
+        for end in (", thanks", " end", ". End", ""):
+            assert ("my number:", t) in got("my number: " + t + end), (t, end)
+    assert ("my number:", "5550199123") in got("my number: 5550199123 12 items")
+    assert got("my number: 555 867 53x9") == got("my number: 12 34 5") == set()
+    assert ("10.0.0.1 or", "555 867 5309") in got("use 10.0.0.1 or 555 867 5309.")
+    assert all(s != "10.0.0.1" for _, s in got("in all 7 10.0.0.1 8 555 867 5309"))
+    assert ("my number:", "555 867 5309") in got("my number: (555 867 5309)") and got("1 " * 50_000) == got("1 " + "- " * 50_000) | got("1 " * 50_000)
+
+
+def test_contexts_find_numbers_with_blanks(spark):
+    rows = [(i, f"Customer phone: +1 (407) 555-77{i:02d} end") for i in range(20)] + [(30 + i, f"pay by card 4111 1111 1111 1111, thanks {i}") for i in range(3)]
+    rows += [(50 + i, f"Customer phone: {t}, thanks") for i, t in enumerate(("(555) 867 5309", "555 867 5309", "(555) 867-5309"))]
+    got = find(spark, rows)
+    for i, t in enumerate(("(555) 867 5309", "555 867 5309", "(555) 867-5309")):
+        assert got[50 + i] == ("", f"phone:16:{16 + len(t)}")
+
+
 def test_beliefs_spread_over_rounds(spark):
     rows = [(i, f"my number is +1 555 01{i:02d} 99 end") for i in range(8)]
     rows += [(20 + i, f"my number is 55500000{i:02d} end") for i in range(2)]

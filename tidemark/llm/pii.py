@@ -6,10 +6,12 @@ identifier-like words that stand in them form a graph; Spark scores it in
 rounds: a pattern's score for a kind is the belief in its distinct instances
 over their number, an instance's belief the best score of its patterns, seeds
 stay at 1. Patterns that score ``SCORE`` or more with ``SEEDS`` distinct instances'
-worth of belief extract words that no rule takes, if their form suits the kind.
+worth of belief extract what no rule takes, if its form suits the kind: words, and
+runs of digits with the separators of the rules (blank, dot, bracket, dash, colon).
+A run is read up to its first word if that has a form, else as far as it has one;
+where a found run holds a found word, the run counts.
 
-Texts are read once; per document only spans and identifier-like words (those
-with an at sign or seven digits) go on. Scores are aggregates and joins over
+Texts are read once; per document only spans and words and runs that have a form go on. Scores are aggregates and joins over
 distinct (pattern, instance) pairs, so a hot pattern or instance spreads.
 
 Defined cases: null text counts as empty and has no spans. Ties between kinds go
@@ -25,7 +27,7 @@ import re
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import staged
@@ -42,6 +44,8 @@ _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _ANY = re.compile(r"[0-9@]")
 _WORD = re.compile(r"\S+")
+#: Digits and separators, from a word's start.
+_RUN = re.compile(r"(?<![\w@.%+-])[(+]*[0-9][0-9().:+-]*(?: +[0-9().:+-]+)*")
 _EDGE = ".,;:!?()[]{}<>\"'`|"
 
 
@@ -106,6 +110,47 @@ def _before(text: str, start: int) -> str | None:
     return f"{words[-2].lower()} {words[-1].lower()}"
 
 
+def _reading(run: str) -> str:
+    """The part of a run, from its start, that has a form: its first word or as much as can be."""
+    found, digits = "", 0
+    for m in _WORD.finditer(run):
+        if not (n := len(_digits(m[0]))):
+            continue
+        digits += n
+        if digits > 19:
+            break
+        part = run[:m.end()].rstrip(" ().:+-")
+        part = part if ")" in part else part.lstrip("(")
+        if forms(part):
+            if " " not in part:
+                return part
+            found = part
+    return found
+
+
+def _runs(text: str, taken: list[tuple[int, int]]) -> Iterator[tuple[int, int, int]]:
+    """(start of the run, start, end) of the readings of runs beside the ``taken`` spans."""
+    i = 0
+    for m in _RUN.finditer(text):
+        s, e = m.span()
+        if e < len(text) and not text[e].isspace() and text[e] not in _EDGE:  # its last word goes on
+            e = max(s, text.rfind(" ", s, e))
+        while i < len(taken) and taken[i][1] <= s:
+            i += 1
+        for x, y in [*(t for t in taken[max(0, i - 3):i] if t[1] > s), *_until(taken, i, e), (e, e)]:
+            part = text[s:x]
+            if x > s and (own := _reading(part.lstrip(" .:)-"))):
+                at = text.index(own, s)
+                yield s + len(part) - len(part.lstrip(" .:)-")), at, at + len(own)
+            s = max(s, y)
+
+
+def _until(taken: list[tuple[int, int]], i: int, end: int) -> Iterator[tuple[int, int]]:
+    while i < len(taken) and taken[i][0] < end:
+        yield taken[i]
+        i += 1
+
+
 def _line(text: str) -> tuple[list[dict], list[dict]]:
     """The rules' spans, and the words and spans that take part in the graph."""
     spans = rule_spans(text)
@@ -113,13 +158,20 @@ def _line(text: str) -> tuple[list[dict], list[dict]]:
              for k, s, e in spans if (p := _before(text, s))]
     if text and _ANY.search(text):
         taken = sorted((s, e) for _, s, e in spans)
+        first = set()
+        for start, s, e in _runs(text, taken):
+            first.update(range(start, s + len(text[s:e]) - len(text[s:e].lstrip("(+")) + 1))
+            if p := _before(text, start):
+                graph.append({"pattern": p, "instance": text[s:e].lower(), "kind": -1, "form": forms(text[s:e]), "s": s, "e": e})
         i = 0
         for m in _WORD.finditer(text):
-            word = m[0].strip(_EDGE)
-            if "@" not in word and len(_digits(word)) < 7:
+            if not _ANY.search(m[0]):
                 continue
+            word = m[0].strip(_EDGE)
             s = m.start() + m[0].find(word)
             e = s + len(word)
+            if s in first:  # read as a run
+                continue
             while i < len(taken) and taken[i][1] <= s:
                 i += 1
             if any(x < e for x, _ in taken[i:i + 1]) or any(x < e and y > s for x, y in taken[max(0, i - 3):i]):
@@ -180,6 +232,8 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds
     fits = F.col("form").bitwiseAND(F.expr("shiftleft(1, k)")) != 0
     best = graph.where("kind < 0").join(strong.withColumnRenamed("kind", "k"), "pattern").where(fits) \
         .groupBy("row", "s", "e").agg(F.max(F.struct("score", (-F.col("k")).alias("k"))).alias("b"))
+    ahead = F.max("e").over(Window.partitionBy("row").orderBy("s").rowsBetween(Window.unboundedPreceding, -1))
+    best = best.withColumn("ahead", ahead).where("ahead IS NULL OR ahead <= s")
     found = best.groupBy("row").agg(F.collect_list(F.struct((-F.col("b.k")).alias("kind"), "s", "e")).alias("found"))
     return read.select("row", "id", "rules").join(found, "row", "left").select(
         F.col("id").alias(id_col), "rules",
