@@ -26,6 +26,16 @@ def test_remembered_words_give_the_tokenizers_ids(text):
     assert w.encode(text) == w.inner.encode(text, add_special_tokens=False).ids
 
 
+def test_special_names_give_the_default_ids():
+    from tokenizers import Tokenizer
+    plain, w = Tokenizer.from_file(P.vocabulary_path()), P.WordTokenizer(P.vocabulary_path())
+    assert w.special
+    for name in w.special:
+        for text in (f"a {name} b", name, f"a{name}.b c", f"one {name}{name} two, three", f" {name} x"):
+            assert w.encode(text) == plain.encode(text, add_special_tokens=False).ids
+    assert w.encode("a <|endoftext|> b") == [64, 220, 50256, 275]
+
+
 def test_memory_bound():
     w = P.WordTokenizer(P.vocabulary_path(), memory=50)
     text = " ".join(f"w{i}" for i in range(400))

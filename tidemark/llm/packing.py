@@ -53,7 +53,7 @@ class WordTokenizer:
 
     Such a vocabulary parts a text before every single space that has other
     characters on both sides, so a text without adjoining white space is the sum
-    of its space-parted words; other texts go to the tokenizer whole. A full stop
+    of its space-parted words; other texts, and those that hold a special token's name, go to the tokenizer whole. A full stop
     or comma behind letters is a part of its own, so such a word is that of the
     letters and the sign. Of two generations of ``memory`` words the older goes."""
 
@@ -61,7 +61,7 @@ class WordTokenizer:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.inner = Tokenizer.from_file(path)
-        self.inner.encode_special_tokens = True
+        self.special = [t.content for t in self.inner.get_added_tokens_decoder().values()]
         self.memory = memory
         self.words: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
@@ -86,7 +86,7 @@ class WordTokenizer:
 
     def encode_bytes(self, text: str) -> bytes:
         """The ids as native unsigned 32-bit numbers."""
-        if not text or _GAPS.search(text):
+        if not text or _GAPS.search(text) or any(t in text for t in self.special):
             return self._whole(text)
         head, *words = text.split(" ")
         if len(self.words) > self.memory:
