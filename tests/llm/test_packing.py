@@ -15,7 +15,6 @@ from .conftest import docs_of
 def tok():
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(P.vocabulary_path())
-    t.encode_special_tokens = True
     return t
 
 
