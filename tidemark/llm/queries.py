@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, exact_dedup, html_extract, langid, packing, pii, simhash, suffix_dedup, warc
+from . import byte_bpe, chat, decontaminate, exact_dedup, html_extract, langid, packing, pii, simhash, suffix_dedup, warc
 from .common import table
 
 QUERIES, ORACLE = {}, {}
@@ -122,3 +122,9 @@ SELECT page_id, cast(strlen(p.t) AS BIGINT) AS payload_bytes, {_BASE32} AS paylo
        CASE WHEN page_id IS NOT DISTINCT FROM first THEN NULL ELSE first END AS refers_to
 FROM p JOIN f ON p.t = f.t
 """
+
+
+@query
+def op13_byte_bpe(spark, sf_dir):
+    found = byte_bpe.decode(byte_bpe.encode(table(spark, sf_dir, "documents")))
+    return found.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("bytes", 256).alias("decoded_sha256"))
