@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.time import parse_instant, parse_wall, to_ntz
@@ -13,6 +13,7 @@ from ..operators import alerts as AL
 from ..operators import metrics as M
 from ..operators import quality as Q
 from ..operators import serving as S
+from ..operators.ordering import prefix_index
 from ..schemas import METRIC_FIELDS, TWEET_FIELDS
 from ..session import apply_conf, scratch_database, scratch_path
 from ..sources import adapters as A
@@ -494,10 +495,10 @@ def landing_counts(spark, sf_dir):
 @query("landing_replay_index")
 def landing_replay_index(spark, sf_dir):
     """SRT1 with the order in the result: each airline's rows numbered in replay
-    order (time text, then input position), in one pass per airline."""
+    order (time text, then input position), a large airline by many tasks."""
     rows = L.normalise(L.read_landing(spark, dirty_landing(spark, sf_dir), position=True))
-    w = Window.partitionBy("airline").orderBy("tweet_created", L.POSITION)
-    return rows.select("airline", "tweet_id", "tweet_created", F.row_number().over(w).cast("bigint").alias("replay_index"))
+    numbered = prefix_index(rows, ["tweet_created", L.POSITION], by=["airline"], out="replay_index")
+    return numbered.select("airline", "tweet_id", "tweet_created", "replay_index")
 
 
 @query("alerts_upsert_dirty")
