@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chat, decontaminate, exact_dedup, html_extract, langid, packing, pii, simhash, suffix_dedup, warc
+from . import byte_bpe, chat, decontaminate, exact_dedup, html_extract, importance, langid, packing, pii, simhash, suffix_dedup, warc
 from .common import table
 
 QUERIES, ORACLE = {}, {}
@@ -128,3 +128,39 @@ FROM p JOIN f ON p.t = f.t
 def op13_byte_bpe(spark, sf_dir):
     found = byte_bpe.decode(byte_bpe.encode(table(spark, sf_dir, "documents")))
     return found.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("bytes", 256).alias("decoded_sha256"))
+
+
+@query
+def op12_importance_resampling(spark, sf_dir):
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def _crc32(text: str) -> str:
+    """SQL for the CRC-32 of a text's UTF-8: a byte at a time, eight steps each."""
+    steps = "list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)"
+    octets = f"list_transform(range(0, strlen({text})), lambda i: cast('0x' || substr(hex({text}), cast(2 * i + 1 AS BIGINT), 2) AS BIGINT))"
+    return f"xor(list_reduce({octets}, lambda c, b: {steps}, 4294967295), 4294967295)"
+
+
+ORACLE["op12_importance_resampling"] = f"""
+WITH f AS (SELECT d.doc_id, rn, unnest(regexp_extract_all(translate(coalesce(d.text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                  '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')) AS w
+           FROM (SELECT *, row_number() OVER () AS rn FROM documents) d),
+     g AS (SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                  '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')) AS w FROM benchmark),
+     v AS (SELECT w, {_crc32('w')} % 10000 AS b FROM (SELECT w FROM f UNION SELECT w FROM g) x),
+     s AS (SELECT b, count(*) AS n FROM f JOIN v USING (w) GROUP BY b),
+     t AS (SELECT b, count(*) AS n FROM g JOIN v USING (w) GROUP BY b),
+     gain AS (SELECT s.b, cast(floor(1000 * ln((cast(coalesce(t.n, 0) + 1 AS DOUBLE) * ((SELECT sum(n) FROM s) + 10000))
+                / (cast(s.n + 1 AS DOUBLE) * (coalesce((SELECT sum(n) FROM t), 0) + 10000)))) AS BIGINT) AS gain
+              FROM s LEFT JOIN t ON s.b = t.b),
+     wt AS (SELECT f.rn, count(*) AS n, sum(gain) AS weight FROM f JOIN v USING (w) JOIN gain ON gain.b = v.b GROUP BY f.rn),
+     d AS (SELECT doc_id, coalesce(n, 0) AS n_features, cast(coalesce(weight, 0) AS BIGINT) AS weight,
+                  cast('0x' || substr(sha256('2024:' || coalesce(cast(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) AS h
+           FROM (SELECT *, row_number() OVER () AS rn FROM documents) x LEFT JOIN wt USING (rn)),
+     e AS (SELECT doc_id, n_features, weight, weight + cast(floor(-1000 * ln(-ln((h + 0.5) / 4294967296))) AS BIGINT) AS score FROM d),
+     r AS (SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS place FROM e)
+SELECT doc_id, n_features, weight, score,
+       CASE WHEN n_features >= 20 AND place <= 10 * (SELECT count(*) FROM e WHERE n_features >= 20) // 100 THEN place END AS rank
+FROM r
+"""
