@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chat, decontaminate, exact_dedup, html_extract, importance, langid, packing, pii, simhash, suffix_dedup, warc
+from . import byte_bpe, chat, decontaminate, exact_dedup, html_extract, importance, langid, packing, pii, repair, simhash, suffix_dedup, warc
 from .common import table
 
 QUERIES, ORACLE = {}, {}
@@ -164,3 +164,9 @@ SELECT doc_id, n_features, weight, score,
        CASE WHEN n_features >= 20 AND place <= 10 * (SELECT count(*) FROM e WHERE n_features >= 20) // 100 THEN place END AS rank
 FROM r
 """
+
+
+@query
+def op11_conversation_repair(spark, sf_dir):
+    damaged = repair.damage(table(spark, sf_dir, "conversations"))
+    return repair.report(repair.repair(damaged, copies_col="copies"))
