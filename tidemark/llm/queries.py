@@ -170,3 +170,53 @@ FROM r
 def op11_conversation_repair(spark, sf_dir):
     damaged = repair.damage(table(spark, sf_dir, "conversations"))
     return repair.report(repair.repair(damaged, copies_col="copies"))
+
+
+#: Edits of a turn by the role state before it (0 none, 1 system, 2 user, 3 assistant): edit, state, state after,
+#: initial it needs, role it writes (NULL: the turn's own), cost.
+_EDITS = "(VALUES " + ", ".join(
+    [f"('D', {q}, {q}, NULL, NULL, 2)" for q in range(4)]
+    + [f"('K', {q}, {to}, '{c}', NULL, 0)" for q, to, c in ((0, 1, "s"), (0, 2, "u"), (1, 2, "u"), (2, 3, "a"), (3, 2, "u"))]
+    + [f"('R', {q}, {3 if q == 2 else 2}, NULL, '{'assistant' if q == 2 else 'user'}', 1)" for q in range(4)]) + ") AS e(e, q, t, c, r, x)"
+#: Inserts before a turn, or at the end: how many, state, state after, their lines.
+_INSERTS = "(VALUES " + ", ".join(
+    f"({len(w)}, {q}, {t}, '{''.join('user:|' if c == 'u' else 'assistant:|' for c in w)}')"
+    for q, ways in ((0, (("", 0), ("u", 2), ("ua", 3))), (1, (("", 1), ("u", 2), ("ua", 3))), (2, (("", 2), ("a", 3), ("au", 2))),
+                    (3, (("", 3), ("u", 2), ("ua", 3)))) for w, t in ways) + ") AS n(k, q, t, w)"
+_BLANK = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+ORACLE["op11_conversation_repair"] = f"""
+WITH RECURSIVE
+c AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+             {_crc32("(coalesce(cast(conv_id AS VARCHAR), ' ') || ':' || coalesce(cast(turn AS VARCHAR), ' '))")} % 20 AS h FROM conversations),
+d AS (SELECT conv_id, turn, CASE WHEN h = 4 THEN 'user' ELSE role END AS role,
+             CASE WHEN h = 1 THEN '' WHEN h = 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+             unnest(range(0, CASE WHEN h = 3 THEN 2 ELSE 1 END)) AS copy FROM c WHERE h <> 0),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+             row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS nth, rtrim(text, {_BLANK}) AS body FROM d),
+f AS (SELECT conv_id, turn, i, role, text, substr(role, 1, 1) AS c,
+             CASE WHEN body = '' THEN 'blank' WHEN nth > 1 THEN 'duplicate'
+                  WHEN substr(body, length(body), 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+             lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS p FROM o),
+g AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE fault = 'blank') AS blank,
+             count(*) FILTER (WHERE fault = 'duplicate') AS duplicate, count(*) FILTER (WHERE fault = 'truncated') AS truncated,
+             count(*) FILTER (WHERE i > 1 AND p || c NOT IN ('su', 'ua', 'au')) AS illegal FROM f GROUP BY conv_id),
+s AS (SELECT conv_id, cast(0 AS BIGINT) AS i, 0 AS q, 0 AS cost, '' AS audit, '' AS body FROM (SELECT DISTINCT conv_id FROM conversations) x
+      UNION ALL
+      SELECT conv_id, i, q, cost, audit, body FROM (
+        SELECT f.conv_id, f.i, e.t AS q, s.cost + 5 * n.k + e.x + CASE WHEN e.e <> 'D' AND f.fault = 'truncated' THEN 5 ELSE 0 END AS cost,
+               s.audit || repeat('I', n.k) || e.e AS audit,
+               s.body || replace(n.w, '|', chr(10)) || CASE WHEN e.e = 'D' THEN '' ELSE coalesce(e.r, f.role) || ':' || f.text || chr(10) END AS body,
+               row_number() OVER (PARTITION BY f.conv_id, e.t
+                 ORDER BY s.cost + 5 * n.k + e.x + CASE WHEN e.e <> 'D' AND f.fault = 'truncated' THEN 5 ELSE 0 END,
+                          s.audit || repeat('I', n.k) || e.e) AS place
+        FROM s JOIN f ON f.conv_id IS NOT DISTINCT FROM s.conv_id AND f.i = s.i + 1 JOIN {_INSERTS} ON n.q = s.q JOIN {_EDITS} ON e.q = n.t
+        WHERE (e.c IS NULL OR e.c = f.c) AND (e.e = 'D' OR f.fault NOT IN ('blank', 'duplicate'))) x WHERE place = 1),
+z AS (SELECT s.conv_id, s.cost + 5 * n.k AS cost, s.audit || repeat('I', n.k) AS audit, s.body || replace(n.w, '|', chr(10)) AS body,
+             row_number() OVER (PARTITION BY s.conv_id ORDER BY s.cost + 5 * n.k, s.audit || repeat('I', n.k)) AS place
+      FROM s LEFT JOIN (SELECT conv_id, max(i) AS n FROM f GROUP BY conv_id) m ON m.conv_id IS NOT DISTINCT FROM s.conv_id
+      JOIN {_INSERTS} ON n.q = s.q AND n.t IN (0, 3) WHERE s.i = coalesce(m.n, 0))
+SELECT z.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, cast(cost AS BIGINT) AS cost, audit, sha256(CASE WHEN body = '' THEN '' ELSE substr(body, 1, length(body) - 1) END) AS repaired_sha256
+FROM z LEFT JOIN g ON g.conv_id IS NOT DISTINCT FROM z.conv_id WHERE place = 1
+"""
