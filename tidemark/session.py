@@ -105,19 +105,20 @@ def stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
-def _file_system(spark: SparkSession, folder: str):
+def file_system(spark: SparkSession, folder: str):
+    """The file system of a path, and the path, for small files and folders that jobs leave as notes."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
 
 
 def folder_exists(spark: SparkSession, folder: str) -> bool:
-    fs, path = _file_system(spark, folder)
+    fs, path = file_system(spark, folder)
     return fs.exists(path)
 
 
 def move_folder(spark: SparkSession, source: str, target: str) -> None:
     """Rename a folder (atomic where the file system's rename is)."""
-    fs, path = _file_system(spark, source)
+    fs, path = file_system(spark, source)
     goal = spark._jvm.org.apache.hadoop.fs.Path(target)
     fs.mkdirs(goal.getParent())
     if not fs.rename(path, goal):
@@ -127,11 +128,11 @@ def move_folder(spark: SparkSession, source: str, target: str) -> None:
 def discard(spark: SparkSession, *folders: str) -> None:
     """Remove folders that ``stored`` made."""
     for folder in folders:
-        fs, path = _file_system(spark, folder)
+        fs, path = file_system(spark, folder)
         fs.delete(path, True)
 
 
-__all__ = ["build_session", "apply_conf", "ensure_checkpoint_dir", "scratch_path", "stored", "discard", "REQUIRED_CONF",
+__all__ = ["build_session", "apply_conf", "ensure_checkpoint_dir", "scratch_path", "stored", "discard", "file_system", "REQUIRED_CONF",
            "CLUSTER_CONF"]
 
 
