@@ -17,8 +17,8 @@ Each pre-token is merged by ranks, its lowest pair first, and the ids of recent
 ones are remembered. Decoding concatenates the bytes of the ids, without any
 change, so that bytes which are no UTF-8 survive.
 
-Memory: a task holds one batch of texts, one chunk or, where chunks don't meet,
-one text; remembered pre-tokens are bounded by ``MEMORY``.
+Memory: a task holds ``ROWS`` short texts, ``CHUNKS`` chunks or, where chunks don't
+meet, one text; remembered pre-tokens are bounded by ``MEMORY``.
 
 Defined cases: a null or empty text has no ids; repeated rows and null ids are
 rows of their own; an empty table gives an empty result; other columns are not
@@ -46,7 +46,9 @@ CHUNK, OVERLAP = 32_768, 512
 #: The pattern's alternatives decide by at most so many characters past a match's end ('re, 've, 'll).
 LOOKAHEAD = 4
 #: Distinct pre-tokens of each of two generations whose ids a worker remembers.
-MEMORY = 200_000
+MEMORY = 100_000
+#: Short texts and chunks whose Python objects a task holds at once.
+ROWS, CHUNKS = 512, 32
 #: Longer pre-tokens are merged with a heap, and not remembered.
 LONG = 64
 
@@ -159,6 +161,10 @@ def codec(vocabulary: str = VOCABULARY) -> ByteBPE:
     return _CODECS[vocabulary]
 
 
+def _few(batches: Iterator[pa.RecordBatch], rows: int = ROWS) -> Iterator[pa.RecordBatch]:
+    return (b.slice(at, rows) for b in batches for at in range(0, b.num_rows, rows))
+
+
 def boundaries(parts: list[str]) -> np.ndarray:
     """Ends of the pre-tokens of a chunk, in characters from its start, after a 0."""
     return np.concatenate([[0], np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)))])
@@ -188,7 +194,7 @@ def _chunks(texts: DataFrame, id_type: T.DataType, vocabulary: str, chunk: int,
 
     def pretokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = codec(vocabulary).parts
-        for b in batches:
+        for b in _few(batches, CHUNKS):
             ends, heads, tails = [], [], []
             for text, start in zip(b.column("text").to_pylist(), b.column("start").to_pylist()):
                 at = boundaries(parts(text))
@@ -221,7 +227,7 @@ def _encode_spans(chunks: DataFrame, id_type: T.DataType, vocabulary: str) -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = codec(vocabulary)
-        for b in batches:
+        for b in _few(batches, CHUNKS):
             out = []
             for text, ends, start, lo, hi in zip(*(b.column(c).to_pylist() for c in ("text", "ends", "start", "lo", "hi"))):
                 at = np.frombuffer(ends, "<u4").astype(np.int64)
@@ -283,7 +289,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", voca
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = codec(vocabulary)
-        for b in batches:
+        for b in _few(batches):
             ids = [bpe.encode(t) for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(ids, pa.binary())], names=schema.names)
 
@@ -305,7 +311,7 @@ def decode(encoded: DataFrame, ids_col: str = "ids", out: str = "bytes", vocabul
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = codec(vocabulary)
-        for b in batches:
+        for b in _few(batches):
             raw = [bpe.decode(i) for i in b.column(ids_col).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(c) for c in kept] + [pa.array(raw, pa.binary())], names=schema.names)
 
