@@ -109,3 +109,58 @@ def test_entries_fold_and_stay_the_same(spark, tmp, monkeypatch):
     assert sorted((r.batch, r.rows, r.files[0].rows) for r in book.entries().where("writer = 'q'").collect()) == [(k, 10 + k, 10 + k) for k in range(20)]
     assert book.lasts() == {"q": 19, "other": 4} and book.compact("nobody") == 0
     assert folder_exists(spark, f"{book.folder}/q")
+
+
+# ---------------------------------------------------------------- speed table
+def speed_db(spark, tmp, name):
+    from tidemark.operators import serving as S
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{os.path.join(tmp, 'db')}'")
+    S.create_speed_table(spark, f"{name}.speed")
+    return S, f"{name}.speed"
+
+
+def speed_rows(spark, *days):
+    from .test_serving import METRICS_TABLE, T, metric
+    rows = [metric(k, T(11, d), T(11, d + 1)) for d in days for k in "ab"]
+    return spark.createDataFrame(rows, METRICS_TABLE)
+
+
+@pytest.mark.parametrize("step", ["begin", "half", "append", "done"])
+def test_speed_append_that_is_cut_off(spark, tmp, monkeypatch, step):
+    S, table = speed_db(spark, tmp, f"cut_{step}")
+    assert S.append_speed(speed_rows(spark, 1), table, 0, writer="q")
+    whole, put = S.append_rows, Ledger.done
+
+    def gone(*_):
+        raise HostGone(step)
+
+    def half(df, t):
+        whole(df.filter("airline = 'a'"), t)
+        gone()
+
+    def append(df, t):
+        whole(df, t)
+        gone()
+
+    if step == "done":
+        monkeypatch.setattr(Ledger, "done", lambda *a: (put(*a), gone()))
+    else:
+        monkeypatch.setattr(S, "append_rows", {"begin": gone, "half": half, "append": append}[step])
+    with pytest.raises(HostGone):
+        S.append_speed(speed_rows(spark, 1, 2, 3), table, 1, writer="q")
+    monkeypatch.setattr(S, "append_rows", whole)
+    monkeypatch.setattr(Ledger, "done", put)
+    assert S.committed_speed(spark, table).count() == (8 if step == "done" else 2)      # readers see whole batches
+    assert S.append_speed(speed_rows(spark, 1, 2, 3), table, 1, writer="q") is (step != "done")
+    assert S.append_speed(speed_rows(spark, 1, 2, 3), table, 1, writer="q") is False
+    assert spark.table(table).count() == 8 == S.committed_speed(spark, table).count()
+    assert {(r.batch, r.rows) for r in S.speed_ledger(spark, table).entries().collect()} == {(0, 2), (1, 6)}
+
+
+def test_rows_of_a_release_without_ledger_are_known(spark, tmp):
+    S, table = speed_db(spark, tmp, "old_release")
+    rows = S.with_window_date(speed_rows(spark, 1)).selectExpr("*", "current_timestamp() AS created_at", "'q' AS writer", "3L AS batch_id")
+    S.append_rows(rows, table)
+    assert S.append_speed(speed_rows(spark, 1), table, 3, writer="q") is False
+    assert S.append_speed(speed_rows(spark, 2), table, 4, writer="q") is True
+    assert S.committed_speed(spark, table).count() == 4

@@ -6,14 +6,15 @@ import logging
 import re
 import time
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.time import ltz_lit, ntz_lit, time_text
 from ..schemas import METRIC_FIELDS, METRICS_TABLE, SOURCE_BATCH, SOURCE_SPEED
+from ..sources.ledger import Ledger
 from .metrics import with_month
 from .tables import (DYNAMIC_OVERWRITE, append_rows, drop_partitions, finish_overwrite, overwrite_safely,
-                     partition_values, table_exists)
+                     partition_values, table_exists, table_location)
 
 log = logging.getLogger(__name__)
 EPOCH = "1970-01-01 00:00:00"
@@ -153,25 +154,72 @@ def create_speed_table(spark: SparkSession, table: str) -> None:
                   USING parquet OPTIONS ({opts}) PARTITIONED BY (window_date)""")
 
 
+#: The writer's name in the ledger where none is given.
+UNNAMED = "unnamed"
+
+
+def speed_ledger(spark: SparkSession, table: str) -> Ledger:
+    """The commit ledger of a speed table, a hidden folder beside its partitions."""
+    return Ledger(spark, f"{table_location(spark, table)}/_ledger")
+
+
+def committed_speed(spark: SparkSession, table: str) -> DataFrame:
+    """The speed table without rows of a micro-batch that is being written, or
+    whose writing was cut off and not yet tried again."""
+    df = spark.table(table)
+    for writer, batch in speed_ledger(spark, table).unfinished():
+        df = df.filter(~_of_batch("" if writer == UNNAMED else writer, batch))
+    return df
+
+
+def _of_batch(writer: str, batch_id: int):
+    return F.col("writer").eqNullSafe(F.lit(writer)) & F.col("batch_id").eqNullSafe(F.lit(batch_id))
+
+
+def _remove_batch(spark: SparkSession, table: str, writer: str, batch_id: int) -> int:
+    """Take out what a cut-off append has left; returns how many dates it touched."""
+    finish_overwrite(spark, table)
+    t, own = spark.table(table), _of_batch(writer, batch_id)
+    dates = [r[0] for r in t.filter(own).select("window_date").distinct().collect()]   # dates of one micro-batch
+    for date in dates:
+        rest = t.filter(F.col("window_date").eqNullSafe(F.lit(date)) & ~own)
+        if rest.isEmpty():
+            drop_partitions(spark, table, [{"window_date": date}])
+        else:
+            overwrite_safely(rest, table)
+    spark.catalog.refreshTable(table)
+    return len(dates)
+
+
 def append_speed(metrics: DataFrame, table: str, batch_id: int, now=None, writer: str = "") -> bool:
     """Append one micro-batch of speed metrics, stamped with ``created_at``.
 
-    Idempotent per (``writer``, ``batch_id``): a batch that is already in the
-    table (a retry after the write committed) is skipped, so replays never
-    double rows. ``writer`` is the streaming query's id, which a new checkpoint
-    changes: its batches start at 0 again and are another writer's, not
-    replays. The check reads only those two columns of a table that pruning
-    keeps small. Returns whether rows were written."""
+    Idempotent per (``writer``, ``batch_id``), by the table's commit ledger: the
+    batch is entered as begun before its first row and as done after its last one.
+    A retry of a done batch is a replay and is skipped, without a look at the
+    table; a retry of a begun one first takes out the rows that are there, so a
+    commit that died halfway neither loses nor doubles a row. ``writer`` is the
+    streaming query's id, which a new checkpoint changes: its batches start at 0
+    again and are another writer's, not replays. Rows that an earlier release
+    wrote without a ledger are recognised. Returns whether rows were written."""
     spark = metrics.sparkSession
-    same = F.col("writer").eqNullSafe(F.lit(writer)) & (F.col("batch_id") == F.lit(batch_id))
-    if not spark.table(table).filter(same).isEmpty():
+    book, name = speed_ledger(spark, table), writer or UNNAMED
+    state = book.state(name, batch_id)
+    if state == "done":
+        return False
+    if state == "begun":
+        _remove_batch(spark, table, writer, batch_id)
+    elif not book.knows(name) and not spark.table(table).filter(_of_batch(writer, batch_id)).isEmpty():
         return False
+    book.begin(name, batch_id)
     t = F.current_timestamp() if now is None else ltz_lit(now)
     rows = with_window_date(metrics.select(*METRIC_FIELDS)).select(
         *METRIC_FIELDS, t.alias("created_at"), F.lit(writer).alias("writer"),
         F.lit(batch_id).cast("bigint").alias("batch_id"), "window_date")
     # few files per date, but a large date (a replay) is split over several tasks
-    append_rows(rows.hint("rebalance", "window_date"), table)
+    counted = Observation()
+    append_rows(rows.hint("rebalance", "window_date").observe(counted, F.count(F.lit(1)).alias("n")), table)
+    book.done(name, batch_id, counted.get.get("n", 0))
     return True
 
 

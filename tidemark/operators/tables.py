@@ -85,6 +85,11 @@ def partition_values(spark: SparkSession, table: str) -> list[dict]:
 def drop_partitions(spark: SparkSession, table: str, specs: list[dict]) -> None:
     if not specs:
         return
-    parts = ", ".join("PARTITION (" + ", ".join(f"{k} = '{v}'" for k, v in s.items()) + ")" for s in specs)
+    parts = ", ".join("PARTITION (" + ", ".join(f"{k} = null" if v is None else f"{k} = '{v}'" for k, v in s.items()) + ")" for s in specs)
     spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {parts}")
     spark.catalog.refreshTable(table)
+
+
+def table_location(spark: SparkSession, table: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
+    return next(r["data_type"] for r in rows if r["col_name"] == "Location").rstrip("/")

@@ -85,7 +85,7 @@ def run_batch_cycle(spark: SparkSession, cfg: CycleConfig) -> DataFrame:
         except Exception as e:  # noqa: BLE001 - a FAIL row; the other layers still report
             log.error("lake statistics failed: %s", e)
             lake_report = Q.failed_layer(spark, "lake", e)
-    report = Q.run_checks(spark, cfg.lake_path, speed=spark.table(speed), batch=published, lake_report=lake_report,
+    report = Q.run_checks(spark, cfg.lake_path, speed=S.committed_speed(spark, speed), batch=published, lake_report=lake_report,
                           alerts_report=Q.check_table(spark, alerts, "alerts", Q.check_alerts))
     Q.summary(report, started=started, raise_on_fail=cfg.raise_on_fail)
     return report

@@ -97,6 +97,15 @@ class Ledger:
         out = {w: self.last(w) for w in self._names(self.folder)}
         return {w: n for w, n in out.items() if n is not None}
 
+    def unfinished(self) -> list[tuple[str, int]]:
+        """(writer, batch) of batches that were begun and are not committed: one a writer at most."""
+        out = []
+        for w in self._names(self.folder):
+            last = self.last(w)
+            at = [int(n.split(".")[0]) for n in self._names(f"{self.folder}/{w}") if n.endswith(".begun")]
+            out += [(w, b) for b in at if last is None or b > last]
+        return out
+
     def entries(self) -> DataFrame:
         """(writer, batch, rows, files) of every committed batch."""
         if not any(self.last(w) is not None for w in self._names(self.folder)):
