@@ -261,15 +261,15 @@ def pieces(rows: DataFrame, id_col: str = "conv_id", turn_col: str = "turn", rol
     space = F.lit(" ")
     d = rows.select(F.col(id_col).alias("id"), F.col(turn_col).cast("long").alias("turn"), F.coalesce(role_col, space).alias("role"),
                     F.coalesce(text_col, space).alias("text"), copies.alias("copies"))
+    d = d.withColumn("sha", F.sha2("text", 256))
+    # where each text of a role stands first; such a mark meets its row in the grouping below, without a join
+    first = d.where("copies > 0").groupBy("id", "role", "sha").agg(F.min(F.struct("turn"))["turn"].alias("turn")) \
+        .select("id", "turn", "role", "sha", F.lit(0).cast("long").alias("copies"), F.lit(None).cast("string").alias("text"), F.lit(True).alias("first"))
     # equal rows as one with a count, so that a row that stands there very often is one row from here on
-    once = d.groupBy("id", "turn", "role", F.sha2("text", 256).alias("sha")).agg(F.sum("copies").alias("copies"), F.first("text").alias("text"))
-    first = once.where("copies > 0").groupBy(F.col("id").alias("id1"), F.col("role").alias("role1"), F.col("sha").alias("sha1")) \
-        .agg(F.min(F.struct("turn"))["turn"].alias("turn1"))
-    same = F.col("id").eqNullSafe(F.col("id1")) & F.col("turn").eqNullSafe(F.col("turn1")) & (F.col("role") == F.col("role1")) \
-        & (F.col("sha") == F.col("sha1"))
-    known = once.join(first, same, "left").select("id", "turn", "role", "text", "copies", F.col("sha1").isNull().alias("seen"))
+    known = d.withColumn("first", F.lit(False)).unionByName(first).groupBy("id", "turn", "role", "sha") \
+        .agg(F.sum("copies").alias("copies"), F.max("text").alias("text"), (~F.bool_or("first")).alias("seen"))
     # long texts stay out of the sample that decides the ranges
-    inner = known.repartitionByRange("id", "turn", "role", F.substr("text", F.lit(1), F.lit(200))).sortWithinPartitions("id", "turn", "role", "text")
+    inner = known.select("id", "turn", "role", "text", "copies", "seen").repartitionByRange("id", "turn", "role", F.substr("text", F.lit(1), F.lit(200))).sortWithinPartitions("id", "turn", "role", "text")
     schema = d.sparkSession.createDataFrame([], f"{_PIECES}").schema
     full = type(schema)([d.schema["id"], *schema.fields])
     arrow = _arrow(full)
