@@ -46,11 +46,13 @@ CHUNK, OVERLAP = 32_768, 512
 #: The pattern's alternatives decide by at most so many characters past a match's end ('re, 've, 'll).
 LOOKAHEAD = 4
 #: Distinct pre-tokens of each of two generations whose ids a worker remembers.
-MEMORY = 100_000
+MEMORY = 200_000
 #: Short texts and chunks whose Python objects a task holds at once.
 ROWS, CHUNKS = 512, 32
 #: Longer pre-tokens are merged with a heap, and not remembered.
 LONG = 64
+#: The rank of a pair that is no token.
+NONE = 1 << 62
 
 _CODECS: dict[str, "ByteBPE"] = {}
 
@@ -76,21 +78,18 @@ class ByteBPE:
             return [whole]
         if len(piece) > LONG:
             return self._merge_long(piece)
+        rank = ranks.get
         parts = [piece[i:i + 1] for i in range(len(piece))]
-        pairs = [ranks.get(piece[i:i + 2]) for i in range(len(piece) - 1)]
-        while True:
-            low, at = None, -1
-            for i, r in enumerate(pairs):
-                if r is not None and (low is None or r < low):
-                    low, at = r, i
-            if low is None:
-                return [ranks[p] for p in parts]
-            parts[at:at + 2] = [parts[at] + parts[at + 1]]
+        pairs = [rank(piece[i:i + 2], NONE) for i in range(len(piece) - 1)]
+        while pairs and (low := min(pairs)) != NONE:
+            at = pairs.index(low)
+            parts[at:at + 2] = [both] = [parts[at] + parts[at + 1]]
             del pairs[at]
             if at:
-                pairs[at - 1] = ranks.get(parts[at - 1] + parts[at])
+                pairs[at - 1] = rank(parts[at - 1] + both, NONE)
             if at < len(pairs):
-                pairs[at] = ranks.get(parts[at] + parts[at + 1])
+                pairs[at] = rank(both + parts[at + 1], NONE)
+        return [ranks[p] for p in parts]
 
     def _merge_long(self, piece: bytes) -> list[int]:
         """The same with a heap over a linked list of parts."""
