@@ -8,7 +8,9 @@ A failing step stops the cycle, except pruning, whose failure is only
 logged (the unified view stays correct with extra speed rows).
 
 With ``incremental=True`` neither the metrics nor the lake checks scan the
-whole lake: both fold only the files that arrived since the last cycle.
+whole lake: both fold only the files that arrived since the last cycle. With
+``by_file=True`` the metrics are kept by file (``plans.retract``): files that were
+deleted or repaired since leave the metrics, as in a recomputation.
 """
 
 from __future__ import annotations
@@ -43,6 +45,7 @@ class CycleConfig:
     incremental: bool = False        # fold only new lake files into per-hour partials
     partials_table: str = "batch_partials"
     partials_checkpoint: str | None = None   # durable folder; required when incremental
+    by_file: bool = False            # keep partials by file, so that files may leave or be replaced
     lake_stats_table: str = "lake_stats"
     lake_stats_checkpoint: str | None = None  # durable folder; required when incremental
 
@@ -61,6 +64,11 @@ def run_batch_cycle(spark: SparkSession, cfg: CycleConfig) -> DataFrame:
         update_batch_partials(spark, cfg.lake_path, cfg.name(cfg.partials_table), cfg.partials_checkpoint,
                               cfg.time_mode)
         metrics = batch_metrics_from_partials(spark, cfg.name(cfg.partials_table))
+    elif cfg.by_file:
+        from .retract import FilePartials, metrics_by_file, update_by_file
+        partials = FilePartials(cfg.name(cfg.partials_table), cfg.time_mode)
+        update_by_file(spark, cfg.lake_path, partials)
+        metrics = metrics_by_file(spark, partials)
     else:
         metrics = batch_metrics(read_raw(spark, cfg.lake_path), cfg.time_mode)
     version = S.publish_version(metrics, batch_name, keep=cfg.keep_versions)

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +16,7 @@ from ..operators import quality as Q
 from ..operators import serving as S
 from ..operators.ordering import prefix_index
 from ..schemas import METRIC_FIELDS, TWEET_FIELDS
-from ..session import apply_conf, scratch_database, scratch_path
+from ..session import apply_conf, discard, scratch_database, scratch_path
 from ..sources import adapters as A
 from ..sources import landing as L
 from ..sources import lake as LK
@@ -593,3 +594,61 @@ def dq_missing_alerts(spark, sf_dir):
     speed_table_from_stream(spark, sf_dir, db)
     cfg = CycleConfig(lake_path=lake_of(spark, sf_dir), database=db, archive_path=scratch_path(spark, "archive"))
     return run_batch_cycle(spark, cfg)
+
+
+def events_in_waves(spark, sf_dir, waves: int) -> str:
+    """The events as one file for each wave (by id), the arrivals of a stream."""
+    path = scratch_path(spark, "waves")
+    ev = A.table(spark, sf_dir, "events")
+    for k in range(waves):
+        ev.filter(F.col("event_id") % waves == k).coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+class _Stopped(RuntimeError):
+    pass
+
+
+@query("raw_lake_ledger")
+def raw_lake_ledger(spark, sf_dir):
+    """SNK4 with a stop after every step of a micro-batch, each followed by a restart
+    from the checkpoint: the lake's rows, and what its commit ledger says of them."""
+    source, path, ckpt = events_in_waves(spark, sf_dir, 4), scratch_path(spark, "lake"), scratch_path(spark, "lake-ckpt")
+    todo = [("begun", 0), ("written", 1), ("moved", 2), ("done", 3)]
+
+    def stop(step, batch):
+        if todo and todo[0] == (step, batch):
+            todo.pop(0)
+            raise _Stopped(step)
+
+    while True:
+        raw = A.events_as_tweets(LK.file_stream(spark, source, EVENTS_SCHEMA, max_files_per_trigger=1))
+        q = LK.append_raw(raw, path, ckpt, now=FIXED_NOW, trigger={"availableNow": True}, on_step=stop)
+        before = len(todo)
+        try:
+            SP.run_available(q)
+            break
+        except StreamingQueryException:
+            if len(todo) == before:   # not one of ours
+                raise
+    book, wrong = LK.ledger(spark, path).entries(), LK.ledger_audit(spark, path)
+    return LK.read_raw(spark, path).select(
+        "*", book.select(F.count("*")).scalar().alias("batches"), book.select(F.sum("rows")).scalar().alias("entered"),
+        wrong.select(F.count("*")).scalar().alias("wrong"))
+
+
+@query("batch_hourly_retracted")
+def batch_hourly_retracted(spark, sf_dir):
+    """AGG1/AGG7 kept by file: a wave of files leaves the lake, another is replaced by
+    part of its rows; the metrics are those of a full recomputation."""
+    from .retract import FilePartials, metrics_by_file, update_by_file
+    t = A.tweets(spark, sf_dir, keep=("event_id",))
+    lake = scratch_path(spark, "lake")
+    partials = FilePartials(f"{scratch_database(spark, 'byfile')}.partials")
+    for k in range(4):
+        LK.write_raw(t.filter(F.col("event_id") % 4 == k), f"{lake}/wave-{k}", now=FIXED_NOW)
+    update_by_file(spark, lake, partials)
+    discard(spark, f"{lake}/wave-1", f"{lake}/wave-2")
+    LK.write_raw(t.filter(F.col("event_id") % 8 == 2), f"{lake}/wave-2", now=FIXED_NOW)
+    update_by_file(spark, lake, partials)
+    return metrics_by_file(spark, partials)

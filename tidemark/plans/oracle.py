@@ -340,3 +340,9 @@ UNION ALL {dq_metrics_sql(SPEED_AFTER_PRUNE, "speed")}
 UNION ALL {DQ_BATCH}
 UNION ALL SELECT 'alerts', 'row count > 0', false, 'no table'""",
 })
+
+# ============================================================================ faults and repairs
+ORACLE["raw_lake_ledger"] = f"""SELECT *, CAST(4 AS BIGINT) AS batches, (SELECT count(*) FROM events) AS entered, CAST(0 AS BIGINT) AS wrong
+FROM ({LAKE_ROWS}) l"""
+ORACLE["batch_hourly_retracted"] = f"""WITH {TW}, kept AS (SELECT * FROM tw WHERE event_id % 4 IN (0, 3) OR event_id % 8 = 2)
+{metrics_sql('kept', WALL, 'hour', 'batch')}"""
