@@ -10,6 +10,10 @@ from ..session import discard, stored
 from .tables import DYNAMIC_OVERWRITE, append_rows, finish_overwrite, overwrite_safely, table_exists
 
 ALERT_COLUMNS = TWEET_FIELDS + ["created_at"]
+#: The order key of a table that keeps one: when its row arrived.
+ARRIVAL = "arrival"
+#: Arrival order of topic records: their time first, as partitions count offsets apart.
+RECORD_ORDER = ("timestamp", "partition", "offset")
 # Row order inside each bucket file: the finders filter on airline (and time),
 # so Parquet min/max statistics let them skip row groups (layout, not indexes).
 # The bucket column leads, which is the order the partitioned writer needs anyway.
@@ -38,7 +42,7 @@ def bucket_of(key: Column, buckets: int) -> Column:
 
 def upsert(spark: SparkSession, table: str, updates: DataFrame, key: str = "tweet_id",
            order_cols=("_arrival",), buckets: int = 64, stamp: Column | None = None,
-           columns=ALERT_COLUMNS) -> int:
+           columns=ALERT_COLUMNS, register: bool = False) -> int:
     """Keyed upsert into a managed table partitioned by hash bucket of ``key``.
 
     * updates are reduced to the last arrival per key (a NULL key is a key);
@@ -56,6 +60,13 @@ def upsert(spark: SparkSession, table: str, updates: DataFrame, key: str = "twee
     * new keys — the common case — are appended without rewriting anything;
       ``compact_buckets`` later folds the extra files.
 
+    ``register``: the table keeps each row's order key (column ``arrival``), and an
+    update only replaces a row whose order key is smaller. So an older update that
+    comes again, in this batch or any later one, from whichever partition, never
+    wins; without it a later batch always does. ``order_cols`` must then say when a
+    record arrived for good (its time, partition and offset), not where it stands
+    in this batch. Rows from before the table had the column give way to any update.
+
     Idempotent: applying the same updates twice leaves the same table. One
     writer per table (a streaming ``foreachBatch`` applies its batches in
     order). A large bucket is split over several tasks.
@@ -66,19 +77,29 @@ def upsert(spark: SparkSession, table: str, updates: DataFrame, key: str = "twee
         u = u.withColumn("created_at", stamp if stamp is not None else F.current_timestamp())
     if "_arrival" in order_cols and "_arrival" not in u.columns:
         u = u.withColumn("_arrival", F.monotonically_increasing_id())
+    if register and "_arrival" in order_cols:
+        raise ValueError("a register needs order columns that outlast the batch")
     u = latest_per_key(u, key, order_cols)
-    u = u.select(*[F.col(c) for c in columns], bucket_of(F.col(key), buckets).alias("bucket"))
+    kept = [ARRIVAL] if register else []
+    if register:
+        u = u.withColumn(ARRIVAL, F.struct(*order_cols))
+    u = u.select(*[F.col(c) for c in columns], *kept, bucket_of(F.col(key), buckets).alias("bucket"))
     if not table_exists(spark, table):
         (_dealt(u).write.format("parquet").options(**DYNAMIC_OVERWRITE).partitionBy("bucket").saveAsTable(table))
         return spark.table(table).count()
     finish_overwrite(spark, table)
+    if register and ARRIVAL not in spark.table(table).columns:
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({ARRIVAL} {u.schema[ARRIVAL].dataType.simpleString()})")
     u, folder = stored(u, "upsert")
     # at most `buckets` small integers: bounded by configuration, not by data;
     # as a literal list they become a static PartitionFilter on the scan
     per_bucket = u.groupBy("bucket").count().collect()      # at most `buckets` rows
     existing = (spark.table(table).filter(F.col("bucket").isin([r[0] for r in per_bucket]))
-                .select(F.col(key).alias("_there"), F.lit(True).alias("_old")).distinct())
-    marked, marks = stored(u.join(existing, F.col(key).eqNullSafe(F.col("_there")), "left").drop("_there"), "upsert")
+                .select(F.col(key).alias("_there"), F.lit(True).alias("_old"), *[F.col(c).alias("_then") for c in kept]).distinct())
+    met = u.join(existing, F.col(key).eqNullSafe(F.col("_there")), "left")
+    if register:
+        met = met.filter(F.coalesce(F.col(ARRIVAL) > F.col("_then"), F.lit(True))).drop("_then")
+    marked, marks = stored(met.drop("_there"), "upsert")
     replaced = marked.filter("_old").drop("_old")
     rewrite = [r[0] for r in replaced.select("bucket").distinct().collect()]
     if rewrite:
@@ -95,7 +116,7 @@ def upsert(spark: SparkSession, table: str, updates: DataFrame, key: str = "twee
 
 def _dealt(rows: DataFrame) -> DataFrame:
     """Rows of a bucket together, in file order; a large bucket over several tasks."""
-    return rows.hint("rebalance", "bucket").sortWithinPartitions(*ALERT_FILE_ORDER)
+    return rows.hint("rebalance", "bucket").sortWithinPartitions(*[c for c in ALERT_FILE_ORDER if c in rows.columns])
 
 
 def compact_buckets(spark: SparkSession, table: str, max_files: int = 8) -> int:

@@ -14,6 +14,7 @@ from ..operators import alerts as AL
 from ..operators import metrics as M
 from ..operators import quality as Q
 from ..operators import serving as S
+from ..operators.generations import Generations
 from ..operators.ordering import prefix_index
 from ..schemas import METRIC_FIELDS, TWEET_FIELDS
 from ..session import apply_conf, discard, scratch_database, scratch_path
@@ -652,3 +653,37 @@ def batch_hourly_retracted(spark, sf_dir):
     LK.write_raw(t.filter(F.col("event_id") % 8 == 2), f"{lake}/wave-2", now=FIXED_NOW)
     update_by_file(spark, lake, partials)
     return metrics_by_file(spark, partials)
+
+
+def alert_deliveries(spark, sf_dir):
+    """Alert updates as records of a topic of three partitions, keyed so that keys
+    repeat (one key NULL), delivered out of order: the later half, the earlier one, a
+    part of all again. A record's time has ties, so partition and offset decide too."""
+    ev = A.table(spark, sf_dir, "events")
+    u = AL.alert_filter(A.events_as_alert_updates(ev))
+    u = u.withColumn("tweet_id", F.when(F.col("tweet_id").cast("bigint") % 7 != 0, F.col("tweet_id"))).select(
+        *AL.ALERT_COLUMNS, F.date_trunc("hour", "created_at").alias("timestamp"), (F.col("event_id") % 3).cast("int").alias("partition"),
+        F.floor(F.col("event_id") / 3).cast("bigint").alias("offset"))
+    early = before_or_null(F.col("created_at"), time_midpoint(ev))
+    return u.filter(~early), u.filter(early), u.filter(F.col("offset") % 5 == 0)
+
+
+@query("alerts_out_of_order")
+def alerts_out_of_order(spark, sf_dir):
+    """STR10/SNK9 with a last-writer register: records of three partitions that come
+    late or again never win over a newer one."""
+    table = f"{scratch_database(spark, 'alerts')}.tweet_alerts"
+    for part in alert_deliveries(spark, sf_dir):
+        AL.upsert(spark, table, part, order_cols=AL.RECORD_ORDER, buckets=16, register=True)
+    return alert_rows(spark.table(table))
+
+
+@query("alerts_merge_on_read")
+def alerts_merge_on_read(spark, sf_dir):
+    """JON1 as append-only generations: the same deliveries, folded after the second."""
+    g = Generations(spark, scratch_path(spark, "generations"), buckets=16)
+    for k, part in enumerate(alert_deliveries(spark, sf_dir)):
+        g.upsert(part, AL.RECORD_ORDER, "deliveries", k)
+        if k == 1:
+            g.compact()
+    return alert_rows(g.latest())

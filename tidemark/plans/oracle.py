@@ -346,3 +346,9 @@ ORACLE["raw_lake_ledger"] = f"""SELECT *, CAST(4 AS BIGINT) AS batches, (SELECT
 FROM ({LAKE_ROWS}) l"""
 ORACLE["batch_hourly_retracted"] = f"""WITH {TW}, kept AS (SELECT * FROM tw WHERE event_id % 4 IN (0, 3) OR event_id % 8 = 2)
 {metrics_sql('kept', WALL, 'hour', 'batch')}"""
+ORACLE["alerts_out_of_order"] = ORACLE["alerts_merge_on_read"] = f"""WITH {TW},
+u AS (SELECT CASE WHEN user_id % 7 <> 0 THEN CAST(user_id AS VARCHAR) END AS tweet_id, airline, airline_sentiment, text,
+             retweet_count, tweet_created, ts AS created_at, event_id
+      FROM tw WHERE airline_sentiment = 'negative')
+SELECT {TWEET_COLS}, created_at FROM u
+QUALIFY row_number() OVER (PARTITION BY tweet_id ORDER BY date_trunc('hour', created_at) DESC, event_id % 3 DESC, event_id // 3 DESC) = 1"""

@@ -14,13 +14,14 @@ from ..schemas import METRICS_AVRO, TWEET_AVRO
 
 def kafka_stream(spark: SparkSession, servers: str, topic: str, starting: str = "earliest",
                  max_offsets_per_trigger: int | None = None) -> DataFrame:
-    """Value-only topic stream from the earliest offset; offsets are kept in
-    the query checkpoint, not in a consumer group."""
+    """Topic stream from the earliest offset: the values, and each record's time,
+    partition and offset, which order arrivals; offsets are kept in the query
+    checkpoint, not in a consumer group."""
     r = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
          .option("subscribe", topic).option("startingOffsets", starting))
     if max_offsets_per_trigger:
         r = r.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
-    return r.load().select("value", "partition", "offset")
+    return r.load().select("value", "timestamp", "partition", "offset")
 
 
 def wire_value(df: DataFrame, avro_json: str, schema_id: int) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from ..functions.time import parse_instant
-from ..operators.alerts import alert_filter, upsert
+from ..operators.alerts import RECORD_ORDER, alert_filter, upsert
 from ..operators.metrics import TWEET_SPEC, MetricSpec, to_wire, windowed_metrics
 from ..operators.serving import append_speed, create_speed_table
 from ..schemas import TWEET_FIELDS
@@ -93,15 +93,16 @@ def start_metrics_wire(raw: DataFrame, path: str, checkpoint: str, trigger: dict
 
 
 def start_alerts(raw: DataFrame, table: str, checkpoint: str, trigger: dict | None = None,
-                 key: str = "tweet_id", order_cols=("partition", "offset"), buckets: int = 64,
+                 key: str = "tweet_id", order_cols=RECORD_ORDER, buckets: int = 64,
                  name: str | None = None) -> StreamingQuery:
     """Alert query: negative rows upserted by ``key`` (last arrival wins).
 
-    Within a micro-batch the arrival order is ``order_cols`` (the topic
-    position; total only on a single-partition topic), or the row order of
-    the batch when the stream has no such columns; a later micro-batch always
-    wins over an earlier one because it is applied later. No watermark: an
-    alert is never late."""
+    The arrival order is ``order_cols`` (a record's time, then its place in the
+    topic), which the table keeps as a register: an older record that is delivered
+    again never replaces a newer row, whatever partition and micro-batch it comes
+    in. Where the stream has no such columns, it is the row order within a
+    micro-batch, and a later micro-batch wins over an earlier one because it is
+    applied later. No watermark: an alert is never late."""
     spark: SparkSession = raw.sparkSession
     alerts = alert_filter(raw)
 
@@ -109,10 +110,9 @@ def start_alerts(raw: DataFrame, table: str, checkpoint: str, trigger: dict | No
         b = batch
         if not all(c in b.columns for c in order_cols):
             b = b.withColumn("_arrival", F.monotonically_increasing_id())
-            oc = ("_arrival",)
+            upsert(spark, table, b, key=key, order_cols=("_arrival",), buckets=buckets)
         else:
-            oc = tuple(order_cols)
-        upsert(spark, table, b, key=key, order_cols=oc, buckets=buckets)
+            upsert(spark, table, b, key=key, order_cols=tuple(order_cols), buckets=buckets, register=True)
 
     return _writer(alerts, checkpoint, trigger, name).outputMode("append").foreachBatch(sink).start()
 
