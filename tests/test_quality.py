@@ -104,3 +104,44 @@ def test_every_invalid_value_is_reported(spark, tmp):
     assert len(rows) == 25 and all(r.detail.startswith("odd") for r in rows)
     s = Q.summary(Q.check_lake(spark, os.path.join(tmp, "lake"))).first()
     assert (s.total, s.failed) == (7, 1)
+
+
+def test_report_is_over_all_files_whatever_their_order(spark, tmp):
+    """One file lacks the sentiment, the other has a bad one: both orders report the same."""
+    good = [("1", "a", "positive", "t", 1, "x", "i")]
+    bad = [("2", "b", "bogus", "t", 1, "x", "i")]
+    reports = []
+    for k, (first, second) in enumerate([("a", "z"), ("z", "a")]):
+        folder = os.path.join(tmp, str(k))
+        lake_file(os.path.join(folder, "deep"), f"{first}.parquet", good, drop=("airline_sentiment",))
+        lake_file(folder, f"{second}.parquet", bad)
+        reports.append(sorted(map(tuple, Q.check_lake(spark, folder).collect())))
+    assert reports[0] == reports[1]
+    r = {c: (p, d) for _, c, p, d in reports[0]}
+    assert r["files exist"] == (True, "2 files found") and r["row count > 0"] == (True, "2 rows") and r["schema (7 columns)"][0]
+    assert r["null check: airline_sentiment"] == (False, "1 nulls") and r["sentiment values valid"][0] is False
+    assert r["invalid sentiment value"] == (False, "bogus: 1 rows")
+
+
+def test_footers_of_a_lake(spark, tmp):
+    from tidemark.operators.footers import footer_index, layouts
+    good = [("1", "a", "positive", "t", 1, "x", "i")]
+    folder = os.path.join(tmp, "la ke%20")
+    for k in range(3):
+        lake_file(os.path.join(folder, f"d{k}"), f"f{k}.parquet", good * (k + 1), drop=("text",) if k == 1 else ())
+    index = footer_index(spark, folder)
+    assert sorted((len(r.columns), r.files, r.rows) for r in layouts(index).collect()) == [(6, 1, 2), (7, 2, 4)]
+    with open(os.path.join(folder, "half.parquet"), "wb") as f:
+        f.write(b"PAR1 not whole")
+    assert [r.error is None for r in footer_index(spark, folder).orderBy("file").collect()].count(False) == 1
+    r = by_check(Q.check_lake(spark, folder))
+    assert list(r) == ["lake read"] and r["lake read"][0] is False and "half.parquet" in r["lake read"][1]
+
+
+def test_a_store_that_tasks_cannot_open(spark, tmp, monkeypatch):
+    good = [("1", "a", "positive", "t", 1, "x", "i")]
+    lake_file(tmp, "a.parquet", good, drop=("airline_sentiment",))
+    lake_file(tmp, "b.parquet", good * 2)
+    want = sorted(map(tuple, Q.check_lake(spark, tmp).collect()))
+    monkeypatch.setattr(Q, "opened_by_tasks", lambda path: False)
+    assert sorted(map(tuple, Q.check_lake(spark, tmp).collect())) == want

@@ -21,7 +21,7 @@ def wave(spark, lake, name, start, n, step=700):
 
 def setup(spark, tmp, name):
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{os.path.join(tmp, 'db')}'")
-    return os.path.join(tmp, "lake"), RT.FilePartials(f"{name}.partials")
+    return os.path.join(tmp, "la ke+%20"), RT.FilePartials(f"{name}.partials")
 
 
 def same_as_full(spark, lake, p):

@@ -17,6 +17,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import ALERT_SENTIMENT, DQ_REPORT, RAW_LAKE_FIELDS, SENTIMENTS
+from ..session import discard, stored
+from ..sources.lake import committed_files, lake_files
+from .footers import footer_index, layouts, opened_by_tasks
 
 log = logging.getLogger(__name__)
 
@@ -66,40 +69,65 @@ def value_rows(layer: str, values: DataFrame) -> DataFrame:
                          detail.alias("detail"))
 
 
-def check_lake(spark: SparkSession, path: str, layer: str = "lake", merge_schema: bool = False) -> DataFrame:
+def check_lake(spark: SparkSession, path: str, layer: str = "lake") -> DataFrame:
     """Lake checks: files exist (else stop), rows > 0, expected columns
     present (extra allowed), no NULL ids / airlines / sentiments, sentiment
     values valid (NULLs ignored; every invalid value is reported).
 
-    Files are counted from the listing, rows and values in one aggregate over
-    three columns. Columns are those of one file's footer; ``merge_schema``
-    opens every footer instead, for a lake whose files differ in columns."""
+    Files, rows and columns come from an index of all footers (``footers``), read in
+    tasks: the columns are those of all files together, and a row of a file that
+    lacks one of them has NULL there. NULLs and values are one aggregate over three
+    columns. Files of micro-batches that are not committed are left out."""
     try:
-        df = (spark.read.option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true")
-              .option("mergeSchema", str(merge_schema).lower()).parquet(path))
-        files = len(df._jdf.inputFiles())
-        cols = df.columns
-        aggs = [F.count(F.lit(1)).alias("n")]
-        aggs += [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in LAKE_NULL_COLUMNS if c in cols]
+        files, n, cols = _lake_contents(spark, path)
+        if files == 0:
+            return no_files(spark, layer)
+        checked = [c for c in LAKE_NULL_COLUMNS if c in cols]
+        df = spark.read.schema(", ".join(f"{c} string" for c in LAKE_NULL_COLUMNS)).option("pathGlobFilter", "*.parquet") \
+            .option("recursiveFileLookup", "true").parquet(path).where(committed_files(spark, path))
+        aggs = [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in checked]
         has_sent = "airline_sentiment" in cols
         if has_sent:
             s = F.col("airline_sentiment")
             aggs.append(F.count_if(invalid_sentiment()).alias("bad_sent"))
             aggs.append(F.array_sort(F.collect_set(F.when(s.isin(*SENTIMENTS), s))).alias("sent_values"))
-        r = df.agg(*aggs).first()
+        r = df.agg(*aggs).first() if aggs else {}
     except Exception as e:  # noqa: BLE001 - reported, not raised
         msg = _message(e)
         if "PATH_NOT_FOUND" in msg or "UNABLE_TO_INFER_SCHEMA" in msg:
             return no_files(spark, layer)
         return _report(spark, [_row(layer, "lake read", False, msg)])
-    if files == 0:
-        return no_files(spark, layer)
-    nulls = {c: r[f"null_{c}"] for c in LAKE_NULL_COLUMNS if c in cols}
+    nulls = {c: r[f"null_{c}"] for c in checked}
     bad = r["bad_sent"] if has_sent else None
-    report = _report(spark, lake_report_rows(layer, files, r["n"], cols, nulls, bad, r["sent_values"] if has_sent else []))
+    report = _report(spark, lake_report_rows(layer, files, n, cols, nulls, bad, r["sent_values"] if has_sent else []))
     return report.unionByName(value_rows(layer, invalid_values(df))) if bad else report
 
 
+def _lake_contents(spark: SparkSession, path: str) -> tuple[int, int, list[str]]:
+    """Files, rows and the columns of all files, from the footers. Where tasks can't
+    open the store's files by themselves, Spark merges the footers' columns."""
+    found = lake_files(spark, path)
+    if not opened_by_tasks(path):
+        files = found.count()
+        df = spark.read.option("mergeSchema", "true").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").parquet(path)
+        return files, df.where(committed_files(spark, path)).count() if files else 0, df.columns if files else []
+    index, folder = stored(footer_index(spark, path, found), "footers")
+    files, n, broken, first = index.agg(F.count("*"), F.coalesce(F.sum("rows"), F.lit(0)), F.count("error"),
+                                        F.min(F.when(F.col("error").isNotNull(), F.concat("file", F.lit(": "), "error")))).first()
+    if broken:
+        raise ValueError(f"{broken} files can't be read, {first}")
+    cols = [r[0] for r in index.select(F.explode("columns")).distinct().collect()]      # column names
+    discard(spark, folder)
+    return files, n, cols
+
+
+def layout_rows(spark: SparkSession, path: str, layer: str = "lake") -> DataFrame:
+    """A report row for each set of columns that files of the lake have."""
+    found = layouts(footer_index(spark, path))
+    detail = F.concat(F.col("files").cast("string"), F.lit(" files, "), F.col("rows").cast("string"), F.lit(" rows: "), F.array_join("columns", ", "))
+    return found.select(F.lit(layer).alias("layer"), F.lit("layout").alias("check"), F.lit(True).alias("passed"), detail.alias("detail"))
+
+
 def lake_report_rows(layer: str, files: int, n: int, cols, nulls: dict, bad: int | None, values: list) -> list[tuple]:
     """Report rows of the lake checks from their additive ingredients (shared
     by the full scan and the incremental statistics). ``bad`` is None when

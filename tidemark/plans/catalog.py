@@ -687,3 +687,23 @@ def alerts_merge_on_read(spark, sf_dir):
         if k == 1:
             g.compact()
     return alert_rows(g.latest())
+
+
+@query("dq_lake_layouts")
+def dq_lake_layouts(spark, sf_dir):
+    """DQ1-5 on lakes whose files differ in columns (one lacks the sentiment, one has a
+    column more and invalid values), written in one order and in the other: the same
+    report, over the columns of all files."""
+    t = A.tweets(spark, sf_dir, keep=("event_id",))
+    out = None
+    for layer, names in (("lake", "abc"), ("reversed", "cba")):
+        path = scratch_path(spark, "lake")
+        for k, name in enumerate(names):
+            rows = t.filter(F.col("event_id") % 3 == k)
+            wrong = F.when(F.col("event_id") % 10 == 0, "bogus").otherwise(F.col("airline_sentiment"))
+            rows = LK.to_lake_rows(rows.withColumn("airline_sentiment", wrong) if k == 2 else rows, FIXED_NOW)
+            rows = rows.drop("airline_sentiment") if k == 1 else rows.withColumn("lang", F.lit("en")) if k == 2 else rows
+            rows.coalesce(1).write.parquet(f"{path}/{name}")
+        report = Q.check_lake(spark, path, layer).unionByName(Q.layout_rows(spark, path, layer))
+        out = report if out is None else out.unionByName(report)
+    return out

@@ -352,3 +352,19 @@ u AS (SELECT CASE WHEN user_id % 7 <> 0 THEN CAST(user_id AS VARCHAR) END AS twe
       FROM tw WHERE airline_sentiment = 'negative')
 SELECT {TWEET_COLS}, created_at FROM u
 QUALIFY row_number() OVER (PARTITION BY tweet_id ORDER BY date_trunc('hour', created_at) DESC, event_id % 3 DESC, event_id // 3 DESC) = 1"""
+
+LAYOUTS = f"""WITH {TW} SELECT tweet_id, airline, CASE event_id % 3 WHEN 1 THEN NULL
+       WHEN 2 THEN CASE WHEN event_id % 10 = 0 THEN 'bogus' ELSE airline_sentiment END ELSE airline_sentiment END AS airline_sentiment FROM tw"""
+_FULL = "airline, airline_sentiment, ingested_at, retweet_count, text, tweet_created, tweet_id"
+_OWN = {0: _FULL, 1: _FULL.replace("airline_sentiment, ", ""), 2: _FULL.replace("ingested_at", "ingested_at, lang")}
+
+
+def _layouts_sql(layer: str) -> str:
+    report = dq_lake_sql(3, LAYOUTS).replace(_FULL, _OWN[2]).replace("'lake'", f"'{layer}'")
+    own = "".join(f"""
+UNION ALL SELECT '{layer}', 'layout', true, '1 files, ' || count(*) || ' rows: {columns}' FROM events WHERE event_id % 3 = {k}"""
+                  for k, columns in _OWN.items())
+    return report + own
+
+
+ORACLE["dq_lake_layouts"] = f"{_layouts_sql('lake')}\nUNION ALL {_layouts_sql('reversed')}"

@@ -30,7 +30,7 @@ from ..operators.metrics import TWEET_SPEC, MetricSpec, combine_partials, finish
 from ..operators.tables import DYNAMIC_OVERWRITE, drop_partitions, overwrite_partitions, table_exists
 from ..schemas import RAW_LAKE
 from ..session import discard, folder_exists, scratch_path, stored
-from ..sources.lake import committed_files
+from ..sources.lake import lake_files, plain_path
 
 #: Partitions of the list of files; and new files that are read at once at most.
 SLOTS, MAX_FILES = 64, 5000
@@ -58,17 +58,9 @@ class FilePartials:
         return [self.spec.count_name, *[self.spec.class_col(c) for c in self.spec.classes], "_sum", "_n"]
 
 
-def lake_files(spark: SparkSession, path: str) -> DataFrame:
-    """(file, size, changed) of every committed Parquet file of the lake, at any depth,
-    without opening one."""
-    found = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(path)
-    return found.select(F.col("path").alias("file"), F.col("length").alias("size"), F.col("modificationTime").alias("changed")) \
-        .where(committed_files(spark, path, F.col("file")))
-
-
 def _of_files(spark: SparkSession, files: list[str], p: FilePartials) -> DataFrame:
     """Partials of each of these files."""
-    raw = spark.read.schema(RAW_LAKE).parquet(*files).withColumn("file", F.col("_metadata.file_path"))
+    raw = spark.read.schema(RAW_LAKE).parquet(*files).withColumn("file", plain_path(F.col("_metadata.file_path")))
     spec = p.spec
     t = raw.withColumn("_t", parse_time("tweet_created", p.time_mode)).filter(F.col("_t").isNotNull())
     # the file goes through the same aggregate as part of the key

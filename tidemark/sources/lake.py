@@ -70,6 +70,19 @@ def committed_files(spark: SparkSession, path: str, file: Column | None = None)
     return plain | F.coalesce(F.substring(tail, 1, _ID + len("/batch-") + _BATCH) <= upto, F.lit(False))
 
 
+def plain_path(file: Column) -> Column:
+    """``_metadata.file_path`` (escaped like an address) as the path that readers take."""
+    return F.url_decode(F.replace(file, F.lit("+"), F.lit("%2B")))
+
+
+def lake_files(spark: SparkSession, path: str) -> DataFrame:
+    """(file, size, changed) of every committed Parquet file of the lake, at any depth,
+    without opening one."""
+    found = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(path)
+    return found.select(F.col("path").alias("file"), F.col("length").alias("size"), F.col("modificationTime").alias("changed")) \
+        .where(committed_files(spark, path, F.col("file")))
+
+
 def _files_of(spark: SparkSession, folder: str) -> list[tuple[str, int]]:
     """(name, rows) of the files of one micro-batch, of which there are as many as it had tasks."""
     found = spark.read.schema(RAW_LAKE).option("pathGlobFilter", "*.parquet").parquet(folder)
