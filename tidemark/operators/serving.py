@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from ..functions.time import ltz_lit, ntz_lit, time_text
 from ..schemas import METRIC_FIELDS, METRICS_TABLE, SOURCE_BATCH, SOURCE_SPEED
+from ..session import stored
 from ..sources.ledger import Ledger
-from .metrics import with_month
+from .metrics import from_two_clocks, two_clock_partials, with_month
 from .tables import (DYNAMIC_OVERWRITE, append_rows, drop_partitions, finish_overwrite, overwrite_safely,
                      partition_values, table_exists, table_location)
 
@@ -44,6 +45,14 @@ def unified(batch: DataFrame, speed: DataFrame) -> DataFrame:
     return b.unionByName(s)
 
 
+def unified_in_one_pass(tweets: DataFrame, time_mode: str = "wall") -> DataFrame:
+    """``unified`` of the batch and speed metrics of the same rows, which are read
+    once: hours, minutes and the cut-off all come from one stored table of minute
+    partials with both clocks."""
+    partials, _ = stored(two_clock_partials(tweets), "two-clocks")
+    return unified(from_two_clocks(partials, "1 hour", "batch", time_mode), from_two_clocks(partials, "1 minute", "speed", "instant"))
+
+
 def create_unified_view(spark: SparkSession, name: str, batch_table: str, speed_table: str,
                         pin: bool = False) -> None:
     """Catalog view of ``unified`` over two tables (SQL text, so readers of the

@@ -6,7 +6,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.time import parse_instant, parse_wall, to_ntz
@@ -23,6 +23,7 @@ from ..sources import landing as L
 from ..sources import lake as LK
 from ..sources import wire as W
 from ..streaming import speed as SP
+from ..streaming.state import LateRows, open_windows
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -262,16 +263,14 @@ def speed_table_append(spark, sf_dir):
 # ============================================================================ serving
 @query("unified_metrics")
 def unified_metrics(spark, sf_dir):
-    """SRV1: batch (wall clock) ∪ speed tail after the last batch window."""
-    t = A.tweets(spark, sf_dir)
-    return S.unified(M.batch_metrics(t), M.speed_metrics(t))
+    """SRV1: batch (wall clock) ∪ speed tail after the last batch window, from one scan."""
+    return S.unified_in_one_pass(A.tweets(spark, sf_dir))
 
 
 @query("unified_metrics_aligned")
 def unified_metrics_aligned(spark, sf_dir):
     """SRV1 with both layers on the instant clock (no double counting)."""
-    t = A.tweets(spark, sf_dir)
-    return S.unified(M.batch_metrics(t, time_mode="instant"), M.speed_metrics(t))
+    return S.unified_in_one_pass(A.tweets(spark, sf_dir), time_mode="instant")
 
 
 @query("prune_speed")
@@ -707,3 +706,73 @@ def dq_lake_layouts(spark, sf_dir):
         report = Q.check_lake(spark, path, layer).unionByName(Q.layout_rows(spark, path, layer))
         out = report if out is None else out.unionByName(report)
     return out
+
+
+@query("unified_dirty")
+def unified_dirty(spark, sf_dir):
+    """SRV1 from one scan, on rows whose times, keys and measures are NULL or bad."""
+    return S.unified_in_one_pass(dirty(spark, sf_dir))
+
+
+# ============================================================================ state, sources, lateness
+def by_time(spark, sf_dir, parts: list) -> str:
+    """Files that arrive one after the other: the events that meet each condition."""
+    path = scratch_path(spark, "arrivals")
+    ev = A.table(spark, sf_dir, "events")
+    for cond in parts:
+        ev.filter(cond).coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+def _first_half(spark, sf_dir):
+    return before_or_null(F.col("ts"), time_midpoint(A.table(spark, sf_dir, "events")))
+
+
+@query("speed_open_windows")
+def speed_open_windows(spark, sf_dir):
+    """STR5/STR8: the stream is stopped when half of the events have come; the windows
+    it still holds open are read from the state in its checkpoint."""
+    ckpt = scratch_path(spark, "metrics-ckpt")
+    raw = A.events_as_tweets(LK.file_stream(spark, by_time(spark, sf_dir, [_first_half(spark, sf_dir)]), EVENTS_SCHEMA))
+    SP.run_available(SP.start_metrics_wire(raw, scratch_path(spark, "metrics-topic"), ckpt, trigger={"availableNow": True},
+                                           width="3 days"))
+    return open_windows(spark, ckpt)
+
+
+@query("speed_two_sources")
+def speed_two_sources(spark, sf_dir):
+    """STR3: two sources of which the second goes quiet halfway: with the slowest
+    source's watermark its windows stay open, with the fastest one's they close."""
+    first = _first_half(spark, sf_dir)
+    folders = [by_time(spark, sf_dir, [F.col("event_id") % 2 == 0]), by_time(spark, sf_dir, [(F.col("event_id") % 2 == 1) & first])]
+    out = None
+    for policy in ("min", "max"):
+        own = SP.sources_session(spark, policy)
+        sources = [A.events_as_tweets(LK.file_stream(own, f, EVENTS_SCHEMA)) for f in folders]
+        topic = scratch_path(spark, "metrics-topic")
+        SP.run_available(SP.start_metrics_wire(sources, topic, scratch_path(spark, "metrics-ckpt"), trigger={"availableNow": True}))
+        rows = spark.read.parquet(topic).withColumn("policy", F.lit(policy))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+@query("speed_late_rows")
+def speed_late_rows(spark, sf_dir):
+    """STR6: three arrivals, a micro-batch each; the third repeats all times, so what
+    belongs to closed windows is late. Input and dropped rows by micro-batch (a late
+    (window, key) of one task is one row). Spark judges lateness by the watermark
+    that the micro-batch before went by, here that of the first arrival."""
+    first, own = _first_half(spark, sf_dir), F.col("event_id") % 4
+    source = by_time(spark, sf_dir, [(own == 0) & first, (own == 0) & ~first, own == 1])
+    late = LateRows()
+    spark.streams.addListener(late)
+    try:
+        raw = A.events_as_tweets(LK.file_stream(spark, source, EVENTS_SCHEMA, max_files_per_trigger=1))
+        q = SP.run_available(SP.start_metrics_wire(raw, scratch_path(spark, "metrics-topic"), scratch_path(spark, "metrics-ckpt"),
+                                                   trigger={"availableNow": True}))
+        late.wait(q)
+    finally:
+        spark.streams.removeListener(late)
+    rows = late.rows(spark, q)
+    nth = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("batch"))     # a row for each of three micro-batches
+    return rows.select(nth.cast("bigint").alias("arrival"), "input_rows", "dropped")

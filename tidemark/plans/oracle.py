@@ -368,3 +368,36 @@ UNION ALL SELECT '{layer}', 'layout', true, '1 files, ' || count(*) || ' rows: {
 
 
 ORACLE["dq_lake_layouts"] = f"{_layouts_sql('lake')}\nUNION ALL {_layouts_sql('reversed')}"
+
+# ============================================================================ state, sources, lateness
+ORACLE["unified_dirty"] = unified_sql(BATCH_DIRTY, ORACLE["speed_minute_dirty"])
+MID = "(SELECT make_timestamp((epoch_us(min(ts)) + epoch_us(max(ts))) // 2) FROM events)"
+# three-day windows counted from the epoch
+ORACLE["speed_open_windows"] = f"""WITH {TW},
+h AS (SELECT *, epoch_us({INSTANT} AT TIME ZONE 'UTC') AS us FROM tw WHERE ts < {MID}),
+w AS (SELECT *, make_timestamp(us - us % (86400000000 * 3)) AS ws FROM h)
+SELECT airline, count(*) AS tweet_count, count(*) FILTER (WHERE airline_sentiment = 'positive') AS positive_count,
+  count(*) FILTER (WHERE airline_sentiment = 'negative') AS negative_count, count(*) FILTER (WHERE airline_sentiment = 'neutral') AS neutral_count,
+  count(*) FILTER (WHERE airline_sentiment = 'positive') / count(*) AS positive_ratio,
+  count(*) FILTER (WHERE airline_sentiment = 'negative') / count(*) AS negative_ratio,
+  CAST(sum(coalesce(retweet_count, 0)) AS DOUBLE) / count(*) AS avg_retweet, CAST(greatest(0, max(retweet_count)) AS BIGINT) AS max_retweet,
+  count(*) / CAST(60 AS DOUBLE) AS tweet_rate, ws AS window_start, ws + INTERVAL 3 DAY AS window_end
+FROM w GROUP BY airline, ws HAVING ws + INTERVAL 3 DAY > (SELECT make_timestamp(max(us)) FROM h) - INTERVAL 5 SECOND"""
+
+
+def _two_sources(policy: str) -> str:
+    pick = {"min": "least", "max": "greatest"}[policy]
+    return wire_of(f"""SELECT * FROM (SELECT * FROM m) x WHERE window_end <= (SELECT {pick}(
+      max({INSTANT}) FILTER (WHERE event_id % 2 = 0), max({INSTANT}) FILTER (WHERE event_id % 2 = 1)) FROM both_) - INTERVAL 5 SECOND""")
+
+
+ORACLE["speed_two_sources"] = f"""WITH {TW}, both_ AS (SELECT * FROM tw WHERE event_id % 2 = 0 OR ts < {MID}),
+m AS ({metrics_sql('both_', INSTANT, 'minute', 'speed')})
+SELECT *, 'min' AS policy FROM ({_two_sources('min')}) a UNION ALL SELECT *, 'max' AS policy FROM ({_two_sources('max')}) b"""
+# a micro-batch takes for late what the watermark of the one before its predecessor had closed
+ORACLE["speed_late_rows"] = f"""WITH {TW},
+x AS (SELECT CASE WHEN event_id % 4 = 1 THEN 3 WHEN ts < {MID} THEN 1 ELSE 2 END AS arrival, airline, {INSTANT} AS t FROM tw WHERE event_id % 4 IN (0, 1)),
+n AS (SELECT arrival, count(*) AS input_rows FROM x GROUP BY arrival),
+d AS (SELECT count(*) AS dropped FROM (SELECT DISTINCT airline, date_trunc('minute', t) AS w FROM x WHERE arrival = 3) y
+      WHERE w + INTERVAL 1 MINUTE <= (SELECT max(t) FROM x WHERE arrival = 1) - INTERVAL 5 SECOND)
+SELECT CAST(arrival AS BIGINT) AS arrival, input_rows, CASE WHEN arrival = 3 THEN dropped ELSE 0 END AS dropped FROM n, d"""

@@ -15,6 +15,8 @@ and state; the sinks are idempotent per micro-batch id.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
@@ -42,10 +44,31 @@ def with_event_time(df: DataFrame, col: str = "tweet_created", delay: str = DEFA
               .withWatermark(out, delay))
 
 
-def speed_stream(raw: DataFrame, width: str = DEFAULT_WIDTH, delay: str = DEFAULT_DELAY,
+def speed_stream(raw: DataFrame | list[DataFrame], width: str = DEFAULT_WIDTH, delay: str = DEFAULT_DELAY,
                  spec: MetricSpec = TWEET_SPEC) -> DataFrame:
-    """Streaming windowed metrics with the speed layer's null rules."""
-    return windowed_metrics(with_event_time(raw, delay=delay), "event_time", width, "speed", spec)
+    """Streaming windowed metrics with the speed layer's null rules. Several sources
+    have a watermark each; which of them closes windows is the policy of the session
+    they are read in (``sources_session``)."""
+    timed = [with_event_time(r, delay=delay) for r in (raw if isinstance(raw, list) else [raw])]
+    rows = timed[0]
+    for t in timed[1:]:
+        rows = rows.unionByName(t)
+    return windowed_metrics(rows, "event_time", width, "speed", spec)
+
+
+#: Which of several sources' watermarks counts: the slowest (nothing of a slow source
+#: is late), or the fastest (a source that has gone quiet holds no window open).
+WATERMARK_POLICIES = ("min", "max")
+
+
+def sources_session(spark: SparkSession, policy: str, state_partitions: int | None = None) -> SparkSession:
+    """A session of its own in which to read the sources of one query under a
+    watermark policy; see ``speed_session``."""
+    if policy not in WATERMARK_POLICIES:
+        raise ValueError(f"the watermark policy must be one of {WATERMARK_POLICIES}")
+    own = speed_session(spark, state_partitions or int(spark.conf.get("spark.sql.shuffle.partitions")))
+    own.conf.set("spark.sql.streaming.multipleWatermarkPolicy", policy)
+    return own
 
 
 def speed_session(spark: SparkSession, state_partitions: int) -> SparkSession:
@@ -68,12 +91,16 @@ def _writer(df: DataFrame, checkpoint: str, trigger: dict | None, name: str | No
     return w.queryName(name) if name else w
 
 
-def start_metrics(raw: DataFrame, table: str, checkpoint: str, trigger: dict | None = None,
+def _session_of(raw: DataFrame | list[DataFrame]) -> SparkSession:
+    return (raw[0] if isinstance(raw, list) else raw).sparkSession
+
+
+def start_metrics(raw: DataFrame | list[DataFrame], table: str, checkpoint: str, trigger: dict | None = None,
                   width: str = DEFAULT_WIDTH, delay: str = DEFAULT_DELAY, now=None,
                   name: str | None = None) -> StreamingQuery:
     """Metrics query writing each micro-batch into the speed table, under the
     query's id, so that a new checkpoint's batches are not taken for replays."""
-    create_speed_table(raw.sparkSession, table)
+    create_speed_table(_session_of(raw), table)
     metrics = speed_stream(raw, width, delay)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
@@ -83,7 +110,7 @@ def start_metrics(raw: DataFrame, table: str, checkpoint: str, trigger: dict | N
     return _writer(metrics, checkpoint, trigger, name).outputMode("append").foreachBatch(sink).start()
 
 
-def start_metrics_wire(raw: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
+def start_metrics_wire(raw: DataFrame | list[DataFrame], path: str, checkpoint: str, trigger: dict | None = None,
                        width: str = DEFAULT_WIDTH, delay: str = DEFAULT_DELAY,
                        name: str | None = None) -> StreamingQuery:
     """Metrics query publishing wire-shaped rows to a Parquet folder (the
@@ -186,14 +213,28 @@ def state_rows(query: StreamingQuery) -> int | None:
     return sum(op.get("numRowsTotal", 0) for op in p["stateOperators"])
 
 
-def start_speed_layer(raw: DataFrame, speed_table: str, alerts_table: str, checkpoint_root: str,
-                      trigger: dict | None = None, buckets: int = 64) -> tuple[StreamingQuery, StreamingQuery]:
+def start_speed_layer(raw: DataFrame | Callable[[SparkSession], DataFrame], speed_table: str, alerts_table: str, checkpoint_root: str,
+                      trigger: dict | None = None, buckets: int = 64, spark: SparkSession | None = None,
+                      state_partitions: int | None = None) -> tuple[StreamingQuery, StreamingQuery]:
     """Both speed-layer branches from one raw stream: the watermarked metrics
     into the speed table and the alert upsert (no watermark). Each is its own
     query with its own checkpoint below ``checkpoint_root``, so either can be
-    restarted alone. Where the session's shuffle partitions are sized for batch
-    jobs, read ``raw`` in a ``speed_session``."""
+    restarted alone.
+
+    The metrics' state partitions are fixed for the life of the checkpoint. To size
+    them to the source, whatever the session's shuffle partitions are for batch jobs,
+    give ``spark``, ``state_partitions`` and ``raw`` as a function that reads the
+    stream in the session it gets."""
     root = checkpoint_root.rstrip("/")
-    metrics = start_metrics(raw, speed_table, f"{root}/metrics", trigger)
+    if callable(raw):
+        if spark is None:
+            raise ValueError("a function that reads the stream needs a session")
+        timed = raw(speed_session(spark, state_partitions) if state_partitions else spark)
+        raw = raw(spark)
+    elif state_partitions:
+        raise ValueError("state partitions are those of the session the stream is read in: give a function that reads it")
+    else:
+        timed = raw
+    metrics = start_metrics(timed, speed_table, f"{root}/metrics", trigger)
     alerts = start_alerts(raw, alerts_table, f"{root}/alerts", trigger, buckets=buckets)
     return metrics, alerts
