@@ -58,7 +58,7 @@ def test_files_are_warc(spark):
         raw = gzip.decompress(bytes(f.content))
         assert raw.startswith(b"WARC/1.1\r\n") and raw.endswith(b"\r\n\r\n")
         recs = list(W.parse(bytes(f.content)))
-        assert [r["kind"] for r in recs][1:] == ["request", "metadata"] and recs[1]["concurrent_to"] == recs[0]["record_id"]
+        assert [r["kind"] for r in recs][1:] == ["request", "metadata"] and recs[1]["concurrent_to"] == [recs[0]["record_id"]]
 
 
 def test_foreign_archives(spark):
@@ -76,3 +76,44 @@ def test_foreign_archives(spark):
 
 def test_empty_table(spark):
     assert W.round_trip(pages(spark, [])).count() == 0
+
+
+def rec(kind, own, others, block, length=None):
+    head = f"WARC/1.0\r\nWARC-Type: {kind}\r\n" + (f"WARC-Record-ID: <{own}>\r\n" if own else "")
+    head += "".join(f"WARC-Concurrent-To: <{o}>\r\n" for o in others)
+    size = b"" if length == "none" else b"Content-Length: %s\r\n" % (str(len(block)).encode() if length is None else length.encode())
+    return head.encode() + size + b"\r\n" + block + b"\r\n\r\n"
+
+
+def test_captures_however_linked(spark):
+    body = b"HTTP/1.1 200 OK\r\n\r\nx"
+    parts = [rec("response", "r1", [], body), rec("request", "q1", ["r1"], b"GET 1"), rec("metadata", "m1", ["q1"], b"by request"),
+             rec("metadata", "m2", ["r1", "q1"], b"both"), rec("request", "q2", ["gone"], b"GET 2"), rec("metadata", "m3", ["gone"], b"no response"),
+             rec("request", None, [], b"GET 3"), rec("request", None, [], b"GET 4"), rec("revisit", "v", ["q5"], b""), rec("request", "q5", [], b"GET 5"),
+             rec("warcinfo", "i", [], b"x")]
+    rows = [tuple(r.values()) for r in W.parse(b"".join(gzip.compress(p) for p in parts))]
+    c = W.captures(spark.createDataFrame(rows, W.RECORDS)).collect()
+    got = sorted((r.response.record_id if r.response else None, tuple(x.note for x in r.requests), tuple(x.note for x in r.notes)) for r in c if r.response)
+    assert got == [("<r1>", ("GET 1",), ("by request", "both")), ("<v>", ("GET 5",), ())]
+    assert sorted(tuple(x.note for x in r.requests + r.notes) for r in c if not r.response) == [("GET 2", "no response"), ("GET 3",), ("GET 4",)]
+
+
+def test_broken_records_end_nothing(spark):
+    good = rec("request", "q", [], b"GET /")
+    content = rec("request", "a", [], b"x", "none") + rec("request", "b", [], b"x", "-3") + rec("request", "c", [], b"x", "9z") + good + rec("request", "d", [], b"x", "999")
+    kinds = [(r["kind"], r["record_id"]) for r in W.parse(content)]
+    assert kinds == [("broken", None)] * 3 + [("request", "<q>"), ("broken", None)]
+    assert [r["kind"] for r in W.parse(good + b"WARC/1.0\r\nWARC-Type: requ")] == ["request", "broken"]
+    assert [r["kind"] for r in W.parse(gzip.compress(good) + b"\x1f\x8bdamaged")] == ["request"]
+    assert list(W.parse(b"")) == [] and [r["kind"] for r in W.parse(gzip.compress(good)[:-4])] == ["request"]
+
+
+def test_a_member_per_record_takes_linear_time():
+    import time
+    one = gzip.compress(rec("request", "q", [], b"GET /" * 50))
+    t = []
+    for n in (2_000, 40_000):
+        start = time.perf_counter()
+        assert len(W._inflate(one * n)) == n * len(gzip.decompress(one))
+        t.append(time.perf_counter() - start)
+    assert t[1] < 100 * t[0] + 0.5

@@ -4,8 +4,8 @@ Every capture is three records: the response (or, where an earlier page has the
 same payload, a revisit that names the payload by its digest), the request and a
 metadata record; request and metadata name the capture's response in
 WARC-Concurrent-To. Reading parses the archives record by record, joins the
-records of a capture through those identifiers and gives one nested row per
-capture.
+records of a capture through those identifiers, however they are linked, and gives
+one nested row per capture.
 
 Writing stays in DataFrame functions: a record ends in two line ends, which is
 the line separator given to Spark's text writer, so the archives go wherever
@@ -18,8 +18,9 @@ Defined cases: null html counts as empty (a response with no payload bytes).
 Null urls are read back as null; control characters and blanks in a url are
 percent-encoded in headers and whole in the metadata. Null page ids never win
 over others; rows that repeat the smallest page id and payload are all
-responses. Records that an archive repeats under one identifier count once. An
-empty table gives an empty result. Other columns are ignored.
+responses. Records that an archive repeats under one identifier count once. Broken
+records are kept as such and end no job. A capture without response, with several
+requests or with several metadata records is one row. An empty table gives an empty result. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import scratch_path, staged
+from .common import connected_components, scratch_path, staged
 
 END = "\r\n\r\n"
 FILE_BYTES = 256 << 20
@@ -43,7 +44,7 @@ DATE = "1970-01-01T00:00:00Z"
 #: Digits of the two base-32 alphabets: Java's, and that of RFC 4648.
 _DIGITS, _BASE32 = "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
-RECORDS = ("record_id string, kind string, concurrent_to string, uri string, payload_digest string, "
+RECORDS = ("record_id string, kind string, concurrent_to array<string>, uri string, payload_digest string, "
            "payload_bytes long, note string, payload binary")
 
 
@@ -100,32 +101,62 @@ def write(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "
         .option("compression", "gzip").option("maxRecordsPerFile", most).text(path)
 
 
+#: Compressed bytes that are inflated at once.
+SLICE = 1 << 16
+
+
 def _inflate(content: bytes) -> bytes:
-    """The content of a gzip file of one or many members, or of a plain file."""
+    """The content of a gzip file of one or many members, or of a plain file, in time
+    linear in its length; what comes before a damaged member, if one is."""
     if content[:2] != b"\x1f\x8b":
         return content
-    out = []
-    while content:
+    data, at, out = memoryview(content), 0, []
+    while bytes(data[at:at + 2]) == b"\x1f\x8b":
         z = zlib.decompressobj(31)
-        out.append(z.decompress(content))
-        content = z.unused_data
+        try:
+            while at < len(data) and not z.eof:
+                part = data[at:at + SLICE]
+                out.append(z.decompress(part))
+                at += len(part) - len(z.unused_data)
+        except zlib.error:
+            break
     return b"".join(out)
 
 
+def _broken(reason: str) -> dict:
+    return {"record_id": None, "kind": "broken", "concurrent_to": [], "uri": None, "payload_digest": None, "payload_bytes": None,
+            "note": reason, "payload": None}
+
+
 def parse(content: bytes, with_payload: bool = True) -> Iterator[dict]:
     """The records of one archive. A response's payload is what follows its HTTP
-    header; digest and length are computed from it, a revisit's digest is its header's."""
+    header; digest and length are computed from it, a revisit's digest is its header's.
+    A record whose header or block is cut off, or whose length is missing or no
+    number, is of kind ``broken``, with the reason as its note; reading goes on at the
+    next record that starts after it."""
     data, at = memoryview(raw := _inflate(content)), 0
     while (at := raw.find(b"WARC/", at)) >= 0:
-        stop = raw.index(b"\r\n\r\n", at)
-        head = {}
+        stop = raw.find(b"\r\n\r\n", at)
+        if stop < 0:
+            yield _broken("header cut off")
+            return
+        head, concurrent = {}, []
         for line in bytes(data[at:stop]).decode("utf-8", "replace").split("\r\n")[1:]:
             k, _, v = line.partition(":")
             head[k.strip().lower()] = v.strip()
-        begin = stop + 4
-        at = begin + int(head["content-length"])
+            if k.strip().lower() == "warc-concurrent-to":
+                concurrent.append(v.strip())
+        begin, length = stop + 4, head.get("content-length", "")
+        if not (length.isascii() and length.isdigit()):
+            yield _broken(f"length {length!r}")
+            at = begin
+            continue
+        at = begin + int(length)
+        if at > len(raw):
+            yield _broken("block cut off")
+            return
         kind = head.get("warc-type", "")
-        out = {"record_id": head.get("warc-record-id"), "kind": kind, "concurrent_to": head.get("warc-concurrent-to"),
+        out = {"record_id": head.get("warc-record-id"), "kind": kind, "concurrent_to": concurrent,
                "uri": head.get("warc-target-uri"), "payload_digest": None, "payload_bytes": None, "note": None, "payload": None}
         if kind == "response":
             body = raw.find(b"\r\n\r\n", begin, at)
@@ -145,7 +176,7 @@ def records(spark: SparkSession, path: str, with_payload: bool = True) -> DataFr
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("content")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("record_id", pa.string()), ("kind", pa.string()), ("concurrent_to", pa.string()), ("uri", pa.string()),
+        schema = pa.schema([("record_id", pa.string()), ("kind", pa.string()), ("concurrent_to", pa.list_(pa.string())), ("uri", pa.string()),
                             ("payload_digest", pa.string()), ("payload_bytes", pa.int64()), ("note", pa.string()), ("payload", pa.binary())])
         for b in batches:
             for file in b.column("content"):
@@ -162,19 +193,49 @@ def records(spark: SparkSession, path: str, with_payload: bool = True) -> DataFr
     return files.mapInArrow(run, RECORDS)
 
 
-def captures(some: DataFrame) -> DataFrame:
-    """One nested row per capture: (capture_id, response, request, metadata).
-
-    The capture's id is the record that its others are concurrent to; a response
-    that is itself concurrent to its request is found by that request's id."""
-    keyed = some.dropDuplicates(["record_id"]).withColumn("capture_id", F.coalesce("concurrent_to", "record_id"))
+def _capture_of(some: DataFrame) -> DataFrame:
+    """The records with ``capture_id``: the smallest identifier that all records of a
+    capture lead to. Where each record names one other that names none, as archives
+    of this module do, that is the one named; other records are joined through all
+    their identifiers, whatever the number of steps."""
+    named = F.element_at("concurrent_to", 1)
+    keyed = some.withColumn("capture_id", F.when(F.size("concurrent_to") > 0, named).otherwise(F.col("record_id")))
+    linked = some.where(F.size("concurrent_to") > 0).select("record_id", F.explode("concurrent_to").alias("other"))
+    # named records that name others themselves, or records that name several
+    further = linked.select(F.col("other").alias("record_id")).join(linked.select("record_id"), "record_id", "left_semi") \
+        .unionByName(some.where(F.size("concurrent_to") > 1).select("record_id"))
+    if further.isEmpty():
+        return keyed
+    root = connected_components(linked.where("record_id IS NOT NULL"), "record_id", "other")
+    return keyed.join(root, F.col("record_id") == F.col("node"), "left") \
+        .withColumn("capture_id", F.coalesce("root", "capture_id")).drop("node", "root")
 
-    def of(name: str, *cols: str) -> DataFrame:
-        kinds = ("response", "revisit") if name == "response" else (name,)
-        return keyed.where(F.col("kind").isin(*kinds)).select("capture_id", F.struct("record_id", "kind", "uri", *cols).alias(name))
 
-    return of("response", "payload_digest", "payload_bytes", "payload").join(of("request", "note"), "capture_id", "left") \
-        .join(of("metadata", "note"), "capture_id", "left")
+def captures(some: DataFrame) -> DataFrame:
+    """One nested row per capture: capture_id, response (the first of them, or the
+    revisit, by its identifier; null if the archives lack it), request and metadata
+    (the first of each), requests and notes (all of them, as arrays). Records without
+    identifier or link are captures of their own; warcinfo, conversion and broken
+    records belong to none."""
+    some = some.where(F.col("kind").isin("response", "revisit", "request", "metadata"))
+    once = some.where("record_id IS NOT NULL").dropDuplicates(["record_id"])
+    alone = some.where("record_id IS NULL")
+    keyed = _capture_of(once.unionByName(alone))
+    # a record without any identifier keeps to itself
+    key = F.coalesce(F.col("capture_id"), F.concat(F.lit("record "), F.monotonically_increasing_id().cast("string")))
+
+    def of(*cols: str) -> Column:
+        return F.struct("record_id", "kind", "uri", *cols)
+
+    def all_of(kind: str) -> Column:
+        return F.array_sort(F.collect_list(F.when(F.col("kind") == kind, of("note"))))
+
+    answer = F.when(F.col("kind").isin("response", "revisit"), of("payload_digest", "payload_bytes", "payload"))
+    got = keyed.withColumn("capture_id", key).groupBy("capture_id").agg(
+        F.min_by(answer, F.when(answer.isNotNull(), F.coalesce("record_id", F.lit("")))).alias("response"),
+        all_of("request").alias("requests"), all_of("metadata").alias("notes"))
+    return got.select("capture_id", "response", F.get("requests", F.lit(0)).alias("request"), F.get("notes", F.lit(0)).alias("metadata"),
+                      "requests", "notes")
 
 
 def round_trip(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
@@ -189,10 +250,10 @@ def round_trip(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
         read = read.withColumn("payload", F.lit(None).cast("binary"))
     note = F.from_json("metadata.note", f"page_id {pages.schema[id_col].dataType.simpleString()}, url string")
     c = captures(read).withColumn("page", note).select(F.col("page.page_id").alias(id_col), F.col("page.url").alias(url_col),
-                                                       "response", "request", "metadata")
+                                                       "response", "request", "metadata", "requests", "notes")
     held = c.where("response.kind = 'response'").groupBy(F.col("response.payload_digest").alias("payload_digest")) \
         .agg(F.min(id_col).alias("__first"), F.max("response.payload_bytes").alias("payload_bytes"))
     held = staged(held, "payloads")
     c = c.withColumn("payload_digest", F.col("response.payload_digest")).join(held, "payload_digest", "left")
     return c.select(id_col, url_col, "payload_bytes", "payload_digest", F.col("response.kind").alias("record_type"),
-                    F.when(F.col("response.kind") == "revisit", F.col("__first")).alias("refers_to"), "response", "request", "metadata")
+                    F.when(F.col("response.kind") == "revisit", F.col("__first")).alias("refers_to"), "response", "request", "metadata", "requests", "notes")
