@@ -224,3 +224,21 @@ def test_times_do_not_pass_through_the_process_zone(tmp, zone):
     code = ZONE_PROBE.format(root=root, wh=os.path.join(tmp, "wh"))
     out = subprocess.run([sys.executable, "-c", code], env={**os.environ, "TZ": zone}, capture_output=True, text=True, timeout=300)
     assert "RESULT 10 14 3 2024-01-03 00:00:00" in out.stdout, out.stdout[-500:] + out.stderr[-2000:]
+
+
+def test_an_archive_exists_at_all_times(spark, tmp, monkeypatch):
+    path = os.path.join(tmp, "arch")
+    one = spark.createDataFrame([metric("007", T(10), T(11))], METRICS_TABLE)
+    two = spark.createDataFrame([metric("a", T(10), T(11)), metric("b", T(10), T(11))], METRICS_TABLE)
+    one.write.partitionBy("airline").parquet(path)            # as an earlier release left it
+    assert [r.airline for r in S.read_archive(spark, path).collect()] == ["007"]
+    first = S.archive(one, path)
+    reader = S.read_archive(spark, path)                      # planned before the next version
+    half = os.path.join(path, "version-000000000000001")
+    two.write.partitionBy("airline").parquet(half)
+    os.remove(os.path.join(half, S.COMPLETE))                 # a writer that was cut off
+    assert S.read_archive(spark, path).count() == 1 and S.archive_versions(spark, path) == [first]
+    second = S.archive(two, path)
+    assert reader.count() == 1 and S.read_archive(spark, path).count() == 2 and not os.path.exists(half)
+    third = S.archive(one, path)
+    assert S.archive_versions(spark, path) == [second, third] and [r.airline for r in S.read_archive(spark, path).collect()] == ["007"]

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.time import ltz_lit, ntz_lit, time_text
 from ..schemas import METRIC_FIELDS, METRICS_TABLE, SOURCE_BATCH, SOURCE_SPEED
-from ..session import stored
+from ..session import discard, file_system, folder_exists, stored
 from ..sources.ledger import Ledger
 from .metrics import from_two_clocks, two_clock_partials, with_month
 from .tables import (DYNAMIC_OVERWRITE, append_rows, drop_partitions, finish_overwrite, overwrite_safely,
@@ -280,16 +280,41 @@ def metrics_for_airline(df: DataFrame, airline: str) -> DataFrame:
     return df.filter(F.col("airline") == F.lit(airline))
 
 
-def archive(df: DataFrame, path: str) -> None:
-    """Overwrite the archive, one folder per airline. Read it back with
-    partition type inference off (the session default here), or an airline
-    such as ``007`` turns into the number 7. Few files per airline: a small one
-    has one writer, a large one several."""
-    df.hint("rebalance", "airline").write.mode("overwrite").partitionBy("airline").parquet(path)
+#: A version of the archive is complete once its writer has left this file, its last.
+COMPLETE = "_SUCCESS"
+
+
+def archive_versions(spark: SparkSession, path: str, complete: bool = True) -> list[str]:
+    """The folders of the archive's versions, oldest first."""
+    fs, root = file_system(spark, path)
+    names = [x.getPath().getName() for x in fs.listStatus(root)] if fs.exists(root) else []
+    found = [f"{path.rstrip('/')}/{n}" for n in sorted(names) if re.fullmatch(r"version-\d{15}", n)]
+    return [v for v in found if not complete or folder_exists(spark, f"{v}/{COMPLETE}")]
+
+
+def archive(df: DataFrame, path: str, keep: int = 1) -> str:
+    """Write the archive anew, one folder per airline, as a version of its own below
+    ``path``; returns that folder. Until it is complete, ``read_archive`` gives the
+    version before, so an archive exists at all times; after that, all but the
+    newest ``keep`` versions before it are removed, and what cut-off writers left.
+
+    Read it with partition type inference off (the session default here), or an
+    airline such as ``007`` turns into the number 7. Few files per airline: a small
+    one has one writer, a large one several."""
+    spark = df.sparkSession
+    before = archive_versions(spark, path)
+    newest = int(before[-1][-15:]) if before else 0
+    folder = f"{path.rstrip('/')}/version-{max(int(time.time() * 1000), newest + 1):015d}"
+    df.hint("rebalance", "airline").write.partitionBy("airline").parquet(folder)
+    kept = {*(before[-keep:] if keep else []), folder}
+    discard(spark, *[v for v in archive_versions(spark, path, complete=False) if v not in kept])
+    return folder
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).select(*METRIC_FIELDS)
+    """The newest complete version (or the folder itself, as earlier releases wrote it)."""
+    there = archive_versions(spark, path)
+    return spark.read.parquet(there[-1] if there else path).select(*METRIC_FIELDS)
 
 
 def max_window_end(df: DataFrame):
