@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 from tidemark.llm import exact_dedup as X
 
 from .conftest import docs_of
@@ -71,3 +73,41 @@ def test_index_takes_batches_and_deletions(spark):
     assert {r.text for r in index.live().collect()} == {"a", "c"}
     index.insert(docs_of(spark, [(5, "b")]))
     assert {r.text: r.keep_id for r in index.live().collect()}["b"] == 5
+
+
+def test_index_goes_on_in_another_session(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "index")
+    index = X.CuckooIndex(spark, buckets=5, path=path)
+    index.insert(docs_of(spark, [(k, f"t{k % 20}") for k in range(40)]))
+    again = X.CuckooIndex(spark.newSession(), path=path)
+    assert again.version == 1 and again.buckets == 5
+    again.delete(docs_of(spark, [(0, "T3"), (0, "t4"), (0, "never")]))
+    real = X.file_system
+
+    def dies(session, folder):
+        if folder.endswith(".tmp"):
+            raise RuntimeError("host gone")
+        return real(session, folder)
+
+    monkeypatch.setattr(X, "file_system", dies)
+    for _ in range(2):      # cut off before the manifest: the batch has not happened
+        with pytest.raises(RuntimeError):
+            again.insert(docs_of(spark, [(99, "t4"), (99, "new")]))
+        assert X.CuckooIndex(spark, path=path).live().count() == 18
+    monkeypatch.setattr(X, "file_system", real)
+    third = X.CuckooIndex(spark, path=path)
+    third.insert(docs_of(spark, [(99, "t4"), (98, "new"), (7, "t5")]))
+    state = {r.text: (r.keep_id, r.group_size) for r in X.CuckooIndex(spark, path=path).live().collect()}
+    want = {f"t{k}": (k + 20, 2) for k in range(20) if k not in (3, 4)} | {"t4": (99, 1), "new": (98, 1), "t5": (25, 3)}
+    assert state == want
+    assert len(set(third.place.values())) > 1      # buckets that no text fell in were left alone
+    assert third.live().select("text_sha256").distinct().count() == 20
+
+
+def test_filter_fills_well_where_low_bits_are_fixed():
+    rng = random.Random(2)
+    b = X.LiveBucket(16)
+    for _ in range(20_000):
+        d = rng.getrandbits(64) // 1024 * 1024 + 5
+        b.add(d, {"text": str(d)})
+    assert b.filter.mask + 1 <= 8192

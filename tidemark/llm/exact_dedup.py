@@ -21,6 +21,7 @@ the id and the text are read, other columns may have any name.
 
 from __future__ import annotations
 
+import json
 import random
 from collections.abc import Iterator
 
@@ -29,6 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import file_system
 from .common import lower_az, pieces_of, scratch_path, staged
 
 SLOTS = 4
@@ -49,7 +51,7 @@ class CuckooFilter:
 
     def _places(self, digest: int) -> tuple[int, int, int]:
         fp = (digest >> 48 & 0xFFFF) or 1
-        i = digest & self.mask
+        i = digest >> 16 & self.mask   # the low bits are much the same within an index bucket
         return fp, i, self._other(i, fp)
 
     def _other(self, i: int, fp: int) -> int:
@@ -248,28 +250,57 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 class CuckooIndex:
-    """The index kept between batches: live entries by bucket in Parquet, a new
-    folder per version; the newest complete version is read. One writer at a time.
+    """The index kept between batches and sessions: live entries by bucket in Parquet.
+
+    A batch reads and writes only the buckets that its texts fall in, as a version of
+    their own; a manifest, written last and in one piece, says in which version each
+    bucket stands now. An index opened on a path goes on from the newest manifest
+    there; a batch that was cut off has none, and its folder is written again. One
+    writer at a time.
 
     ``insert`` adds texts (a text already live only grows its count), ``delete``
     removes live digests of the given texts, ``live`` is the current content."""
 
     def __init__(self, spark: SparkSession, buckets: int = 64, id_type: T.DataType | None = None,
                  path: str | None = None):
-        self.spark, self.buckets = spark, buckets
-        self.path = path or scratch_path(spark, "cuckoo")
-        self.version = 0
+        self.spark = spark
+        self.path = (path or scratch_path(spark, "cuckoo")).rstrip("/")
         self.schema = _schema(id_type or T.LongType())
-
-    def _state(self) -> DataFrame:
-        if not self.version:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/v{self.version}")
+        self.version, self.place, self.buckets = 0, {}, buckets
+        fs, folder = file_system(spark, self.path)
+        names = [x.getPath().getName() for x in fs.listStatus(folder)] if fs.exists(folder) else []
+        if done := sorted(int(n[1:-9]) for n in names if n.startswith("v") and n.endswith(".manifest")):
+            found = json.loads(spark.read.text(f"{self.path}/v{done[-1]}.manifest", wholetext=True).first()[0])
+            self.version, self.buckets = done[-1], found["buckets"]
+            self.place = {int(b): v for b, v in found["place"].items()}
+
+    def _state(self, buckets=None) -> DataFrame:
+        """The live entries of these buckets, or of all, from the versions they stand in."""
+        by_version: dict[int, list[str]] = {}
+        for b, v in self.place.items():
+            if buckets is None or b in buckets:
+                by_version.setdefault(v, []).append(f"{self.path}/v{v}/bucket={b}")
+        out = self.spark.createDataFrame([], self.schema)
+        for v, folders in by_version.items():
+            out = out.unionByName(self.spark.read.schema(self.schema).option("basePath", f"{self.path}/v{v}").parquet(*folders))
+        return out
 
     def _apply(self, rows: DataFrame) -> None:
-        rows = self._state().unionByName(rows).repartition(self.buckets, "bucket").sortWithinPartitions("op")
-        rows.mapInArrow(_index(True), self.schema).write.parquet(f"{self.path}/v{self.version + 1}")
-        self.version += 1
+        rows, version = staged(rows, "cuckoo_batch"), self.version + 1
+        touched = {r[0] for r in rows.select("bucket").distinct().collect()}     # at most ``buckets``
+        every = self._state(touched).unionByName(rows).repartition(self.buckets, "bucket").sortWithinPartitions("bucket", "op")
+        every.mapInArrow(_index(True), self.schema).write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/v{version}")
+        fs, folder = file_system(self.spark, f"{self.path}/v{version}")
+        filled = {int(n.partition("=")[2]) for x in fs.listStatus(folder) if (n := x.getPath().getName()).startswith("bucket=")}
+        place = {b: v for b, v in self.place.items() if b not in touched} | {b: version for b in filled}
+        _, hidden = file_system(self.spark, f"{self.path}/.v{version}.tmp")
+        _, final = file_system(self.spark, f"{self.path}/v{version}.manifest")
+        out = fs.create(hidden, True)
+        out.write(bytearray(json.dumps({"buckets": self.buckets, "place": place}).encode()))
+        out.close()
+        if not fs.rename(hidden, final):
+            raise OSError(f"version {version} of {self.path} is there already: another writer?")
+        self.version, self.place = version, place
 
     def insert(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> None:
         self._apply(_rows(docs, id_col, text_col, self.buckets, INSERT))
