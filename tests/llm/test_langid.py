@@ -26,6 +26,36 @@ def test_defined_cases(spark):
     assert all(0 <= s <= 1 for _, s in got.values())
 
 
+def test_one_letter_has_a_language(spark):
+    model = L.train(frame(spark, TEXTS + [(7, "noch ein satz", "de")] * 3))
+    got = {r.doc_id: (r.lang_pred, r.score) for r in L.identify(frame(spark, [(1, "a", None), (2, "中", None), (3, "1", None), (4, " é ", None)]), model).collect()}
+    assert got[1] == got[2] == ("de", 0.0) and got[3] == ("und", 0.0) and got[4][0] in model.langs
+
+
+def plain_prediction(model, sets, text):
+    """The same decision from plain sets of n-grams, without a Bloom filter."""
+    if text is None or not any(map(str.isalpha, text)):
+        return None
+    grams = [g for h in L.blocks(text) for g in h.tolist()]
+    hits = [sum(g in s for g in grams) for s in sets]
+    return model.langs[min(range(len(sets)), key=lambda i: (-hits[i], -model.weight[i], model.langs[i]))]
+
+
+def test_predictions_against_plain_sets(spark, sf):
+    """Filters that hold exactly the grams of the languages' texts decide as sets of them do."""
+    docs = [r for r in spark.read.parquet(f"{sf}/documents.parquet").collect() if r.lang]
+    langs = sorted({r.lang for r in docs})
+    sets = [{g for r in docs if r.lang == l and r.doc_id % 3 and r.text for h in L.blocks(r.text) for g in h.tolist()} for l in langs]
+    masks = np.zeros((1 << 21, 1), np.uint64)
+    for i, s in enumerate(sets):
+        for slot in L._slots(np.array(sorted(s), np.uint64), len(masks), 3):
+            np.bitwise_or.at(masks[:, 0], slot, np.uint64(1 << i))
+    model = L.BitmaskFilter(langs, [len(s) for s in sets], masks, 3)
+    asked = [r.text for r in docs if not r.doc_id % 3 and r.text]
+    same = [model.predict(t)[0] == plain_prediction(model, sets, t) for t in asked if plain_prediction(model, sets, t)]
+    assert len(same) > 20 and sum(same) >= 0.99 * len(same)
+
+
 def test_empty_training_and_empty_table(spark):
     model = L.train(frame(spark, []))
     assert model.predict("some text") == ("und", 0.0)

@@ -121,16 +121,15 @@ class BitmaskFilter:
     def predict(self, text: str | None) -> tuple[str, float]:
         if text is None or not self.langs:
             return UND, 0.0
-        hits, n, letters = np.zeros(len(self.langs)), 0, False
+        if not any(map(str.isalpha, text)):
+            return UND, 0.0
+        hits, n = np.zeros(len(self.langs)), 0
         for h in blocks(text):
             n += len(h)
             hits += self.counts(h)
-        letters = n > 0 and any(map(str.isalpha, text))
-        if not letters:
-            return UND, 0.0
         corrected = np.clip((hits - n * self.false_rate) / (1 - self.false_rate + 1e-12), 0, n)
         best = min(range(len(self.langs)), key=lambda i: (-corrected[i], -self.weight[i], self.langs[i]))
-        return self.langs[best], float(corrected[best] / n)
+        return self.langs[best], float(corrected[best] / n) if n else 0.0  # a text too short for an n-gram: the commonest language
 
 
 def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", rows: int = ROWS, hashes: int = HASHES,
