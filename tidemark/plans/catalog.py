@@ -113,14 +113,19 @@ def time_midpoint(events):
 
 def lake_of(spark, sf_dir) -> str:
     path = scratch_path(spark, "lake")
-    LK.write_raw(A.tweets(spark, sf_dir).repartition(LAKE_FILES), path, now=FIXED_NOW)
+    LK.write_raw(lake_parts(A.tweets(spark, sf_dir)), path, now=FIXED_NOW)
     return path
 
 
-#: Files of each lake that the registered queries write: the reports count them.
+#: Files of each lake that the registered queries write, at least: the reports count
+#: them. A larger input has as many as its own partitions.
 LAKE_FILES = 4
 
 
+def lake_parts(df):
+    return df.repartition(max(LAKE_FILES, df.rdd.getNumPartitions()))
+
+
 def dirty(spark, sf_dir, keep=()):
     return A.dirty_tweets(A.table(spark, sf_dir, "events"), keep)
 
@@ -418,9 +423,9 @@ def dq_raw_lake_incremental(spark, sf_dir):
     lake = scratch_path(spark, "lake")
     table = f"{scratch_database(spark, 'lakestats')}.lake_stats"
     ckpt = scratch_path(spark, "lakestats-ckpt")
-    LK.write_raw(t.filter(before_or_null(F.col("ts"), mid)).drop("ts").repartition(LAKE_FILES), lake, now=FIXED_NOW)
+    LK.write_raw(lake_parts(t.filter(before_or_null(F.col("ts"), mid)).drop("ts")), lake, now=FIXED_NOW)
     update_lake_stats(spark, lake, table, ckpt)
-    LK.write_raw(t.filter(~before_or_null(F.col("ts"), mid)).drop("ts").repartition(LAKE_FILES), lake, now=FIXED_NOW)
+    LK.write_raw(lake_parts(t.filter(~before_or_null(F.col("ts"), mid)).drop("ts")), lake, now=FIXED_NOW)
     update_lake_stats(spark, lake, table, ckpt)
     return check_lake_from_stats(spark, table)
 
@@ -564,7 +569,7 @@ def raw_lake_nested_incremental(spark, sf_dir):
 def dq_raw_lake_broken(spark, sf_dir):
     """DQ1-5 on a lake that fails: every one of its invalid values is reported."""
     path = scratch_path(spark, "lake")
-    LK.write_raw(dirty(spark, sf_dir).repartition(LAKE_FILES), path, now=FIXED_NOW)
+    LK.write_raw(lake_parts(dirty(spark, sf_dir)), path, now=FIXED_NOW)
     return Q.check_lake(spark, path)
 
 
