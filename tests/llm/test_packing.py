@@ -131,3 +131,32 @@ def test_an_exchange_never_costs_bins(spark):
     from tidemark.llm.common import staged
     placed, told = P.pack(staged(d, "t"), exchange=10)
     assert told["bins"] == told["lower_bound"] == 300 and placed.select("bin").distinct().count() == 300
+
+
+def test_quick_word_ids_are_the_tokenizers(tok, sf):
+    """Every word of the documents, and odd ones, by the ranks and by the tokenizer."""
+    import pyarrow.parquet as pq
+    w = P.WordTokenizer(P.vocabulary_path())
+    assert w.quick is not None and P._same_vocabulary(tok, "/nowhere/other.json") is None
+    words = {x for t in pq.read_table(f"{sf}/documents.parquet").column("text").to_pylist() for x in (t or "").split(" ")}
+    words |= {"'s", "it's", "''ll", "é", "中文字", "😀😀", "a\tb", "1a2b", "x" * 300, "don't.", "\x00", "​", "ﬁ", "<|end", "-–—"}
+    assert all(w._word(x) == np.array(tok.encode(" " + x, add_special_tokens=False).ids, np.uint32).tobytes() for x in words)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(min_size=1, max_size=12).filter(lambda x: not any(map(str.isspace, x))))
+def test_quick_ids_of_any_word(word):
+    w = P._tokenizer(P.vocabulary_path())
+    if not any(t in word for t in w.special):
+        assert w._word(word) == np.array(w.inner.encode(" " + word, add_special_tokens=False).ids, np.uint32).tobytes()
+
+
+def test_certificate_is_in_the_result(spark):
+    got = P.pack_documents(docs_of(spark, [(i, "word " * (1 + 37 * i % 900)) for i in range(60)])).collect()
+    assert {r.lower_bound for r in got} == {got[0].lower_bound} and got[0].sequences == len({r.sequence_id for r in got}) >= got[0].lower_bound
+    by = defaultdict(set)
+    for r in got:
+        by[r.sequence_id].add(r.certified)
+    assert all(len(c) == 1 for c in by.values())
+    one = P.pack_documents(docs_of(spark, [(1, "a b c")])).collect()
+    assert [(r.certified, r.sequences, r.lower_bound) for r in one] == [(True, 1, 1)]

@@ -82,7 +82,7 @@ FROM e GROUP BY conv_id
 
 @query
 def op6_packing(spark, sf_dir):
-    return packing.pack_documents(table(spark, sf_dir, "documents")).drop("ids")
+    return packing.pack_documents(table(spark, sf_dir, "documents")).drop("ids", "certified", "sequences", "lower_bound")
 
 
 @query
