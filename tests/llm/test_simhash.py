@@ -1,5 +1,7 @@
 import re
 
+import numpy as np
+import pytest
 import xxhash
 
 from tidemark.llm import simhash as S
@@ -86,3 +88,29 @@ def test_components_of_a_path_and_a_hub(spark):
     edges = [(i, i + 1) for i in range(1, 40)] + [(100, i) for i in range(101, 160)] + [(200, 200)]
     got = {r.node: r.root for r in connected_components(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect()}
     assert all(got[i] == 1 for i in range(1, 41)) and all(got[i] == 100 for i in range(100, 160)) and 200 not in got
+
+
+@pytest.mark.parametrize("block", [3, 50, 5000])
+def test_blocks_connect_what_the_whole_tile_does(block):
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 1 << 62, 12).astype(np.uint64)
+    near = lambda n: np.unique(base[rng.integers(0, 12, n)] ^ (np.uint64(1) << rng.integers(0, 60, n).astype(np.uint64)))
+    for left, right in ((near(200), None), (near(90), near(140)), (near(1), near(30)), (near(150)[:0], None)):
+        nodes = left.tolist() if right is None else left.tolist() + right.tolist()
+        pairs = [(a, b) for k, a in enumerate(nodes) for b in nodes[k + 1:] if (a ^ b).bit_count() <= 2
+                 and (right is None or (a in set(left.tolist())) != (b in set(left.tolist())))]
+
+        def parts(links):
+            root = {n: n for n in nodes}
+
+            def find(n):
+                while root[n] != n:
+                    n = root[n]
+                return n
+            for a, b in links:
+                a, b = find(a), find(b)
+                root[max(a, b)] = min(a, b)
+            return {n: find(n) for n in nodes}
+
+        x, y = S._forest(left, right, 2, block)
+        assert len(x) < max(1, len(nodes)) and parts(zip(x.tolist(), y.tolist())) == parts(pairs)

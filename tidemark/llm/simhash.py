@@ -5,7 +5,7 @@ Two fingerprints link at ``radius`` or fewer differing bits; links join texts
 into components. Every pair that can link is compared: distinct fingerprints are
 sorted into classes by the population counts of their four 16-bit quarters,
 classes are cut into tiles of about ``TILE`` fingerprints, and each pair of
-tiles is compared whole with numpy exclusive-or and bit counts. A pair of tiles
+tiles is compared whole, block by block, with numpy exclusive-or and bit counts. A pair of tiles
 is skipped when their population counts differ by more than the radius (summed
 over the quarters, which is never more than the number of differing bits), so
 no link is lost.
@@ -39,8 +39,9 @@ from .common import connected_components, staged
 SHINGLE = 3
 RADIUS = 2
 SEED = 42
-#: Fingerprints in a tile, about.
-TILE = 2048
+#: Fingerprints in a tile, about: a class below that is one tile, so that a fingerprint
+#: goes to one tile of each neighbouring class; and those compared at once within a task.
+TILE, BLOCK = 1 << 16, 2048
 QUARTERS, BITS = 4, 16
 CLASSES = (BITS + 1) ** QUARTERS
 CHUNK = 1 << 15
@@ -116,23 +117,9 @@ def _deal(tiles_of: np.ndarray, radius: int):
     return run
 
 
-def _forest(left: np.ndarray, right: np.ndarray | None, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links (a, b) that connect what is within the radius between two tiles, or
-    within one: each fingerprint with the first of its local component."""
-    nodes = left if right is None else np.concatenate([left, right])
-    cols, shift = (left, 0) if right is None else (right, len(left))
-    i, j = [], []
-    step = max(1, (1 << 21) // max(1, len(cols)))
-    for at in range(0, len(left), step):
-        a, b = np.nonzero(np.bitwise_count(left[at:at + step, None] ^ cols[None, :]) <= radius)
-        a += at
-        b += shift
-        i.append(a[a < b])
-        j.append(b[a < b])
-    i, j = np.concatenate(i), np.concatenate(j)
-    if not len(i):
-        return nodes[:0], nodes[:0]
-    label = np.arange(len(nodes))
+def _spanning(n: int, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links that connect n nodes as (i, j) do: each node with the first of its component."""
+    label = np.arange(n)
     while True:
         low = label.copy()
         np.minimum.at(low, i, label[j])
@@ -141,8 +128,35 @@ def _forest(left: np.ndarray, right: np.ndarray | None, radius: int) -> tuple[np
         if (low == label).all():
             break
         label = low
-    linked = np.flatnonzero(label != np.arange(len(nodes)))
-    return nodes[label[linked]], nodes[linked]
+    linked = np.flatnonzero(label != np.arange(n))
+    return label[linked], linked
+
+
+def _forest(left: np.ndarray, right: np.ndarray | None, radius: int, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray]:
+    """Links (a, b) that connect what is within the radius between two tiles, or
+    within one: each fingerprint with the first of its local component. Tiles are
+    compared block by block, and what a block finds is reduced to a forest at once, so
+    that a dense group never costs more than its members."""
+    nodes = left if right is None else np.concatenate([left, right])
+    cols, shift = (left, 0) if right is None else (right, len(left))
+    i, j = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for at in range(0, len(left), block):
+        some = left[at:at + block]
+        for to in range(at if right is None else 0, len(cols), block):
+            others = cols[to:to + block]
+            a, b = np.nonzero(np.bitwise_count(some[:, None] ^ others[None, :]) <= radius)
+            if not len(a):
+                continue
+            # both blocks side by side; a block with itself gives links in both directions, and of each to itself
+            x, y = _spanning(len(some) + len(others), a, b + len(some)) if to + shift != at else _spanning(len(some), a, b)
+            if to + shift != at:
+                x, y = (np.where(v < len(some), v + at, v - len(some) + to + shift) for v in (x, y))
+            else:
+                x, y = x + at, y + at
+            i.append(x)
+            j.append(y)
+    x, y = _spanning(len(nodes), np.concatenate(i), np.concatenate(j))
+    return nodes[x], nodes[y]
 
 
 def _compare(radius: int):
