@@ -1,3 +1,5 @@
+import pytest
+
 from tidemark.llm import html_extract as H
 
 from .conftest import with_clash
@@ -121,3 +123,62 @@ def test_pages_keep_every_paragraph_of_the_article(spark, sf):
         body = re.search("<article>(.*)</article>", r.html, re.S)[1]
         blocks = [" ".join(html.unescape(re.sub("<[^>]*>", "", b)).split()) for b in re.split("</?(?:p|h1)>", body)]
         assert got[r.page_id] == "\n".join(b for b in blocks if b)
+
+
+@pytest.mark.parametrize("word", ["share-price", "social-policy", "notice-of-meeting", "related", "promo-text", "navigation-history", "ad-hoc"])
+def test_a_paragraph_of_the_article_stays_whatever_its_class(word):
+    html = f"<article><h1>Head</h1><p>One.</p><p class='{word}'>Two words.</p><div class='share-bar'><a href=x>Share</a></div><p class=ad>Buy</p></article>"
+    assert [t for _, t in H.main_blocks(H.tree(html))] == ["Head", "One.", "Two words."]
+
+
+def test_form_elements_in_a_sentence():
+    html = ("<article><p>The price <output>5</output> is <label>net</label> of <button>tax</button> today.</p><label>Name</label><button>Send</button>"
+            "<p><button>Share</button></p><form><label>Mail</label> address</form></article>")
+    assert [t for _, t in H.main_blocks(H.tree(html))] == ["The price 5 is net of tax today."]
+
+
+def test_unclosed_and_stray_tags_take_linear_time():
+    import time
+    took = []
+    for n in (3_000, 30_000):
+        start = time.perf_counter()
+        for html in ("<b>" * n + "<p>x" * n, "<div>" * 50 + "</i>" * n, "<b>" * n + "</i>" * n, "<ul>" + "<li>x" * n, "<table>" + "<tr><td>x" * n):
+            H.tree(html)
+        took.append(time.perf_counter() - start)
+    assert took[1] < 60 * took[0] + 1
+
+
+def plain_tree(html):
+    """Parsing with a search up the tree for every tag, without counts of open ones."""
+    class Plain(H._Builder):
+        def _end(self, tags, fence=H.FENCE):
+            n = self.at
+            while n.parent is not None and n.tag not in fence:
+                if n.tag in tags:
+                    self.at = n.parent
+                n = n.parent
+            if n.parent is not None and n.tag in tags:
+                self.at = n.parent
+
+        def handle_endtag(self, tag):
+            n = self.at
+            while n.parent is not None and n.tag != tag:
+                n = n.parent
+            if n.parent is not None:
+                self.at = n.parent
+    b = Plain()
+    b.feed(html)
+    b.close()
+    return b.root
+
+
+def test_counts_of_open_tags_change_no_tree():
+    import random
+    rng = random.Random(3)
+
+    def flat(n):
+        return n if isinstance(n, str) else (n.tag, tuple(flat(c) for c in n.children))
+    for _ in range(400):
+        tags = [rng.choice(["p", "b", "i", "div", "li", "ul", "td", "tr", "table", "h1", "article", "dd", "dt", "svg", "br", "option"]) for _ in range(rng.randrange(40))]
+        html = "".join(rng.choice([f"<{t}>", f"<{t}>x", f"</{t}>", f"<{t}/>"]) for t in tags)
+        assert flat(H.tree(html)) == flat(plain_tree(html)), html

@@ -33,6 +33,7 @@ url and html are read.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from hashlib import blake2b
 from html.parser import HTMLParser
@@ -74,6 +75,12 @@ NOISE_WORD = frozenset("""ad ads advert adverts advertisement advertising banner
     respond sharing share sidebar signup skip-link social sponsor sponsored subscribe subscription toolbar widget""".split())
 #: Words that say so anywhere in a class or id.
 NOISE_ANYWHERE = frozenset("advert advertisement breadcrumb breadcrumbs comment comments cookie cookies disqus newsletter sponsored".split())
+#: What a paragraph of an article may be called and stay; of words with a hyphen only
+#: those of NOISE_ANYWHERE make it noise (share-price, notice-of-meeting, ad-hoc).
+PARAGRAPH = frozenset("related share sharing social promo header login navigation recommended".split())
+#: Form elements whose text is part of a sentence when text stands beside them in one of these.
+IN_SENTENCE = frozenset("button label output".split())
+SENTENCE = frozenset("b blockquote dd em figcaption h1 h2 h3 h4 h5 h6 i li p span strong td th".split())
 MAIN = frozenset(("article", "main"))
 HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: An opening tag ends these open elements.
@@ -94,15 +101,25 @@ class _Builder(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = self.at = Node("#root", {}, None)
+        self.open: Counter = Counter()  # open elements by tag: none of a tag, and no search goes up for it
+
+    def _pop(self, to: "Node") -> None:
+        while self.at is not to:
+            self.open[self.at.tag] -= 1
+            self.at = self.at.parent
 
     def _end(self, tags, fence=FENCE) -> None:
-        n = self.at
-        while n.parent is not None and n.tag not in fence:
+        left = sum(self.open[t] for t in tags)
+        if not left:
+            return
+        n, to = self.at, self.at
+        while n.parent is not None and n.tag not in fence and left:
             if n.tag in tags:
-                self.at = n.parent
+                to, left = n.parent, left - 1
             n = n.parent
         if n.parent is not None and n.tag in tags:
-            self.at = n.parent
+            to = n.parent
+        self._pop(to)
 
     def handle_starttag(self, tag, attrs):
         if tag in CLOSES:
@@ -112,19 +129,21 @@ class _Builder(HTMLParser):
         node = Node(tag, {k: v or "" for k, v in attrs}, self.at)
         self.at.children.append(node)
         if tag not in VOID:
+            self.open[tag] += 1
             self.at = node
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
         if tag not in VOID and tag in ("svg", "path"):
-            self.at = self.at.parent
+            self._pop(self.at.parent)
 
     def handle_endtag(self, tag):
+        if not self.open[tag]:
+            return
         n = self.at
-        while n.parent is not None and n.tag != tag:
+        while n.tag != tag:
             n = n.parent
-        if n.parent is not None:
-            self.at = n.parent
+        self._pop(n.parent)
 
     def handle_data(self, data):
         self.at.children.append(data)
@@ -155,6 +174,15 @@ def _has_main(node: Node) -> bool:
     return False
 
 
+def _in_sentence(node: Node) -> bool:
+    """Whether the element's text goes on from, or into, text of its own paragraph."""
+    paragraph = node.parent
+    if paragraph is None or paragraph.tag not in SENTENCE:
+        return False
+    k = next(i for i, c in enumerate(paragraph.children) if c is node)
+    return any(isinstance(c, str) and c.strip() for c in paragraph.children[max(0, k - 1):k + 2])
+
+
 def _noise(node: Node, inside: bool, held: frozenset[int] = frozenset()) -> bool:
     """Whether the element and all below it is not main text; ``held`` are wrappers
     that stay, by id()."""
@@ -162,6 +190,8 @@ def _noise(node: Node, inside: bool, held: frozenset[int] = frozenset()) -> bool
     if "hidden" in attrs or attrs.get("aria-hidden") == "true":
         return tag != "label" or not _has_main(node)
     if tag in NOISE and id(node) not in held:
+        if inside and tag in IN_SENTENCE and _in_sentence(node):
+            return False
         return tag not in WRAPPER or not _has_main(node)
     if tag in MAIN or tag in ("html", "body", "#root"):
         return any(w in ("comment", "comments", "reply") for w in _classes(node)) and tag == "article"
@@ -171,6 +201,8 @@ def _noise(node: Node, inside: bool, held: frozenset[int] = frozenset()) -> bool
         return not _has_main(node)
     for word in _classes(node):
         parts = _SPLIT.split(word)
+        if inside and tag == "p" and (word in PARAGRAPH or word not in NOISE_WORD and NOISE_ANYWHERE.isdisjoint(parts)):
+            continue
         if word in NOISE_WORD or parts[0] in NOISE_WORD or parts[-1] in NOISE_WORD or not NOISE_ANYWHERE.isdisjoint(parts):
             return not (inside and tag in HEADING) and not _has_main(node)
     return False
