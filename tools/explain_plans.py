@@ -44,10 +44,28 @@ def main(argv) -> None:
                      "Only the 4 needed columns are read; partial HashAggregate before the one Exchange on "
                      "(window, airline); final HashAggregate after it.",
                      plan_text(M.batch_metrics(t), "formatted")))
-    sections.append(("Unified view (SRV1)",
-                     "The cut-off is one scalar subquery (shared Exchange), reading one column; the "
+    sections.append(("Unified view in one pass (SRV1): the scan",
+                     "The rows are scanned once, into minute partials with both clocks: partial aggregate before the one "
+                     "Exchange.",
+                     plan_text(M.two_clock_partials(t))))
+    sections.append(("Unified view in one pass (SRV1): hours, minutes and cut-off from the stored partials",
+                     "Only the small table of partials is read; the cut-off is one scalar subquery; the "
                      "`window_start >= cut-off` filter sits below the speed aggregation.",
-                     plan_text(S.unified(M.batch_metrics(t), M.speed_metrics(t)))))
+                     plan_text(S.unified_in_one_pass(t))))
+    from tidemark.operators.ordering import prefix_index
+    sections.append(("Place of each row in its group's order (SRT1)",
+                     "Rows come from the stored, range-partitioned sort; the window runs over the table of counts, a row "
+                     "for each (partition, group), not over the rows.",
+                     plan_text(prefix_index(t, ["tweet_created", "tweet_id"], by=["airline"]))))
+    from tidemark.operators.generations import Generations
+    from tidemark.session import scratch_path as fresh
+    g = Generations(spark, fresh(spark, "plans-generations"), buckets=16)
+    for k, part in enumerate(C.alert_deliveries(spark, sf)):
+        g.upsert(part, AL.RECORD_ORDER, "plans", k)
+    sections.append(("Merge-on-read lookup (JON1)",
+                     "PartitionFilters on the key's bucket, PushedFilters on the key (row groups are skipped by their Bloom "
+                     "filter); the newest row of the key by a partial aggregate.",
+                     plan_text(g.lookup("8"))))
     pub = C.published_batch(spark, sf)
     sections.append(("Range scan of the published table (FLT4/SRV4)",
                      "PartitionFilters on window_month; PushedFilters on window_start.",
