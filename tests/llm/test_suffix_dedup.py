@@ -102,3 +102,42 @@ def test_documents_match_brute_force(spark, sf):
 
 def test_empty_table(spark):
     assert S.remove_repeats(docs_of(spark, [])).count() == 0
+
+
+@pytest.mark.parametrize("letters,n", [(2, 900), (26, 500), (1, 450), (3, 1), (2, 7)])
+def test_suffix_array_is_the_byte_order(letters, n):
+    data = np.random.default_rng(letters).integers(97, 97 + letters, n, dtype=np.uint8)
+    data = np.concatenate((data, data[: n // 2]))
+    order, rank = S.suffix_array(data)
+    padded = data.tobytes() + bytes(S.LENGTH)
+    strings = [padded[p:p + S.LENGTH] for p in order]
+    assert strings == sorted(strings) and sorted(order.tolist()) == list(range(len(data)))
+    assert [a == b for a, b in zip(strings, strings[1:])] == (rank[order][1:] == rank[order][:-1]).tolist()
+
+
+def test_small_batches_and_frequent_keys_match_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(S, "HOT", 2)
+    monkeypatch.setattr(S, "BATCH", 1)
+    rows = cases()
+    assert got(S.remove_repeats(docs_of(spark, rows))) == plain(rows)
+
+
+def test_copies_are_parsed_once(spark):
+    rows = cases()
+    once = sorted({r[1] or "" for r in rows})
+    long = [t for t in once if len(t.encode()) >= S.LENGTH]
+    parsed = []
+    real = S.staged
+
+    def seen(df, name):
+        out = real(df, name)
+        if name == "phrases":
+            parsed.append(out.agg({"n": "sum"}).first()[0])
+        return out
+
+    S.staged = seen
+    try:
+        S.repeats(docs_of(spark, rows * 5))
+    finally:
+        S.staged = real
+    assert parsed == [sum(len(t.encode()) - S.LENGTH + 1 for t in long)]

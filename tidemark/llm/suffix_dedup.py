@@ -6,24 +6,29 @@ trigger is the least 16-byte rolling hash among the next ``WINDOW`` positions,
 and positions with one trigger make a phrase, which reaches LENGTH - 1 bytes into
 the next ones. So every LENGTH-byte string lies in exactly one phrase, and equal
 strings lie at the same distance from equal triggers. The parse is the list of a
-text's phrases, the dictionary the distinct ones. A string is repeated if its
-phrase stands in the parse twice, or if two phrases of the dictionary have it in
-common: those are found in order of the dictionary's suffixes, taken to depth
-LENGTH, among phrases whose bytes from the trigger on agree (``CORE`` bytes, which
-every string of the phrase holds). Deeper order cannot matter, as no string
-crosses a phrase, so neither the parse nor unrepeated phrases are ever sorted.
-
-Plan: (1) phrases by trigger bytes, counted with partial aggregation; only those
-whose trigger bytes stand twice go on. (2) Their dictionary with counts. (3) For
-dictionary phrases that share trigger bytes with others, the text of one
-occurrence each is fetched and the suffixes are compared, a shard per task; sets
-of more than ``SHARD`` phrases with one trigger are compared by a distributed
-count of their suffixes instead, to the same result. (4) Repeated runs are
-merged per text, and only texts that lose a part of themselves are read again.
+text's phrases, the dictionary the distinct ones. The corpus order of strings is
+that of the dictionary's suffixes, each standing as often as the parse has its
+phrase: a suffix array of the dictionary, to depth LENGTH, whose neighbours are
+equal byte for byte or not, and the parse in order of its phrases, which gives
+the numbers. A string is repeated if its place in that order is shared. Deeper
+order cannot matter, as no string crosses a phrase, so the parse is ordered to
+the depth of one phrase.
+
+Plan: (1) texts that stand several times go whole, and one of them goes on, so
+that everything below is work on distinct texts. (2) Phrases by trigger bytes
+(``CORE`` bytes from the trigger, which every string of the phrase holds), counted with
+partial aggregation; only those whose trigger bytes stand twice go on. (3) Their
+dictionary with counts. (4) The text of one occurrence of each dictionary phrase
+that shares trigger bytes with others is fetched, and suffix arrays are built over
+whole sets of such phrases, some ``BATCH`` bytes of sets at once; sets of more than ``SHARD``
+phrases with one trigger are compared by a distributed count of their suffixes
+instead, to the same result. (5) Repeated runs are merged per text, and only texts
+that lose a part of themselves are read again. Triggers and phrases that stand very
+often are joined by broadcast (at most ``TOP`` of them, whatever the data), the
+others by shuffles, so no task gets all rows of one phrase.
 
 Texts are named by two 64-bit hashes of their bytes, phrases by a hash of their
-trigger bytes and one of all their bytes. Suffixes are ordered by a 64-bit hash
-within one trigger's set.
+trigger bytes and one of all their bytes; the suffix arrays compare bytes.
 
 Defined cases: null text counts as empty; texts of fewer than LENGTH bytes lose
 nothing. Equal rows are repeats of each other. Ties don't arise: all copies of a
@@ -35,11 +40,12 @@ the id and the text are read.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -53,7 +59,11 @@ CORE = LENGTH - WINDOW + 1
 #: Bytes of a text that are parsed at once.
 BLOCK = 4 << 20
 #: Phrases with one trigger that one task compares.
-SHARD = 20_000
+SHARD = 8_000
+#: Bytes of phrases, in whole sets, that get a suffix array together.
+BATCH = 1 << 20
+#: Keys that are broadcast at most: those of over ``HOT`` rows and over 1 / TOP of all.
+TOP, HOT = 100_000, 2_000
 
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 
@@ -137,6 +147,18 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                      pa.array(np.full(k, size))], names=["core", "phrase", "t1", "t2", "start", "n", "size"])
 
 
+def _parse_others(words: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The parse of the texts that are certainly not among the keys of the bit array."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            other = np.ones(b.num_rows, bool)
+            other[bits.maybe(words.value, b.column("t1").to_numpy(zero_copy_only=False).view(np.uint64))] = False
+            yield from _parse(iter([b.filter(pa.array(other))]))
+
+    return run
+
+
 def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The bytes of the dictionary phrases that stand in each text."""
     for b in batches:
@@ -144,9 +166,9 @@ def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             raw, rows = data.as_buffer(), wanted.as_py()
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r["core"] for r in rows], pa.int64()), pa.array([r["phrase"] for r in rows], pa.int64()),
-                 pa.array([r["many"] for r in rows], pa.bool_()),
+                 pa.array([r["k"] for r in rows], pa.int64()), pa.array([r["many"] for r in rows], pa.bool_()),
                  pa.array([raw.slice(r["start"], r["n"] + LENGTH - 1).to_pybytes() for r in rows], pa.binary())],
-                names=["core", "phrase", "many", "data"])
+                names=["core", "phrase", "k", "many", "data"])
 
 
 def _runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -155,44 +177,73 @@ def _runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edge[::2], edge[1::2]
 
 
-def _compare_set(names: list[int], data: list[bytes]) -> Iterator[tuple[int, int, int]]:
-    """(phrase, first, last + 1) of the positions whose string stands in the set twice."""
-    hashes = [string_hashes(np.frombuffer(d, np.uint8)) for d in data]
-    every = np.concatenate(hashes)
-    order = np.argsort(every, kind="stable")  # the suffixes in order, to depth LENGTH
-    same = every[order][1:] == every[order][:-1]
-    twice = np.zeros(len(every), bool)
+def suffix_array(data: np.ndarray, depth: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
+    """The positions in order of their next ``depth`` bytes (8 at least; zeros follow the end),
+    and each position's rank, which is equal where those bytes are."""
+    n = len(data)
+    key = np.concatenate((data, np.zeros(8, np.uint8))).astype(np.uint64)
+    for step in (1, 2, 4):
+        key = key[:-step] << np.uint64(8 * step) | key[step:]
+    key, have = key[:n], 8
+    while True:
+        order = np.argsort(key)
+        inorder = key[order]
+        rank = np.empty(n, np.uint64)
+        rank[order] = np.cumsum(np.concatenate(([True], inorder[1:] != inorder[:-1]))[:n])
+        if have == depth:
+            return order, rank
+        step = min(have, depth - have)
+        key = rank << np.uint64(32)
+        key[:max(0, n - step)] |= rank[step:]
+        have += step
+
+
+def _compare_sets(data: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(number of the phrase, first, last + 1) of the positions whose string stands in several
+    of the phrases or twice in one. Equal strings are of one set, as they hold its trigger."""
+    sizes = np.array([len(d) for d in data])
+    ends = np.cumsum(sizes)
+    inside = np.ones(ends[-1], bool)
+    for back in range(1, LENGTH):
+        inside[ends - back] = False
+    order, rank = suffix_array(np.frombuffer(b"".join(data), np.uint8))
+    order = order[inside[order]]
+    same = rank[order][1:] == rank[order][:-1]
+    twice = np.zeros(ends[-1], bool)
     twice[order[1:][same]] = True
     twice[order[:-1][same]] = True
-    at = 0
-    for name, h in zip(names, hashes):
-        for s, e in zip(*_runs(twice[at:at + len(h)])):
-            yield name, int(s), int(e)
-        at += len(h)
+    lo, hi = _runs(twice)
+    at = np.searchsorted(ends, lo, "right")
+    return at, lo - (ends - sizes)[at], hi - (ends - sizes)[at]
 
 
 FOUND = "core long, phrase long, lo long, hi long"
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Compares the sets of phrases with one trigger; a partition is sorted by it."""
+    """Compares the sets of phrases with one trigger; a partition is sorted by it. Phrases that
+    the parse has once are reported, as all strings of the others are repeated."""
 
-    def done(core, names, data):
-        rows = list(_compare_set(names, data))
-        return pa.RecordBatch.from_pydict({"core": pa.array([core] * len(rows), pa.int64())} | {
-            k: pa.array([r[i] for r in rows], pa.int64()) for i, k in enumerate(("phrase", "lo", "hi"))})
+    def done():
+        at, lo, hi = _compare_sets(data)
+        once = np.array(counts)[at] == 1
+        at, lo, hi = at[once], lo[once], hi[once]
+        return pa.RecordBatch.from_arrays([pa.array(np.array(cores)[at]), pa.array(np.array(names)[at]), pa.array(lo), pa.array(hi)],
+                                          names=["core", "phrase", "lo", "hi"])
 
-    now, names, data = None, [], []
+    cores, names, counts, data, size = [], [], [], [], 0
     for b in batches:
-        for core, phrase, raw in zip(*(b.column(c).to_pylist() for c in ("core", "phrase", "data"))):
-            if core != now:
-                if len(names) > 1:
-                    yield done(now, names, data)
-                now, names, data = core, [], []
+        for core, phrase, k, raw in zip(*(b.column(c).to_pylist() for c in ("core", "phrase", "k", "data"))):
+            if size >= BATCH and core != cores[-1]:
+                yield done()
+                cores, names, counts, data, size = [], [], [], [], 0
+            cores.append(core)
             names.append(phrase)
+            counts.append(k)
             data.append(raw)
-    if len(names) > 1:
-        yield done(now, names, data)
+            size += len(raw)
+    if data:
+        yield done()
 
 
 def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -204,14 +255,24 @@ def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                  pa.array(h.view(np.int64))], names=["core", "phrase", "lo", "h"])
 
 
+def _counted(rows: DataFrame, counts: DataFrame, keys: list[str]) -> DataFrame:
+    """``rows`` of the keys in ``counts``, with their number of rows ``k``. Rows of frequent keys
+    stay where they are; as each has over 1 / TOP of the rows, at most TOP keys are broadcast."""
+    least = max(HOT, rows.count() // TOP)
+    hot = F.broadcast(counts.where(F.col("k") > least))
+    cold = rows.join(hot.select(*keys), keys, "left_anti").join(counts.where(F.col("k") <= least), keys)
+    return rows.join(hot, keys).unionByName(cold)
+
+
 def _shared(dictionary: DataFrame, docs: DataFrame, text_col: str, shard: int) -> DataFrame:
-    """(core, phrase, lo, hi): positions of dictionary phrases whose string another phrase has too."""
+    """(core, phrase, lo, hi): positions of dictionary phrases, once in the parse, whose string another place has too."""
     sets = staged(dictionary.groupBy("core").agg(F.count("*").alias("size")).where("size > 1"), "phrase_sets")
-    wanted = dictionary.join(sets, "core").select("core", "phrase", (F.col("size") > shard).alias("many"), "one.*")
-    wanted = staged(wanted.groupBy("t1", "t2").agg(F.collect_list(F.struct("core", "phrase", "many", "start", "n")).alias("wanted")), "wanted_phrases")
+    wanted = dictionary.join(sets, "core").select("core", "phrase", "k", (F.col("size") > shard).alias("many"), "one.*")
+    wanted = staged(wanted.groupBy("t1", "t2").agg(F.collect_list(F.struct("core", "phrase", "k", "many", "start", "n")).alias("wanted")),
+                    "wanted_phrases")
     texts = bits.among(_bytes(docs, text_col), "t1", bits.build(wanted, "t1")).dropDuplicates(["t1", "t2"])
     strings = staged(texts.join(wanted, ["t1", "t2"]).select("data", "wanted")
-                     .mapInArrow(_fetch, "core long, phrase long, many boolean, data binary"), "phrase_strings")
+                     .mapInArrow(_fetch, "core long, phrase long, k long, many boolean, data binary"), "phrase_strings")
     few = strings.where("not many").repartition("core").sortWithinPartitions("core").mapInArrow(_compare, FOUND)
     suffixes = strings.where("many").mapInArrow(_suffixes, "core long, phrase long, lo long, h long")
     twice = suffixes.groupBy("core", "h").agg(F.count("*").alias("k")).where("k > 1").select("core", "h")
@@ -245,21 +306,26 @@ SPANS = "array<struct<s:long,e:long>>"
 def repeats(docs: DataFrame, text_col: str = "text", shard: int = SHARD) -> DataFrame:
     """(t1, t2, size, spans, n_removed, n_spans) of each distinct text that loses
     bytes: maximal runs [s, e) of repeated bytes."""
-    # tables, so that texts are parsed once, and neither side of the joins is an aggregate:
-    # the skew join can then split a hot trigger
-    parse = staged(_bytes(docs, text_col).where(F.length("data") >= LENGTH).mapInArrow(_parse, PARSE), "phrases")
-    twice = staged(parse.groupBy("core").agg(F.count("*").alias("k")).where("k > 1").select("core"), "repeated_triggers")
-    parse = staged(parse.join(twice, "core", "left_semi"), "parse")
+    texts = _bytes(docs, text_col).where(F.length("data") >= LENGTH)
+    copied = staged(texts.groupBy("t1", "t2").agg(F.count("*").alias("k"), F.max(F.length("data")).cast("long").alias("size"))
+                    .where("k > 1").select("t1", "t2", "size"), "copied_texts")
+    words = bits.build(copied, "t1")
+    single = texts.mapInArrow(_parse_others(texts.sparkSession.sparkContext.broadcast(words)), PARSE)
+    one = bits.among(texts, "t1", words).dropDuplicates(["t1", "t2"]).mapInArrow(_parse, PARSE)
+    # tables, so that texts are parsed once, and the counts are of a table's rows
+    parse = staged(single.unionByName(one), "phrases")
+    twice = staged(parse.groupBy("core").agg(F.count("*").alias("k")).where("k > 1"), "repeated_triggers")
+    parse = staged(_counted(parse, twice, ["core"]).drop("k"), "parse")
     place = F.struct("t1", "t2", "start", "n")
     dictionary = staged(parse.groupBy("core", "phrase").agg(F.count("*").alias("k"), F.min(place).alias("one")), "dictionary")
-    again = dictionary.where("k > 1").select("core", "phrase")
-    whole = parse.join(again, ["core", "phrase"], "left_semi") \
+    parse = staged(_counted(parse, dictionary.select("core", "phrase", "k"), ["core", "phrase"]), "counted_parse")
+    whole = parse.where("k > 1") \
         .select("t1", "t2", "size", F.col("start").alias("s"), (F.col("start") + F.col("n") + LENGTH - 1).alias("e"))
-    single = dictionary.where("k = 1").select("core", "phrase")
-    places = parse.join(single, ["core", "phrase"], "left_semi").select("core", "phrase", "t1", "t2", "size", "start")
-    part = _shared(dictionary, docs, text_col, shard).join(places, ["core", "phrase"]) \
+    part = _shared(dictionary, docs, text_col, shard) \
+        .join(parse.where("k = 1").select("core", "phrase", "t1", "t2", "size", "start"), ["core", "phrase"]) \
         .select("t1", "t2", "size", (F.col("start") + F.col("lo")).alias("s"), (F.col("start") + F.col("hi") + LENGTH - 1).alias("e"))
-    spans = whole.distinct().unionByName(part).groupBy("t1", "t2", "size").agg(F.collect_list(F.struct("s", "e")).alias("spans"))
+    every = copied.select("t1", "t2", "size", F.lit(0).cast("long").alias("s"), F.col("size").alias("e"))
+    spans = whole.unionByName(part).unionByName(every).groupBy("t1", "t2", "size").agg(F.collect_list(F.struct("s", "e")).alias("spans"))
     return staged(spans.mapInArrow(_merged, f"t1 long, t2 long, size long, spans {SPANS}, n_removed long, n_spans long"), "repeats")
 
 
