@@ -1,13 +1,17 @@
 """Personal data by rules, and by contexts learned from what the rules find.
 
 Rules find emails, IP addresses, card and phone numbers. These seeds teach
-lexical patterns: the two words before an identifier. Patterns and the
+lexical patterns, from special to general: three and two words before an identifier,
+a word on either side, two words after it, and, as a back-off, the word before it,
+that word with the identifier's shape (digits as 0, letters as a), and the shape alone. Patterns and the
 identifier-like words that stand in them form a graph; Spark scores it in
 rounds: a pattern's score for a kind is the belief in its distinct instances
 over their number, an instance's belief the best score of its patterns, seeds
 stay at 1. Patterns that score ``SCORE`` or more with ``SEEDS`` distinct instances'
-worth of belief extract what no rule takes, if its form suits the kind: words, and
+worth of belief extract what no rule takes (the back-off ones need ``SURE`` and ``BACK_OFF``
+times the belief, as chance suffices for less), if its form suits the kind: words, and
 runs of digits with the separators of the rules (blank, dot, bracket, dash, colon).
+So numbers of a seed's form that no rule takes, such as a failed check digit, count against a pattern.
 A run is read up to its first word if that has a form, else as far as it has one;
 where a found run holds a found word, the run counts.
 
@@ -16,7 +20,8 @@ distinct (pattern, instance) pairs, so a hot pattern or instance spreads.
 
 Defined cases: null text counts as empty and has no spans. Ties between kinds go
 to the first of ``KINDS``. Repeated rows each get their spans, and count once as
-an instance. A found span never overlaps a rule's span, which all stay. Very long
+an instance. A context word of more than ``NAMED`` characters is known by the
+``NAMED`` next to the identifier. A found span never overlaps a rule's span, which all stay. Very long
 texts are read whole. An empty table gives an empty result. Only the id and the
 text are read.
 """
@@ -24,6 +29,7 @@ text are read.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -36,6 +42,10 @@ KINDS = ("email", "ip", "card", "phone")
 ROUNDS = 3
 SCORE = 0.8
 SEEDS = 3.0
+#: Score, and times ``SEEDS``, of the patterns of one word or none.
+SURE, BACK_OFF = 0.9, 4.0
+#: Characters that name a context word.
+NAMED = 64
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -46,6 +56,7 @@ _ANY = re.compile(r"[0-9@]")
 _WORD = re.compile(r"\S+")
 #: Digits and separators, from a word's start.
 _RUN = re.compile(r"(?<![\w@.%+-])[(+]*[0-9][0-9().:+-]*(?: +[0-9().:+-]+)*")
+_DIGIT, _LETTERS = re.compile(r"\d"), re.compile(r"[^\W\d_]+")
 _EDGE = ".,;:!?()[]{}<>\"'`|"
 
 
@@ -101,13 +112,48 @@ def forms(word: str) -> int:
         | (plain and 13 <= d <= 19) << 2 | (plain and 7 <= d <= 15) << 3
 
 
-def _before(text: str, start: int) -> str | None:
-    """The pattern of a place: the two words before it, lower-cased."""
-    words = text[max(0, start - 200):start].split()
-    edge = start > 200 and len(words) < 3  # a word may have been cut
-    if len(words) < 2 or edge:
-        return None
-    return f"{words[-2].lower()} {words[-1].lower()}"
+class _Contexts:
+    """The patterns of a text's places; its words are looked up when there is a place."""
+
+    def __init__(self, text: str):
+        self.text, self._words = text, None
+
+    def _around(self, start: int, end: int) -> tuple[list[str], list[str]]:
+        """Three words before and two after a place, lower-cased; parts of its own word are words."""
+        text = self.text
+        if self._words is None:
+            self._words = [m.span() for m in _WORD.finditer(text)]
+        words = self._words
+        i = bisect_left(words, (start,))  # words before start at words[:i]
+        left = [text[max(s, min(e, start) - NAMED):min(e, start)].lower() for s, e in words[max(0, i - 3):i]]
+        right, j = [], max(0, bisect_left(words, (end,)) - 1)
+        while j < len(words) and len(right) < 2:
+            s, e = words[j]
+            s = max(s, end)
+            if s < e and (w := text[s:min(e, s + NAMED)].strip(_EDGE)):
+                right.append(w.lower())
+            j += 1
+        return left, right
+
+    def patterns(self, start: int, end: int, begin: int | None = None) -> Iterator[str]:
+        """Those of the place; the words before it are those before ``begin``. Two words before it
+        stand as they are, others after their sort and a tab, which no word holds."""
+        left, right = self._around(start if begin is None else begin, end)
+        if len(left) > 2:
+            yield "left\t" + " ".join(left)
+        if len(left) > 1:
+            yield " ".join(left[-2:])
+        if left and right:
+            yield f"around\t{left[-1]} {right[0]}"
+        if len(right) > 1:
+            yield "right\t" + " ".join(right)
+        if left:
+            yield f"word\t{left[-1]}"
+        if end - start <= NAMED:
+            shape = _LETTERS.sub("a", _DIGIT.sub("0", self.text[start:end]))
+            yield f"shape\t{shape}"
+            if left:
+                yield f"shaped\t{left[-1]} {shape}"
 
 
 def _reading(run: str) -> str:
@@ -154,30 +200,37 @@ def _until(taken: list[tuple[int, int]], i: int, end: int) -> Iterator[tuple[int
 def _line(text: str) -> tuple[list[dict], list[dict]]:
     """The rules' spans, and the words and spans that take part in the graph."""
     spans = rule_spans(text)
-    graph = [{"pattern": p, "instance": text[s:e].lower(), "kind": k, "form": 1 << k, "s": s, "e": e}
-             for k, s, e in spans if (p := _before(text, s))]
-    if text and _ANY.search(text):
-        taken = sorted((s, e) for _, s, e in spans)
-        first = set()
-        for start, s, e in _runs(text, taken):
-            first.update(range(start, s + len(text[s:e]) - len(text[s:e].lstrip("(+")) + 1))
-            if p := _before(text, start):
-                graph.append({"pattern": p, "instance": text[s:e].lower(), "kind": -1, "form": forms(text[s:e]), "s": s, "e": e})
-        i = 0
-        for m in _WORD.finditer(text):
-            if not _ANY.search(m[0]):
-                continue
-            word = m[0].strip(_EDGE)
-            s = m.start() + m[0].find(word)
-            e = s + len(word)
-            if s in first:  # read as a run
-                continue
-            while i < len(taken) and taken[i][1] <= s:
-                i += 1
-            if any(x < e for x, _ in taken[i:i + 1]) or any(x < e and y > s for x, y in taken[max(0, i - 3):i]):
-                continue
-            if (f := forms(word)) and (p := _before(text, s)):
-                graph.append({"pattern": p, "instance": word.lower(), "kind": -1, "form": f, "s": s, "e": e})
+    if not text or not _ANY.search(text):
+        return [], []
+    at = _Contexts(text)
+    graph = []
+
+    def add(kind: int, form: int, s: int, e: int, begin: int | None = None) -> None:
+        graph.extend({"pattern": p, "instance": text[s:e].lower(), "kind": kind, "form": form, "s": s, "e": e}
+                     for p in at.patterns(s, e, begin))
+
+    for k, s, e in spans:
+        add(k, 1 << k, s, e)
+    taken = sorted((s, e) for _, s, e in spans)
+    first = set()
+    for start, s, e in _runs(text, taken):
+        first.update(range(start, s + len(text[s:e]) - len(text[s:e].lstrip("(+")) + 1))
+        add(-1, forms(text[s:e]), s, e, start)
+    i = 0
+    for m in _WORD.finditer(text):
+        if not _ANY.search(m[0]):
+            continue
+        word = m[0].strip(_EDGE)
+        s = m.start() + m[0].find(word)
+        e = s + len(word)
+        if s in first:  # read as a run
+            continue
+        while i < len(taken) and taken[i][1] <= s:
+            i += 1
+        if any(x < e for x, _ in taken[i:i + 1]) or any(x < e and y > s for x, y in taken[max(0, i - 3):i]):
+            continue
+        if f := forms(word):
+            add(-1, f, s, e)
     return [{"kind": k, "s": s, "e": e} for k, s, e in spans], graph
 
 
@@ -207,10 +260,13 @@ def score_patterns(graph: DataFrame, rounds: int = ROUNDS, score: float = SCORE,
     sizes = edges.groupBy("pattern").agg(F.count("*").alias("size"))
     sure = edges.where("kind >= 0").select("instance", "kind", F.lit(1.0).alias("belief")).distinct()
     belief, strong = sure, None
+    general = F.col("pattern").rlike("^(word|shape|shaped)\t")
+    enough = F.when(general, F.lit(seeds * BACK_OFF)).otherwise(F.lit(seeds))
+    share = F.when(general, F.greatest(F.lit(score), F.lit(SURE))).otherwise(F.lit(score))
     for k in range(rounds):
         strong = edges.select("pattern", "instance").join(belief, "instance").groupBy("pattern", "kind") \
             .agg(F.sum("belief").alias("sum")).join(sizes, "pattern") \
-            .where((F.col("sum") >= seeds) & (F.col("sum") >= score * F.col("size"))) \
+            .where((F.col("sum") >= enough) & (F.col("sum") >= share * F.col("size"))) \
             .select("pattern", "kind", (F.col("sum") / F.col("size")).alias("score"))
         strong = staged(strong, "pii_patterns")
         if k < rounds - 1:
