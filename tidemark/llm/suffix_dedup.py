@@ -303,12 +303,18 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 SPANS = "array<struct<s:long,e:long>>"
 
 
-def repeats(docs: DataFrame, text_col: str = "text", shard: int = SHARD) -> DataFrame:
+def _copied(docs: DataFrame, text_col: str) -> DataFrame:
+    """(t1, t2, size, k) of the texts of at least LENGTH bytes that stand ``k`` > 1 times."""
+    texts = _bytes(docs, text_col).where(F.length("data") >= LENGTH)
+    return staged(texts.groupBy("t1", "t2").agg(F.count("*").alias("k"), F.max(F.length("data")).cast("long").alias("size"))
+                  .where("k > 1"), "copied_texts")
+
+
+def repeats(docs: DataFrame, text_col: str = "text", shard: int = SHARD, copied: DataFrame | None = None) -> DataFrame:
     """(t1, t2, size, spans, n_removed, n_spans) of each distinct text that loses
     bytes: maximal runs [s, e) of repeated bytes."""
+    copied = _copied(docs, text_col) if copied is None else copied
     texts = _bytes(docs, text_col).where(F.length("data") >= LENGTH)
-    copied = staged(texts.groupBy("t1", "t2").agg(F.count("*").alias("k"), F.max(F.length("data")).cast("long").alias("size"))
-                    .where("k > 1").select("t1", "t2", "size"), "copied_texts")
     words = bits.build(copied, "t1")
     single = texts.mapInArrow(_parse_others(texts.sparkSession.sparkContext.broadcast(words)), PARSE)
     one = bits.among(texts, "t1", words).dropDuplicates(["t1", "t2"]).mapInArrow(_parse, PARSE)
@@ -347,7 +353,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                    shard: int = SHARD) -> DataFrame:
     """One row per document: id, n_bytes, n_removed, n_spans, spans, kept_sha256 and
     (``with_kept``) the kept bytes. Bytes may no longer be whole UTF-8 characters."""
-    found = repeats(docs, text_col, shard)
+    copied = _copied(docs, text_col)
+    found = repeats(docs, text_col, shard, copied)
     partly = found.where("n_removed < size").select("t1", "t2", "spans")
     texts = bits.among(_bytes(docs, text_col), "t1", bits.build(partly, "t1")).dropDuplicates(["t1", "t2"])
     cut = texts.join(partly, ["t1", "t2"]).select("t1", "t2", "data", "spans") \
@@ -357,7 +364,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     own = F.encode(text, "utf-8")
     d = docs.select(F.col(id_col).alias("id"), *_text_name(text), F.octet_length(text).cast("long").alias("n_bytes"),
                     F.sha2(own, 256).alias("sha"), *([own.alias("data")] if with_kept else []))
-    d = d.join(cut, ["t1", "t2"], "left")
+    # rows of a text that stands very often go whole: they are marked by broadcast (at most TOP texts) and match nothing, spread by row
+    least = max(HOT, (copied.agg(F.sum("k")).first()[0] or 0) // TOP)
+    hot = F.broadcast(copied.where(F.col("k") > least).select("t1", "t2", F.col("size").alias("gone")))
+    d = d.join(hot, ["t1", "t2"], "left").withColumn("t1", F.when(F.col("gone").isNull(), F.col("t1")).otherwise(F.monotonically_increasing_id())) \
+        .withColumn("t2", F.when(F.col("gone").isNull(), F.col("t2")))
+    d = d.join(cut, ["t1", "t2"], "left").withColumns({
+        "n_removed": F.coalesce("n_removed", "gone"), "n_spans": F.coalesce("n_spans", F.when(F.col("gone").isNotNull(), F.lit(1).cast("long"))),
+        "spans": F.coalesce("spans", F.when(F.col("gone").isNotNull(), F.array(F.struct(F.lit(0).cast("long").alias("s"), F.col("gone").alias("e")))))})
     none = F.col("n_removed").isNull()
     empty = hashlib.sha256(b"").hexdigest()
     out = [F.col("id").alias(id_col), "n_bytes", F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"),
