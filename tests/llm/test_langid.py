@@ -89,3 +89,21 @@ def test_held_out_accuracy(spark, sf_dir):
     got = QUERIES["op9_language_id"](spark, sf_dir).join(docs, "doc_id").where("held_out and lang is not null")
     n, right = got.agg(F.count("*"), F.count(F.when(F.col("lang") == F.col("lang_pred"), 1))).first()
     assert n > 200 and right / n > 0.98
+
+
+def test_counting_holds_few_ngrams_at_once(monkeypatch):
+    import pyarrow as pa
+    sizes, unique = [], np.unique
+    monkeypatch.setattr(np, "unique", lambda a, **kw: sizes.append(len(a)) or unique(a, **kw))
+    texts = [(f"ein satz mit dem wort {i % 7} und {'x' * (i % 5)}", ("de", "en")[i % 2]) for i in range(2000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*texts)], names=["text", "lang"])
+    by_held = []
+    for held in (500, 1 << 30):
+        sums = {}
+        for b in L._count(iter([batch]), ["de", "en"], held):
+            for r in b.to_pylist():
+                sums[r["g"], r["l"]] = sums.get((r["g"], r["l"]), 0) + r["n"]
+        by_held.append((sums, max(sizes)))
+        sizes.clear()
+    assert by_held[0][0] == by_held[1][0]
+    assert by_held[0][1] <= 600 < by_held[1][1]

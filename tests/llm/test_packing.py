@@ -160,3 +160,12 @@ def test_certificate_is_in_the_result(spark):
     assert all(len(c) == 1 for c in by.values())
     one = P.pack_documents(docs_of(spark, [(1, "a b c")])).collect()
     assert [(r.certified, r.sequences, r.lower_bound) for r in one] == [(True, 1, 1)]
+
+
+def test_a_batch_is_tokenised_in_slices():
+    import pyarrow as pa
+
+    from tidemark.llm.common import slices
+    got = list(slices([pa.RecordBatch.from_arrays([pa.array(range(n))], names=["x"]) for n in (1200, 0, 3)]))
+    assert [b.num_rows for b in got] == [500, 500, 200, 3]
+    assert [x for b in got for x in b.column("x").to_pylist()] == [*range(1200), *range(3)]

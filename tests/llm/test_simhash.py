@@ -114,3 +114,10 @@ def test_blocks_connect_what_the_whole_tile_does(block):
 
         x, y = S._forest(left, right, 2, block)
         assert len(x) < max(1, len(nodes)) and parts(zip(x.tolist(), y.tolist())) == parts(pairs)
+
+
+def test_no_stage_of_the_tiles_needs_two_python_workers_a_task(spark, capsys):
+    """A worker stays for the stages to come and takes their tables too."""
+    S.tile_links(S.fingerprints(docs_of(spark, ROWS)).select("fp").localCheckpoint()).explain()
+    stages = re.split("Exchange", capsys.readouterr().out)
+    assert max(x.count("MapInArrow") for x in stages) == 1

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +14,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 #: A round over so few links runs in this many partitions.
 SMALL_LINKS = 200_000
+#: Rows that a Python task takes from an Arrow batch at once.
+SLICE = 500
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +40,15 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def slices(batches: Iterable[pa.RecordBatch], rows: int = SLICE) -> Iterator[pa.RecordBatch]:
+    """The batches' rows, so many at once: what a task makes of long texts (words,
+    numbers, tokens) never stands beside that of a whole batch. A Python worker keeps
+    the memory of its largest moment, whatever it does next."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 def pieces_of(total: int, each: int) -> int:
     """How many parts of at most ``each`` hold ``total``."""
     return max(1, -(-int(total) // each))

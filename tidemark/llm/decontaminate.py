@@ -38,7 +38,7 @@ from pyspark.sql import types as T
 
 from . import bits
 from .bits import maybe
-from .common import staged
+from .common import slices, staged
 
 #: Fixed seeds, 1: the token takes part. Together they hit each of the 78 ways to swap 2 of 13 tokens.
 MASKS = ("111011111", "11110100111", "110100111011", "101111101001", "1010011100111")
@@ -136,7 +136,7 @@ def _possible(docs: DataFrame, id_col: str, text_col: str, masks: list[tuple[int
     hit_type = pa.list_(pa.struct([("h", pa.int64()), ("at", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             which, toks_out, hits_out = [], [], []
             for row, text in enumerate(b.column("text").to_pylist()):
                 toks, hits = tokens(text), []

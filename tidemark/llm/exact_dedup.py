@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import file_system
-from .common import lower_az, pieces_of, scratch_path, staged
+from .common import SLICE, lower_az, pieces_of, scratch_path, staged
 
 SLOTS = 4
 MAX_KICKS = 200
@@ -149,14 +149,17 @@ def _combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row per distinct text of each batch: its largest id, rows, rows with that id."""
     for b in batches:
         seen: dict[str, dict] = {}
-        cols = [b.column(c).to_pylist() for c in ("bucket", "op", "digest", "sha", "text", "top")]
-        for bucket, op, digest, sha, text, top in zip(*cols):
+        for row, (text, top) in enumerate(zip(b.column("text").to_pylist(), b.column("top").to_pylist())):
             if (e := seen.get(text)) is not None:
                 _merge(e, top, 1, 1)
             else:
-                seen[text] = {"bucket": bucket, "op": op, "digest": digest, "sha": sha, "text": text, "top": top,
-                              "n": 1, "n_top": 1}
-        yield pa.RecordBatch.from_pylist(list(seen.values()), schema=_arrow(b.schema.field("top").type))
+                seen[text] = {"row": row, "top": top, "n": 1, "n_top": 1}
+        found, schema = list(seen.values()), _arrow(b.schema.field("top").type)
+        for at in range(0, len(found), SLICE):
+            some = found[at:at + SLICE]
+            first = b.take(pa.array([e["row"] for e in some], pa.int64()))
+            yield pa.RecordBatch.from_arrays([first.column(c) for c in ("bucket", "op", "digest", "sha", "text")]
+                                             + [pa.array([e[c] for e in some], schema.field(c).type) for c in ("top", "n", "n_top")], names=schema.names)
 
 
 def _arrow(id_type: pa.DataType) -> pa.Schema:

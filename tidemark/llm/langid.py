@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import slices, staged
 
 N = 4
 ROWS = 1 << 20
@@ -43,6 +43,8 @@ PER_LANG = 4000
 #: A language holds an n-gram if its rate there is at least this part of the largest rate.
 RATIO = 0.25
 MIN_COUNT = 3
+#: N-grams that a training task holds before it counts them.
+HELD = 1 << 20
 MAX_LANGS = 1024
 BLOCK = 1 << 20
 UND = "und"
@@ -132,6 +134,31 @@ class BitmaskFilter:
         return self.langs[best], float(corrected[best] / n) if n else 0.0  # a text too short for an n-gram: the commonest language
 
 
+def _count(batches: Iterator[pa.RecordBatch], langs: list[str], held: int = HELD) -> Iterator[pa.RecordBatch]:
+    """(g, l, n): n-grams with their language's place and counts, which are to be
+    summed. About ``held`` n-grams are counted at once, however many a batch has."""
+    by: dict[str, list[np.ndarray]] = {}
+
+    def counted() -> Iterator[pa.RecordBatch]:
+        while by:
+            lang, parts = by.popitem()
+            g, n = np.unique(np.concatenate(parts), return_counts=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(g.view(np.int64)), pa.array(np.full(len(g), langs.index(lang), np.int32)), pa.array(n.astype(np.int64))],
+                names=["g", "l", "n"])
+
+    size = 0
+    for b in slices(batches):
+        for text, lang in zip(b.column("text").to_pylist(), b.column("lang").to_pylist()):
+            for some in blocks(text):
+                by.setdefault(lang, []).append(some)
+                size += len(some)
+                if size > held:
+                    yield from counted()
+                    size = 0
+    yield from counted()
+
+
 def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", rows: int = ROWS, hashes: int = HASHES,
           per_lang: int = PER_LANG, ratio: float = RATIO, min_count: int = MIN_COUNT) -> BitmaskFilter:
     """Learn the filters from the non-null texts and languages of ``docs``."""
@@ -148,18 +175,7 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", rows:
     u = F.pmod(F.xxhash64("text", F.lit("sample")), F.lit(1 << 20)) / F.lit(float(1 << 20))
     d = d.where(u < share[F.col("lang")])
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            by: dict[str, list[np.ndarray]] = {}
-            for text, lang in zip(b.column("text").to_pylist(), b.column("lang").to_pylist()):
-                by.setdefault(lang, []).extend(blocks(text))
-            for lang, parts in by.items():
-                g, n = np.unique(np.concatenate(parts), return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(g.view(np.int64)), pa.array([langs.index(lang)] * len(g), pa.int32()), pa.array(n.astype(np.int64))],
-                    names=["g", "l", "n"])
-
-    counts = d.mapInArrow(count, "g long, l int, n long").groupBy("g", "l").agg(F.sum("n").alias("n"))
+    counts = d.mapInArrow(lambda it: _count(it, langs), "g long, l int, n long").groupBy("g", "l").agg(F.sum("n").alias("n"))
     counts = staged(counts, "gram_counts")
     size = {r["l"]: r["n"] for r in counts.groupBy("l").agg(F.sum("n").alias("n")).collect()}
     total = F.create_map(*[F.lit(x) for i in range(len(langs)) for x in (i, float(size.get(i, 1)))])

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import pieces_of, staged
+from .common import pieces_of, slices, staged
 
 CAPACITY = 1024
 END = 2
@@ -172,7 +172,7 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capa
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = _tokenizer(vocabulary_path(vocabulary))
         last = array("I", [end]).tobytes()
-        for b in batches:
+        for b in slices(batches):
             rows, out = [], []
             for r, text in enumerate(b.column("text").to_pylist()):
                 raw = tok.encode_bytes(text or "") + last

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import connected_components, staged
+from .common import connected_components, slices, staged
 
 SHINGLE = 3
 RADIUS = 2
@@ -65,7 +65,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     d = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_key"), F.col(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             fp = np.array([fingerprint(t, shingle) for t in b.column("text").to_pylist()], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([b.column("id"), b.column("text_key"), pa.array(fp)], names=["id", "text_key", "fp"])
 
@@ -91,28 +91,26 @@ def _digits(c: np.ndarray) -> np.ndarray:
 
 
 def _deal(tiles_of: np.ndarray, radius: int):
-    """Send every fingerprint to each pair of tiles that it takes part in."""
+    """Send every fingerprint, by its class and hash, to each pair of tiles that it takes part in."""
     base = np.array([(BITS + 1) ** (QUARTERS - 1 - q) for q in range(QUARTERS)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, 2000):
-                b = whole.slice(at, 2000)
-                fp, cls, block = (b.column(c).to_numpy() for c in ("fp", "cls", "block"))
-                own, digits = (cls.astype(np.int64) << 32) + block, _digits(cls)
-                for d in _offsets(radius):
-                    there = digits + np.array(d)
-                    ok = ((there >= 0) & (there <= BITS)).all(axis=1)
-                    other = np.where(ok, there @ base, 0)
-                    n = np.where(ok, tiles_of[other], 0)
-                    if not n.any():
-                        continue
-                    at_row = np.repeat(np.arange(len(fp)), n)
-                    nth = np.arange(len(at_row)) - np.repeat(np.cumsum(n) - n, n)
-                    mine, theirs = own[at_row], (other[at_row].astype(np.int64) << 32) + nth
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.minimum(mine, theirs)), pa.array(np.maximum(mine, theirs)),
-                         pa.array((mine > theirs).astype(np.int8)), pa.array(fp[at_row])], names=["lt", "rt", "side", "fp"])
+        for b in slices(batches, 2000):
+            fp, cls, h = (b.column(c).to_numpy() for c in ("fp", "cls", "h"))
+            own, digits = (cls.astype(np.int64) << 32) + h % tiles_of[cls], _digits(cls)
+            for d in _offsets(radius):
+                there = digits + np.array(d)
+                ok = ((there >= 0) & (there <= BITS)).all(axis=1)
+                other = np.where(ok, there @ base, 0)
+                n = np.where(ok, tiles_of[other], 0)
+                if not n.any():
+                    continue
+                at_row = np.repeat(np.arange(len(fp)), n)
+                nth = np.arange(len(at_row)) - np.repeat(np.cumsum(n) - n, n)
+                mine, theirs = own[at_row], (other[at_row].astype(np.int64) << 32) + nth
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.minimum(mine, theirs)), pa.array(np.maximum(mine, theirs)),
+                     pa.array((mine > theirs).astype(np.int8)), pa.array(fp[at_row])], names=["lt", "rt", "side", "fp"])
 
     return run
 
@@ -205,13 +203,7 @@ def tile_links(fps: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFr
         tiles_of[r["cls"]] = -(-r["count"] // tile)
     many = d.sparkSession.sparkContext.broadcast(tiles_of)
 
-    def place(batches):
-        for b in batches:
-            cls = b.column("cls").to_numpy()
-            yield pa.RecordBatch.from_arrays(
-                [b.column("fp"), b.column("cls"), pa.array(b.column("h").to_numpy() % many.value[cls])], names=["fp", "cls", "block"])
-
-    d = d.withColumn("h", F.shiftrightunsigned(F.xxhash64("fp"), 1)).mapInArrow(place, "fp long, cls int, block long")
+    d = d.withColumn("h", F.shiftrightunsigned(F.xxhash64("fp"), 1))
     dealt = d.mapInArrow(lambda it: _deal(many.value, radius)(it), "lt long, rt long, side byte, fp long")
     return dealt.repartition("lt", "rt").sortWithinPartitions("lt", "rt", "side") \
         .mapInArrow(_compare(radius), "a long, b long")
