@@ -182,3 +182,17 @@ def test_counts_of_open_tags_change_no_tree():
         tags = [rng.choice(["p", "b", "i", "div", "li", "ul", "td", "tr", "table", "h1", "article", "dd", "dt", "svg", "br", "option"]) for _ in range(rng.randrange(40))]
         html = "".join(rng.choice([f"<{t}>", f"<{t}>x", f"</{t}>", f"<{t}/>"]) for t in tags)
         assert flat(H.tree(html)) == flat(plain_tree(html)), html
+
+
+def test_a_page_is_parsed_without_counting_lines_or_comparing_deep_shapes(monkeypatch):
+    """What a page costs is in proportion to its tags: no position is kept, and a class
+    or an equal subtree is worked on once."""
+    import _markupbase
+    monkeypatch.setattr(_markupbase.ParserBase, "updatepos", lambda *a: pytest.fail("lines are counted"))
+    made = []
+    monkeypatch.setattr(H, "_noise", lambda n, inside, held=frozenset(), real=H._noise: made.append(n) or real(n, inside, held))
+    root = H.tree("<header>top\n</header><article>" + "<div><p>a\nb</p></div>" * 300 + "</article>")
+    first, second = H.shape(root)[1]
+    assert len(second[1]) == 1 and second[1][0] == ("div", (("p", ()),))
+    assert [t for _, t, _ in H.text_blocks(root)] == ["a b"] * 300
+    assert len(made) == 602

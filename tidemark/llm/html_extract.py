@@ -33,7 +33,6 @@ url and html are read.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 from hashlib import blake2b
 from html.parser import HTMLParser
@@ -91,7 +90,8 @@ _SPLIT = re.compile(r"[-_]+")
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "children", "parent", "number")
+    #: number: its place in the page's tree; same, runs: what ``shape`` notes of it.
+    __slots__ = ("tag", "attrs", "children", "parent", "number", "same", "runs")
 
     def __init__(self, tag: str, attrs: dict, parent: "Node | None"):
         self.tag, self.attrs, self.parent, self.children, self.number = tag, attrs, parent, [], -1
@@ -101,7 +101,10 @@ class _Builder(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = self.at = Node("#root", {}, None)
-        self.open: Counter = Counter()  # open elements by tag: none of a tag, and no search goes up for it
+        self.open: dict[str, int] = {}  # open elements by tag: none of a tag, and no search goes up for it
+
+    def updatepos(self, i, j):
+        return j  # lines are not counted
 
     def _pop(self, to: "Node") -> None:
         while self.at is not to:
@@ -109,7 +112,9 @@ class _Builder(HTMLParser):
             self.at = self.at.parent
 
     def _end(self, tags, fence=FENCE) -> None:
-        left = sum(self.open[t] for t in tags)
+        left = 0
+        for t in tags:
+            left += self.open.get(t, 0)
         if not left:
             return
         n, to = self.at, self.at
@@ -129,7 +134,7 @@ class _Builder(HTMLParser):
         node = Node(tag, {k: v or "" for k, v in attrs}, self.at)
         self.at.children.append(node)
         if tag not in VOID:
-            self.open[tag] += 1
+            self.open[tag] = self.open.get(tag, 0) + 1
             self.at = node
 
     def handle_startendtag(self, tag, attrs):
@@ -138,7 +143,7 @@ class _Builder(HTMLParser):
             self._pop(self.at.parent)
 
     def handle_endtag(self, tag):
-        if not self.open[tag]:
+        if not self.open.get(tag):
             return
         n = self.at
         while n.tag != tag:
@@ -187,6 +192,8 @@ def _noise(node: Node, inside: bool, held: frozenset[int] = frozenset()) -> bool
     """Whether the element and all below it is not main text; ``held`` are wrappers
     that stay, by id()."""
     tag, attrs = node.tag, node.attrs
+    if not attrs and tag not in NOISE and tag != "header":
+        return False
     if "hidden" in attrs or attrs.get("aria-hidden") == "true":
         return tag != "label" or not _has_main(node)
     if tag in NOISE and id(node) not in held:
@@ -209,34 +216,37 @@ def _noise(node: Node, inside: bool, held: frozenset[int] = frozenset()) -> bool
 
 
 def _label(node: Node) -> str:
-    return ".".join([node.tag, *sorted(node.attrs.get("class", "").split())])
+    names = node.attrs.get("class")
+    return ".".join([node.tag, *sorted(names.split())]) if names else node.tag
 
 
 def shape(root: Node) -> tuple:
     """The page's tree as (label, children), runs of like siblings as one; numbers
     the nodes in preorder, repeated siblings alike."""
-    made: dict[int, tuple] = {}
-    same: dict[int, int] = {}  # equal shapes have one number: deep tuples are not compared
-    numbers: dict[tuple, int] = {}
+    made: list[tuple] = []
+    numbers: dict[tuple, int] = {}  # equal shapes have one number: deep tuples are not compared
     order: list[Node] = []
     todo = [root]
     while todo:  # iterative: pages may nest deeply
         n = todo.pop()
         order.append(n)
-        todo += [c for c in n.children if isinstance(c, Node)]
-    merged: dict[int, list[list[Node]]] = {}
+        todo += [c for c in n.children if c.__class__ is Node]
     for n in reversed(order):
         runs: list[list[Node]] = []
+        last = -1
         for c in n.children:
-            if isinstance(c, Node) and (c.tag in BLOCK or c.children):
-                if runs and same[id(runs[-1][0])] == same[id(c)]:
+            if c.__class__ is Node and (c.tag in BLOCK or c.children):
+                if c.same == last:
                     runs[-1].append(c)
                 else:
                     runs.append([c])
-        merged[id(n)] = runs
-        made[id(n)] = (_label(n), tuple(made[id(r[0])] for r in runs))
-        key = (made[id(n)][0], *(same[id(r[0])] for r in runs))
-        same[id(n)] = numbers.setdefault(key, len(numbers))
+                    last = c.same
+        n.runs = runs
+        key = (_label(n), *[r[0].same for r in runs])
+        if key not in numbers:
+            numbers[key] = len(made)
+            made.append((key[0], tuple([made[k] for k in key[1:]])))
+        n.same = numbers[key]
     next_number = 0
     stack = [[root]]
     while stack:
@@ -244,9 +254,12 @@ def shape(root: Node) -> tuple:
         for n in run:
             n.number = next_number
         next_number += 1
-        lists = [merged[id(n)] for n in run]
-        stack += [[x for runs in lists for x in runs[k]] for k in reversed(range(len(lists[0])))]
-    return made[id(root)]
+        if len(run) == 1:
+            stack += reversed(run[0].runs)
+        else:
+            lists = [n.runs for n in run]
+            stack += [[x for runs in lists for x in runs[k]] for k in reversed(range(len(lists[0])))]
+    return made[root.same]
 
 
 def _blocks(root: Node, held: frozenset[int]) -> list[tuple[int, str, bool, float, tuple[int, ...]]]:
@@ -254,12 +267,13 @@ def _blocks(root: Node, held: frozenset[int]) -> list[tuple[int, str, bool, floa
     out: list[tuple[int, str, bool, float, tuple[int, ...]]] = []
     text: list[str] = []
     linked = [0]
-    state: dict = {"node": 0, "inside": False, "around": ()}
+    state: dict = {"node": 0, "inside": False, "around": (), "blank": True}
 
     def flush():
-        s = " ".join("".join(text).split())
-        if s:
+        if not state["blank"]:
+            s = " ".join("".join(text).split())
             out.append((state["node"], s, state["inside"], linked[0] / len(s), state["around"]))
+            state["blank"] = True
         text.clear()
         linked[0] = 0
 
@@ -270,12 +284,13 @@ def _blocks(root: Node, held: frozenset[int]) -> list[tuple[int, str, bool, floa
             flush()
             continue
         n, inside, in_link, only_headings, number, around = item
-        if isinstance(n, str):
+        if n.__class__ is str:
             if not only_headings:
-                if not "".join(text).strip():
-                    state["node"], state["inside"], state["around"] = number, inside, around
+                chars = len(n.strip())
+                if state["blank"]:
+                    state["node"], state["inside"], state["around"], state["blank"] = number, inside, around, not chars
                 text.append(n)
-                linked[0] += len(n.strip()) * in_link
+                linked[0] += chars * in_link
             continue
         if n.tag != "#root" and _noise(n, inside, held):
             continue
@@ -347,6 +362,9 @@ def text_hash(text: str) -> int:
     return int.from_bytes(blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
 
 
+_UNSAFE = re.compile(r"[()\s]")
+
+
 def _write_shape(s: tuple) -> str:
     out, todo = [], [s]
     while todo:
@@ -354,7 +372,7 @@ def _write_shape(s: tuple) -> str:
         if isinstance(x, str):
             out.append(x)
         else:
-            out.append("(" + re.sub(r"[()\s]", "_", x[0]))
+            out.append("(" + (_UNSAFE.sub("_", x[0]) if _UNSAFE.search(x[0]) else x[0]))
             todo.append(")")
             todo += reversed(x[1])
     return " ".join(out)
@@ -522,7 +540,7 @@ def _parsed(pages: DataFrame, id_col: str, url_col: str, html_col: str, with_tex
                 trees.append(text_hash(written))
                 shapes.append(None if with_text else written)
                 own = text_blocks(root)
-                hashes.append(text_hash("\n".join(t for _, t in main_of(own))))
+                hashes.append(None if with_text else text_hash("\n".join(t for _, t in main_of(own))))
                 found.append([{"node": n, "th": text_hash(t)} | ({"inside": i, "text": t} if with_text else {}) for n, t, i in own])
             yield pa.RecordBatch.from_arrays(
                 [b.column("page_id"), b.column("url"), pa.array(hosts, pa.string()), pa.array(trees, pa.int64()), pa.array(shapes, pa.string()),
