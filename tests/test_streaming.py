@@ -197,3 +197,25 @@ def test_state_partitions_fixed_at_start(spark, tmp):
              for p in q.recentProgress for op in (p.get("stateOperators") or [])]
     assert parts and set(parts) == {2}
     assert counts(spark, os.path.join(tmp, "out"))[0][2] >= 1
+
+
+def test_a_streamed_date_is_one_file_whatever_the_state_partitions(spark, tmp):
+    """The windows of a date leave all state partitions, and still go to one file; the
+    query goes on from its checkpoint with the state partitions it began with."""
+    src, ck = os.path.join(tmp, "in"), os.path.join(tmp, "ck")
+    os.makedirs(src)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS few LOCATION '{os.path.join(tmp, 'db')}'")
+    for run, days in enumerate([(1, 2, 3), (4, 5, 6)]):
+        recs = [{"tweet_id": f"{d}-{k}", "airline": f"k{k}", "airline_sentiment": "negative", "text": "t", "retweet_count": 1,
+                 "tweet_created": f"2015-02-{d:02d} 11:00:00 +0000"} for d in days for k in range(40)]
+        t = pa.Table.from_pylist(recs)
+        t = t.set_column(t.column_names.index("retweet_count"), "retweet_count", t["retweet_count"].cast(pa.int32()))
+        pq.write_table(t, os.path.join(src, f"part-{run}.parquet"))
+        own = speed_session(spark, 8)
+        q = run_available(start_metrics(file_stream(own, src, TWEET), "few.speed", ck, trigger={"availableNow": True}))
+        parts = {op["numShufflePartitions"] for p in q.recentProgress for op in p["stateOperators"]}
+        assert parts == {8} and state_rows(q) == 40                    # the last day's windows are open
+    got = spark.table("few.speed").select("window_date", "airline", "tweet_count", "_metadata.file_path").collect()
+    assert sorted((r.window_date, r.airline, r.tweet_count) for r in got) == \
+        sorted((f"2015-02-{d:02d}", f"k{k}", 1) for d in range(1, 6) for k in range(40))
+    assert len({(r.window_date, r.file_path) for r in got}) == 5

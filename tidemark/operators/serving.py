@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.time import ltz_lit, ntz_lit, time_text
 from ..schemas import METRIC_FIELDS, METRICS_TABLE, SOURCE_BATCH, SOURCE_SPEED
-from ..session import discard, file_system, folder_exists, stored
+from ..session import adaptive, discard, file_system, folder_exists, stored
 from ..sources.ledger import Ledger
 from .metrics import from_two_clocks, two_clock_partials, with_month
 from .tables import (DYNAMIC_OVERWRITE, append_rows, drop_partitions, finish_overwrite, overwrite_safely,
@@ -163,6 +163,10 @@ def create_speed_table(spark: SparkSession, table: str) -> None:
                   USING parquet OPTIONS ({opts}) PARTITIONED BY (window_date)""")
 
 
+#: Shuffle partitions of an append to the speed table, at least; small ones are joined
+#: again. A stream's session has as many as its state, each of which would hold so many dates.
+APPEND_PARTITIONS = 200
+
 #: The writer's name in the ledger where none is given.
 UNNAMED = "unnamed"
 
@@ -225,9 +229,11 @@ def append_speed(metrics: DataFrame, table: str, batch_id: int, now=None, writer
     rows = with_window_date(metrics.select(*METRIC_FIELDS)).select(
         *METRIC_FIELDS, t.alias("created_at"), F.lit(writer).alias("writer"),
         F.lit(batch_id).cast("bigint").alias("batch_id"), "window_date")
-    # few files per date, but a large date (a replay) is split over several tasks
+    # few files per date, not one for each state partition, but a large date (a replay) is split over several tasks
     counted = Observation()
-    append_rows(rows.hint("rebalance", "window_date").observe(counted, F.count(F.lit(1)).alias("n")), table)
+    dealt = max(APPEND_PARTITIONS, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    with adaptive(spark):
+        append_rows(rows.hint("rebalance", dealt, "window_date").observe(counted, F.count(F.lit(1)).alias("n")), table)
     book.done(name, batch_id, counted.get.get("n", 0))
     return True
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -72,6 +73,21 @@ def apply_conf(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def adaptive(spark: SparkSession):
+    """Adaptive execution for the jobs of this block. The session of a stateful
+    query's micro-batches has it off (the state's partitions must not change), and
+    without it Spark drops a ``rebalance`` hint. The micro-batch itself is planned
+    before its sink is called, so on in the sink it only concerns the sink's own jobs."""
+    key = "spark.sql.adaptive.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names in
     ``spark.checkpoint.dir``. Only when it is unset (local runs, tests) a
@@ -132,7 +148,7 @@ def discard(spark: SparkSession, *folders: str) -> None:
         fs.delete(path, True)
 
 
-__all__ = ["build_session", "apply_conf", "ensure_checkpoint_dir", "scratch_path", "stored", "discard", "file_system", "REQUIRED_CONF",
+__all__ = ["build_session", "apply_conf", "adaptive", "ensure_checkpoint_dir", "scratch_path", "stored", "discard", "file_system", "REQUIRED_CONF",
            "CLUSTER_CONF"]
 
 
